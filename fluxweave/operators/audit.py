@@ -60,3 +60,13 @@ def describe_builds(activities: DataFrame, meta: DataFrame) -> DataFrame:
     counts = activities.groupBy("db").agg(F.count(F.lit(1)).alias("n_activities"))
     total = counts.agg(F.sum("n_activities").alias("n_all"))
     return meta.join(counts, "db", "left").join(F.broadcast(total), F.lit(True)).select("db", "vintage", F.coalesce("n_activities", F.lit(0)).alias("n_activities"), F.try_divide("n_activities", "n_all").alias("share"))
+
+
+def build_summaries(exchanges: DataFrame, meta: DataFrame, audit: DataFrame) -> DataFrame:
+    """One row per build: activities, exchanges by type, link totals and the stamped vintage.
+
+    exchanges: db, code, type; audit: db, tech_linked, tech_external, tech_unlinked.
+    """
+    counts = exchanges.groupBy("db").agg(F.count_distinct("code").alias("n_activities"), F.count(F.lit(1)).alias("n_exchanges"), *(F.count_if(F.col("type") == t).alias(f"n_{t}") for t in ("production", "technosphere", "biosphere")))
+    links = audit.groupBy("db").agg(*(F.sum(c).alias(c) for c in ("tech_linked", "tech_external", "tech_unlinked")))
+    return meta.select("db", "vintage").join(counts, "db", "left").join(links, "db", "left").fillna(0)

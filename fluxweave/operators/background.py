@@ -27,6 +27,19 @@ def only_in(references: DataFrame, full: str) -> DataFrame:
     return references.groupBy("provider_id").agg(F.count_if(F.col("source") != full).alias("elsewhere")).where("elsewhere = 0").select("provider_id")
 
 
+def scan_sources(references: DataFrame, grid: DataFrame, full: str) -> DataFrame:
+    """Verdicts that count: those of the bundles, or that of the full source where no bundle has one."""
+    verdicts = classify_sources(vintage_votes(references, grid)).where("verdict is not null").withColumn("is_full", F.col("source") == full)
+    bundles = verdicts.agg(F.count_if(~F.col("is_full")).alias("n_bundles"))
+    return verdicts.join(F.broadcast(bundles), F.lit(True)).where(~F.col("is_full") | (F.col("n_bundles") == 0)).select("source", "verdict")
+
+
+def external_index(activities: DataFrame, db: str, vintage: str) -> DataFrame:
+    """What the linker knows of an aggregated build: supplier, name, the flow it supplies, and the vintage."""
+    rows = activities.where(F.col("db") == db)
+    return rows.select(F.col("code").alias("supplier"), F.col("name").alias("supplier_name"), F.col("ref_flow_id").alias("flow_id"), F.lit(db).alias("supplier_db"), F.lit(vintage).alias("vintage"))
+
+
 def vintage_votes(references: DataFrame, grid: DataFrame) -> DataFrame:
     """Per source and vintage, the distinct processes that refer to its grid node."""
     votes = references.join(F.broadcast(grid.select("provider_id", "vintage")), "provider_id")

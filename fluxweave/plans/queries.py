@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxweave.functions import text, units
-from fluxweave.operators import allocation, audit, background, catalog, compare, conversion, factors, foreground, linking, search, solve
+from fluxweave.operators import allocation, background, catalog, conversion, factors, linking
 from fluxweave.plans.views import Views, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxweave.functions import text
-from fluxweave.operators import audit, catalog, compare, foreground, search, solve
+from fluxweave.operators import audit, background, compare, foreground, search, solve
 from fluxweave.plans.queries import query, rounded
 from fluxweave.plans.views import Views, with_views
 
@@ -152,6 +152,22 @@ def uncharacterized_flows(v: Views) -> DataFrame:
     return audit.uncharacterized(v.biosphere, v.elementary)
 
 
+@query(f"""WITH meta AS ({_META}) SELECT m.db, m.vintage, x.n_activities, x.n_exchanges, x.n_production, x.n_technosphere, x.n_biosphere, l.tech_linked, l.tech_external, l.tech_unlinked FROM meta m
+JOIN (SELECT event_type AS db, COUNT(DISTINCT user_id) AS n_activities, COUNT(*) AS n_exchanges, COUNT(*) FILTER (WHERE value < 10) AS n_production, COUNT(*) FILTER (WHERE value >= 10 AND value < 50) AS n_technosphere, COUNT(*) FILTER (WHERE value >= 50) AS n_biosphere FROM events GROUP BY 1) x ON x.db = m.db
+JOIN (SELECT event_type AS db, CAST(SUM(user_id) AS BIGINT) AS tech_linked, CAST(SUM(event_id % 3) AS BIGINT) AS tech_external, CAST(SUM(event_id % 2) AS BIGINT) AS tech_unlinked FROM events GROUP BY 1) l ON l.db = m.db""")
+def build_summary(v: Views) -> DataFrame:
+    rows = v.spark.sql("SELECT event_type AS db, user_id AS code, CASE WHEN value < 10 THEN 'production' WHEN value < 50 THEN 'technosphere' ELSE 'biosphere' END AS type FROM events")
+    log = v.spark.sql("SELECT event_type AS db, user_id AS tech_linked, event_id % 3 AS tech_external, event_id % 2 AS tech_unlinked FROM events")
+    return audit.build_summaries(rows, v.spark.sql(_META), log)
+
+
+@query(with_views("""SELECT source, CASE provider_id WHEN '0' THEN '2025' ELSE '2026' END AS verdict FROM (
+  SELECT source, provider_id, votes, MAX(votes) OVER (PARTITION BY source) AS most, COUNT(*) OVER (PARTITION BY source, votes) AS ties FROM (SELECT source, provider_id, COUNT(DISTINCT process_id) AS votes FROM grid_reference GROUP BY 1, 2) v) x WHERE votes = most AND ties = 1 AND source <> 'click'""", "grid_reference"))
+def source_verdicts(v: Views) -> DataFrame:
+    grid = v.spark.createDataFrame([("0", "2025"), ("1", "2026")], "provider_id string, vintage string")
+    return background.scan_sources(v.grid_reference, grid, "click")
+
+
 @query(None)
 def run_manifest(v: Views) -> DataFrame:
     levels = _supply(v)

@@ -76,9 +76,9 @@ VIEWS: dict[str, str] = {
         SELECT p.process_id, d.allocation_type, p.flow_id, CAST(NULL AS INT), CAST(0.999 AS DOUBLE), 2 FROM product p JOIN declared d ON p.process_id = d.process_id WHERE d.allocation_type = 'ECONOMIC'
         UNION ALL
         SELECT p.process_id, d.allocation_type, p.flow_id, 1, p.price_share, 3 FROM product p JOIN declared d ON p.process_id = d.process_id WHERE d.allocation_type = 'CAUSAL'""",
-    # References to grids: event types are sources, users refer to one of two grids.
+    # References to grids: event types are sources, events refer to one of two grids.
     "grid_reference": """
-        SELECT event_type AS source, CAST(user_id % 2 AS VARCHAR(10)) AS provider_id, user_id AS process_id FROM events""",
+        SELECT event_type AS source, CAST(user_id % 2 AS VARCHAR(10)) AS provider_id, event_id AS process_id FROM events""",
     "library": """
         SELECT l_suppkey AS row, l_partkey AS process_id, (SUM(CAST(round(l_discount * 100) AS BIGINT)) - 4 * COUNT(*)) / 100 AS value FROM lineitem GROUP BY l_suppkey, l_partkey""",
     "library_flow": """
