@@ -89,6 +89,8 @@ def decode_png(media: bytes) -> tuple[bytes, int]:
     while at < len(media):
         size, kind = struct.unpack(">I4s", media[at : at + 8])
         data = media[at + 8 : at + 8 + size]
+        if at + 12 + size > len(media):
+            raise ValueError("chunk is cut off")
         (crc,) = struct.unpack(">I", media[at + 8 + size : at + 12 + size])
         if zlib.crc32(data, zlib.crc32(kind)) != crc:
             raise ValueError(f"checksum of {kind!r} is wrong")
