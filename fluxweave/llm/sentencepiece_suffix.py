@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame
 from .common import arrow_limits, id_and_text
 from .tokens import MODEL, processor
 
-#: Pre-tokens that a worker keeps; characters from which a pre-token is not kept; characters indexed at once; pairs kept.
-CACHED, WORD, INDEXED, PAIRS = 300_000, 64, 1 << 19, 400_000
+#: Pre-tokens, and their parts, that a worker keeps (the first it meets, which the frequent ones are among);
+#: characters from which one is not kept; characters indexed at once; pairs kept.
+CACHED, PARTS, WORD, INDEXED, PAIRS = 250_000, 400_000, 64, 1 << 19, 1_000_000
 #: A text's pre-tokens: spaces with the word after them, or a line feed.
 _CUT = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 
@@ -44,7 +45,13 @@ class Vocabulary:
         self.pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.of_byte = {i: bytes([b]) for b, i in enumerate(self.byte)}
         self.silent = {i for i in range(sp.get_piece_size()) if sp.is_control(i)}
-        self.names = [p for p in self.ids if self.merged(p) == [p]]
+        # Longer pieces first: of the edges that end at a position, they are tried in this order.
+        self.names = sorted((p for p in self.ids if self.merged(p) == [p]), key=len, reverse=True)
+        if any(c not in self.ids for p in self.names for c in p):
+            raise ValueError("a character of a piece is no piece")
+        self.neighbours = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.name_ids = [self.ids[p] for p in self.names]
+        self.spans = list(map(len, self.names))
         self.longest = max(map(len, self.names))
         self.lengths = np.array([len(p) for p in self.names], np.int64)
         self.alphabet = np.unique(np.frombuffer("".join(self.names).encode("utf-32-le"), "<u4"))
@@ -54,7 +61,7 @@ class Vocabulary:
             low[row, : len(p)] = high[row, : len(p)] = self.codes(p)
         kind = f"S{2 * self.longest}"
         self.low, self.high = low.view(kind).ravel(), high.view(kind).ravel()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def codes(self, text: str) -> np.ndarray:
         """Characters as 16-bit codes in code point order; 1 for all that no piece has."""
@@ -76,16 +83,19 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def holds(self, a: str, b: str) -> bool:
-        """Whether a and b stand side by side in an encoding."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            known = self.merged(a + b) == [a, b]
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            self.pairs[a, b] = known
+    def holds(self, a: int, b: int) -> bool:
+        """Whether the names a and b stand side by side in an encoding."""
+        left, right = self.names[a], self.names[b]
+        known = self.merged(left + right) == [left, right]
+        if len(self.pairs) < PAIRS:
+            self.pairs[a << 20 | b] = known
         return known
 
+    def parts(self, word: str) -> list[str]:
+        """A pre-token cut where two neighbouring characters stand together in no piece."""
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.neighbours]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)] if cuts else [word]
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -117,28 +127,38 @@ def edges(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_words(words: list[str], vocab: Vocabulary) -> list[list[int]]:
-    """Ids of each pre-token, by relaxing the edges in order of position."""
+    """Ids of each part, by relaxing the edges in order of position.
+
+    One edge into each position holds; a character that is no piece has none, joins nothing and
+    becomes bytes.
+    """
     end, piece = edges(words, vocab)
-    ends, pieces = end.tolist(), piece.tolist()
-    out, at, k, total = [], 0, 0, len(ends)
-    names, holds = vocab.names, vocab.holds
+    ends, pieces = [*end.tolist(), -1], [*piece.tolist(), -1]
+    out, at, k = [], 0, 0
+    spans, known, holds, ids_of = vocab.spans, vocab.pairs.get, vocab.holds, vocab.name_ids
     for word in words:
-        last: list[str] = [""] * (len(word) + 1)
+        last = [-1] * (len(word) + 1)
         for i in range(1, len(word) + 1):
-            best = word[i - 1]  # without an edge the character stands alone and becomes bytes
-            while k < total and ends[k] == at + i:
-                p = names[pieces[k]]
-                before = i - len(p)
-                if before == 0 or holds(last[before], p):
-                    best = p
+            here, best = at + i, -1
+            while ends[k] == here:
+                if best < 0:
+                    q = pieces[k]
+                    before = i - spans[q]
+                    if before == 0 or (p := last[before]) < 0:
+                        best = q
+                    elif (ok := known(p << 20 | q)) or (ok is None and holds(p, q)):
+                        best = q
                 k += 1
             last[i] = best
         ids, i = [], len(word)
         while i > 0:
-            p = last[i]
-            i -= len(p)
-            found = vocab.ids.get(p)
-            ids += [found] if found is not None else [vocab.byte[b] for b in reversed(p.encode("utf-8"))]
+            q = last[i]
+            if q >= 0:
+                ids.append(ids_of[q])
+                i -= spans[q]
+            else:
+                ids += [vocab.byte[b] for b in reversed(word[i - 1].encode("utf-8"))]
+                i -= 1
         out.append(ids[::-1])
         at += len(word) + 1
     return out
@@ -149,35 +169,40 @@ def pre_tokens(text: str) -> list[str]:
 
 
 class Encoder:
-    """Ids of texts; pre-tokens seen before come from a bounded cache."""
+    """Ids of texts; pre-tokens and parts seen before come from bounded caches."""
 
     def __init__(self, path: str = MODEL):
-        self.vocab, self.seen = vocabulary(path), {}
+        self.vocab, self.seen, self.known = vocabulary(path), {}, {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [pre_tokens(t) for t in texts]
+        words = {w: None for part in cut for w in part}
+        fresh = {w: self.vocab.parts(w) for w in words if w not in self.seen}
         local: dict[str, bytes] = {}
-        if len(self.seen) > CACHED:
-            self.seen.clear()
         missing, size = [], 0
-        for w in dict.fromkeys(w for words in cut for w in words):
-            known = self.seen.get(w)
-            if known is not None:
-                local[w] = known
+        for p in dict.fromkeys(p for parts in fresh.values() for p in parts):
+            if p in self.known:
                 continue
-            missing.append(w)
-            size += len(w)
+            missing.append(p)
+            size += len(p)
             if size > INDEXED:
                 self._index(missing, local)
                 missing, size = [], 0
         self._index(missing, local)
-        return [np.frombuffer(b"".join(map(local.__getitem__, words)), "<i4") for words in cut]
+        known, seen = self.known, self.seen
+        here = {w: b"".join([known[p] if p in known else local[p] for p in parts]) for w, parts in fresh.items()}
+        out = [np.frombuffer(b"".join([seen[w] if w in seen else here[w] for w in part]), "<i4") for part in cut]
+        for store, new, room in ((known, local, PARTS), (seen, here, CACHED)):
+            for w, ids in new.items():
+                if len(store) >= room:
+                    break
+                if len(w) <= WORD:
+                    store[w] = ids
+        return out
 
     def _index(self, words: list[str], local: dict[str, bytes]) -> None:
         for w, ids in zip(words, encode_words(words, self.vocab) if words else [], strict=True):
             local[w] = np.array(ids, "<i4").tobytes()
-            if len(w) <= WORD:
-                self.seen[w] = local[w]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: byte pieces join to characters (what is no UTF-8 becomes U+FFFD), the first space goes."""
