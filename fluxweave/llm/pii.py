@@ -118,10 +118,10 @@ def disclosure(docs: DataFrame, lines: DataFrame) -> DataFrame:
     n_terms = terms.count()
     corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     own = corpus_lines.select(F.explode(_words(F.col("line"))).alias("term")).join(broadcast_if_small(terms, n_terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    size = docs.agg(F.sum(F.size(F.split("text", "\n"))).alias("n_lines"))
-    content = -F.log(F.col("n_entity") / F.col("n_lines"))
+    n_lines = docs.agg(F.sum(F.size(F.split("text", "\n")))).first()[0] or 1
+    content = -F.log(F.col("n_entity") / F.lit(n_lines))
     share = 1 + F.log(F.least(F.lit(1.0), F.col("n_joint") / F.col("n_term"))) / content
-    scored = joint.join(own, "term").join(F.broadcast(size), F.lit(True)).where(content > 0)
+    scored = joint.join(own, "term").where(content > 0)
     return scored.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
