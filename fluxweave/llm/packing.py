@@ -17,9 +17,11 @@ each; a null doc_id stays null; an empty table gives an empty result; other colu
 
 from __future__ import annotations
 
+import os
 import re
-import unicodedata
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,8 +37,8 @@ from .common import arrow_limits, id_and_text, materialize
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 WINDOW, END = 2048, 1
-#: Words, and pre-tokens, that a worker keeps; longest word kept.
-WORDS, PARTS, WORD = 400_000, 400_000, 48
+#: Words, and pre-tokens, that a worker keeps (the first it meets, which the frequent ones are among); longest kept.
+WORDS, PARTS, WORD = 350_000, 700_000, 48
 #: Enumerated combinations for each length, and steps of the solver.
 PARTNERS, STEPS = 6, 400
 
@@ -53,10 +55,12 @@ _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^a-zß-öø
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
-    import os
-
+    if sys.byteorder != "little":
+        raise RuntimeError("ids are kept in little-endian order")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokenizer.from_file(path)
+    found = Tokenizer.from_file(path)
+    found.model._resize_cache(0)  # the caches here hold more
+    return found
 
 
 class Ids(dict):
@@ -65,19 +69,19 @@ class Ids(dict):
     def __init__(self, path: str):
         super().__init__({"": b""})
         self.whole, self.parts = _tokenizer(path), {}
-        self.special = [t.content[:2] for t in self.whole.get_added_tokens_decoder().values()]
+        self.model = self.whole.model
+        self.special = os.path.commonprefix([t.content for t in self.whole.get_added_tokens_decoder().values()])
         if self.whole.get_vocab_size() > 65536:
             raise ValueError("ids need 16 bits")
 
     def __missing__(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and len(word) <= WORD and not any(s in word for s in self.special):
-            got = b"".join(self.part(p) for p in _PART.findall(word.lower()))
+        if word.isalpha() and word.isascii() and len(word) <= WORD:
+            got = self.part(word.lower())
+        elif len(word) <= WORD and _PLAIN.fullmatch(word) and self.special and self.special not in word:
+            got = b"".join(map(self.part, _PART.findall(word.lower())))
         else:
             got = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
-        if len(word) <= WORD:
-            if len(self) > WORDS:
-                self.clear()
-                self[""] = b""
+        if len(word) <= WORD and len(self) < WORDS:
             self[word] = got
         return got
 
@@ -85,10 +89,9 @@ class Ids(dict):
         got = self.parts.get(p)
         if got is None:
             text = p if p.isascii() else "".join(_CHARS[b] for b in p.encode("utf-8"))
-            got = np.array([t.id for t in self.whole.model.tokenize(text)], "<u2").tobytes()
-            if len(self.parts) > PARTS:
-                self.parts.clear()
-            self.parts[p] = got
+            got = array("H", [t.id for t in self.model.tokenize(text)]).tobytes()
+            if len(self.parts) < PARTS:
+                self.parts[p] = got
         return got
 
     def of(self, text: str) -> bytes:
@@ -269,5 +272,6 @@ def window_bases(counts: DataFrame) -> DataFrame:
     per = counts.groupBy("task").agg(F.sum("fulls").alias("fulls")).withColumn("block", block)
     inside = Window.partitionBy("block").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     blocks = per.groupBy("block").agg(F.sum("fulls").alias("fulls"))
-    above = blocks.alias("x").join(blocks.select(F.col("block").alias("other"), F.col("fulls").alias("more")), F.col("other") < F.col("block"), "left").groupBy("block").agg(F.coalesce(F.sum("more"), F.lit(0)).alias("above"))
-    return per.select("task", "block", F.coalesce(F.sum("fulls").over(inside), F.lit(0)).alias("inner")).join(F.broadcast(above), "block").select("task", (F.col("inner") + F.col("above")).alias("window_base"))
+    # A thousandth of the tasks: few rows, so one window over all of them.
+    above = blocks.select("block", F.coalesce(F.sum("fulls").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("above"))
+    return per.select("task", "block", F.coalesce(F.sum("fulls").over(inside), F.lit(0)).alias("inner")).join(above, "block").select("task", (F.col("inner") + F.col("above")).alias("window_base"))
