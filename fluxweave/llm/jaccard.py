@@ -8,7 +8,8 @@ their own, recursively, without losing a link.
 Unrelated documents all lie at distance 1 from any pivot, so pivots alone cannot part a whole corpus.
 The first regions therefore come from an exact pigeonhole argument: two sets that differ in at most D
 elements agree entirely on one of D + 1 classes of elements. Sets with an equal class share a region;
-a set that shares none has no link. Regions too large for one task are split by pivots as Spark jobs;
+a set that shares none has no link. Of a small region's pairs, those that agree in too few classes are
+ruled out and the others are compared. Dense regions are joined by pivots: those too large for one task are split by pivots as Spark jobs;
 the rest are split by pivots inside a task. Links are only needed up to connectivity, so a region
 whose members are already connected is closed and pairs in it are never enumerated.
 
@@ -37,10 +38,16 @@ from .graph import components
 U64 = np.uint64
 #: Members and shingles of the largest region that one task joins; pivots of a region; rounds of splitting by Spark jobs.
 MEMBERS, SHINGLES, PIVOTS, ROUNDS = 2_000, 2_000_000, 8, 6
+#: Rounds in which each region is only compared with one pivot; they stop once its members hold few enough shingles.
+STARS, FEW = 8, 2
 #: Region size from which a task splits by pivots.
 SPLIT = 48
 #: Hashes of words that a worker keeps.
 WORDS = 500_000
+#: Signatures are below this; how many of them one task sorts, and how many it reports at once.
+SIGN, SLICE, REPORT = 1 << 48, 4_000_000, 1_000_000
+#: Pairs that a region may report for each member; a region with more is joined set by set.
+DENSE = 20
 
 
 # --- sets ----------------------------------------------------------------------------------------
@@ -123,14 +130,29 @@ class Classes:
                 return apart + 1 + room, room, thin
         raise AssertionError("unreachable")
 
+    def level(self, size: int) -> int:
+        self._grow(size)
+        return int(np.searchsorted(self.starts, size, "right")) - 1
+
+    def needed(self, k: int) -> int:
+        """Classes that agree at least, of two linked sets the smaller of which is in level k."""
+        self._grow(self.starts[1])
+        while len(self.shape) <= k:
+            self._grow(self.starts[-1])
+        return self.shape[k][1] + 1
+
     def signatures(self, s: np.ndarray) -> np.ndarray:
+        return self.signed(s)[0]
+
+    def signed(self, s: np.ndarray) -> tuple[np.ndarray, int, bytes, bytes]:
+        """(signatures, level, a byte of each class for links with the level below, and for those within the level)."""
         if not len(s):
-            return np.zeros(0, U64)
-        self._grow(len(s))
-        level = int(np.searchsorted(self.starts, len(s), "right")) - 1
-        return np.concatenate([self._signed(s, k) for k in (level - 1, level) if k > 0])
+            return np.zeros(0, U64), 0, b"", b""
+        level = self.level(len(s))
+        below, own = (self._signed(s, k) if k > 0 else (np.zeros(0, U64), b"") for k in (level - 1, level))
+        return np.concatenate([below[0], own[0]]), level, below[1], own[1]
 
-    def _signed(self, s: np.ndarray, k: int) -> np.ndarray:
+    def _signed(self, s: np.ndarray, k: int) -> tuple[np.ndarray, bytes]:
         m, room, thin = self.shape[k]
         h = _mix(s + U64(k))
         place = ((h >> U64(32)) * U64(m)) >> U64(32)
@@ -139,7 +161,8 @@ class Classes:
         np.add.at(sums, place.astype(np.int64), _mix(h + U64(0x51ED27)))
         keep = count >= thin if (count < thin).sum() <= room else np.ones(m, bool)
         tag = np.arange(m).astype(U64) + U64(k << 32)
-        return _mix(sums + _mix(tag + U64(7)))[keep]
+        signs = _mix(sums + _mix(tag + U64(7)))
+        return signs[keep] & U64(SIGN - 1), (signs >> U64(56)).astype(np.uint8).tobytes()
 
 
 @lru_cache(maxsize=4)
@@ -148,27 +171,25 @@ def classes(num: int, den: int) -> Classes:
 
 
 def signed_rows(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, key and key2 (of the set; null for an empty one) and its signatures."""
+    """doc_id, n_shingles, key (of the set; null for an empty one), its signatures, level and class bytes."""
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = _WordHashes(), classes(num, den)
         for b in batches:
             sets = [shingles(t, n, hashes) for t in b.column(1).to_pylist()]
-            signs = [signer.signatures(s).view(np.int64) for s in sets]
+            signed = [signer.signed(s) for s in sets]
             keys = [_key(s) for s in sets]
-            cols = [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signs, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "key", "key2", "signs"])
+            cols = [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array([x[0].view(np.int64) for x in signed], pa.list_(pa.int64()))]
+            cols += [pa.array([x[1] for x in signed], pa.int32()), pa.array([x[2] for x in signed], pa.binary()), pa.array([x[3] for x in signed], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "key", "signs", "level", "below", "own"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, key long, key2 long, signs array<long>")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, key long, signs array<long>, level int, below binary, own binary")
 
 
-def _key(s: np.ndarray) -> tuple[int | None, int | None]:
-    """128 bits that name a set."""
-    if not len(s):
-        return None, None
-    raw = xxhash.xxh3_128_digest(s.tobytes())
-    return tuple(np.frombuffer(raw, np.int64).tolist())
+def _key(s: np.ndarray) -> int | None:
+    """64 bits that name a set."""
+    return int(np.frombuffer(xxhash.xxh3_64_digest(s.tobytes()), np.int64)[0]) if len(s) else None
 
 
 def sets_of(docs: DataFrame, n: int) -> DataFrame:
@@ -178,7 +199,7 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
         hashes = _WordHashes()
         for b in batches:
             sets = [s for t in b.column(0).to_pylist() if len(s := shingles(t, n, hashes))]
-            yield pa.RecordBatch.from_arrays([pa.array([_key(s)[0] for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "n", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "n", "items"])
 
     return docs.select("text").mapInArrow(run, "key long, n long, items binary")
 
@@ -262,20 +283,10 @@ def join_regions(tasks: DataFrame, num: int, den: int) -> DataFrame:
     names = ["region", "side", "key", "items"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame(columns=names)
-        for pdf in frames:
-            kept = pd.concat([kept, pdf]) if len(kept) else pdf
-            last = kept["region"] == kept["region"].iat[-1] if len(kept) else []
-            yield links(kept[~last] if len(kept) else kept)
-            kept = kept[last] if len(kept) else kept
-        yield links(kept)
-
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int]] = []
-        for _, g in pdf.groupby("region", sort=False):
+        for g in whole_regions(frames):
             if len(g) > 1:
-                out += Region(g["key"].tolist(), g["items"].tolist(), g["side"].tolist(), num, den).links
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                found = Region(g["key"].tolist(), g["items"].tolist(), g["side"].tolist(), num, den).links
+                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return tasks.select(*names).repartition("region").sortWithinPartitions("region").mapInPandas(run, "a long, b long")
 
@@ -341,16 +352,181 @@ def tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 # --- the join ------------------------------------------------------------------------------------------------
 
 
+def shared_signatures(rows: DataFrame) -> DataFrame:
+    """Signatures (region) that occur more than once.
+
+    Most occur once, so tasks send them alone, sorted and packed to six bytes, to slices of the value
+    range; a task sends one at most twice, however often it meets it.
+    """
+    total = rows.agg(F.sum(F.size("signs"))).first()[0] or 0
+    slices = max(1, -(-total // SLICE))
+
+    def pack(found: list[np.ndarray]) -> pa.RecordBatch:
+        values, count = np.unique(np.concatenate(found), return_counts=True)
+        values = np.repeat(values, np.minimum(count, 2))
+        cuts = np.searchsorted(values, np.arange(slices + 1) * (SIGN // slices + 1))
+        parts = [(i, values[a:b].view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary())], ["slice", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held, seen = [], 0, set()
+        for b in batches:
+            for key, signs in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if key in seen:
+                    continue
+                if len(seen) < WORDS:
+                    seen.add(key)
+                found.append(signs.values.to_numpy(zero_copy_only=False).astype(np.uint64))
+                held += len(found[-1])
+            if held > REPORT:
+                yield pack(found)
+                found, held = [], 0
+        if held:
+            yield pack(found)
+
+    def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
+        values = []
+        for p in pdf["packed"]:
+            wide = np.zeros((len(p) // 6, 8), np.uint8)
+            wide[:, :6] = np.frombuffer(p, np.uint8).reshape(6, -1).T
+            values.append(wide.view(np.int64).ravel())
+        value, count = np.unique(np.concatenate(values), return_counts=True)
+        return pd.DataFrame({"region": value[count > 1]})
+
+    sent = rows.where("key is not null").select("key", "signs").mapInArrow(run, "slice int, packed binary")
+    return sent.groupBy("slice").applyInPandas(repeated, "region long")
+
+
 def candidate_regions(rows: DataFrame) -> DataFrame:
     """Members (region, key) of the signatures that different sets share, equal regions once."""
+    shared = materialize(shared_signatures(rows), "shared")
     signed = rows.where("key is not null").select("key", F.explode("signs").alias("region"))
-    shared = materialize(signed.groupBy("region").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("region"), "shared")
     members = materialize(signed.join(broadcast_if_small(shared, shared.count()), "region", "left_semi").distinct(), "members")
+    return one_of_equals(members)
+
+
+def screen_regions(regions: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (region, a, b) that could link by sizes and by how many classes agree; b is null for a region that is
+    too large or reports too many pairs, which must be joined set by set.
+
+    The class bytes are a small part of the sets, and agreeing in too few of them rules a link out.
+    """
+    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
+    facts = rows.where("key is not null").groupBy("key").agg(F.min(F.struct("n_shingles", "level", "below", "own")).alias("f"))
+    keys = regions.select("key").distinct()
+    facts = materialize(facts.join(broadcast_if_small(keys, keys.count()), "key", "left_semi").select("key", "f.*"), "facts")
+    small = regions.join(sizes.where(F.col("members") <= MEMBERS).select("region"), "region", "left_semi").join(facts, "key")
+    large = sizes.where(F.col("members") > MEMBERS).select("region", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"))
+
+    def region_pairs(g: pd.DataFrame, signer: Classes) -> list[tuple]:
+        out: list[tuple] = []
+        region, keys = int(g["region"].iat[0]), g["key"].to_numpy()
+        size, level = g["n_shingles"].to_numpy(), g["level"].to_numpy()
+        for k in np.unique(level):
+            at = np.flatnonzero((level == k) | (level == k + 1))
+            if len(at) < 2:
+                continue
+            marks = np.stack([np.frombuffer(g["own"].iat[i] if level[i] == k else g["below"].iat[i], np.uint8) for i in at])
+            need = signer.needed(int(k))
+            for p in range(len(at)):
+                if level[at[p]] != k:
+                    continue
+                open_ = (np.arange(len(at)) > p) | (level[at] == k + 1)
+                open_ &= (den * size[at] >= num * size[at[p]]) & (den * size[at[p]] >= num * size[at])
+                q = np.flatnonzero(open_)
+                q = q[(marks[q] == marks[p]).sum(axis=1) >= need]
+                out += [(region, int(keys[at[p]]), int(keys[at[j]])) for j in q]
+                if len(out) > DENSE * len(g):
+                    return [(region, None, None)]
+        return out
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        signer = classes(num, den)
+        for g in whole_regions(frames):
+            found = region_pairs(g, signer)
+            yield pd.DataFrame({"region": pd.array([x[0] for x in found], "Int64"), "a": pd.array([x[1] for x in found], "Int64"), "b": pd.array([x[2] for x in found], "Int64")})
+
+    fields = small.select("region", "key", "n_shingles", "level", "below", "own")
+    return large.unionByName(fields.repartition("region").sortWithinPartitions("region").mapInPandas(run, "region long, a long, b long"))
+
+
+def whole_regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regions of a partition sorted by region, each whole."""
+    kept = None
+    for pdf in frames:
+        if not len(pdf):
+            continue
+        kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+        ids = kept["region"].to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield kept.iloc[a:b]
+        kept = kept.iloc[cuts[-1] :].reset_index(drop=True)
+    if kept is not None:
+        yield kept
+
+
+def star_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Of pairs (pivot, key), those within the threshold, as links (a, b). A pivot's many keys are dealt in chunks."""
+    chunks = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("n_chunks"))
+    dealt = pairs.join(chunks, "pivot").select("pivot", "key", F.pmod(F.xxhash64("key"), F.col("n_chunks")).cast("int").alias("chunk"), F.lit(1).alias("place"))
+    first = chunks.select("pivot", F.col("pivot").alias("key"), F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), F.lit(0).alias("place"))
+    rows = dealt.unionByName(first).join(sets.select("key", "items"), "key").select("pivot", "chunk", "place", "key", "items")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, center = None, None
+        for b in batches:
+            a, c = [], []
+            for pivot, place, key, items in zip(*(b.column(n).to_pylist() for n in ("pivot", "place", "key", "items")), strict=True):
+                x = np.frombuffer(items, U64)
+                if place == 0:
+                    now, center = pivot, x
+                elif pivot == now and den * min(len(x), len(center)) >= num * max(len(x), len(center)):
+                    at = np.minimum(np.searchsorted(center, x), len(center) - 1)
+                    inter = int((center[at] == x).sum())
+                    if den * inter >= num * (len(x) + len(center) - inter):
+                        a.append(pivot)
+                        c.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+
+    return rows.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "place").mapInArrow(run, "a long, b long")
+
+
+def open_regions(regions: DataFrame, roots: DataFrame) -> DataFrame:
+    """Regions with members of different components, equal ones once."""
+    rooted = regions.join(roots.withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    kept = rooted.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("region")
+    return one_of_equals(regions.join(kept, "region", "left_semi"))
+
+
+def one_of_equals(members: DataFrame) -> DataFrame:
+    """Of regions with the same members, one."""
     names = members.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
     once = names.groupBy("c", "x", "y").agg(F.min("region").alias("region"))
     return materialize(members.join(once.select("region"), "region", "left_semi"), "regions")
 
 
+def star_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame | None, DataFrame]:
+    """(links found, regions still open): each round compares a region's members with one pivot, which then leaves.
+
+    Regions share most of their pairs, and a pair is compared once a round, so this moves far fewer
+    sets than sending every region its own.
+    """
+    sizes = sets.select("key", "n")
+    few = FEW * (sets.agg(F.sum("n")).first()[0] or 0)
+    links = None
+    for rounds in range(STARS):
+        held = regions.join(sizes, "key").agg(F.sum("n")).first()[0] or 0
+        if held <= (few if rounds else 0):
+            break
+        pivots = regions.groupBy("region").agg(F.min_by("key", F.xxhash64("key", F.lit(rounds))).alias("pivot"))
+        centred = materialize(regions.join(pivots, "region").where("key <> pivot"), "centred")
+        found = star_links(centred.select("pivot", "key").distinct(), sets, num, den)
+        links = materialize(found if links is None else links.unionByName(found), "star-links")
+        regions = open_regions(centred.select("region", "key"), components(links))
+    return links, regions
+
+
 def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links that span the components of all regions."""
     found: list[DataFrame] = []
@@ -376,8 +552,8 @@ def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         links, new = split_regions(large, sets, rounds, num, den)
         found.append(links)
         rows = materialize(new.groupBy("region", "key").agg(F.min("inner").alias("inner"), F.max("was").alias("was")), "split")
-    every = tasks[0]
-    for t in tasks[1:]:
+    every = regions.where(F.lit(False)).select("region", F.lit(0).alias("side"), "key")
+    for t in tasks:
         every = every.unionByName(t)
     links = join_regions(every.join(sets.select("key", "items"), "key"), num, den)
     for f in found:
@@ -389,12 +565,18 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 3, num: int = 90, den: int
     """Per row: doc_id, n_shingles, component_id. Two texts link when den * shared >= num * union."""
     rows = materialize(signed_rows(docs, words, num, den), "signed")
     regions = candidate_regions(rows)
-    keys = materialize(regions.select("key").distinct(), "keys")
+    screened = materialize(screen_regions(regions, rows, num, den), "screened")
+    pairs = screened.where("b is not null").select(F.least("a", "b").alias("pivot"), F.greatest("a", "b").alias("key")).distinct()
+    dense = one_of_equals(regions.join(screened.where("b is null").select("region").distinct(), "region", "left_semi"))
+    keys = materialize(pairs.select(F.explode(F.array("pivot", "key")).alias("key")).unionByName(dense.select("key")).distinct(), "keys")
     n_keys = keys.count()
     reps = rows.select("key", "doc_id").join(broadcast_if_small(keys, n_keys), "key").groupBy("key").agg(F.min("doc_id").alias("rep_id"))
     texts = id_and_text(docs).join(broadcast_if_small(reps.select("rep_id"), n_keys), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
     sets = materialize(sets_of(texts, words).join(broadcast_if_small(keys, n_keys), "key", "left_semi").dropDuplicates(["key"]), "sets")
-    roots = materialize(components(link_regions(regions, sets, num, den)), "roots")
+    links = materialize(star_links(pairs, sets, num, den), "pair-links")
+    starred, left = star_regions(dense, sets, num, den)
+    links = links.unionByName(link_regions(left, sets, num, den))
+    roots = materialize(components(links if starred is None else links.unionByName(starred)), "roots")
     groups = rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("size_"), F.min("doc_id").alias("low"))
     rooted = groups.join(broadcast_if_small(roots, roots.count()).withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = materialize(rooted, "rooted")
