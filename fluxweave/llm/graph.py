@@ -26,18 +26,34 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("u", F.col("low").alias("v"))).where("u <> v").distinct()
 
 
+def partial_roots(edges: DataFrame, rounds: int = 2) -> DataFrame:
+    """(vertex, root) after a few rounds: an equal root proves a path, an unequal one proves nothing."""
+    now = _start(edges)
+    for _ in range(rounds):
+        now = _small(_large(now))
+    return _roots(now.groupBy("u").agg(F.min("v").alias("v")))
+
+
+def _start(edges: DataFrame) -> DataFrame:
+    return edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+
+
+def _roots(stars: DataFrame) -> DataFrame:
+    """Roots of stars (u, v); where u is a root elsewhere, its own smaller v counts."""
+    tops = stars.select("v").distinct().join(stars.select("u").distinct(), F.col("v") == F.col("u"), "left_anti")
+    return stars.select(F.col("u").alias("vertex"), F.col("v").alias("root")).unionByName(tops.select(F.col("v").alias("vertex"), F.col("v").alias("root")))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(vertex, root) for every vertex of edges (a, b), root being the smallest vertex reached."""
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    now = materialize(_start(edges), "edges")
     state = _state(now)
     for _ in range(rounds if state[0] else 0):
         now = materialize(_small(_large(now)), "edges")
         new = _state(now)
         if new == state:
-            break
+            return _roots(now)
         state = new
-    else:
-        if state[0]:
-            raise RuntimeError("components did not settle")
-    roots = now.select(F.col("v").alias("vertex"), F.col("v").alias("root")).distinct()
-    return now.select(F.col("u").alias("vertex"), F.col("v").alias("root")).unionByName(roots)
+    if state[0]:
+        raise RuntimeError("components did not settle")
+    return _roots(now)

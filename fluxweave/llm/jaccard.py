@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, broadcast_if_small, id_and_text, join_groups, materialize
-from .graph import components
+from .graph import components, partial_roots
 
 U64 = np.uint64
 #: Members and shingles of the largest region that one task joins; pivots of a region; rounds of splitting by Spark jobs.
 MEMBERS, SHINGLES, PIVOTS, ROUNDS = 2_000, 2_000_000, 8, 6
 #: Rounds in which each region is only compared with one pivot; they stop once its members hold few enough shingles.
-STARS, FEW = 8, 2
+STARS, FEW = 3, 2
 #: Region size from which a task splits by pivots.
 SPLIT = 48
 #: Hashes of words that a worker keeps.
@@ -523,7 +523,7 @@ def star_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> tup
         centred = materialize(regions.join(pivots, "region").where("key <> pivot"), "centred")
         found = star_links(centred.select("pivot", "key").distinct(), sets, num, den)
         links = materialize(found if links is None else links.unionByName(found), "star-links")
-        regions = open_regions(centred.select("region", "key"), components(links))
+        regions = open_regions(centred.select("region", "key"), partial_roots(links))
     return links, regions
 
 
