@@ -263,9 +263,9 @@ def functional_unit_partition(v: Views) -> DataFrame:
     return compare.comparable(v.scenario_unit)
 
 
-@query(with_views("SELECT s.scenario, s.method, round(s.score, 4) AS score, round(b.score, 4) AS base_score, round(100 * s.score / nullif(abs(b.score), 0), 4) AS percent FROM scenario s LEFT JOIN scenario b ON b.method = s.method AND b.scenario = 'BUILDING'", "scenario"))
+@query(with_views("SELECT s.scenario, s.method, round(s.score, 6) AS score, round(b.score, 6) AS base_score, round(100 * s.score / nullif(abs(b.score), 0), 6) AS percent FROM scenario s LEFT JOIN scenario b ON b.method = s.method AND b.scenario = 'BUILDING'", "scenario"))
 def percent_of_baseline(v: Views) -> DataFrame:
-    return rounded(compare.against_baseline(v.scenario.drop("pos"), "BUILDING"), 4)
+    return rounded(compare.against_baseline(v.scenario.drop("pos"), "BUILDING"))
 
 
 @query(with_views("SELECT round(MAX(abs(s.score) / nullif(abs(b.score), 0)), 6) AS max_ratio, MAX(abs(s.score) / nullif(abs(b.score), 0)) > 1000 AS refused FROM scenario s JOIN scenario b ON b.method = s.method AND b.scenario = 'BUILDING' WHERE s.scenario <> 'BUILDING'", "scenario"))
@@ -280,9 +280,9 @@ def _order(v: Views) -> DataFrame:
     return v.spark.createDataFrame([("ASIA", 0, 10.0), ("AFRICA", 1, 0.5), ("EUROPE", 2, 1e-5), ("ATLANTIS", 3, 7.0)], "method string, place int, per_person double")
 
 
-@query(with_views("SELECT scenario, s.method, round(abs(score), 4) AS magnitude, score < 0 AS negative, coalesce(place, 9999) AS place FROM scenario s LEFT JOIN ord ON ord.method = s.method", "scenario", recursive=_ORDER))
+@query(with_views("SELECT scenario, s.method, round(abs(score), 6) AS magnitude, score < 0 AS negative, coalesce(place, 9999) AS place FROM scenario s LEFT JOIN ord ON ord.method = s.method", "scenario", recursive=_ORDER))
 def impact_profile(v: Views) -> DataFrame:
-    return rounded(compare.profile(v.scenario, _order(v).drop("per_person")), 4)
+    return rounded(compare.profile(v.scenario, _order(v).drop("per_person")))
 
 
 @query(with_views("SELECT g.scenario, g.method, round(coalesce(s.score, 0) / g.per_person, 2) AS persons FROM (SELECT * FROM (SELECT DISTINCT scenario FROM scenario) x, ord) g LEFT JOIN scenario s ON s.scenario = g.scenario AND s.method = g.method", "scenario", recursive=_ORDER))
@@ -321,6 +321,6 @@ def shared_scenarios(v: Views) -> DataFrame:
     return compare.shared_scenarios(rows.where("c_acctbal > 9000"), rows.where("c_acctbal < -500"))
 
 
-@query(with_views("SELECT scenario, round(SUM(CASE WHEN method = 'AFRICA' THEN score END), 4) AS AFRICA, round(SUM(CASE WHEN method = 'ASIA' THEN score END), 4) AS ASIA, round(SUM(CASE WHEN method = 'EUROPE' THEN score END), 4) AS EUROPE FROM scenario GROUP BY scenario", "scenario"))
+@query(with_views("SELECT scenario, round(SUM(CASE WHEN method = 'AFRICA' THEN score END), 6) AS AFRICA, round(SUM(CASE WHEN method = 'ASIA' THEN score END), 6) AS ASIA, round(SUM(CASE WHEN method = 'EUROPE' THEN score END), 6) AS EUROPE FROM scenario GROUP BY scenario", "scenario"))
 def result_pivot(v: Views) -> DataFrame:
-    return rounded(compare.pivot(v.scenario, ["AFRICA", "ASIA", "EUROPE"]), 4)
+    return rounded(compare.pivot(v.scenario, ["AFRICA", "ASIA", "EUROPE"]))
