@@ -6,8 +6,8 @@ over all lines of the corpus, a term t tells PMI(t; e) of the IC(e) = -ln p(e) n
 out entity e, so PMI / IC is the share of e's identity that t gives away. Terms at or over the
 threshold are generalised, those near 1 are removed, in the lines that hold e.
 
-Joint counts use distinct line contents, so copies of a document do not look like evidence; the
-terms' own counts use every line of every document.
+All counts are over the distinct lines of the corpus, so copies of a document or of a line are
+neither evidence for a term nor against it.
 
 Defined cases: null or empty text has no spans; rows that repeat give equal rows; a null doc_id is
 kept; an empty table gives an empty result; other columns are ignored.
@@ -116,9 +116,12 @@ def disclosure(docs: DataFrame, lines: DataFrame) -> DataFrame:
     joint = materialize(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_joint"), F.max("n_entity").alias("n_entity")).where(F.col("n_joint") >= MIN_SUPPORT), "pii-joint")
     terms = joint.select("term").distinct()
     n_terms = terms.count()
-    corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
-    own = corpus_lines.select(F.explode(_words(F.col("line"))).alias("term")).join(broadcast_if_small(terms, n_terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    n_lines = docs.agg(F.sum(F.size(F.split("text", "\n")))).first()[0] or 1
+    # The empty term stands for the line itself, so its count is that of all distinct lines.
+    corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
+    each = corpus_lines.select(F.explode(F.concat(F.array(F.lit("")), _words(F.col("line")))).alias("term"))
+    wanted = terms.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
+    own = materialize(each.join(broadcast_if_small(wanted, n_terms + 1), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-terms")
+    n_lines = (own.where("term = ''").first() or {"n_term": 1})["n_term"]
     content = -F.log(F.col("n_entity") / F.lit(n_lines))
     share = 1 + F.log(F.least(F.lit(1.0), F.col("n_joint") / F.col("n_term"))) / content
     scored = joint.join(own, "term").where(content > 0)

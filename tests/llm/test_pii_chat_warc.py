@@ -65,6 +65,17 @@ def test_copies_are_no_evidence(spark):
     assert not any("term" in r.spans for r in pii.pii_report(docs(spark, rows)).collect())
 
 
+def test_copies_do_not_hide_a_term(spark):
+    """Documents, or lines alone, in 50 copies give the terms that single ones give."""
+    filler = [(i, f"ordinary words about weather number {i}") for i in range(300)]
+    told = [f"the keeper zanzibarius wrote {w} from zed@ex.org today" for w in ("apples", "pears", "plums")]
+    note = "zanzibarius was here"
+    single = filler + [(1000 + i, t) for i, t in enumerate(told)] + [(2000, note)]
+    copied = filler + [(1000 + i, t) for i, t in enumerate(told * 50)] + [(2000 + i, f"{note}\nordinary words about weather number {i}") for i in range(50)]
+    rows = [{r.doc_id: r.spans for r in pii.pii_report(docs(spark, x)).collect()} for x in (single, copied)]
+    assert "term_" in rows[0][1000] and all(rows[1][1000 + i] == rows[0][1000 + i % 3] for i in range(150))
+
+
 def test_sanitize_keeps_columns(spark):
     df = docs(spark, [(1, "mail a@b.co now"), (None, None)], extra=False)
     got = pii.sanitize(df)
