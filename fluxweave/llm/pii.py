@@ -4,7 +4,8 @@ Only DataFrame functions are used. A base span is a leftmost non-overlapping mat
 that passes the kind's test. The added spans follow the information-theoretic view of disclosure:
 over all lines of the corpus, a term t tells PMI(t; e) of the IC(e) = -ln p(e) nats that single
 out entity e, so PMI / IC is the share of e's identity that t gives away. Terms at or over the
-threshold are generalised, those near 1 are removed, in the lines that hold e.
+threshold are generalised, those near 1 are removed, in every line of every document: where e
+itself is absent, they still give it away.
 
 All counts are over the distinct lines of the corpus, so copies of a document or of a line are
 neither evidence for a term nor against it.
@@ -128,33 +129,49 @@ def disclosure(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return scored.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
 
-def term_spans(lines: DataFrame, told: DataFrame) -> DataFrame:
-    """Spans of disclosing terms: text_key, added."""
-    each = lines.select("text_key", "line", "line_at", F.explode("entities").alias("entity")).join(told, "entity")
-    each = each.groupBy("text_key", "line", "line_at", "term").agg(F.max("share").alias("share"))
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), F.col("term"), F.lit(r"(?![\p{L}\p{N}])"))
-    gaps = F.split(F.col("line"), pattern, -1)
-    kind = F.when(F.col("share") >= REMOVE, "term_removed").otherwise("term_generalised")
-    cut = each.select("text_key", "line_at", gaps.alias("gaps"), F.length("term").alias("n"), kind.alias("kind"))
-    index = F.sequence(F.lit(1), F.size("gaps") - 1)
-    start = lambda i: F.col("line_at") + F.aggregate(F.slice("gaps", F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x)) + (i - 1) * F.col("n")
-    spans = F.transform(index, lambda i: F.struct(start(i).cast("int").alias("start"), F.lit(len(KINDS)).alias("rank"), F.col("kind").alias("kind"), (start(i) + F.col("n")).cast("int").alias("end"), F.lit("").alias("value")))
-    rows = cut.where(F.size("gaps") > 1).select("text_key", F.explode(spans).alias("span"))
-    return rows.groupBy("text_key").agg(F.collect_set("span").alias("added"))
+def told_hits(rows: DataFrame, told: DataFrame) -> DataFrame:
+    """Per text (text_key) that holds disclosing terms, wherever in it: terms, each with its largest share."""
+    terms = materialize(told.groupBy("term").agg(F.max("share").alias("share")), "pii-told-terms")
+    words = rows.select("text_key", F.explode(_words(F.col("text"))).alias("term"))
+    hits = words.join(broadcast_if_small(terms, terms.count()), "term").distinct()
+    return hits.groupBy("text_key").agg(F.collect_list(F.struct("term", "share")).alias("terms"))
+
+
+def term_spans(text: Column, terms: Column) -> Column:
+    """Spans of the terms (term, share) in a text."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def of_term(t: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), t["term"], F.lit(r"(?![\p{L}\p{N}])"))
+        gaps = F.split(text, pattern, -1)
+        kind = F.when(t["share"] >= REMOVE, "term_removed").otherwise("term_generalised")
+
+        def step(acc: Column, gap: Column) -> Column:
+            start = acc["at"] + F.length(gap)
+            end = start + F.length(t["term"])
+            span = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), kind.alias("kind"), end.alias("end"), F.lit("").alias("value"))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
+
+        return F.aggregate(F.slice(gaps, F.lit(1), F.size(gaps) - 1), zero, step, lambda acc: acc["out"])
+
+    return F.flatten(F.transform(terms, of_term))
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
     """Per row: row (its columns), text, base (spans of the four kinds) and spans (base and added, by start)."""
-    rows = docs.select(F.struct("*").alias("row")).withColumn("text", F.coalesce(F.col("row.text").cast("string"), F.lit("")))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("text", text)
     key = F.concat_ws("-", F.xxhash64("text"), F.hash("text"), F.length("text"))
     rows = rows.withColumn("base", base_spans(F.col("text"))).withColumn("text_key", key)
     found = materialize(rows.where(F.size("base") > 0).select("text_key", "text", "base").dropDuplicates(["text_key"]), "pii-found")
     lines = materialize(entity_lines(found), "pii-lines")
     told = materialize(disclosure(rows.select("text"), lines), "pii-told")
-    added = materialize(term_spans(lines, told), "pii-added")
-    joined = rows.join(broadcast_if_small(added, added.count(), 20_000), "text_key", "left")
-    apart = F.filter(F.coalesce("added", F.array().cast(SPAN)), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return joined.select("row", "text", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
+    hits = materialize(told_hits(rows, told), "pii-hits")
+    # The text is in the row already; it need not be sent twice.
+    joined = rows.drop("text").join(broadcast_if_small(hits, hits.count(), 20_000), "text_key", "left").withColumn("text", text)
+    added = F.when(F.col("terms").isNotNull(), term_spans(F.col("text"), F.col("terms"))).otherwise(F.array().cast(SPAN))
+    apart = F.filter("added", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    return joined.withColumn("added", added).select("row", "text", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
 
 
 def _joined(spans: str) -> Column:

@@ -76,6 +76,21 @@ def test_copies_do_not_hide_a_term(spark):
     assert "term_" in rows[0][1000] and all(rows[1][1000 + i] == rows[0][1000 + i % 3] for i in range(150))
 
 
+def test_terms_are_found_in_every_line(spark):
+    """On the line after the entity's, in documents that do not hold it, in any case, and more than once."""
+    filler = [(i, f"ordinary words about weather number {i}") for i in range(300)]
+    told = [(1000 + i, f"the keeper zanzibarius wrote {w} from zed@ex.org today\n🙂 Zanzibarius again") for i, w in enumerate(["apples", "pears", "plums"])]
+    alone = (2000, "ordinary zanzibariusx\nsaid ZANZIBARIUS, zanzibarius")
+    rows = {r.doc_id: r.spans for r in pii.pii_report(docs(spark, filler + told + [alone])).collect()}
+    for i, text in [*told, alone]:
+        places = [(m.start(), m.end()) for m in re.finditer(r"(?i)\bzanzibarius\b", text)]
+        assert len(places) == 2
+        for a, b in places:
+            assert f":{a}:{b}" in rows[i]
+    clean = {r.doc_id: r.text for r in pii.sanitize(docs(spark, filler + told + [alone])).collect()}
+    assert clean[2000].startswith("ordinary zanzibariusx\nsaid ") and not any(re.search(r"(?i)\bzanzibarius\b", t) for t in clean.values())
+
+
 def test_sanitize_keeps_columns(spark):
     df = docs(spark, [(1, "mail a@b.co now"), (None, None)], extra=False)
     got = pii.sanitize(df)
