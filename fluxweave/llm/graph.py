@@ -49,7 +49,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     now = materialize(_start(edges), "edges")
     state = _state(now)
     for _ in range(rounds if state[0] else 0):
-        now = materialize(_small(_large(_small(_large(now)))), "edges")  # two rounds for each table written
+        now = materialize(_small(_large(now)), "edges")  # a second round in one plan repeats its scans 144 times
         new = _state(now)
         if new == state:
             return _roots(now)

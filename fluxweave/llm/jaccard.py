@@ -10,8 +10,9 @@ The first regions therefore come from an exact pigeonhole argument: two sets tha
 elements agree entirely on one of D + 1 classes of elements. Sets with an equal class share a region;
 a set that shares none has no link. Of a small region's pairs, those that agree in too few classes are
 ruled out and the others are compared. Dense regions are joined by pivots: those too large for one task are split by pivots as Spark jobs;
-the rest are split by pivots inside a task. Links are only needed up to connectivity, so a region
-whose members are already connected is closed and pairs in it are never enumerated.
+the rest are split by pivots inside a task. A caller that needs components alone does not ask for
+every link: then a region whose members are already connected is closed, and its pairs are never
+enumerated.
 
 Defined cases: null text counts as empty; a text without words has no shingles and is its own
 component; shorter texts are one shingle; equal sets are linked; repeated rows give equal rows; a
@@ -208,10 +209,10 @@ def sets_of(docs: DataFrame, n: int) -> DataFrame:
 
 
 class Region:
-    """Joins the sets of one region; `links` spans their connected components."""
+    """Joins the sets of one region; `links` spans their connected components, `pairs` are all links if `every`."""
 
-    def __init__(self, keys: list[int], items: list[bytes], sides: list[int], num: int, den: int):
-        self.keys, self.num, self.den, self.eps = keys, num, den, 1 - num / den
+    def __init__(self, keys: list[int], items: list[bytes], sides: list[int], num: int, den: int, every: bool = False):
+        self.keys, self.num, self.den, self.eps, self.every = keys, num, den, 1 - num / den, every
         sets = [np.frombuffer(x, U64) for x in items]
         self.size = np.array([len(s) for s in sets], np.int64)
         self.side = np.array(sides)
@@ -220,6 +221,7 @@ class Region:
         self.mark = np.zeros(int(ids.max()) + 1, np.int64)
         self.root = np.arange(len(keys))
         self.links: list[tuple[int, int]] = []
+        self.codes: list[np.ndarray] = []
         self.join(np.arange(len(keys)))
 
     def shared(self, p: int, others: np.ndarray) -> np.ndarray:
@@ -232,10 +234,20 @@ class Region:
         """Distances from p; each other set within the threshold is linked to p."""
         inter = self.shared(p, others)
         union = self.size[p] + self.size[others] - inter
-        for i in others[(self.den * inter >= self.num * union) & (others != p) & self.across(p, others)]:
-            self.unite(p, int(i))
+        linked = others[(self.den * inter >= self.num * union) & (others != p) & self.across(p, others)]
+        if self.every:
+            self.codes.append(np.minimum(p, linked) * len(self.keys) + np.maximum(p, linked))
+        else:
+            for i in linked:
+                self.unite(p, int(i))
         return 1 - inter / union
 
+    def pairs(self) -> pd.DataFrame:
+        """Every link, once."""
+        codes = np.unique(np.concatenate([np.zeros(0, np.int64), *self.codes]))
+        keys = np.array(self.keys, np.int64)
+        return pd.DataFrame({"a": keys[codes // len(keys)], "b": keys[codes % len(keys)]})
+
     def across(self, p: int, others: np.ndarray) -> np.ndarray:
         """Sides 1 and 2 only meet each other; side 0 meets all."""
         return (self.side[p] == 0) | (self.side[others] != self.side[p])
@@ -247,7 +259,7 @@ class Region:
             self.root[self.root == max(ra, rb)] = min(ra, rb)
 
     def closed(self, members: np.ndarray) -> bool:
-        return len(members) < 2 or (self.root[members] == self.root[members[0]]).all()
+        return len(members) < 2 or (not self.every and (self.root[members] == self.root[members[0]]).all())
 
     def join(self, members: np.ndarray) -> None:
         if self.closed(members):
@@ -270,7 +282,7 @@ class Region:
         for at in range(len(members) - 1):
             p = int(members[at])
             rest = members[at + 1 :]
-            open_ = (self.root[rest] != self.root[p]) & self.across(p, rest)
+            open_ = (self.every | (self.root[rest] != self.root[p])) & self.across(p, rest)
             open_ &= (self.den * self.size[rest] >= self.num * self.size[p]) & (self.den * self.size[p] >= self.num * self.size[rest])
             if d is not None:
                 open_ &= (np.abs(d[:, at + 1 :] - d[:, at : at + 1]) <= self.eps + 1e-9).all(axis=0)
@@ -278,15 +290,15 @@ class Region:
                 self.distances(p, rest[open_])
 
 
-def join_regions(tasks: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) of rows (region, side, key, items). Small regions share a task; sorting keeps each together."""
+def join_regions(tasks: DataFrame, num: int, den: int, every: bool = False) -> DataFrame:
+    """Links (a, b) of rows (region, side, key, items), all of them if `every`. Small regions share a task; sorting keeps each together."""
     names = ["region", "side", "key", "items"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in whole_regions(frames):
             if len(g) > 1:
-                found = Region(g["key"].tolist(), g["items"].tolist(), g["side"].tolist(), num, den).links
-                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                found = Region(g["key"].tolist(), g["items"].tolist(), g["side"].tolist(), num, den, every)
+                yield found.pairs() if every else pd.DataFrame(found.links, columns=["a", "b"], dtype="int64")
 
     return tasks.select(*names).repartition("region").sortWithinPartitions("region").mapInPandas(run, "a long, b long")
 
@@ -317,9 +329,11 @@ def pivot_distances(members: DataFrame, sets: DataFrame, rounds: int, num: int,
     return rows.mapInArrow(run, "region long, key long, pivot long, d double, linked boolean")
 
 
-def split_regions(large: DataFrame, sets: DataFrame, rounds: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def split_regions(large: DataFrame, sets: DataFrame, rounds: int, num: int, den: int, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(links to pivots, members of the new regions with the share of the old region they hold).
 
+    If `every` link counts, a new region keeps all documents of its window but the pivot. Otherwise:
+
     A new region keeps the documents beyond eps of its pivot, and of those within eps (connected by
     the pivot) only the ones that a document beyond could link with.
     """
@@ -329,7 +343,10 @@ def split_regions(large: DataFrame, sets: DataFrame, rounds: int, num: int, den:
     nearest = far.groupBy("region", "key").agg(F.min("d").alias("nearest"))
     inside = far.join(nearest, ["region", "key"]).where(F.col("d") <= F.col("nearest") + 2 * eps + 1e-9)
     edge = inside.groupBy("region", "pivot").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("first"))
-    kept = inside.join(edge.where("first is not null"), ["region", "pivot"]).where((F.col("key") != F.col("pivot")) & (~F.col("linked") | (F.col("d") >= F.col("first") - eps - 1e-9)))
+    if every:
+        kept = inside.where("key <> pivot")
+    else:
+        kept = inside.join(edge.where("first is not null"), ["region", "pivot"]).where((F.col("key") != F.col("pivot")) & (~F.col("linked") | (F.col("d") >= F.col("first") - eps - 1e-9)))
     old = large.groupBy("region").agg(F.count(F.lit(1)).alias("was"))
     new = kept.join(old, "region").select(F.xxhash64("region", "pivot", F.lit(rounds)).alias("region"), "key", F.col("linked").alias("inner"), "was")
     return links, new
@@ -527,8 +544,15 @@ def star_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> tup
     return links, regions
 
 
-def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links that span the components of all regions."""
+def blocks(regions: DataFrame) -> DataFrame:
+    """Regions that agree in the member of smallest hash become one, so near copies that share many
+    regions move once. All members of a block share a region with that member, so blocks do not chain."""
+    names = regions.groupBy("region").agg(F.min(F.xxhash64("key", F.lit(7))).alias("block"))
+    return one_of_equals(regions.join(names, "region").select(F.col("block").alias("region"), "key").distinct())
+
+
+def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int, every: bool = False) -> DataFrame:
+    """Links that span the components of all regions, or every link, perhaps more than once."""
     found: list[DataFrame] = []
     sizes_of = sets.select("key", "n")
     rows = regions.withColumn("inner", F.lit(False)).withColumn("was", F.lit(None).cast("long"))
@@ -549,20 +573,32 @@ def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         if not n_big:
             break
         large = rows.join(sizes.where(big & ~stuck).select("region"), "region", "left_semi").select("region", "key")
-        links, new = split_regions(large, sets, rounds, num, den)
+        links, new = split_regions(large, sets, rounds, num, den, every)
         found.append(links)
         rows = materialize(new.groupBy("region", "key").agg(F.min("inner").alias("inner"), F.max("was").alias("was")), "split")
-    every = regions.where(F.lit(False)).select("region", F.lit(0).alias("side"), "key")
+    whole = regions.where(F.lit(False)).select("region", F.lit(0).alias("side"), "key")
     for t in tasks:
-        every = every.unionByName(t)
-    links = join_regions(every.join(sets.select("key", "items"), "key"), num, den)
+        whole = whole.unionByName(t)
+    links = join_regions(whole.join(sets.select("key", "items"), "key"), num, den, every)
     for f in found:
         links = links.unionByName(f)
     return links
 
 
-def ngram_jaccard_join(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id. Two texts link when den * shared >= num * union."""
+def link_counts(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Per key with links (a, b), the rows of the keys it links with: key, n_near. A pair found twice counts once."""
+    pairs = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    sizes = groups.select(F.col("key").alias("b"), "size_")
+    return both.join(sizes, "b").groupBy(F.col("a").alias("key")).agg(F.sum("size_").alias("n_near"))
+
+
+def ngram_jaccard_join(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, every: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id. Two texts link when den * shared >= num * union.
+
+    With `every` no link is left out, and n_links is the number of other rows that the row links with,
+    its equals among them. Without, links are only found as far as components need them.
+    """
     rows = materialize(signed_rows(docs, words, num, den), "signed")
     regions = candidate_regions(rows)
     screened = materialize(screen_regions(regions, rows, num, den), "screened")
@@ -574,14 +610,20 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 3, num: int = 90, den: int
     texts = id_and_text(docs).join(broadcast_if_small(reps.select("rep_id"), n_keys), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
     sets = materialize(sets_of(texts, words).join(broadcast_if_small(keys, n_keys), "key", "left_semi").dropDuplicates(["key"]), "sets")
     links = materialize(star_links(pairs, sets, num, den), "pair-links")
-    starred, left = star_regions(dense, sets, num, den)
-    links = links.unionByName(link_regions(left, sets, num, den))
+    starred, left = (None, blocks(dense)) if every else star_regions(dense, sets, num, den)
+    links = links.unionByName(link_regions(left, sets, num, den, every))
+    if every:
+        links = materialize(links, "links")
     roots = materialize(components(links if starred is None else links.unionByName(starred)), "roots")
     groups = rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("size_"), F.min("doc_id").alias("low"))
     rooted = groups.join(broadcast_if_small(roots, roots.count()).withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = materialize(rooted, "rooted")
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n_keys")).where("n_keys > 1").select("root", "component_id")
     named = rooted.join(broadcast_if_small(lows, n_keys), "root", "left").select("key", "size_", F.coalesce("component_id", "low").alias("component_id"))
+    if every:
+        near = materialize(link_counts(links, groups), "near")
+        named = named.join(broadcast_if_small(near, near.count()), "key", "left").select("key", "size_", "component_id", (F.col("size_") - 1 + F.coalesce("n_near", F.lit(0))).alias("n_links"))
     narrow = rows.select("doc_id", "n_shingles", "key")
     joined = join_groups(narrow, named, "key", "size_", rows.count())
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    counts = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if every else []
+    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *counts)

@@ -43,7 +43,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.ngram_jaccard_join(_table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+    return jaccard.ngram_jaccard_join(_table(spark, sf_dir, "documents"), words=3, num=90, den=100, every=True)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,28 @@ def test_jaccard_join(spark, monkeypatch, n, num, den, limits):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, n, num, den)
 
 
+def brute_links(rows, n, num, den):
+    """Per row, the number of other rows whose sets are within the threshold."""
+
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+    sets = [shingles(t) for _, t in rows]
+    return sorted(((i, sum(b != a and bool(x) and den * len(x & y) >= num * len(x | y) for b, y in enumerate(sets))) for a, ((i, _), x) in enumerate(zip(rows, sets, strict=True))), key=str)
+
+
+@pytest.mark.parametrize("limits", [{}, {"DENSE": 0}, {"DENSE": 0, "SPLIT": 4}, {"MEMBERS": 3}, {"MEMBERS": 20, "DENSE": 0, "PIVOTS": 3}])
+def test_jaccard_join_keeps_every_link(spark, monkeypatch, limits):
+    """The limits send regions to blocks, to pivots in a task and by Spark jobs, and to tiles."""
+    for name, value in limits.items():
+        monkeypatch.setattr(jaccard, name, value)
+    rows = families(5) + [(1000 + (i or 0) if i is not None else None, t) for i, t in EDGE]
+    got = jaccard.ngram_jaccard_join(docs(spark, rows), 3, 90, 100, every=True).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == brute_links(rows, 3, 90, 100)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 90, 100)
+
+
 def test_jaccard_join_empty(spark):
     assert jaccard.ngram_jaccard_join(docs(spark, [])).collect() == []
 
