@@ -42,6 +42,15 @@ def test_elementary_flows_never_cross_properties(spark, tables):
     assert (got["amount_ref"], got["unit_ref"]) == (849.0, "kg")
 
 
+def test_unknown_units_gather_only_examples(spark):
+    """Of many flows only the smallest three are gathered; a null flow or unit counts."""
+    rows = [("bushel", f"f{i:05d}") for i in range(5000)] * 2 + [("bushel", None), (None, "x"), (None, None)]
+    found = units.unknown_units(spark.createDataFrame([(u, f, False) for u, f in rows], "unit string, flow_id string, known_unit boolean"))
+    assert {tuple(r) for r in found.collect()} == {("bushel", 10001, 5001, "f00000,f00001,f00002", 4998), (None, 2, 2, "x", 0)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set(flow_id" not in plan and "row_number" in plan
+
+
 def test_unknown_units_say_where(spark, tables):
     rows = spark.createDataFrame([(1.0, "furlong", "x", f) for f in "abcd"] + [(1.0, None, "x", "a")], EX)
     got = {r["unit"]: r for r in units.unknown_units(units.normalize(rows, *tables)).collect()}
