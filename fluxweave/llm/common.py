@@ -55,7 +55,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size_col: str, total: int, shares: int = 1000) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size_col: str, total: int, shares: int = 1000) -> DataFrame:
     """Left-join rows to one-row-per-key groups without sending a hot key to one task.
 
     Groups that hold more than total / shares rows number at most `shares`, which bounds the
@@ -63,7 +63,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size_col: str, tot
     """
     limit = max(1, total // shares)
     hot, cold = groups.where(F.col(size_col) > limit), groups.where(F.col(size_col) <= limit)
-    extra = [c for c in groups.columns if c != key]
+    extra = [c for c in groups.columns if c not in ([key] if isinstance(key, str) else key)]
     marked = rows.join(F.broadcast(hot.withColumn("is_hot_", F.lit(True))), key, "left")
     done = marked.where("is_hot_").drop("is_hot_")
     rest = marked.where("is_hot_ is null").drop("is_hot_", *extra).join(cold, key, "left")

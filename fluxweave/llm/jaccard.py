@@ -1,23 +1,26 @@
 """Exact Jaccard join of word n-gram sets as a metric-space join.
 
-Jaccard distance is a metric: with pivots p and q, sets x (nearest to p) and y (nearest to q) within
-eps of each other satisfy d(y, p) <= d(y, q) + 2 eps. So documents go to the region of their nearest
-pivot, boundary documents are copied to every region inside that window, and regions are joined on
-their own, recursively, without losing a link.
-
-Unrelated documents all lie at distance 1 from any pivot, so pivots alone cannot part a whole corpus.
-The first regions therefore come from an exact pigeonhole argument: two sets that differ in at most D
-elements agree entirely on one of D + 1 classes of elements. Sets with an equal class share a region;
-a set that shares none has no link. Of a small region's pairs, those that agree in too few classes are
-ruled out and the others are compared. Dense regions are joined by pivots: those too large for one task are split by pivots as Spark jobs;
-the rest are split by pivots inside a task. A caller that needs components alone does not ask for
-every link: then a region whose members are already connected is closed, and its pairs are never
-enumerated.
+Jaccard distance is a metric. A region's pivots each meet all of its sets, are linked with those
+within the threshold eps, and leave. The sets left go to the cell of their nearest pivot, which is their
+home. If x is at home in the cell of p and y in the cell of q, and they link, then
+d(y, p) <= d(y, q) + 2 eps; so boundary sets are also guests of the cells inside that window. Cells
+are regions again, joined recursively, until no home is left. Of two cells the earlier takes the other's
+guests, and guests of a cell do not meet, so every pair is met once at most and no pair has to be stored
+to count it once.
+
+Unrelated texts all lie at distance 1 from any pivot, so pivots alone cannot part a whole corpus. The
+outermost regions therefore come from an exact pigeonhole argument: two sets that differ in at most D
+elements agree entirely on one of D + 1 classes of elements. Sets that agree on a class, and on as many
+more as a link needs, are a family with the sets connected through them; links never leave it. Each family is joined with pivots: by one task
+where it fits, else its cells are formed by Spark jobs until they fit.
+
+A caller that needs components alone does not ask for every link: then sets whose components are
+known to be one do not meet any more.
 
 Defined cases: null text counts as empty; a text without words has no shingles and is its own
 component; shorter texts are one shingle; equal sets are linked; repeated rows give equal rows; a
 null doc_id takes its component's smallest id; an empty table gives an empty result; other columns
-are ignored. Shingles are compared as 64-bit hashes.
+are ignored. Shingles are compared as 64-bit hashes; a set is named by 128 bits.
 """
 
 from __future__ import annotations
@@ -34,21 +37,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, broadcast_if_small, id_and_text, join_groups, materialize
-from .graph import components, partial_roots
+from .graph import components
 
 U64 = np.uint64
 #: Members and shingles of the largest region that one task joins; pivots of a region; rounds of splitting by Spark jobs.
-MEMBERS, SHINGLES, PIVOTS, ROUNDS = 2_000, 2_000_000, 8, 6
-#: Rounds in which each region is only compared with one pivot; they stop once its members hold few enough shingles.
-STARS, FEW = 3, 2
-#: Region size from which a task splits by pivots.
-SPLIT = 48
+MEMBERS, SHINGLES, PIVOTS, ROUNDS = 2_000, 2_000_000, 16, 8
+#: Cells of the largest 0/1 matrix of sets and shared shingles that a task lays out; beyond it shingles are marked one set at a time.
+MATRIX = 16_000_000
 #: Hashes of words that a worker keeps.
 WORDS = 500_000
 #: Signatures are below this; how many of them one task sorts, and how many it reports at once.
 SIGN, SLICE, REPORT = 1 << 48, 4_000_000, 1_000_000
-#: Pairs that a region may report for each member; a region with more is joined set by set.
-DENSE = 20
+#: A set at home meets all of its region; a guest meets those at home; one of a tile meets its guests alone.
+GUEST, HOME, TILE = 0, 1, 2
+#: Added to distances that are compared, for their rounding.
+TOUCH = 1e-9
 
 
 # --- sets ----------------------------------------------------------------------------------------
@@ -137,7 +140,6 @@ class Classes:
 
     def needed(self, k: int) -> int:
         """Classes that agree at least, of two linked sets the smaller of which is in level k."""
-        self._grow(self.starts[1])
         while len(self.shape) <= k:
             self._grow(self.starts[-1])
         return self.shape[k][1] + 1
@@ -150,7 +152,7 @@ class Classes:
         if not len(s):
             return np.zeros(0, U64), 0, b"", b""
         level = self.level(len(s))
-        below, own = (self._signed(s, k) if k > 0 else (np.zeros(0, U64), b"") for k in (level - 1, level))
+        below, own = (self._signed(s, k) if k >= 0 else (np.zeros(0, U64), b"") for k in (level - 1, level))
         return np.concatenate([below[0], own[0]]), level, below[1], own[1]
 
     def _signed(self, s: np.ndarray, k: int) -> tuple[np.ndarray, bytes]:
@@ -172,7 +174,7 @@ def classes(num: int, den: int) -> Classes:
 
 
 def signed_rows(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null for an empty one), its signatures, level and class bytes."""
+    """doc_id, n_shingles, hi and lo (128 bits that name the set; null for an empty one), its signatures, level and class bytes."""
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,190 +182,235 @@ def signed_rows(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         for b in batches:
             sets = [shingles(t, n, hashes) for t in b.column(1).to_pylist()]
             signed = [signer.signed(s) for s in sets]
-            keys = [_key(s) for s in sets]
-            cols = [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array([x[0].view(np.int64) for x in signed], pa.list_(pa.int64()))]
+            cols = [b.column(0), pa.array([len(s) for s in sets], pa.int64()), *_names(sets), pa.array([x[0].view(np.int64) for x in signed], pa.list_(pa.int64()))]
             cols += [pa.array([x[1] for x in signed], pa.int32()), pa.array([x[2] for x in signed], pa.binary()), pa.array([x[3] for x in signed], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "key", "signs", "level", "below", "own"])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "hi", "lo", "signs", "level", "below", "own"])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, key long, signs array<long>, level int, below binary, own binary")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, signs array<long>, level int, below binary, own binary")
 
 
-def _key(s: np.ndarray) -> int | None:
-    """64 bits that name a set."""
-    return int(np.frombuffer(xxhash.xxh3_64_digest(s.tobytes()), np.int64)[0]) if len(s) else None
+def _names(sets: list[np.ndarray]) -> list[pa.Array]:
+    """hi and lo of each set."""
+    raw = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64) if len(s) else (None, None) for s in sets]
+    return [pa.array([r[i] for r in raw], pa.int64()) for i in (0, 1)]
 
 
 def sets_of(docs: DataFrame, n: int) -> DataFrame:
-    """key, n and items (sorted 64-bit hashes as bytes) of each text that has shingles."""
+    """hi, lo, n and items (sorted 64-bit hashes as bytes) of each text that has shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for b in batches:
             sets = [s for t in b.column(0).to_pylist() if len(s := shingles(t, n, hashes))]
-            yield pa.RecordBatch.from_arrays([pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "n", "items"])
+            yield pa.RecordBatch.from_arrays([*_names(sets), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["hi", "lo", "n", "items"])
 
-    return docs.select("text").mapInArrow(run, "key long, n long, items binary")
+    return docs.select("text").mapInArrow(run, "hi long, lo long, n long, items binary")
 
 
 # --- one region in one task ----------------------------------------------------------------------------
 
 
 class Region:
-    """Joins the sets of one region; `links` spans their connected components, `pairs` are all links if `every`."""
+    """Joins the sets of one region. `counts` holds, per set, the weight of the sets it links with (all of them if
+    `every`); `root` the smallest index of its component; `found` the links met at each depth of the recursion."""
 
-    def __init__(self, keys: list[int], items: list[bytes], sides: list[int], num: int, den: int, every: bool = False):
-        self.keys, self.num, self.den, self.eps, self.every = keys, num, den, 1 - num / den, every
+    def __init__(self, keys: list[int], items: list[bytes], roles: list[int], weights: list[int], num: int, den: int, every: bool = False):
+        self.keys, self.num, self.den, self.eps, self.every = np.array(keys, np.int64), num, den, 1 - num / den, every
         sets = [np.frombuffer(x, U64) for x in items]
-        self.size = np.array([len(s) for s in sets], np.int64)
-        self.side = np.array(sides)
-        _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-        self.parts = np.split(ids, np.cumsum(self.size)[:-1])
-        self.mark = np.zeros(int(ids.max()) + 1, np.int64)
-        self.root = np.arange(len(keys))
-        self.links: list[tuple[int, int]] = []
-        self.codes: list[np.ndarray] = []
-        self.join(np.arange(len(keys)))
-
-    def shared(self, p: int, others: np.ndarray) -> np.ndarray:
-        self.mark[self.parts[p]] = 1
-        got = np.add.reduceat(self.mark[np.concatenate([self.parts[i] for i in others])], np.concatenate([[0], np.cumsum(self.size[others])[:-1]]))
-        self.mark[self.parts[p]] = 0
-        return got
-
-    def distances(self, p: int, others: np.ndarray) -> np.ndarray:
-        """Distances from p; each other set within the threshold is linked to p."""
-        inter = self.shared(p, others)
-        union = self.size[p] + self.size[others] - inter
-        linked = others[(self.den * inter >= self.num * union) & (others != p) & self.across(p, others)]
-        if self.every:
-            self.codes.append(np.minimum(p, linked) * len(self.keys) + np.maximum(p, linked))
+        self.size, self.weight = np.array([len(s) for s in sets], np.int64), np.array(weights, np.int64)
+        self._lay_out(sets)
+        self.root, self.counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
+        self.found: dict[int, int] = {}
+        roles = np.array(roles)
+        guests = np.flatnonzero(roles == GUEST)
+        open_ = [(np.flatnonzero(roles == HOME), guests, True, 0), (np.flatnonzero(roles == TILE), guests, False, 0)]
+        while open_:
+            for homes, visitors, inner, depth in self.unsettled(*open_.pop()):
+                open_ += self.meet(homes, visitors, inner, depth)
+
+    def _lay_out(self, sets: list[np.ndarray]) -> None:
+        """Shingles of two sets at least, as rows of a 0/1 matrix or as numbered lists."""
+        _, ids, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = times[ids] > 1
+        number = np.cumsum(times > 1) - 1
+        owner = np.repeat(np.arange(len(sets)), self.size)[shared]
+        ids = number[ids[shared]]
+        self.width = int((times > 1).sum())
+        self.matrix = None
+        if len(sets) * self.width <= MATRIX:
+            self.matrix = np.zeros((len(sets), self.width), np.float32)
+            self.matrix[owner, ids] = 1
         else:
-            for i in linked:
-                self.unite(p, int(i))
+            self.parts = np.split(ids, np.cumsum(np.bincount(owner, minlength=len(sets)))[:-1])
+
+    def shared(self, pivots: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Shingles that each pivot shares with each of the others."""
+        if self.matrix is not None:
+            return np.rint(self.matrix[pivots] @ self.matrix[others].T).astype(np.int64)
+        ids = np.concatenate([self.parts[i] for i in others])
+        ends = np.cumsum([len(self.parts[i]) for i in others])
+        mark, out = np.zeros(self.width, np.int64), np.empty((len(pivots), len(others)), np.int64)
+        for row, p in enumerate(pivots):
+            mark[self.parts[p]] = 1
+            out[row] = np.diff(np.concatenate([[0], np.cumsum(mark[ids])])[np.concatenate([[0], ends])])
+            mark[self.parts[p]] = 0
+        return out
+
+    def unsettled(self, homes: np.ndarray, guests: np.ndarray, inner: bool, depth: int) -> list[tuple]:
+        """The parts of a region whose sets still have to meet: all, or those of different components."""
+        if not len(homes) or len(homes) * inner + len(guests) < 1 + inner:
+            return []
+        if self.every:
+            return [(homes, guests, inner, depth)]
+        values, times = np.unique(self.root[homes], return_counts=True)
+        most = values[times.argmax()]
+        main, apart = homes[self.root[homes] == most], homes[self.root[homes] != most]
+        strangers = guests[self.root[guests] != most]
+        if not len(apart):
+            return [(main, strangers, False, depth)] if len(strangers) else []
+        meeting = (apart, np.concatenate([main, guests]) if inner else guests, inner, depth)
+        return [meeting, (main, strangers, False, depth)] if len(strangers) else [meeting]
+
+    def meet(self, homes: np.ndarray, guests: np.ndarray, inner: bool, depth: int) -> list[tuple]:
+        """Pivots of a region meet its sets and leave; the cells of the others."""
+        pivots = homes[np.unique(np.linspace(0, len(homes) - 1, min(PIVOTS, len(homes))).astype(int))]
+        left = np.setdiff1d(homes, pivots, assume_unique=True)
+        others = np.concatenate([left, guests])
+        d = self.link(pivots, np.concatenate([left, guests]) if inner else guests, depth)
+        if inner and len(pivots) > 1:
+            self.link(pivots, pivots, depth)
+        if not len(left):
+            return []
+        if not inner:
+            d = np.concatenate([self.distances(pivots, left), d], axis=1)
+        home = d[:, : len(left)].argmin(axis=0)
+        window = d <= d.min(axis=0) + 2 * self.eps + TOUCH
+        cells = []
+        for j in np.unique(home):
+            visits = window[j].copy()
+            visits[: len(left)] &= (home > j) & inner
+            cells.append((left[home == j], others[visits], inner, depth + 1))
+        return cells
+
+    def distances(self, pivots: np.ndarray, others: np.ndarray) -> np.ndarray:
+        inter = self.shared(pivots, others)
+        return 1 - inter / (self.size[pivots][:, None] + self.size[others] - inter)
+
+    def link(self, pivots: np.ndarray, others: np.ndarray, depth: int) -> np.ndarray:
+        """Distances of pivots and others; those within the threshold are linked. Given twice, pivots meet each other once."""
+        if not len(others):
+            return np.zeros((len(pivots), 0))
+        inter = self.shared(pivots, others)
+        union = self.size[pivots][:, None] + self.size[others] - inter
+        linked = self.den * inter >= self.num * union
+        if others is pivots:
+            linked = np.triu(linked, 1)
+        self.found[depth] = self.found.get(depth, 0) + int(linked.sum())
+        self.counts[pivots] += linked @ self.weight[others]
+        self.counts[others] += self.weight[pivots] @ linked
+        for p, near in zip(pivots, linked, strict=True):
+            if near.any():
+                roots = np.unique(self.root[np.append(others[near], p)])
+                if len(roots) > 1:
+                    self.root[np.isin(self.root, roots)] = roots[0]
         return 1 - inter / union
 
-    def pairs(self) -> pd.DataFrame:
-        """Every link, once."""
-        codes = np.unique(np.concatenate([np.zeros(0, np.int64), *self.codes]))
-        keys = np.array(self.keys, np.int64)
-        return pd.DataFrame({"a": keys[codes // len(keys)], "b": keys[codes % len(keys)]})
-
-    def across(self, p: int, others: np.ndarray) -> np.ndarray:
-        """Sides 1 and 2 only meet each other; side 0 meets all."""
-        return (self.side[p] == 0) | (self.side[others] != self.side[p])
-
-    def unite(self, a: int, b: int) -> None:
-        ra, rb = self.root[a], self.root[b]
-        if ra != rb:
-            self.links.append((self.keys[a], self.keys[b]))
-            self.root[self.root == max(ra, rb)] = min(ra, rb)
-
-    def closed(self, members: np.ndarray) -> bool:
-        return len(members) < 2 or (not self.every and (self.root[members] == self.root[members[0]]).all())
-
-    def join(self, members: np.ndarray) -> None:
-        if self.closed(members):
-            return
-        if len(members) <= SPLIT:
-            return self.sweep(members)
-        pivots = members[np.linspace(0, len(members) - 1, PIVOTS).astype(int)]
-        d = np.stack([self.distances(int(p), members) for p in pivots])
-        nearest = d.min(axis=0)
-        for k in range(len(pivots)):
-            region = members[d[k] <= nearest + 2 * self.eps + 1e-9]
-            if len(region) <= 0.8 * len(members):
-                self.join(region)
-            else:
-                self.sweep(region, d[:, d[k] <= nearest + 2 * self.eps + 1e-9])
-        return None
-
-    def sweep(self, members: np.ndarray, d: np.ndarray | None = None) -> None:
-        """Each set against those that sizes, distances to pivots and components leave open."""
-        for at in range(len(members) - 1):
-            p = int(members[at])
-            rest = members[at + 1 :]
-            open_ = (self.every | (self.root[rest] != self.root[p])) & self.across(p, rest)
-            open_ &= (self.den * self.size[rest] >= self.num * self.size[p]) & (self.den * self.size[p] >= self.num * self.size[rest])
-            if d is not None:
-                open_ &= (np.abs(d[:, at + 1 :] - d[:, at : at + 1]) <= self.eps + 1e-9).all(axis=0)
-            if open_.any():
-                self.distances(p, rest[open_])
+    def rows(self) -> pd.DataFrame:
+        """Links (a, b) that span the components, and counts (a, n) if `every`."""
+        apart, linked = np.flatnonzero(self.root != np.arange(len(self.root))), np.flatnonzero(self.counts * self.every)
+        spans = pd.DataFrame({"a": self.keys[apart], "b": pd.array(self.keys[self.root[apart]], "Int64"), "n": pd.array([0] * len(apart), "Int64")})
+        return pd.concat([spans, pd.DataFrame({"a": self.keys[linked], "b": pd.array([None] * len(linked), "Int64"), "n": pd.array(self.counts[linked], "Int64")})])
+
+
+FOUND = "a long, b long, n long"
 
 
 def join_regions(tasks: DataFrame, num: int, den: int, every: bool = False) -> DataFrame:
-    """Links (a, b) of rows (region, side, key, items), all of them if `every`. Small regions share a task; sorting keeps each together."""
-    names = ["region", "side", "key", "items"]
+    """Links (a, b) and counts (a, n) of rows (region, role, key, weight, items), each region joined by one task. Sorting keeps each together."""
+    names = ["region", "role", "key", "weight", "items"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in whole_regions(frames):
             if len(g) > 1:
-                found = Region(g["key"].tolist(), g["items"].tolist(), g["side"].tolist(), num, den, every)
-                yield found.pairs() if every else pd.DataFrame(found.links, columns=["a", "b"], dtype="int64")
+                g = g.sort_values("key")
+                yield Region(*(g[c].tolist() for c in ("key", "items", "role", "weight")), num, den, every).rows()
+
+    return tasks.select(*names).repartition("region").sortWithinPartitions("region").mapInPandas(run, FOUND)
 
-    return tasks.select(*names).repartition("region").sortWithinPartitions("region").mapInPandas(run, "a long, b long")
 
+# --- cells of large regions by Spark jobs -----------------------------------------------------------------
 
-# --- splitting large regions by Spark jobs ---------------------------------------------------------------
 
+def pivot_distances(large: DataFrame, sizes: DataFrame, sets: DataFrame, rounds: int, num: int, den: int) -> DataFrame:
+    """Per set of a region and pivot: pivot, d, linked (the pair is one to link), and the set's role in the pivot's cell, if any.
 
-def pivot_distances(members: DataFrame, sets: DataFrame, rounds: int, num: int, den: int) -> DataFrame:
-    """Per member (region, key) and pivot of its region: pivot, d and linked."""
+    A region's sets are dealt in shares and each share gets the pivots' sets, so no task holds a region.
+    """
+    eps = 1 - num / den
     picks = [F.min_by("key", F.xxhash64("key", F.lit(rounds * PIVOTS + j))).alias(f"p{j}") for j in range(PIVOTS)]
-    chosen = members.groupBy("region").agg(*picks).select("region", F.explode(F.array_distinct(F.array(*(f"p{j}" for j in range(PIVOTS))))).alias("pivot"))
-    with_sets = materialize(chosen.join(sets.select(F.col("key").alias("pivot"), F.col("items").alias("pivot_items")), "pivot"), "pivots")
-    size = with_sets.agg(F.sum(F.octet_length("pivot_items"))).first()[0] or 0
-    pivots = F.broadcast(with_sets) if size <= 32 << 20 else with_sets
+    chosen = large.where(F.col("role") == HOME).groupBy("region").agg(*picks).select("region", F.explode(F.array_distinct(F.array(*(f"p{j}" for j in range(PIVOTS))))).alias("key"))
+    pivots = chosen.join(sets, "key").groupBy("region").agg(F.sort_array(F.collect_list(F.struct("key", "items"))).alias("pivots"))
+    shares = sizes.select("region", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("members") / MEMBERS, F.col("total") / SHINGLES))).cast("int").alias("shares"))
+    dealt = pivots.join(shares, "region").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).select("region", "share", "pivots")
+    rows = large.join(broadcast_if_small(shares, shares.count()), "region").withColumn("share", F.pmod(F.xxhash64("key", F.lit(3)), "shares").cast("int"))
+    rows = rows.join(sets.select("key", "items"), "key").join(dealt, ["region", "share"]).select("region", "key", "role", "items", "pivots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            d, near = [], []
-            for x, p in zip(b.column("items").to_pylist(), b.column("pivot_items").to_pylist(), strict=True):
-                x, p = np.frombuffer(x, U64), np.frombuffer(p, U64)
-                inter = len(np.intersect1d(x, p, assume_unique=True))
-                union = len(x) + len(p) - inter
-                d.append(1 - inter / union)
-                near.append(den * inter >= num * union)
-            yield pa.RecordBatch.from_arrays([b.column("region"), b.column("key"), b.column("pivot"), pa.array(d, pa.float64()), pa.array(near, pa.bool_())], ["region", "key", "pivot", "d", "linked"])
-
-    rows = members.join(sets.select("key", "items"), "key").join(pivots, "region").select("region", "key", "items", "pivot", "pivot_items")
-    return rows.mapInArrow(run, "region long, key long, pivot long, d double, linked boolean")
+            out: list[tuple] = []
+            for region, key, role, items, near in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                x, names = np.frombuffer(items, U64), [p["key"] for p in near]
+                centres = [np.frombuffer(p["items"], U64) for p in near]
+                inter = np.array([len(np.intersect1d(x, c, assume_unique=True)) for c in centres])
+                union = len(x) + np.array([len(c) for c in centres]) - inter
+                d, linked = 1 - inter / union, den * inter >= num * union
+                if key in names:  # pivots meet each other once, and leave
+                    out += [(region, key, names[j], d[j], True, None) for j in range(names.index(key)) if linked[j]]
+                    continue
+                home = int(d.argmin()) if role == HOME else -1
+                inside = d <= d.min() + 2 * eps + TOUCH
+                inside &= np.arange(len(d)) <= home if role == HOME else True
+                out += [(region, key, names[j], d[j], bool(linked[j]), (HOME if j == home else GUEST) if inside[j] else None) for j in np.flatnonzero(inside | linked)]
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["region", "key", "pivot", "d", "linked", "role"])
 
+    return rows.mapInArrow(run, "region long, key long, pivot long, d double, linked boolean, role int")
 
-def split_regions(large: DataFrame, sets: DataFrame, rounds: int, num: int, den: int, every: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(links to pivots, members of the new regions with the share of the old region they hold).
 
-    If `every` link counts, a new region keeps all documents of its window but the pivot. Otherwise:
+def split_regions(large: DataFrame, sizes: DataFrame, sets: DataFrame, rounds: int, num: int, den: int, every: bool) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b) of pivots, rows (region, key, role, was) of the cells, with the size of the region they come from).
 
-    A new region keeps the documents beyond eps of its pivot, and of those within eps (connected by
-    the pivot) only the ones that a document beyond could link with.
+    Unless `every` link counts, sets within eps of a cell's pivot are known to be connected: of them only
+    those stay that a set beyond eps could link with.
     """
     eps = 1 - num / den
-    far = materialize(pivot_distances(large, sets, rounds, num, den), "distances")
-    links = far.where("linked and key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-    nearest = far.groupBy("region", "key").agg(F.min("d").alias("nearest"))
-    inside = far.join(nearest, ["region", "key"]).where(F.col("d") <= F.col("nearest") + 2 * eps + 1e-9)
-    edge = inside.groupBy("region", "pivot").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("first"))
-    if every:
-        kept = inside.where("key <> pivot")
-    else:
-        kept = inside.join(edge.where("first is not null"), ["region", "pivot"]).where((F.col("key") != F.col("pivot")) & (~F.col("linked") | (F.col("d") >= F.col("first") - eps - 1e-9)))
-    old = large.groupBy("region").agg(F.count(F.lit(1)).alias("was"))
-    new = kept.join(old, "region").select(F.xxhash64("region", "pivot", F.lit(rounds)).alias("region"), "key", F.col("linked").alias("inner"), "was")
-    return links, new
+    far = materialize(pivot_distances(large, sizes, sets, rounds, num, den), "distances")
+    links = far.where("linked").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    inside = far.where("role is not null")
+    if not every:
+        edge = materialize(inside.where("not linked").groupBy("region", "pivot").agg(F.min("d").alias("first")), "edge")
+        inside = inside.join(broadcast_if_small(edge, edge.count()), ["region", "pivot"]).where(~F.col("linked") | (F.col("d") >= F.col("first") - eps - TOUCH))
+    was = sizes.select("region", F.col("members").alias("was"))
+    rows = inside.join(broadcast_if_small(was, was.count()), "region").select(F.xxhash64("region", "pivot", F.lit(rounds)).alias("region"), "key", "role", "was")
+    return links, rows
 
 
 def tiles(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Tasks (region, side, key) for regions that pivots do not shrink: all pairs of tiles of MEMBERS / 2.
+    """Rows (region, key, role) of tiles of MEMBERS / 2 sets, each with each, for regions that pivots do not shrink.
 
-    The exact way out for a region whose documents all lie at like distances from each other.
+    The exact way out for a region whose sets all lie at like distances from each other.
     """
-    dealt = rows.join(sizes, "region").withColumn("n_tiles", F.greatest(F.lit(1), F.ceil(2 * F.greatest(F.col("members") / MEMBERS, F.col("total") / SHINGLES))).cast("int"))
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("key", F.lit(99)), F.col("n_tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)).alias("other")
-    each = dealt.select("region", "key", "inner", "tile", other)
-    low, high = F.least("tile", "other"), F.greatest("tile", "other")
-    side = F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), 1).otherwise(2)
-    return each.select(F.xxhash64("region", low, high).alias("region"), side.alias("side"), "key")
+    dealt = rows.join(sizes, "region").withColumn("n", F.greatest(F.lit(1), F.ceil(2 * F.greatest(F.col("members") / MEMBERS, F.col("total") / SHINGLES))).cast("int"))
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("key", F.lit(99)), F.col("n")).cast("int"))
+    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    home = each.where(F.col("role") == HOME)
+    within = home.where("tile = other").select(F.xxhash64("region", "tile").alias("region"), "key", "role")
+    left = home.where("tile < other").select(F.xxhash64("region", "tile", "other").alias("region"), "key", F.lit(TILE).alias("role"))
+    right = home.where("tile > other").select(F.xxhash64("region", "other", "tile").alias("region"), "key", F.lit(GUEST).alias("role"))
+    hosts = home.select(F.xxhash64("region", "tile", "other", F.lit(1)).alias("region"), "key", F.lit(TILE).alias("role"))
+    guests = each.where(F.col("role") == GUEST).select(F.xxhash64("region", "other", "tile", F.lit(1)).alias("region"), "key", "role")
+    return within.unionByName(left).unionByName(right).unionByName(hosts).unionByName(guests)
 
 
 # --- the join ------------------------------------------------------------------------------------------------
@@ -410,63 +457,10 @@ def shared_signatures(rows: DataFrame) -> DataFrame:
         value, count = np.unique(np.concatenate(values), return_counts=True)
         return pd.DataFrame({"region": value[count > 1]})
 
-    sent = rows.where("key is not null").select("key", "signs").mapInArrow(run, "slice int, packed binary")
+    sent = rows.where("lo is not null").select("lo", "signs").mapInArrow(run, "slice int, packed binary")
     return sent.groupBy("slice").applyInPandas(repeated, "region long")
 
 
-def candidate_regions(rows: DataFrame) -> DataFrame:
-    """Members (region, key) of the signatures that different sets share, equal regions once."""
-    shared = materialize(shared_signatures(rows), "shared")
-    signed = rows.where("key is not null").select("key", F.explode("signs").alias("region"))
-    members = materialize(signed.join(broadcast_if_small(shared, shared.count()), "region", "left_semi").distinct(), "members")
-    return one_of_equals(members)
-
-
-def screen_regions(regions: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (region, a, b) that could link by sizes and by how many classes agree; b is null for a region that is
-    too large or reports too many pairs, which must be joined set by set.
-
-    The class bytes are a small part of the sets, and agreeing in too few of them rules a link out.
-    """
-    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
-    facts = rows.where("key is not null").groupBy("key").agg(F.min(F.struct("n_shingles", "level", "below", "own")).alias("f"))
-    keys = regions.select("key").distinct()
-    facts = materialize(facts.join(broadcast_if_small(keys, keys.count()), "key", "left_semi").select("key", "f.*"), "facts")
-    small = regions.join(sizes.where(F.col("members") <= MEMBERS).select("region"), "region", "left_semi").join(facts, "key")
-    large = sizes.where(F.col("members") > MEMBERS).select("region", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"))
-
-    def region_pairs(g: pd.DataFrame, signer: Classes) -> list[tuple]:
-        out: list[tuple] = []
-        region, keys = int(g["region"].iat[0]), g["key"].to_numpy()
-        size, level = g["n_shingles"].to_numpy(), g["level"].to_numpy()
-        for k in np.unique(level):
-            at = np.flatnonzero((level == k) | (level == k + 1))
-            if len(at) < 2:
-                continue
-            marks = np.stack([np.frombuffer(g["own"].iat[i] if level[i] == k else g["below"].iat[i], np.uint8) for i in at])
-            need = signer.needed(int(k))
-            for p in range(len(at)):
-                if level[at[p]] != k:
-                    continue
-                open_ = (np.arange(len(at)) > p) | (level[at] == k + 1)
-                open_ &= (den * size[at] >= num * size[at[p]]) & (den * size[at[p]] >= num * size[at])
-                q = np.flatnonzero(open_)
-                q = q[(marks[q] == marks[p]).sum(axis=1) >= need]
-                out += [(region, int(keys[at[p]]), int(keys[at[j]])) for j in q]
-                if len(out) > DENSE * len(g):
-                    return [(region, None, None)]
-        return out
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        signer = classes(num, den)
-        for g in whole_regions(frames):
-            found = region_pairs(g, signer)
-            yield pd.DataFrame({"region": pd.array([x[0] for x in found], "Int64"), "a": pd.array([x[1] for x in found], "Int64"), "b": pd.array([x[2] for x in found], "Int64")})
-
-    fields = small.select("region", "key", "n_shingles", "level", "below", "own")
-    return large.unionByName(fields.repartition("region").sortWithinPartitions("region").mapInPandas(run, "region long, a long, b long"))
-
-
 def whole_regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Regions of a partition sorted by region, each whole."""
     kept = None
@@ -483,147 +477,119 @@ def whole_regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield kept
 
 
-def star_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of pairs (pivot, key), those within the threshold, as links (a, b). A pivot's many keys are dealt in chunks."""
-    chunks = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("n_chunks"))
-    dealt = pairs.join(chunks, "pivot").select("pivot", "key", F.pmod(F.xxhash64("key"), F.col("n_chunks")).cast("int").alias("chunk"), F.lit(1).alias("place"))
-    first = chunks.select("pivot", F.col("pivot").alias("key"), F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), F.lit(0).alias("place"))
-    rows = dealt.unionByName(first).join(sets.select("key", "items"), "key").select("pivot", "chunk", "place", "key", "items")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, center = None, None
-        for b in batches:
-            a, c = [], []
-            for pivot, place, key, items in zip(*(b.column(n).to_pylist() for n in ("pivot", "place", "key", "items")), strict=True):
-                x = np.frombuffer(items, U64)
-                if place == 0:
-                    now, center = pivot, x
-                elif pivot == now and den * min(len(x), len(center)) >= num * max(len(x), len(center)):
-                    at = np.minimum(np.searchsorted(center, x), len(center) - 1)
-                    inter = int((center[at] == x).sum())
-                    if den * inter >= num * (len(x) + len(center) - inter):
-                        a.append(pivot)
-                        c.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
-
-    return rows.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "place").mapInArrow(run, "a long, b long")
-
-
-def open_regions(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """Regions with members of different components, equal ones once."""
-    rooted = regions.join(roots.withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    kept = rooted.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("region")
-    return one_of_equals(regions.join(kept, "region", "left_semi"))
-
-
-def one_of_equals(members: DataFrame) -> DataFrame:
-    """Of regions with the same members, one."""
-    names = members.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
-    once = names.groupBy("c", "x", "y").agg(F.min("region").alias("region"))
-    return materialize(members.join(once.select("region"), "region", "left_semi"), "regions")
-
-
-def star_regions(regions: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame | None, DataFrame]:
-    """(links found, regions still open): each round compares a region's members with one pivot, which then leaves.
-
-    Regions share most of their pairs, and a pair is compared once a round, so this moves far fewer
-    sets than sending every region its own.
+def families(rows: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(names: hi, lo and a number `key` of the sets that share a signature with another; vertex and root of each family)."""
+    shared = materialize(shared_signatures(rows), "shared")
+    signed = rows.where("lo is not null").select("hi", "lo", F.explode("signs").alias("region"))
+    members = materialize(signed.join(shared.hint("shuffle_hash"), "region", "left_semi").distinct(), "members")
+    several = members.groupBy("region").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("region")
+    members = materialize(members.join(several, "region", "left_semi"), "members")
+    names = materialize(members.select("hi", "lo").distinct().withColumn("key", F.monotonically_increasing_id()), "names")
+    n_names = names.count()
+    numbered = materialize(members.join(broadcast_if_small(names, n_names), ["hi", "lo"]).select("region", "key"), "numbered")
+    # Signatures that agree in their smallest set are one block, so copies that share many of them move once.
+    low = numbered.groupBy("region").agg(F.min("key").alias("block"))
+    blocks = materialize(numbered.join(low, "region").select("block", "key").distinct(), "blocks")
+    marks = rows.where("lo is not null").join(broadcast_if_small(names, n_names), ["hi", "lo"]).select("key", "n_shingles", "level", "below", "own").dropDuplicates(["key"])
+    return names, materialize(components(likely_edges(blocks, materialize(marks, "marks"), num, den)), "families")
+
+
+def likely_edges(blocks: DataFrame, marks: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that connect, in each block, the sets that agree in as many classes as a link needs.
+
+    Texts with a passage in common agree in a class or two; without this they would chain to one family.
+    A block too large for one task is connected whole.
     """
-    sizes = sets.select("key", "n")
-    few = FEW * (sets.agg(F.sum("n")).first()[0] or 0)
-    links = None
-    for rounds in range(STARS):
-        held = regions.join(sizes, "key").agg(F.sum("n")).first()[0] or 0
-        if held <= (few if rounds else 0):
-            break
-        pivots = regions.groupBy("region").agg(F.min_by("key", F.xxhash64("key", F.lit(rounds))).alias("pivot"))
-        centred = materialize(regions.join(pivots, "region").where("key <> pivot"), "centred")
-        found = star_links(centred.select("pivot", "key").distinct(), sets, num, den)
-        links = materialize(found if links is None else links.unionByName(found), "star-links")
-        regions = open_regions(centred.select("region", "key"), partial_roots(links))
-    return links, regions
-
+    sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("members"))
+    large = blocks.join(sizes.where(F.col("members") > MEMBERS).select("block"), "block", "left_semi").select(F.col("key").alias("a"), F.col("block").alias("b"))
+    small = blocks.join(sizes.where(F.col("members") <= MEMBERS).select("block"), "block", "left_semi").join(marks, "key")
 
-def blocks(regions: DataFrame) -> DataFrame:
-    """Regions that agree in the member of smallest hash become one, so near copies that share many
-    regions move once. All members of a block share a region with that member, so blocks do not chain."""
-    names = regions.groupBy("region").agg(F.min(F.xxhash64("key", F.lit(7))).alias("block"))
-    return one_of_equals(regions.join(names, "region").select(F.col("block").alias("region"), "key").distinct())
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        signer = classes(num, den)
+        for g in whole_regions(frames):
+            keys, root = g["key"].to_numpy(), np.arange(len(g))
+            size, level = g["n_shingles"].to_numpy(), g["level"].to_numpy()
+            for k in np.unique(level):
+                at = np.flatnonzero((level == k) | (level == k + 1))
+                marked = np.stack([np.frombuffer(g["own"].iat[i] if level[i] == k else g["below"].iat[i], np.uint8) for i in at])
+                for row in np.flatnonzero(level[at] == k):
+                    p = at[row]
+                    open_ = (root[at] != root[p]) & (den * size[at] >= num * size[p]) & (den * size[p] >= num * size[at])
+                    near = np.flatnonzero(open_)
+                    near = at[near[(marked[near] == marked[row]).sum(axis=1) >= signer.needed(int(k))]]
+                    if len(near):
+                        roots = np.unique(root[np.append(near, p)])
+                        root[np.isin(root, roots)] = roots[0]
+            apart = np.flatnonzero(root != np.arange(len(root)))
+            yield pd.DataFrame({"a": keys[apart], "b": keys[root[apart]]})
+
+    rows = small.select(F.col("block").alias("region"), "key", "n_shingles", "level", "below", "own")
+    return large.unionByName(rows.repartition("region").sortWithinPartitions("region").mapInPandas(run, "a long, b long"))
 
 
 def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int, every: bool = False) -> DataFrame:
-    """Links that span the components of all regions, or every link, perhaps more than once."""
-    found: list[DataFrame] = []
-    sizes_of = sets.select("key", "n")
-    rows = regions.withColumn("inner", F.lit(False)).withColumn("was", F.lit(None).cast("long"))
-    tasks: list[DataFrame] = []
+    """Links (a, b) that span components, and counts (a, n) if `every`, of rows (region, key)."""
+    held = sets.select("key", "n")
+    rows = materialize(regions.select("region", "key", F.lit(HOME).alias("role"), F.lit(None).cast("long").alias("was")), "regions")
+    tasks, found = [], []
     for rounds in range(ROUNDS + 1):
-        sizes = materialize(rows.join(sizes_of, "key").groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"), F.max("was").alias("was")), "sizes")
+        at_home = F.count_if(F.col("role") == HOME)
+        sizes = rows.join(held, "key").groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"), F.max("was").alias("was"), at_home.alias("homes")).where("homes > 0")
+        sizes = materialize(sizes, "sizes")
         big = (F.col("members") > MEMBERS) | (F.col("total") > SHINGLES)
-        stuck = big & ((F.col("was").isNotNull() & (F.col("members") > 0.8 * F.col("was"))) | F.lit(rounds == ROUNDS) | (F.col("members") <= 2 * PIVOTS))
+        stuck = big & ((F.col("was").isNotNull() & (F.col("members") > 0.9 * F.col("was"))) | F.lit(rounds == ROUNDS) | (F.col("homes") <= PIVOTS))
         n_big, n_stuck, most = sizes.agg(F.count_if(big & ~stuck), F.count_if(stuck), F.max("members")).first()
         if not most:
             break
-        if not n_big and not n_stuck:
-            tasks.append(rows.select("region", F.lit(0).alias("side"), "key"))
-            break
-        tasks.append(rows.join(sizes.where(~big).select("region"), "region", "left_semi").select("region", F.lit(0).alias("side"), "key"))
+        tasks.append(rows.join(sizes.where(~big).select("region"), "region", "left_semi").select("region", "key", "role"))
         if n_stuck:
-            tasks.append(tiles(rows.select("region", "key", "inner"), sizes.where(stuck).select("region", "members", "total")))
+            tasks.append(tiles(rows.select("region", "key", "role"), sizes.where(stuck).select("region", "members", "total")))
         if not n_big:
             break
-        large = rows.join(sizes.where(big & ~stuck).select("region"), "region", "left_semi").select("region", "key")
-        links, new = split_regions(large, sets, rounds, num, den, every)
+        large = rows.join(sizes.where(big & ~stuck).select("region"), "region", "left_semi").select("region", "key", "role")
+        links, cells = split_regions(large, sizes.where(big & ~stuck), sets, rounds, num, den, every)
         found.append(links)
-        rows = materialize(new.groupBy("region", "key").agg(F.min("inner").alias("inner"), F.max("was").alias("was")), "split")
-    whole = regions.where(F.lit(False)).select("region", F.lit(0).alias("side"), "key")
+        rows = materialize(cells, "cells")
+    whole = regions.where(F.lit(False)).select("region", "key", F.lit(HOME).alias("role"))
     for t in tasks:
         whole = whole.unionByName(t)
-    links = join_regions(whole.join(sets.select("key", "items"), "key"), num, den, every)
+    links = join_regions(whole.join(sets.select("key", "weight", "items"), "key"), num, den, every)
+    weight = sets.select(F.col("key").alias("b"), F.col("weight").alias("n"))
     for f in found:
-        links = links.unionByName(f)
+        links = links.unionByName(f.select("a", "b", F.lit(0).cast("long").alias("n")))
+        if every:
+            both = f.unionByName(f.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            links = links.unionByName(both.join(weight, "b").groupBy("a").agg(F.sum("n").alias("n")).select("a", F.lit(None).cast("long").alias("b"), "n"))
     return links
 
 
-def link_counts(links: DataFrame, groups: DataFrame) -> DataFrame:
-    """Per key with links (a, b), the rows of the keys it links with: key, n_near. A pair found twice counts once."""
-    pairs = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = groups.select(F.col("key").alias("b"), "size_")
-    return both.join(sizes, "b").groupBy(F.col("a").alias("key")).agg(F.sum("size_").alias("n_near"))
-
-
 def ngram_jaccard_join(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, every: bool = False) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id. Two texts link when den * shared >= num * union.
 
     With `every` no link is left out, and n_links is the number of other rows that the row links with,
     its equals among them. Without, links are only found as far as components need them.
     """
+    name = ["hi", "lo"]
     rows = materialize(signed_rows(docs, words, num, den), "signed")
-    regions = candidate_regions(rows)
-    screened = materialize(screen_regions(regions, rows, num, den), "screened")
-    pairs = screened.where("b is not null").select(F.least("a", "b").alias("pivot"), F.greatest("a", "b").alias("key")).distinct()
-    dense = one_of_equals(regions.join(screened.where("b is null").select("region").distinct(), "region", "left_semi"))
-    keys = materialize(pairs.select(F.explode(F.array("pivot", "key")).alias("key")).unionByName(dense.select("key")).distinct(), "keys")
-    n_keys = keys.count()
-    reps = rows.select("key", "doc_id").join(broadcast_if_small(keys, n_keys), "key").groupBy("key").agg(F.min("doc_id").alias("rep_id"))
-    texts = id_and_text(docs).join(broadcast_if_small(reps.select("rep_id"), n_keys), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-    sets = materialize(sets_of(texts, words).join(broadcast_if_small(keys, n_keys), "key", "left_semi").dropDuplicates(["key"]), "sets")
-    links = materialize(star_links(pairs, sets, num, den), "pair-links")
-    starred, left = (None, blocks(dense)) if every else star_regions(dense, sets, num, den)
-    links = links.unionByName(link_regions(left, sets, num, den, every))
-    if every:
-        links = materialize(links, "links")
-    roots = materialize(components(links if starred is None else links.unionByName(starred)), "roots")
-    groups = rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("size_"), F.min("doc_id").alias("low"))
-    rooted = groups.join(broadcast_if_small(roots, roots.count()).withColumnRenamed("vertex", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    rooted = materialize(rooted, "rooted")
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n_keys")).where("n_keys > 1").select("root", "component_id")
-    named = rooted.join(broadcast_if_small(lows, n_keys), "root", "left").select("key", "size_", F.coalesce("component_id", "low").alias("component_id"))
+    groups = materialize(rows.where("lo is not null").groupBy(*name).agg(F.count(F.lit(1)).alias("size_"), F.min("doc_id").alias("low")), "groups")
+    names, family = families(rows, num, den)
+    n_keys = family.count()
+    names = names.join(broadcast_if_small(family.select(F.col("vertex").alias("key"), F.col("root").alias("family")), n_keys), "key")
+    named = materialize(groups.join(broadcast_if_small(names, n_keys), name), "named")
+    texts = id_and_text(docs).join(broadcast_if_small(named.select(F.col("low").alias("rep_id")).distinct(), n_keys), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
+    sets = sets_of(texts, words).join(broadcast_if_small(named.select(*name, "key", F.col("size_").alias("weight")), n_keys), name)
+    sets = materialize(sets.select("key", "weight", "n", "items").dropDuplicates(["key"]), "sets")
+    found = materialize(link_regions(named.select(F.col("family").alias("region"), "key"), sets, num, den, every), "found")
+    roots = materialize(components(found.where("b is not null").select("a", "b")), "roots")
+    rooted = named.join(broadcast_if_small(roots, roots.count()), F.col("key") == F.col("vertex"), "left").select("key", *name, "low", F.coalesce("root", "key").alias("root"))
+    lows = materialize(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
+    facts = rooted.join(broadcast_if_small(lows, lows.count()), "root").select("key", *name, "component_id")
     if every:
-        near = materialize(link_counts(links, groups), "near")
-        named = named.join(broadcast_if_small(near, near.count()), "key", "left").select("key", "size_", "component_id", (F.col("size_") - 1 + F.coalesce("n_near", F.lit(0))).alias("n_links"))
-    narrow = rows.select("doc_id", "n_shingles", "key")
-    joined = join_groups(narrow, named, "key", "size_", rows.count())
-    counts = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if every else []
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *counts)
+        near = materialize(found.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n_near")), "near")
+        facts = facts.join(broadcast_if_small(near, near.count()), "key", "left")
+    facts = materialize(facts.drop("key"), "facts")
+    counts = [(F.col("size_") - 1 + F.coalesce("n_near", F.lit(0))).alias("n_links")] if every else []
+    whole = groups.join(broadcast_if_small(facts, n_keys), name, "left").select(*name, "size_", F.coalesce("component_id", "low").alias("component_id"), *counts)
+    joined = join_groups(rows.select("doc_id", "n_shingles", *name), whole, name, "size_", rows.count())
+    links = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if every else []
+    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *links)

@@ -86,9 +86,9 @@ def families(seed):
 
 
 @pytest.mark.parametrize(("n", "num", "den"), [(3, 90, 100), (5, 80, 100)])
-@pytest.mark.parametrize("limits", [{}, {"MEMBERS": 3}, {"MEMBERS": 3, "STARS": 0}, {"MEMBERS": 6, "ROUNDS": 1, "STARS": 0}])
+@pytest.mark.parametrize("limits", [{}, {"MEMBERS": 6, "PIVOTS": 3, "ROUNDS": 2}])
 def test_jaccard_join(spark, monkeypatch, n, num, den, limits):
-    """The limits send regions to pivots, to splitting by Spark jobs and to tiles."""
+    """The limits send families to cells formed by Spark jobs and to tiles."""
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
     rows = families(n) + [(1000 + (i or 0) if i is not None else None, t) for i, t in EDGE]
@@ -107,9 +107,9 @@ def brute_links(rows, n, num, den):
     return sorted(((i, sum(b != a and bool(x) and den * len(x & y) >= num * len(x | y) for b, y in enumerate(sets))) for a, ((i, _), x) in enumerate(zip(rows, sets, strict=True))), key=str)
 
 
-@pytest.mark.parametrize("limits", [{}, {"DENSE": 0}, {"DENSE": 0, "SPLIT": 4}, {"MEMBERS": 3}, {"MEMBERS": 20, "DENSE": 0, "PIVOTS": 3}])
+@pytest.mark.parametrize("limits", [{}, {"PIVOTS": 2, "MATRIX": 0}, {"MEMBERS": 20, "PIVOTS": 3}, {"MEMBERS": 8, "PIVOTS": 2, "ROUNDS": 2}])
 def test_jaccard_join_keeps_every_link(spark, monkeypatch, limits):
-    """The limits send regions to blocks, to pivots in a task and by Spark jobs, and to tiles."""
+    """The limits send families to pivots in a task and by Spark jobs, and to tiles."""
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
     rows = families(5) + [(1000 + (i or 0) if i is not None else None, t) for i, t in EDGE]
@@ -137,7 +137,11 @@ def test_linked_sets_share_a_signature(size, edits, seed, limit):
         assert np.intersect1d(signer.signatures(x), signer.signatures(y)).size
 
 
-def test_region_split_within_a_task():
+@pytest.mark.parametrize("every", [True, False])
+@pytest.mark.parametrize("cells", [0, jaccard.MATRIX])
+def test_region_within_a_task(monkeypatch, every, cells):
+    """Homes, guests and tiles: each pair that may meet is counted once, at the pivots' first level and below."""
+    monkeypatch.setattr(jaccard, "MATRIX", cells)
     rng = np.random.default_rng(4)
     base = [np.unique(rng.integers(0, 2**63, 120).astype(np.uint64)) for _ in range(6)]
     sets = []
@@ -145,21 +149,27 @@ def test_region_split_within_a_task():
         s = base[i % 6].copy()
         s[rng.choice(len(s), rng.integers(0, 12), replace=False)] = rng.integers(0, 2**63, 1).astype(np.uint64)
         sets.append(np.unique(s))
-    region = jaccard.Region(list(range(240)), [s.tobytes() for s in sets], [0] * 240, 90, 100)
-    root = list(range(240))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a in range(240):
-        for b in range(a):
-            inter = len(np.intersect1d(sets[a], sets[b]))
-            if 100 * inter >= 90 * (len(sets[a]) + len(sets[b]) - inter):
-                root[find(a)] = find(b)
-    same = {(find(a) == find(b)) == (region.root[a] == region.root[b]) for a in range(240) for b in range(a)}
-    assert same == {True} and len(region.links) < 240
+    for roles in ([jaccard.HOME] * 240, [i % 5 > 0 for i in range(240)], [jaccard.TILE * (i % 5 > 0) for i in range(240)]):
+        roles, weights = [int(r) for r in roles], [1 + i % 4 for i in range(240)]
+        region = jaccard.Region(list(range(240)), [s.tobytes() for s in sets], roles, weights, 90, 100, every)
+        root, counts = list(range(240)), [0] * 240
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a in range(240):
+            for b in range(a):
+                inter = len(np.intersect1d(sets[a], sets[b]))
+                meet = jaccard.HOME in (roles[a], roles[b]) or {roles[a], roles[b]} == {jaccard.TILE, jaccard.GUEST}
+                if meet and 100 * inter >= 90 * (len(sets[a]) + len(sets[b]) - inter):
+                    root[find(a)] = find(b)
+                    counts[a] += weights[b]
+                    counts[b] += weights[a]
+        assert {(find(a) == find(b)) == (region.root[a] == region.root[b]) for a in range(240) for b in range(a)} == {True}
+        if every:
+            assert region.counts.tolist() == counts and region.found[0] > 0 and len(region.found) > 1
 
 
 def test_components(spark):
