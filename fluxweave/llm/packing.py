@@ -3,10 +3,12 @@
 Every document is its token ids and an end id. Full windows are cut off its front; the rest (shorter
 than a window) is an item. Only the histogram of item lengths, at most window - 1 numbers, reaches
 the driver. There, combinations of up to three lengths that fill a window exactly are enumerated,
-their repeat counts solved by non-negative least squares against the histogram and rounded down,
-and what the counts leave over is packed greedily: the residual items are laid end to end and cut at
-window ends, so only they are cut. The last, partly filled window is cut into powers of two, which
-need no padding.
+their repeat counts solved by non-negative least squares against the histogram and rounded: down
+first, then up by largest remainder as far as the histogram allows. What that leaves over is enumerated
+and solved again until no combination is left, then in the same way with combinations of up to eight. The residual items are packed greedily, the longest that
+fits first, into windows that this fills exactly; the few then left are laid end to end and cut at window
+ends, so only they are cut. The last, partly filled window is cut into powers of two, which need no
+padding.
 
 An item's place follows from its length and its rank among items of that length: ranks are kept per
 task and shifted by prefix sums, so no length class is ever sorted in one place.
@@ -39,8 +41,9 @@ MODEL = public_tokenizers.path("word_bpe_49k.json")
 WINDOW, END = 2048, 1
 #: Words, and pre-tokens, that a worker keeps (the first it meets, which the frequent ones are among); longest kept.
 WORDS, PARTS, WORD = 350_000, 700_000, 48
-#: Enumerated combinations for each length, and steps of the solver.
-PARTNERS, STEPS = 6, 400
+#: Combinations enumerated for each length at once (more come once those are placed), and lengths of the deepest; the
+#: solver ends when a step moves the counts by less than this share, and in any case after so many steps.
+PARTNERS, DEPTH, SETTLED, STEPS = 6, 8, 1e-4, 5_000
 
 # --- token ids ---------------------------------------------------------------------------------
 
@@ -128,21 +131,47 @@ def token_rows(docs: DataFrame, model: str = MODEL, window: int = WINDOW, end: i
 
 
 def combinations(hist: np.ndarray, window: int) -> np.ndarray:
-    """Rows of three lengths (0: none) that fill the window, of lengths that occur: all pairs, and some triples of each length."""
+    """Rows of three lengths (0: none) that fill the window and that the histogram holds: all pairs, and some triples of each length."""
     have = np.flatnonzero(hist)
-    pairs = np.array([(a, window - a, 0) for a in have if a * 2 <= window and hist[window - a]], np.int64).reshape(-1, 3)
+    pairs = np.array([(window - a, a, 0) for a in have if hist[window - a] and (a * 2 < window or (a * 2 == window and hist[a] > 1))], np.int64).reshape(-1, 3)
     common = have[np.argsort(-hist[have], kind="stable")]
     found: list[np.ndarray] = [pairs]
     for a in have:
         b = common[common + a < window]
         c = window - a - b
-        ok = (hist[c] > 0) & (b <= c)
+        ok = (hist[c] > 0) & (b <= c) & (hist[b] > (b == c) + (b == a).astype(int)) & (hist[c] > (c == a))
         take = np.flatnonzero(ok)[:PARTNERS]
         if len(take):
             found.append(np.sort(np.stack([np.full(len(take), a), b[take], c[take]], 1), axis=1)[:, ::-1])
     return np.unique(np.concatenate(found), axis=0)
 
 
+def deeper(hist: np.ndarray, window: int) -> np.ndarray:
+    """Rows of DEPTH lengths (0: none) that fill the window and that the histogram holds: for each length, common lengths until a pair fits."""
+    have = np.flatnonzero(hist)
+    common = have[np.argsort(-hist[have], kind="stable")]
+    free, found = np.append(hist, np.zeros(window, np.int64)), []
+    for n, a in enumerate(have.tolist()):
+        chosen, room, k = [a], window - a, n
+        free[a] -= 1
+        while room > 1 and len(chosen) <= DEPTH - 2:
+            b = common[(common < room) & (free[common] > 0)]
+            fits = np.flatnonzero(free[room - b] > (b * 2 == room))
+            if len(fits):
+                b = int(b[fits[n % len(fits)]])
+                found.append(sorted([*chosen, b, room - b], reverse=True) + [0] * (DEPTH - 2 - len(chosen)))
+                break
+            if not len(b):
+                break
+            k = (k * 7 + 1) % len(b)
+            chosen.append(int(b[k]))
+            free[chosen[-1]] -= 1
+            room -= chosen[-1]
+        for length in chosen:
+            free[length] += 1
+    return np.unique(np.array(found, np.int64).reshape(-1, DEPTH), axis=0)
+
+
 def solve(patterns: np.ndarray, hist: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """min |A x - h| for x >= 0 by accelerated projected gradient; A holds each pattern's lengths."""
     used = patterns > 0
@@ -156,7 +185,10 @@ def solve(patterns: np.ndarray, hist: np.ndarray, steps: int = STEPS) -> np.ndar
         new = np.maximum(0, y - back(forward(y) - goal) / bound)
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y = new + (t - 1) / t_new * (new - x)
+        moved = np.abs(new - x).sum()
         x, t = new, t_new
+        if moved <= SETTLED * x.sum():
+            break
     return x
 
 
@@ -164,35 +196,54 @@ class Plan:
     """Where the item (length, rank) goes."""
 
     def __init__(self, hist: np.ndarray, window: int = WINDOW):
-        self.window, left = window, hist.copy()
-        left[0] = 0
-        patterns = combinations(left, window)
-        repeats = np.floor(solve(patterns, left) + 1e-9).astype(np.int64) if len(patterns) else np.zeros(0, np.int64)
-        slots: list[tuple[int, int, int, int]] = []
-        sequence = 0
-        taken = np.zeros(len(hist), np.int64)
-        for k in np.argsort(-repeats, kind="stable"):
-            lengths, multiple = np.unique(patterns[k][patterns[k] > 0], return_counts=True)
-            times = int(min(repeats[k], (left[lengths] // multiple).min()))
-            if times <= 0:
-                continue
-            offset = 0
-            for length in patterns[k][patterns[k] > 0]:
-                slots.append((int(length), int(taken[length]), sequence, offset))
-                taken[length] += times
-                left[length] -= times
-                offset += int(length)
-            sequence += times
-        self.fitted = sequence
-        self.taken = taken
-        self.by_length = {}
-        for length, start, first, offset in slots:
-            self.by_length.setdefault(length, []).append((start, first, offset))
+        self.window, self.left = window, hist.copy()
+        self.left[0] = 0
+        self.fitted, self.taken = 0, np.zeros(len(hist), np.int64)
+        self.by_length: dict[int, list | np.ndarray] = {}
+        for enumerate_ in (combinations, deeper):
+            while len(patterns := enumerate_(self.left, window)):
+                counts = solve(patterns, self.left)
+                whole = np.floor(counts + 1e-9)
+                for k in np.argsort(-whole, kind="stable"):
+                    self.fill(patterns[k], whole[k])
+                for k in np.argsort(whole - counts, kind="stable"):
+                    self.fill(patterns[k], 1)
+        self.combined = self.fitted
+        self.pack_greedily()
         self.by_length = {k: np.array(v, np.int64) for k, v in self.by_length.items()}
         lengths = np.arange(len(hist))
-        self.stream = np.concatenate([[0], np.cumsum(left * lengths)])  # where each length's residual items begin
+        self.stream = np.concatenate([[0], np.cumsum(self.left * lengths)])  # where each length's residual items begin
         self.total = int(self.stream[-1])
 
+    def fill(self, lengths: np.ndarray, times: float) -> bool:
+        """Windows of these lengths, so many times or as often as items are left."""
+        lengths = lengths[lengths > 0]
+        kinds, multiple = np.unique(lengths, return_counts=True)
+        times = int(min(times, (self.left[kinds] // multiple).min()))
+        if times <= 0:
+            return False
+        offset = 0
+        for length in lengths.tolist():
+            self.by_length.setdefault(length, []).append((int(self.taken[length]), self.fitted, offset))
+            self.taken[length] += times
+            self.left[length] -= times
+            offset += length
+        self.fitted += times
+        return True
+
+    def pack_greedily(self) -> None:
+        """Windows of the longest length left and, again and again, the longest that still fits, where that ends full."""
+        for longest in reversed(np.flatnonzero(self.left).tolist()):
+            while self.left[longest]:
+                free, room, chosen = self.left.copy(), self.window, []
+                while len(fits := np.flatnonzero(free[: room + 1])) and len(chosen) < self.window:
+                    length = longest if not chosen else int(fits[-1])
+                    chosen.append(length)
+                    free[length] -= 1
+                    room -= length
+                if room or not self.fill(np.array(chosen), np.inf):
+                    break
+
     def tail(self, at: int) -> tuple[int, int, int]:
         """(piece of the last window, its start, its length) that holds position `at` of the last, partly filled window."""
         rest, start, k = self.total % self.window, 0, 0
