@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding with a suffix array over the batch's text.
 
-The distinct pre-tokens that a worker has not seen are laid end to end. The suffixes of that text,
-as far as the longest piece reaches, are sorted once; each vocabulary piece finds the range of its
-occurrences by binary search; the occurrences are the edges of a lattice. Sorted by position they
-are relaxed from left to right. The vocabulary is a merge (BPE) one, where a path is the encoding
+The distinct pre-tokens of a batch are laid end to end, in blocks. The suffixes of a block, as far as
+the longest piece reaches, are sorted once; each vocabulary piece finds the range of its occurrences
+by binary search; the occurrences are the edges of a lattice. Sorted by position they are relaxed from
+left to right, all pre-tokens of a block at once. A bounded cache, the second tier, keeps the ids of
+pre-tokens of earlier batches, which are not indexed again. The vocabulary is a merge (BPE) one, where a path is the encoding
 exactly if every two neighbouring pieces encode to themselves; so each position has one last piece,
 and relaxing keeps the edge whose pair with the last piece before it holds. Characters without an
 edge fall back to byte pieces.
@@ -16,6 +17,7 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,9 +30,9 @@ from pyspark.sql import DataFrame
 from .common import arrow_limits, id_and_text
 from .tokens import MODEL, processor
 
-#: Pre-tokens, and their parts, that a worker keeps (the first it meets, which the frequent ones are among);
-#: characters from which one is not kept; characters indexed at once; pairs kept.
-CACHED, PARTS, WORD, INDEXED, PAIRS = 250_000, 400_000, 64, 1 << 19, 1_000_000
+#: Pre-tokens that a worker keeps (the first it meets, which the frequent ones are among); characters from which
+#: one is not kept and is relaxed by itself; characters indexed at once; pairs kept.
+CACHED, WORD, INDEXED, PAIRS = 300_000, 48, 1 << 17, 500_000
 #: A text's pre-tokens: spaces with the word after them, or a line feed.
 _CUT = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 
@@ -42,16 +44,11 @@ class Vocabulary:
         self.ids = {sp.id_to_piece(i): i for i in normal}
         self.score = {sp.id_to_piece(i): sp.get_score(i) for i in normal}
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        self.of_byte = {i: bytes([b]) for b, i in enumerate(self.byte)}
-        self.silent = {i for i in range(sp.get_piece_size()) if sp.is_control(i)}
         # Longer pieces first: of the edges that end at a position, they are tried in this order.
         self.names = sorted((p for p in self.ids if self.merged(p) == [p]), key=len, reverse=True)
         if any(c not in self.ids for p in self.names for c in p):
             raise ValueError("a character of a piece is no piece")
-        self.neighbours = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.name_ids = [self.ids[p] for p in self.names]
-        self.spans = list(map(len, self.names))
+        self.name_ids = np.array([self.ids[p] for p in self.names], np.int32)
         self.longest = max(map(len, self.names))
         self.lengths = np.array([len(p) for p in self.names], np.int64)
         self.alphabet = np.unique(np.frombuffer("".join(self.names).encode("utf-32-le"), "<u4"))
@@ -85,16 +82,19 @@ class Vocabulary:
 
     def holds(self, a: int, b: int) -> bool:
         """Whether the names a and b stand side by side in an encoding."""
-        left, right = self.names[a], self.names[b]
-        known = self.merged(left + right) == [left, right]
-        if len(self.pairs) < PAIRS:
-            self.pairs[a << 20 | b] = known
+        known = self.pairs.get(a << 20 | b)
+        if known is None:
+            left, right = self.names[a], self.names[b]
+            known = self.merged(left + right) == [left, right]
+            if len(self.pairs) < PAIRS:
+                self.pairs[a << 20 | b] = known
         return known
 
-    def parts(self, word: str) -> list[str]:
-        """A pre-token cut where two neighbouring characters stand together in no piece."""
-        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.neighbours]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)] if cuts else [word]
+    def all_hold(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """`holds` of many pairs."""
+        codes, at = np.unique(a << 20 | b, return_inverse=True)
+        known = [self.pairs.get(c) for c in codes.tolist()]
+        return np.array([self.holds(c >> 20, c & 0xFFFFF) if k is None else k for c, k in zip(codes.tolist(), known, strict=True)], bool)[at]
 
 
 @lru_cache(maxsize=2)
@@ -126,88 +126,132 @@ def edges(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     return end[ranked], piece[ranked]
 
 
-def encode_words(words: list[str], vocab: Vocabulary) -> list[list[int]]:
-    """Ids of each part, by relaxing the edges in order of position.
+def relax(end: np.ndarray, piece: np.ndarray, starts: np.ndarray, sizes: np.ndarray, vocab: Vocabulary) -> np.ndarray:
+    """Per position of the block, the last piece of the encoding that ends there, or -1.
+
+    Positions are settled in the order of their distance from their word's start, those of all words
+    together. Of the edges that end at one, the longest whose pair with the piece before it holds is kept;
+    an edge that begins a word, or follows a character that is no piece, holds always.
+    """
+    last = np.full(int(starts[-1] + sizes[-1]) + 1, -1, np.int64)
+    word = np.repeat(np.arange(len(starts)), sizes + 1)[end - 1]
+    depth = end - starts[word]
+    order = np.argsort(depth, kind="stable")
+    end, piece = end[order], piece[order]
+    cuts = np.searchsorted(depth[order], np.arange(1, int(sizes.max(initial=0)) + 2))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        first = a + np.flatnonzero(np.diff(end[a:b], prepend=-1))
+        bound = np.append(first[1:], b)
+        while len(first):
+            q = piece[first]
+            before = last[end[first] - vocab.lengths[q]]
+            good = before < 0
+            good[~good] = vocab.all_hold(before[~good], q[~good])
+            last[end[first[good]]] = q[good]
+            first, bound = first[~good] + 1, bound[~good]
+            first, bound = first[first < bound], bound[first < bound]
+    return last
+
+
+def relax_long(end: list[int], piece: list[int], start: int, size: int, vocab: Vocabulary) -> np.ndarray:
+    """The same for one long word, position by position."""
+    last, k, spans = [-1] * (size + 1), 0, vocab.lengths
+    for i in range(1, size + 1):
+        while k < len(end) and end[k] == start + i:
+            if last[i] < 0 and ((p := last[i - int(spans[piece[k]])]) < 0 or vocab.holds(p, piece[k])):
+                last[i] = piece[k]
+            k += 1
+    return np.array(last, np.int64)
+
+
+def encode_words(words: list[str], vocab: Vocabulary) -> list[bytes]:
+    """Ids (32-bit) of each word, by relaxing the edges in order of position.
 
     One edge into each position holds; a character that is no piece has none, joins nothing and
     becomes bytes.
     """
     end, piece = edges(words, vocab)
-    ends, pieces = [*end.tolist(), -1], [*piece.tolist(), -1]
-    out, at, k = [], 0, 0
-    spans, known, holds, ids_of = vocab.spans, vocab.pairs.get, vocab.holds, vocab.name_ids
-    for word in words:
-        last = [-1] * (len(word) + 1)
-        for i in range(1, len(word) + 1):
-            here, best = at + i, -1
-            while ends[k] == here:
-                if best < 0:
-                    q = pieces[k]
-                    before = i - spans[q]
-                    if before == 0 or (p := last[before]) < 0:
-                        best = q
-                    elif (ok := known(p << 20 | q)) or (ok is None and holds(p, q)):
-                        best = q
-                k += 1
-            last[i] = best
-        ids, i = [], len(word)
-        while i > 0:
-            q = last[i]
-            if q >= 0:
-                ids.append(ids_of[q])
-                i -= spans[q]
-            else:
-                ids += [vocab.byte[b] for b in reversed(word[i - 1].encode("utf-8"))]
-                i -= 1
-        out.append(ids[::-1])
-        at += len(word) + 1
+    sizes = np.array([len(w) for w in words], np.int64)
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    if sizes.max() > WORD:
+        last = np.concatenate([relax_long(end[a:b].tolist(), piece[a:b].tolist(), int(s), int(n), vocab) for s, n, a, b in zip(starts, sizes, np.searchsorted(end, starts, "right"), np.searchsorted(end, starts + sizes, "right"), strict=True)])
+    else:
+        last = relax(end, piece, starts, sizes, vocab)
+    # From the ends back to the starts, one piece of every word a step.
+    at, rows, found, plain = starts + sizes, [], [], np.ones(len(words), bool)
+    open_ = np.flatnonzero(sizes)
+    while len(open_):
+        q = last[at[open_]]
+        plain[open_[q < 0]] = False
+        open_, q = open_[q >= 0], q[q >= 0]
+        rows.append(open_)
+        found.append(vocab.name_ids[q])
+        at[open_] -= vocab.lengths[q]
+        open_ = open_[at[open_] > starts[open_]]
+    row = np.concatenate([np.zeros(0, np.int64), *rows])[::-1]
+    ids = np.concatenate([np.zeros(0, np.int32), *found])[::-1][np.argsort(row, kind="stable")].astype("<i4").tobytes()
+    ends = 4 * np.cumsum(np.bincount(row, minlength=len(words)))
+    out = [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    for k in np.flatnonzero(~plain).tolist():
+        out[k] = _with_bytes(words[k], last[starts[k] : starts[k] + sizes[k] + 1], vocab)
     return out
 
 
+def _with_bytes(word: str, last: np.ndarray, vocab: Vocabulary) -> bytes:
+    """Ids of a word some characters of which are no pieces."""
+    ids, i = [], len(word)
+    while i > 0:
+        q = int(last[i])
+        if q >= 0:
+            ids.append(int(vocab.name_ids[q]))
+            i -= int(vocab.lengths[q])
+        else:
+            ids += [vocab.byte[b] for b in reversed(word[i - 1].encode("utf-8"))]
+            i -= 1
+    return np.array(ids[::-1], "<i4").tobytes()
+
+
 def pre_tokens(text: str) -> list[str]:
     return _CUT.findall("▁" + text.replace(" ", "▁")) if text else []
 
 
 class Encoder:
-    """Ids of texts; pre-tokens and parts seen before come from bounded caches."""
+    """Ids of texts; pre-tokens of earlier batches come from a bounded cache."""
 
     def __init__(self, path: str = MODEL):
-        self.vocab, self.seen, self.known = vocabulary(path), {}, {}
+        self.vocab, self.seen = vocabulary(path), {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [pre_tokens(t) for t in texts]
-        words = {w: None for part in cut for w in part}
-        fresh = {w: self.vocab.parts(w) for w in words if w not in self.seen}
-        local: dict[str, bytes] = {}
-        missing, size = [], 0
-        for p in dict.fromkeys(p for parts in fresh.values() for p in parts):
-            if p in self.known:
-                continue
-            missing.append(p)
-            size += len(p)
-            if size > INDEXED:
-                self._index(missing, local)
-                missing, size = [], 0
-        self._index(missing, local)
-        known, seen = self.known, self.seen
-        here = {w: b"".join([known[p] if p in known else local[p] for p in parts]) for w, parts in fresh.items()}
-        out = [np.frombuffer(b"".join([seen[w] if w in seen else here[w] for w in part]), "<i4") for part in cut]
-        for store, new, room in ((known, local, PARTS), (seen, here, CACHED)):
-            for w, ids in new.items():
-                if len(store) >= room:
-                    break
-                if len(w) <= WORD:
-                    store[w] = ids
+        fresh = list(dict.fromkeys(itertools.chain.from_iterable(cut)))
+        fresh = [w for w in fresh if w not in self.seen]
+        short = [w for w in fresh if len(w) <= WORD]
+        room = max(0, CACHED - len(self.seen))
+        for block in itertools.chain(_blocks(short), ([w] for w in fresh if len(w) > WORD)):
+            self.seen.update(zip(block, encode_words(block, self.vocab), strict=True))
+        get = self.seen.__getitem__
+        out = [np.frombuffer(b"".join(map(get, part)), "<i4") for part in cut]
+        for w in itertools.chain(short[room:], (w for w in fresh if len(w) > WORD)):
+            del self.seen[w]
         return out
 
-    def _index(self, words: list[str], local: dict[str, bytes]) -> None:
-        for w, ids in zip(words, encode_words(words, self.vocab) if words else [], strict=True):
-            local[w] = np.array(ids, "<i4").tobytes()
+
+def _blocks(words: list[str]) -> Iterator[list[str]]:
+    """Words in blocks of INDEXED characters."""
+    sizes = np.cumsum([len(w) + 1 for w in words]) // INDEXED
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(words)] if words else []
+    return (words[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+
+
+class Decoder:
+    """Texts of ids: byte pieces join to characters (what is no UTF-8 becomes U+FFFD), control pieces vanish, the first space goes."""
+
+    def __init__(self, path: str = MODEL):
+        sp = processor(path)
+        self.raw = [b"" if sp.is_control(i) else bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in ((i, sp.id_to_piece(i)) for i in range(sp.get_piece_size()))]
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: byte pieces join to characters (what is no UTF-8 becomes U+FFFD), the first space goes."""
-        v = self.vocab
-        raw = b"".join(v.of_byte[i] if i in v.of_byte else b"" if i in v.silent else v.pieces[i].replace("▁", " ").encode("utf-8") for i in ids.tolist())
+        raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
@@ -227,19 +271,31 @@ def encode_rows(docs: DataFrame, model: str = MODEL) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, text string, ids array<int>")
 
 
+def decode_rows(rows: DataFrame, model: str = MODEL) -> DataFrame:
+    """doc_id and text of rows with doc_id and ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Decoder(model)
+        for b in batches:
+            texts = [None if ids is None else coder.decode(np.array(ids, "<i4")) for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+
+
 def report(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """Encode, then decode what was encoded, and compare with the text."""
+    """Encode, decode what was encoded, and compare with the text, in one pass of each worker."""
+    arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(model)
+        coder, back = Encoder(model), Decoder(model)
         for b in batches:
-            rows = []
-            for text, ids in zip(b.column(1).to_pylist(), b.column(2), strict=True):
-                values = ids.values.to_numpy().astype("<i4")
-                back = coder.decode(values)
-                rows.append((len(values), zlib.crc32(values.tobytes()), hashlib.sha256(back.encode("utf-8")).hexdigest(), back == text.replace("▁", " ")))
+            rows, texts = [], b.column(1).to_pylist()
+            for text, ids in zip(texts, coder.encode(texts), strict=True):
+                decoded = back.decode(ids)
+                rows.append((len(ids), zlib.crc32(ids.tobytes()), hashlib.sha256(decoded.encode("utf-8")).hexdigest(), decoded == text.replace("▁", " ")))
             cols = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "round_trip"])
 
-    return encode_rows(docs, model).mapInArrow(run, FIELDS)
+    return id_and_text(docs).mapInArrow(run, FIELDS)
