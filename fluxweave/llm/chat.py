@@ -39,6 +39,8 @@ CLOSE = (0, 2 * INSERT, INSERT, 0)
 #: Empty turns that close a conversation ending in each state.
 CLOSING = ((), ("user", "assistant"), ("assistant",), ())
 FAR = 10**12
+#: Text bytes that one group of a task holds.
+SHARE = 16 << 20
 
 
 def matrix(role: str | None) -> np.ndarray:
@@ -146,7 +148,10 @@ def repair(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
     order = ["conv", "turn", "role", "text"]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # A number that is given is kept, so a group's size does not grow with the table.
+    held = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // SHARE))
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     placed = materialize(ranged.withColumn("part", F.spark_partition_id()), "turns")
 
     def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,7 +1,8 @@
 """Exact duplicates by immutable snapshots: binary fuse filters screen, exact buckets confirm.
 
-An incoming batch is reduced to one row per digest (hot texts shrink map-side). Each digest is
-probed against the filter of its bucket in the snapshot. Positives join the bucket's exact digests
+Every snapshot's filters are written once, a file for each snapshot and bucket, and loaded by each later
+batch. An incoming batch is reduced to one row per digest (hot texts shrink map-side). Each digest is
+probed against the filters of its bucket in all snapshots. Positives join the bucket's exact digests
 and the two texts are compared byte by byte; negatives are certainly new to the snapshot. Copies
 inside the batch are grouped on their own and never touch a filter.
 
@@ -14,16 +15,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fuse_filter
-from .common import arrow_limits, broadcast_if_small, id_and_text, join_groups, materialize
+from .common import arrow_limits, broadcast_if_small, id_and_text, join_groups, materialize, new_path
 
 #: Distinct digests meant for one bucket, and so for one filter and one task.
 BUCKET_KEYS = 100_000
 #: Stands for a null id while grouping; it loses to any other.
 NO_ID = -(2**63)
+FILTER = "seed string, segment int, segments int, slots binary, snapshot int, bucket int"
 
 
 def with_digest(docs: DataFrame) -> DataFrame:
@@ -40,14 +42,19 @@ def group_digests(rows: DataFrame) -> DataFrame:
     return rows.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("top_id"))
 
 
-def build_filters(snapshot: DataFrame, buckets: int) -> DataFrame:
-    """One binary fuse filter per bucket of an immutable snapshot (text_sha256)."""
+def write_filters(snapshots: DataFrame, buckets: int, path: str) -> None:
+    """One binary fuse filter for each immutable snapshot and bucket of (snapshot, text_sha256), in files of their own."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         seed, segment, count, table = fuse_filter.build(_keys(pdf["text_sha256"]))
-        return pd.DataFrame({"bucket": [pdf["bucket"].iat[0]], "seed": [str(seed)], "segment": [segment], "segments": [count], "slots": [table]})
+        return pd.DataFrame({"snapshot": [pdf["snapshot"].iat[0]], "bucket": [pdf["bucket"].iat[0]], "seed": [str(seed)], "segment": [segment], "segments": [count], "slots": [table]})
 
-    return snapshot.select("text_sha256", bucket_of(buckets).alias("bucket")).groupBy("bucket").applyInPandas(one, "bucket int, seed string, segment int, segments int, slots binary")
+    dealt = snapshots.select("snapshot", "text_sha256", bucket_of(buckets).alias("bucket"))
+    dealt.groupBy("snapshot", "bucket").applyInPandas(one, FILTER).write.partitionBy("snapshot", "bucket").mode("append").parquet(path)
+
+
+def load_filters(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(FILTER).parquet(path)
 
 
 def _keys(digests: pd.Series) -> np.ndarray:
@@ -80,17 +87,20 @@ def confirm_bytes(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame, in_snapshot=None) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    in_snapshot: which rows make the earlier snapshot; by default the even halves of a hash of doc_id.
+    in_snapshot: which rows make one earlier snapshot; by default a hash of doc_id deals half of the rows to two.
     """
     spark = docs.sparkSession
     arrow_limits(spark)
-    rows = with_digest(docs).withColumn("old_", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0, F.lit(False)) if in_snapshot is None else in_snapshot)
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(4)).cast("int")
+    rows = with_digest(docs).withColumn("old_", F.when(dealt < 2, dealt) if in_snapshot is None else F.when(in_snapshot, 0))
     digests = materialize(rows.select("doc_id", "text_sha256", "old_"), "digests")
-    snapshot = materialize(group_digests(digests.where("old_")), "snapshot")
-    batch = group_digests(digests.where("not old_"))
-    buckets = max(1, -(-snapshot.count() // BUCKET_KEYS))
-    filters = build_filters(snapshot, buckets)
-    screened = materialize(screen(batch, filters, buckets), "screened")
+    snapshot = materialize(group_digests(digests.where("old_ is not null")), "snapshot")
+    batch = materialize(group_digests(digests.where("old_ is null")), "batch")
+    # The larger side decides, so that neither a filter nor a bucket's part of the batch outgrows a task.
+    buckets = max(1, -(-max(snapshot.count(), batch.count()) // BUCKET_KEYS))
+    path = new_path(spark, "filters")
+    write_filters(digests.where("old_ is not null").select(F.col("old_").alias("snapshot"), "text_sha256").distinct(), buckets, path)
+    screened = materialize(screen(batch, load_filters(spark, path), buckets), "screened")
     exact = snapshot.withColumnsRenamed({"n": "old_n", "top_id": "old_id"})
     positive = screened.where("maybe").join(exact, "text_sha256").select("text_sha256", "old_id", F.col("top_id").alias("new_id"))
     known = materialize(confirm_bytes(positive, rows).select("text_sha256"), "known")

@@ -16,7 +16,7 @@ kept; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, id_and_text, materialize
@@ -94,14 +94,19 @@ def _bare(line: Column) -> Column:
 
 
 def entity_lines(found: DataFrame) -> DataFrame:
-    """From rows (text_key, text, base), the lines that hold an entity: text_key, line, line_at, entities."""
-    lines = F.split("text", "\n", -1)
-    cut = found.select("text_key", F.posexplode(lines).alias("i", "line"), lines.alias("lines"), "base")
-    at = F.aggregate(F.slice("lines", F.lit(1), F.col("i")), F.lit(0), lambda a, x: a + F.length(x) + 1)
-    near = cut.where(F.col("line").rlike("[@+0-9]")).select("text_key", "line", at.alias("line_at"), "base")
-    own = F.filter("base", lambda s: (s["start"] >= F.col("line_at")) & (s["end"] <= F.col("line_at") + F.length("line")))
-    kept = near.select("text_key", "line", "line_at", F.array_distinct(F.transform(own, lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"])))).alias("entities"))
-    return kept.where(F.size("entities") > 0)
+    """From rows (text_key, text, base), the lines that hold an entity: text_key, line, line_at, entities.
+
+    No pattern matches a line feed, so a span's line is the last that begins at or before it: lines and spans
+    of a text are read once, in order.
+    """
+    begun = Window.partitionBy("text_key").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    lines = found.select("text_key", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    lines = lines.withColumn("at", F.coalesce(F.sum(F.length("line") + 1).over(begun), F.lit(0))).where(F.col("line").rlike("[@+0-9]"))
+    spans = found.select("text_key", F.explode("base").alias("s")).select("text_key", F.col("s.start").cast("long").alias("at"), F.concat("s.kind", F.lit(":"), F.lower("s.value")).alias("entity"))
+    events = lines.select("text_key", "at", "line", F.lit(None).cast("string").alias("entity")).unionByName(spans.withColumn("line", F.lit(None).cast("string")))
+    so_far = Window.partitionBy("text_key").orderBy("at", F.col("entity").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = events.select("text_key", "entity", F.last("line", True).over(so_far).alias("line"), F.last(F.when(F.col("line").isNotNull(), F.col("at")), True).over(so_far).alias("line_at")).where("entity is not null")
+    return held.groupBy("text_key", "line_at", "line").agg(F.array_sort(F.collect_set("entity")).alias("entities")).select("text_key", "line", "line_at", "entities")
 
 
 def disclosure(docs: DataFrame, lines: DataFrame) -> DataFrame:

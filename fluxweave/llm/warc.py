@@ -29,8 +29,9 @@ from .common import arrow_limits, join_groups, materialize, new_path
 
 INDEX = "page_id long, file string, offset long, length long, url string, digest string, record_type string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
-#: Smallest payload that a revisit may stand for; bytes of one archive file; widest gap and largest range of one read.
-MIN_REVISIT, FILE_BYTES, GAP, RANGE = 100, 1 << 30, 64 << 10, 8 << 20
+#: Smallest payload that a revisit may stand for; bytes of one archive file; widest gap and largest range of one read;
+#: archive bytes that one task reads.
+MIN_REVISIT, FILE_BYTES, GAP, RANGE, SHARE = 100, 1 << 30, 64 << 10, 8 << 20, 16 << 20
 #: Pages carry no date, so records hold this one.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -143,7 +144,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"])
 
-    picked = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # A number that is given is kept: an index row is small, but the record it names need not be.
+    shares = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // SHARE))
+    picked = index.select("file", "offset", "length").repartitionByRange(shares, "file", "offset").sortWithinPartitions("file", "offset")
     return picked.mapInArrow(run, READ)
 
 

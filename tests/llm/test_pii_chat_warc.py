@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -91,6 +92,31 @@ def test_terms_are_found_in_every_line(spark):
     assert clean[2000].startswith("ordinary zanzibariusx\nsaid ") and not any(re.search(r"(?i)\bzanzibarius\b", t) for t in clean.values())
 
 
+def test_long_text(spark):
+    """Fifty thousand lines, every tenth with an address; offsets count code points."""
+    lines = [f"🙂 line {i} by u{i % 7}@ex.org" if i % 10 == 0 else f"plain line {i}" for i in range(50_000)]
+    text = "\n".join(lines)
+    (row,) = pii.pii_report(docs(spark, [(1, text)])).collect()
+    assert row.n_email == 5_000 and row.base_sha256 == hashlib.sha256(base(text).encode()).hexdigest()
+
+
+def test_lines_of_entities(spark):
+    text = "a@b.co first\n\nnone\n+1 555 123 4567 and a@b.co, A@b.co\n10.0.0.1"
+    df = docs(spark, [(1, text)]).select(F.lit("k").alias("text_key"), "text", pii.base_spans(F.col("text")).alias("base"))
+    got = sorted((r.line_at, r.line, r.entities) for r in pii.entity_lines(df).collect())
+    assert got == [(0, "a@b.co first", ["email:a@b.co"]), (19, "+1 555 123 4567 and a@b.co, A@b.co", ["email:a@b.co", "phone:+1 555 123 4567"]), (54, "10.0.0.1", ["ip:10.0.0.1"])]
+
+
+def test_disclosure_by_hand(spark):
+    """Shares of every (entity, term) from plain counts; the threshold itself counts as reached."""
+    lines = [f"w{i} common" for i in range(90)] + [f"secret{'' if i else 's'} note{i} a@b.co" for i in range(6)] + ["secret elsewhere", "note1 also"]
+    df = docs(spark, [(i, x) for i, x in enumerate(lines)]).select(F.col("doc_id").cast("string").alias("text_key"), "text", pii.base_spans(F.col("text")).alias("base"))
+    got = {(r.entity, r.term): round(r.share, 9) for r in pii.disclosure(df.select("text"), pii.entity_lines(df.where(F.size("base") > 0))).collect()}
+    n, n_e, n_t, n_j = len(lines), 6, 6, 5
+    share = 1 + math.log(n_j / n_t) / -math.log(n_e / n)
+    assert got == {("email:a@b.co", "secret"): round(share, 9)} and share >= pii.GENERALISE
+
+
 def test_sanitize_keeps_columns(spark):
     df = docs(spark, [(1, "mail a@b.co now"), (None, None)], extra=False)
     got = pii.sanitize(df)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import struct
 import zlib
@@ -56,7 +57,7 @@ def test_suffix_array_encoding(texts):
     coder = sentencepiece_suffix.Encoder()
     ids = coder.encode(texts)
     assert [x.tolist() for x in ids] == SP.encode(texts)
-    assert [coder.decode(x) for x in ids] == [t.replace("▁", " ") for t in texts]
+    assert [sentencepiece_suffix.Decoder().decode(x) for x in ids] == [t.replace("▁", " ") for t in texts]
 
 
 def test_sentencepiece_rows(spark, rows):
@@ -185,3 +186,51 @@ def test_similar_images_have_near_hashes():
 
 def test_tokenizer_files_are_not_in_the_repository():
     assert public_tokenizers.path("word_bpe_49k.json") == packing.MODEL
+
+
+def test_png_rows_are_filtered():
+    """Of three rows alike the later two are stored as differences, and reading undoes them."""
+    png = media.encode_png(payload := media.pad(bytes(range(192)) * 3 + b"abcabc" * 40))
+    lines = np.frombuffer(zlib.decompress(png[41 : 41 + struct.unpack(">I", png[33:37])[0]]), np.uint8).reshape(-1, 193)
+    assert lines[1:3, 0].tolist() == [2, 2] and lines[0, 0] == 1 and media.decode_png(png) == (payload, 192)
+
+
+@pytest.mark.parametrize("size", [192, 192 * 5, 192 * 32, 192 * 100])
+def test_cosine_hash_by_hand(size):
+    """The reduction and the coefficients from their definitions, one number at a time."""
+    raw = bytes(random.Random(size).randrange(256) for _ in range(size))
+    rows = [list(raw[i : i + 192]) for i in range(0, size, 192)]
+
+    def reduce(values, n):
+        cut = [k * len(values) // n for k in range(n)] + [len(values)]
+        return [values[cut[k]] if len(values) < n else [sum(v[c] for v in values[cut[k] : cut[k + 1]]) / (cut[k + 1] - cut[k]) for c in range(len(values[0]))] for k in range(n)]
+
+    small = reduce([list(x) for x in zip(*reduce(rows, 32), strict=True)], 32)
+    low = [round(sum(small[x][y] * math.cos(math.pi / 32 * u * (y + 0.5)) * math.cos(math.pi / 32 * v * (x + 0.5)) for x in range(32) for y in range(32)), 6) for u in range(8) for v in range(8)]
+    middle = sorted(low[1:])[31]
+    bits = "".join("1" if c > middle else "0" for c in low)
+    assert media.cosine_hash(raw, 192) == int(bits, 2).to_bytes(8, "big")
+
+
+def test_million_characters():
+    text = "ab,c12 déjà " * 40_000 + "x" * 400_000 + "漢🙂" * 60_000
+    coder, sp = sentencepiece_suffix.Encoder(), sentencepiece_suffix.processor(sentencepiece_suffix.MODEL)
+    assert coder.encode([text])[0].tolist() == sp.encode(text)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_plan_is_filled_by_combinations(seed):
+    rng = np.random.default_rng(seed)
+    hist = np.bincount(np.minimum(2047, rng.gamma(2, 300, 2_000).astype(int)), minlength=2048)
+    plan = packing.Plan(hist)
+    assert plan.combined * 2048 >= 0.9 * (hist * np.arange(2048)).sum()
+    used = np.zeros((plan.sequences, 2048), bool)
+    for length in np.flatnonzero(hist).tolist():
+        for rank in range(int(hist[length])) if length else ():
+            pieces = plan.place(length, rank)
+            assert sum(p[1] for p in pieces) == length
+            for _, n, sequence, offset in pieces:
+                assert not used[sequence, offset : offset + n].any()
+                used[sequence, offset : offset + n] = True
+    whole = plan.sequences - (plan.total % 2048).bit_count()
+    assert used[:whole].all() and all(int(n).bit_count() == 1 for n in used[whole:].sum(axis=1))
