@@ -13,5 +13,8 @@ REQUIRED = {
     "cf": ("Indicator", "Indicator unit", "Flow UUID", "Flowable", "Location", "Characterization Factor"),
     "foreground": ("process_name", "exchange_type", "flow_uuid", "provider_uuid", "flow_name", "amount", "unit", "is_ref"),
     "result": ("scenario", "method", "score", "unit", "functional_unit"),
+    "library_flow": ("row", "flow_id", "flow_type"),
+    "library_process": ("process_id",),
+    "library_inventory": ("row", "process_id", "value"),
     "contribution": ("scenario", "method", "process_name", "contribution_score"),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluxweave.functions.text import parse_version
+from fluxweave.functions.text import categories, flow_kind, parse_version
 
 
 def latest_version(rows: DataFrame, key: list[str], version: str, changed: str, order: list[str]) -> DataFrame:
@@ -63,3 +63,10 @@ def flow_conflicts(flows: DataFrame, key: str, identity: list[str]) -> DataFrame
 def jobs(processes: DataFrame, coproducts: DataFrame) -> DataFrame:
     """Activities to build: processes and causal co-products."""
     return processes.unionByName(coproducts, allowMissingColumns=True)
+
+
+def elementary_flows(flows: DataFrame) -> DataFrame:
+    """The flow list as flow_id, name, unit, categories, kind and cas (empty without one); repeated ids are one row."""
+    context = F.coalesce("Context", F.lit(""))
+    rows = flows.select(F.col("`Flow UUID`").alias("flow_id"), F.col("Flowable").alias("name"), F.col("Unit").alias("unit"), categories(context).alias("categories"), flow_kind(context, F.col("Class")).alias("kind"), F.coalesce(F.col("`CAS No`").cast("string"), F.lit("")).alias("cas"))
+    return rows.dropDuplicates(["flow_id"])

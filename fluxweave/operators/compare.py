@@ -106,6 +106,18 @@ def ratios(cells: DataFrame) -> DataFrame:
     return rows.withColumn("percent", F.least(100 * F.col("ratio"), F.lit(200.0))).withColumn("band", band).withColumn("label", F.concat_ws(" | ", "process", "category"))
 
 
+def match_references(scores: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cells: process, category, computed, reference; rows of either side without a partner, and which side).
+
+    scores: process, category, score; references: process, category, ol_score. Names match exactly.
+    """
+    key = ["process", "category"]
+    mine, theirs = scores.select(*key, F.col("score").alias("computed")), references.select(*key, F.col("ol_score").alias("reference"))
+    alone = mine.join(theirs, key, "left_anti").select(*key, F.lit("no reference").alias("reason"))
+    missing = theirs.join(mine, key, "left_anti").select(*key, F.lit("not computed").alias("reason"))
+    return mine.join(theirs, key), alone.unionByName(missing)
+
+
 def gate(cells: DataFrame) -> DataFrame:
     """One row: cells, failures, largest deviation, verdict. A zero against a non-zero score fails either way."""
     rows = ratios(cells)

@@ -17,6 +17,48 @@ def require_empty(rows: DataFrame, message: str, shown: int = 5) -> None:
         raise GuardError(f"{message}: {'; '.join(str(r.asDict()) for r in found)}")
 
 
+# What violates a guard, as rows. The guards below raise on them; `report` counts them.
+
+
+def empty_columns(consumed: DataFrame, columns: DataFrame) -> DataFrame:
+    """Causal co-products that links consume and that have no exchanges of their own."""
+    return consumed.select("coproduct_code").distinct().join(columns.select("coproduct_code").distinct(), "coproduct_code", "left_anti")
+
+
+def without_flow(exchanges: DataFrame) -> DataFrame:
+    return exchanges.where("flow_id is null").select("process_id")
+
+
+def without_production(activities: DataFrame, production: DataFrame) -> DataFrame:
+    return activities.select("code").join(production.select("code").distinct(), "code", "left_anti")
+
+
+def impossible(decisions: DataFrame) -> DataFrame:
+    return decisions.where("method = 'failed'")
+
+
+def unpinned(identity: DataFrame, pins: DataFrame) -> DataFrame:
+    """identity and pins: name, sha256. Sources that are there with another content than pinned."""
+    return identity.join(pins.withColumnRenamed("sha256", "pinned"), "name").where("sha256 <> pinned")
+
+
+def repeated(index: DataFrame, key: str) -> DataFrame:
+    return index.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def missing_builds(wanted: DataFrame, meta: DataFrame) -> DataFrame:
+    return wanted.select("db").distinct().join(meta.select("db").distinct(), "db", "left_anti")
+
+
+def report(found: dict[str, DataFrame]) -> DataFrame:
+    """guard and n_violations for the violations of several guards."""
+    counts = [rows.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("guard"), "n_violations") for name, rows in found.items()]
+    whole = counts[0]
+    for c in counts[1:]:
+        whole = whole.unionByName(c)
+    return whole
+
+
 def known_units(unknown: DataFrame, allow: bool = False) -> None:
     if not allow:
         require_empty(unknown, "unknown units")
@@ -24,20 +66,20 @@ def known_units(unknown: DataFrame, allow: bool = False) -> None:
 
 def consumed_columns_filled(consumed: DataFrame, columns: DataFrame) -> None:
     """Causal co-products that links consume must have exchanges of their own."""
-    require_empty(consumed.select("coproduct_code").distinct().join(columns.select("coproduct_code").distinct(), "coproduct_code", "left_anti"), "consumed co-products without exchanges")
+    require_empty(empty_columns(consumed, columns), "consumed co-products without exchanges")
 
 
 def flows_named(exchanges: DataFrame) -> None:
-    require_empty(exchanges.where("flow_id is null").select("process_id"), "exchanges without a flow")
+    require_empty(without_flow(exchanges), "exchanges without a flow")
 
 
 def production_present(activities: DataFrame, production: DataFrame) -> None:
-    require_empty(activities.select("code").join(production.select("code").distinct(), "code", "left_anti"), "activities without production")
+    require_empty(without_production(activities, production), "activities without production")
 
 
 def allocation_possible(decisions: DataFrame) -> None:
     """Several outputs need a reference, and a mass fallback needs a mass of the reference."""
-    require_empty(decisions.where("method = 'failed'"), "allocation is impossible")
+    require_empty(impossible(decisions), "allocation is impossible")
 
 
 def flow_list(flows: DataFrame, conflicts: DataFrame, least: int) -> None:
@@ -49,8 +91,7 @@ def flow_list(flows: DataFrame, conflicts: DataFrame, least: int) -> None:
 
 def hash_pinned(identity: DataFrame, pins: DataFrame) -> None:
     """identity and pins: name, sha256."""
-    other = identity.join(pins.withColumnRenamed("sha256", "pinned"), "name").where("sha256 <> pinned")
-    require_empty(other, "content differs from its pin")
+    require_empty(unpinned(identity, pins), "content differs from its pin")
 
 
 def method_count(cf: DataFrame, expected: int) -> None:
@@ -68,7 +109,7 @@ def index_complete(index: DataFrame, key: str, expected: int) -> None:
     n = index.count()
     if n != expected:
         raise GuardError(f"the index has {n} entries for {expected} rows")
-    require_empty(index.groupBy(key).count().where("count > 1"), "ids that occur twice in the index")
+    require_empty(repeated(index, key), "ids that occur twice in the index")
 
 
 def single_reference(several: DataFrame) -> None:

@@ -1,9 +1,9 @@
 """Network solve: many demands at once, or every activity at once, by rounds of join and aggregate.
 
-One round passes the newest amounts along the edges. Per key and node the state holds the total, the
-sum of absolute amounts and the newest amount. Rounds end when no newest amount exceeds the
-tolerance times the sum of absolute amounts, which no unit can disturb; a node reached for the first
-time has a ratio of 1, so the rounds cannot end before the chain is reached. Rounds are checkpointed.
+One round passes the newest amounts, the frontier, along the edges and writes what arrives. Only the
+frontier is joined and shuffled; the totals are one sum over all rounds at the end. Rounds end when
+nothing moves any more. On a cyclic network amounts only die down: there, every few rounds, the frontier
+is held against the sum of absolute amounts that reached its nodes, a ratio which no unit can disturb.
 """
 
 from __future__ import annotations
@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxweave.plans.lineage import cut
+from fluxweave.plans.lineage import cut, new_path
 
-TOLERANCE, MAX_ROUNDS = 1e-12, 200
+#: Smallest live share, most rounds, and after how many rounds it is looked whether any share lives.
+TOLERANCE, MAX_ROUNDS, LOOK = 1e-12, 200, 8
 
 
 class Diverged(RuntimeError):
@@ -32,17 +33,21 @@ def coefficients(technosphere: DataFrame, production: DataFrame) -> DataFrame:
 
 def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """seed (key, node, value) summed with all that the edges (src, dst, w) pass on: key, node, total."""
-    edges = cut(edges)
-    first = seed.groupBy("key", "node").agg(F.sum("value").alias("v"))
-    state = cut(first.select("key", "node", F.col("v").alias("total"), F.abs("v").alias("reached"), F.col("v").alias("newest")))
-    live = (F.col("newest") != 0) & (F.abs("newest") > tolerance * F.col("reached"))
-    for _ in range(max_rounds):
-        if state.where(live).isEmpty():
-            return state.select("key", "node", "total")
-        moved = state.where("newest <> 0").join(edges, F.col("node") == F.col("src")).groupBy("key", F.col("dst").alias("node")).agg(F.sum(F.col("newest") * F.col("w")).alias("v"))
-        rows = state.select("key", "node", "total", "reached", F.lit(0.0).alias("newest")).unionByName(moved.select("key", "node", F.col("v").alias("total"), F.abs("v").alias("reached"), F.col("v").alias("newest")))
-        state = cut(rows.groupBy("key", "node").agg(*(F.sum(c).alias(c) for c in ("total", "reached", "newest"))))
-    worst = [f"{r['key']}/{r['node']}" for r in state.where(live).orderBy(F.abs("newest").desc()).limit(5).collect()]
+    folder = new_path(seed.sparkSession, "propagate")
+    edges = cut(edges, f"{folder}/edges")
+    frontier = cut(seed.groupBy("key", "node").agg(F.sum("value").alias("v")), f"{folder}/round=0")
+    passed = frontier
+    for n in range(1, max_rounds + 1):
+        live = frontier.where("v <> 0")
+        if n % LOOK == 0:
+            reached = passed.groupBy("key", "node").agg(F.sum(F.abs("v")).alias("reached"))
+            live = live.join(reached, ["key", "node"]).where(F.abs("v") > tolerance * F.col("reached"))
+        if live.isEmpty():
+            return passed.groupBy("key", "node").agg(F.sum("v").alias("total"))
+        moved = frontier.where("v <> 0").join(edges, F.col("node") == F.col("src")).groupBy("key", F.col("dst").alias("node")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+        frontier = cut(moved, f"{folder}/round={n}")
+        passed = passed.unionByName(frontier)
+    worst = [f"{r['key']}/{r['node']}" for r in frontier.orderBy(F.abs("v").desc()).limit(5).collect()]
     raise Diverged(f"no convergence in {max_rounds} rounds; largest at {', '.join(worst)}")
 
 

@@ -1,21 +1,36 @@
-"""Reliable checkpoints for iterative jobs."""
+"""The folder that driver and executors share, and tables written to it."""
 
 from __future__ import annotations
 
 import atexit
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df from the checkpoint folder of the session; a local folder is set only where there is none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-            atexit.register(shutil.rmtree, folder, True)
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where it is unset, a folder of this machine, which serves a local master alone."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    own = spark.sparkContext.getCheckpointDir()
+    if own is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        atexit.register(shutil.rmtree, folder, True)
+        spark.sparkContext.setCheckpointDir(f"file://{folder}")
+        own = spark.sparkContext.getCheckpointDir()
+    return own.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, path: str) -> DataFrame:
+    """df written as Parquet and read back: its lineage ends, and its size is known."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

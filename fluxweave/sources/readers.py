@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxweave.functions import schemas
+from fluxweave.operators import guards
 
 #: Names of source archives: an id, an underscore and a release hash.
 SOURCE_NAME = r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}_[0-9A-Za-z]+\.zip$"
@@ -19,16 +20,16 @@ def require_columns(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
-def read_processes(spark: SparkSession, path: str) -> DataFrame:
-    """raw_process: one row per JSON document, with its source folder; documents without an id are skipped."""
-    raw = spark.read.schema(schemas.PROCESS).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+def read_processes(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """raw_process: one row per JSON document (a file, or a line), with its source folder; documents without an id are skipped."""
+    raw = spark.read.schema(schemas.PROCESS).option("multiLine", not lines).option("recursiveFileLookup", True).json(path)
     source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/processes/[^/]+$", 1)
     return raw.select(source.alias("source"), F.col("`@id`").alias("process_id"), "name", "version", F.col("lastChange").alias("last_change"), F.col("location.name").alias("location_name"), F.col("defaultAllocationMethod").alias("default_allocation"), "exchanges", F.col("allocationFactors").alias("allocation_factors")).where("process_id is not null")
 
 
-def read_flows(spark: SparkSession, path: str) -> DataFrame:
+def read_flows(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """flow: the last source in name order wins."""
-    raw = spark.read.schema(schemas.FLOW).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    raw = spark.read.schema(schemas.FLOW).option("multiLine", not lines).option("recursiveFileLookup", True).json(path)
     source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/flows/[^/]+$", 1)
     rows = raw.select(source.alias("source"), F.col("`@id`").alias("flow_id"), "name", F.col("flowType").alias("flow_type"), F.col("flowProperties").alias("flow_properties")).where("flow_id is not null")
     return rows.groupBy("flow_id").agg(*(F.max_by(c, "source").alias(c) for c in ("name", "flow_type", "flow_properties")))
@@ -92,3 +93,11 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 def read_reference_scores(df: DataFrame) -> DataFrame:
     """process, mode, category, ol_score: null scores are 0, rows without a category go."""
     return df.where(F.col("category").isNotNull()).withColumn("ol_score", F.coalesce("ol_score", F.lit(0.0)))
+
+
+def read_library(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(processes, flows, cumulative inventory) of a solved library: three Parquet tables; ids of an index occur once."""
+    processes, flows, inventory = (read_table(spark, f"{path}/{t}", f"library_{t}") for t in ("process", "flow", "inventory"))
+    for index, key in ((processes, "process_id"), (flows, "row")):
+        guards.require_empty(guards.repeated(index, key), "ids that occur twice in the index")
+    return processes, flows, inventory

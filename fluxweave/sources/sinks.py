@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -24,10 +24,11 @@ def write_results(df: DataFrame, path: str) -> int:
 
 def write_contributions(df: DataFrame, path: str) -> int:
     """Rows written; none, and no table, when df is empty."""
-    n = df.count()
-    if n:
-        replace_partitions(df, path, "scenario")
-    return n
+    if df.isEmpty():
+        return 0
+    written = Observation()
+    replace_partitions(df.observe(written, F.count(F.lit(1)).alias("n")), path, "scenario")
+    return written.get["n"]
 
 
 def write_cf(df: DataFrame, path: str) -> None:
