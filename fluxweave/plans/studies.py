@@ -11,14 +11,32 @@ from fluxweave.plans.queries import query, rounded
 from fluxweave.plans.views import Views, with_views
 
 _DIRECT = "d AS (SELECT b.code, c.method, SUM(b.amount * c.cf) AS direct FROM biosphere b JOIN cf c ON c.flow_id = b.flow_id GROUP BY 1, 2)"
-_CHAIN = """w AS (SELECT t.consumer, t.provider, t.amount / a.amount AS w FROM technosphere t JOIN activity a ON a.code = t.consumer),
+
+
+def chain(demand: str) -> str:
+    """The recursive part: what a table of demands needs of every activity, and its scores."""
+    return f"""w AS (SELECT t.consumer, t.provider, t.amount / a.amount AS w FROM technosphere t JOIN activity a ON a.code = t.consumer),
 q(demand_id, code, quantity, n) AS (
-  SELECT demand_id, code, quantity, 0 FROM demand
+  SELECT demand_id, code, quantity, 0 FROM {demand}
   UNION ALL
   SELECT q.demand_id, w.provider, SUM(q.quantity * w.w), q.n + 1 FROM q JOIN w ON w.consumer = q.code GROUP BY q.demand_id, w.provider, q.n),
 supply AS (SELECT q.demand_id, q.code, SUM(q.quantity) AS quantity FROM q GROUP BY 1, 2),
-""" + _DIRECT + """,
-contrib AS (SELECT s.demand_id, d.method, s.code, s.quantity / a.amount * d.direct AS score FROM supply s JOIN activity a ON a.code = s.code JOIN d ON d.code = s.code)"""
+{_DIRECT},
+contrib AS (SELECT s.demand_id, d.method, s.code, s.quantity / a.amount * d.direct AS score FROM supply s JOIN activity a ON a.code = s.code JOIN d ON d.code = s.code)"""
+
+
+def significant(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles with so many significant digits, whatever their size; a share of 1e-9 is added, so that decimals which
+    end in a 5 at the last place go one way in every engine."""
+    return df.withColumns({c: F.format_string(f"%.{digits - 1}e", F.col(c) * (1 + 1e-9)).try_cast("double") for c, t in df.dtypes if t == "double"})
+
+
+def digits(value: str) -> str:
+    """The same in SQL."""
+    return f"CAST(printf('%.5e', ({value}) * (1 + 1e-9)) AS DOUBLE)"
+
+
+_CHAIN = chain("demand")
 _NETWORK = ("activity", "technosphere", "biosphere", "cf", "demand")
 
 
@@ -43,29 +61,27 @@ def direct_impacts(v: Views) -> DataFrame:
     return rounded(_direct(v).withColumnRenamed("direct", "score"), 8)
 
 
-@query(_contrib("SELECT s.demand_id, s.code, round(s.quantity + 1e-7, 3) AS quantity, round(s.quantity / a.amount + 1e-7, 3) AS level FROM supply s JOIN activity a ON a.code = s.code WHERE s.quantity <> 0"))
+@query(_contrib(f"SELECT s.demand_id, s.code, {digits('s.quantity')} AS quantity, {digits('s.quantity / a.amount')} AS level FROM supply s JOIN activity a ON a.code = s.code WHERE s.quantity <> 0"))
 def supply_chain(v: Views) -> DataFrame:
-    rows = solve.supplied(_supply(v))
-    # Many amounts lie on a rounding edge exactly; the shift takes both engines to the same side.
-    return rounded(rows.withColumns({c: F.col(c) + 1e-7 for c in ("quantity", "level")}), 3)
+    return significant(solve.supplied(_supply(v)))
 
 
-@query(_contrib("SELECT demand_id, method, round(SUM(score), 2) AS score FROM contrib GROUP BY 1, 2"))
+@query(_contrib(f"SELECT demand_id, method, {digits('SUM(score)')} AS score FROM contrib GROUP BY 1, 2"))
 def full_chain_scores(v: Views) -> DataFrame:
-    return rounded(solve.scores(solve.contributions(_supply(v), _direct(v))), 2)
+    return significant(solve.scores(solve.contributions(_supply(v), _direct(v))))
 
 
-@query(_contrib("SELECT demand_id AS scenario, method, code, round(score, 3) AS score FROM contrib WHERE abs(score) >= 1e-30"))
+@query(_contrib(f"SELECT demand_id AS scenario, method, code, {digits('score')} AS score FROM contrib WHERE abs(score) >= 1e-30"))
 def contributions(v: Views) -> DataFrame:
-    return rounded(_contributions(v), 3)
+    return significant(_contributions(v))
 
 
 _TOP = "top AS (SELECT * FROM (SELECT demand_id, code, SUM(abs(score)) AS magnitude, row_number() OVER (PARTITION BY demand_id ORDER BY SUM(abs(score)) DESC, code) AS rank FROM contrib GROUP BY 1, 2) t WHERE rank <= 7)"
 
 
-@query(_contrib("SELECT demand_id AS scenario, code, round(magnitude, 2) AS magnitude, rank FROM top").replace("SELECT demand_id AS scenario, code, round(magnitude", ", " + _TOP + " SELECT demand_id AS scenario, code, round(magnitude").replace(") ,", "),"))
+@query(with_views(f"SELECT demand_id AS scenario, code, {digits('magnitude')} AS magnitude, rank FROM top", *_NETWORK, recursive=f"{_CHAIN}, {_TOP}"))
 def top_contributors(v: Views) -> DataFrame:
-    return rounded(compare.top_contributors(_contributions(v)), 2)
+    return significant(compare.top_contributors(_contributions(v)))
 
 
 @query(with_views("""SELECT scenario, method, part, round(CASE WHEN SUM(score) OVER (PARTITION BY scenario, method) = 0 THEN 0 ELSE 100 * score / SUM(score) OVER (PARTITION BY scenario, method) END, 4) AS percent FROM (
@@ -208,10 +224,10 @@ def foreground_summary(v: Views) -> DataFrame:
     return foreground.summary(_checked(v))
 
 
-@query(with_views("SELECT concat('order ', CAST(l_orderkey AS VARCHAR)) AS code, method, round(SUM(l_quantity * unit_score) / 1000, 6) AS score FROM lineitem JOIN unit ON code = l_partkey WHERE l_tax > 0.07 GROUP BY 1, 2", "activity", "technosphere", "biosphere", "cf", recursive=_ADJOINT))
+@query(with_views("SELECT concat('order ', CAST(l_orderkey AS VARCHAR)) AS code, method, round(SUM(l_quantity * unit_score) / 1000, 6) AS score FROM lineitem JOIN unit ON code = l_partkey GROUP BY 1, 2", "activity", "technosphere", "biosphere", "cf", recursive=_ADJOINT))
 def foreground_scores(v: Views) -> DataFrame:
     """Inventories as transient activities: their inputs in grams, scored by the background's unit scores."""
-    rows = v.spark.sql("SELECT l_orderkey * 10 + l_linenumber AS lineno, concat('order ', l_orderkey) AS process_name, l_partkey AS code, l_quantity AS amount, 'g' AS unit, 'kg' AS ref_unit FROM lineitem WHERE l_tax > 0.07")
+    rows = v.spark.sql("SELECT l_orderkey * 10 + l_linenumber AS lineno, concat('order ', l_orderkey) AS process_name, l_partkey AS code, l_quantity AS amount, 'g' AS unit, 'kg' AS ref_unit FROM lineitem")
     from fluxweave.functions.units import convert_or_refuse
 
     demand = convert_or_refuse(rows).select(F.col("process_name").alias("demand_id"), "code", F.col("converted").alias("quantity"))
