@@ -1,20 +1,23 @@
 """Network solve: many demands at once, or every activity at once, by rounds of join and aggregate.
 
-One round passes the newest amounts, the frontier, along the edges and writes what arrives. Only the
-frontier is joined and shuffled; the totals are one sum over all rounds at the end. Rounds end when
-nothing moves any more. On a cyclic network amounts only die down: there, every few rounds, the frontier
-is held against the sum of absolute amounts that reached its nodes, a ratio which no unit can disturb.
+One round passes the newest amounts, the frontier, along the edges. A few rounds make one job, which writes
+what arrives in each: a round's exchange serves both the write and the next round. Only the frontier is
+joined and shuffled; the totals are one sum over all rounds at the end. Rounds end when nothing moves any
+more. On a cyclic network amounts only die down: there, now and then, the frontier is held against the sum of
+absolute amounts that reached its nodes, a ratio which no unit can disturb.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxweave.plans.lineage import cut, new_path
 
-#: Smallest live share, most rounds, and after how many rounds it is looked whether any share lives.
-TOLERANCE, MAX_ROUNDS, LOOK = 1e-12, 200, 8
+#: Smallest live share, most rounds, rounds in a job, and after how many it is looked whether any share lives.
+TOLERANCE, MAX_ROUNDS, STEP, LOOK = 1e-12, 200, 4, 8
 
 
 class Diverged(RuntimeError):
@@ -31,24 +34,35 @@ def coefficients(technosphere: DataFrame, production: DataFrame) -> DataFrame:
     return edges.join(made, "src").select("src", "dst", (F.col("amount") / F.col("made")).alias("w"))
 
 
+def _passed_on(frontier: DataFrame, edges: DataFrame) -> DataFrame:
+    """key, node, v: what the frontier's amounts give to the nodes behind their edges."""
+    return frontier.where("v <> 0").join(edges, F.col("node") == F.col("src")).groupBy("key", F.col("dst").alias("node")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+
+
 def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """seed (key, node, value) summed with all that the edges (src, dst, w) pass on: key, node, total."""
-    folder = new_path(seed.sparkSession, "propagate")
+    spark, folder = seed.sparkSession, new_path(seed.sparkSession, "propagate")
     edges = cut(edges, f"{folder}/edges")
-    frontier = cut(seed.groupBy("key", "node").agg(F.sum("value").alias("v")), f"{folder}/round=0")
-    passed = frontier
-    for n in range(1, max_rounds + 1):
+    paths, newest = [f"{folder}/from=0"], 0
+    passed = frontier = cut(seed.groupBy("key", "node").agg(F.sum("value").alias("v")).withColumn("round", F.lit(0)), paths[0])
+    while True:
         live = frontier.where("v <> 0")
-        if n % LOOK == 0:
+        if newest and newest % LOOK == 0:
             reached = passed.groupBy("key", "node").agg(F.sum(F.abs("v")).alias("reached"))
             live = live.join(reached, ["key", "node"]).where(F.abs("v") > tolerance * F.col("reached"))
         if live.isEmpty():
             return passed.groupBy("key", "node").agg(F.sum("v").alias("total"))
-        moved = frontier.where("v <> 0").join(edges, F.col("node") == F.col("src")).groupBy("key", F.col("dst").alias("node")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
-        frontier = cut(moved, f"{folder}/round={n}")
-        passed = passed.unionByName(frontier)
+        if newest >= max_rounds:
+            break
+        rounds = []
+        for newest in range(newest + 1, newest + STEP + 1):
+            frontier = _passed_on(frontier, edges)
+            rounds.append(frontier.withColumn("round", F.lit(newest)))
+        paths.append(f"{folder}/from={newest - STEP + 1}")
+        frontier = cut(reduce(DataFrame.unionByName, rounds), paths[-1]).where(F.col("round") == newest)
+        passed = spark.read.schema(passed.schema).parquet(*paths)
     worst = [f"{r['key']}/{r['node']}" for r in frontier.orderBy(F.abs("v").desc()).limit(5).collect()]
-    raise Diverged(f"no convergence in {max_rounds} rounds; largest at {', '.join(worst)}")
+    raise Diverged(f"no convergence in {newest} rounds; largest at {', '.join(worst)}")
 
 
 def supply(demand: DataFrame, technosphere: DataFrame, production: DataFrame) -> DataFrame:
