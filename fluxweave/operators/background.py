@@ -42,7 +42,7 @@ def external_index(activities: DataFrame, db: str, vintage: str) -> DataFrame:
 
 def vintage_votes(references: DataFrame, grid: DataFrame) -> DataFrame:
     """Per source and vintage, the distinct processes that refer to its grid node."""
-    votes = references.join(F.broadcast(grid.select("provider_id", "vintage")), "provider_id")
+    votes = references.join(grid.select("provider_id", "vintage"), "provider_id")
     return votes.groupBy("source", "vintage").agg(F.count_distinct("process_id").alias("votes"))
 
 

@@ -51,7 +51,7 @@ def baseline_guard(scores: DataFrame, baseline: str, most: float = MAX_RATIO) ->
 
 def profile(scores: DataFrame, order: DataFrame) -> DataFrame:
     """Magnitude and sign of each score, in category order (method, place); unknown categories come last."""
-    rows = scores.join(F.broadcast(order), "method", "left")
+    rows = scores.join(order, "method", "left")
     return rows.select("scenario", "method", F.abs("score").alias("magnitude"), (F.col("score") < 0).alias("negative"), F.coalesce("place", F.lit(9999)).alias("place"))
 
 
@@ -72,7 +72,7 @@ def top_contributors(contributions: DataFrame, n: int = 7) -> DataFrame:
 
 def shares(contributions: DataFrame, top: DataFrame) -> DataFrame:
     """Percent of each category's total, by top contributor and 'Other' (0 where the total is 0)."""
-    rows = contributions.join(F.broadcast(top.select("scenario", "code", F.lit(True).alias("is_top"))), ["scenario", "code"], "left")
+    rows = contributions.join(top.select("scenario", "code", F.lit(True).alias("is_top")), ["scenario", "code"], "left")
     g = rows.groupBy("scenario", "method", F.when(F.col("is_top"), F.col("code").cast("string")).otherwise("Other").alias("part")).agg(F.sum("score").alias("score"))
     total = g.groupBy("scenario", "method").agg(F.sum("score").alias("total"))
     return g.join(total, ["scenario", "method"]).select("scenario", "method", "part", F.coalesce(100 * F.try_divide("score", "total"), F.lit(0.0)).alias("percent"))
@@ -92,7 +92,7 @@ def shared_scenarios(results: DataFrame, contributions: DataFrame) -> DataFrame:
 
 def rescale_to_kg(scores: DataFrame, densities: DataFrame) -> DataFrame:
     """Scores per kg: kg as they are, m3 by the configured density, any other unit is an error."""
-    rows = scores.join(F.broadcast(densities), "scenario", "left")
+    rows = scores.join(densities, "scenario", "left")
     kg = F.when(F.col("unit") == "kg", 1.0).when(F.col("unit") == "m3", F.col("density"))
     return rows.withColumn("kg_per_unit", F.coalesce(kg, F.raise_error(F.concat(F.lit("no mass basis for "), F.col("unit"))).cast("double"))).withColumn("score_per_kg", F.col("score") / F.col("kg_per_unit"))
 

@@ -36,7 +36,7 @@ def dropped_census(unmapped: DataFrame) -> DataFrame:
 def method_units(raw: DataFrame, overrides: DataFrame) -> DataFrame:
     """Unit of each method: its only one, or the override; else status is conflict."""
     g = raw.groupBy("method").agg(F.count_distinct("unit").alias("n_units"), F.min("unit").alias("first"))
-    rows = g.join(F.broadcast(overrides.select("method", F.col("unit").alias("o_unit"))), "method", "left")
+    rows = g.join(overrides.select("method", F.col("unit").alias("o_unit")), "method", "left")
     status = F.when(F.col("o_unit").isNotNull(), "override").when(F.col("n_units") == 1, "unique").otherwise("conflict")
     return rows.select("method", "n_units", status.alias("status"), F.coalesce("o_unit", F.when(F.col("n_units") == 1, F.col("first"))).alias("unit"))
 

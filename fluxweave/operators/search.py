@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluxweave.functions.text import head_segment, tokens
 
 
+#: Most queries that are sent to every task at once.
+BLOCK = 1000
+
+
 def merge_builds(catalogue: DataFrame) -> DataFrame:
     """code, name and the builds that have it, in the order of pos (code, name, db, pos)."""
     seen = F.transform(F.array_sort(F.collect_list(F.struct("pos", "db"))), lambda s: s["db"])
@@ -26,18 +32,25 @@ def rank_key(name: Column, query: Column) -> list[Column]:
     return [F.when(low == q, 0).otherwise(1), F.when(head, 0).otherwise(1), F.when(low.startswith(q), 0).otherwise(1), F.length(name), name]
 
 
+def against_all(rows: DataFrame, queries: DataFrame, on: Column) -> DataFrame:
+    """rows beside each query for which `on` holds. Queries go to every task in blocks of about BLOCK."""
+    n = max(1, -(-queries.count() // BLOCK))
+    blocks = [queries.where(F.pmod(F.xxhash64("query"), F.lit(n)) == i) for i in range(n)] if n > 1 else [queries]
+    return reduce(DataFrame.unionByName, [rows.join(F.broadcast(b), on) for b in blocks])
+
+
 def search(catalogue: DataFrame, queries: DataFrame, limit: int = 20) -> DataFrame:
     """Best matches of each query (query): query, rank, code, name, total. limit 0 gives all.
 
-    Queries are what users type, a few rows, and are sent to every task; the catalogue is read once.
+    Queries are what users type, a few rows: the catalogue is read once for each block of them.
     """
-    hits = catalogue.join(F.broadcast(queries), match(F.col("name"), F.col("query")))
+    hits = against_all(catalogue, queries, match(F.col("name"), F.col("query")))
     w = Window.partitionBy("query").orderBy(*rank_key(F.col("name"), F.col("query")), "code")
     total = hits.groupBy("query").agg(F.count(F.lit(1)).alias("total"))
     ranked = hits.withColumn("rank", F.row_number().over(w))
     if limit:
         ranked = ranked.where(F.col("rank") <= limit)
-    return ranked.join(F.broadcast(total), "query").select("query", "rank", "code", "name", "total")
+    return ranked.join(total, "query").select("query", "rank", "code", "name", "total")
 
 
 def suggest(catalogue: DataFrame, queries: DataFrame, limit: int = 5, cutoff: float = 0.6) -> DataFrame:
@@ -45,7 +58,7 @@ def suggest(catalogue: DataFrame, queries: DataFrame, limit: int = 5, cutoff: fl
     heads = catalogue.select(head_segment(F.col("name")).alias("head")).distinct()
     q = F.lower(F.trim(F.col("query")))
     likeness = 1 - F.levenshtein(F.col("head"), q) / F.greatest(F.length("head"), F.length(q), F.lit(1))
-    rows = heads.join(F.broadcast(queries)).withColumn("likeness", likeness).where(F.col("likeness") >= cutoff)
+    rows = against_all(heads, queries, likeness >= cutoff).withColumn("likeness", likeness)
     w = Window.partitionBy("query").orderBy(F.desc("likeness"), "head")
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit).select("query", "rank", "head", "likeness")
 

@@ -188,7 +188,7 @@ def location_normalize(v: Views) -> DataFrame:
     return v.spark.sql(f"SELECT c_custkey, {_PLACE} AS place FROM customer JOIN nation ON c_nationkey = n_nationkey").select("c_custkey", text.location_code(F.col("place")).alias("location"))
 
 
-@query(None)
+@query(with_views("SELECT code, concat(substr(h, 1, 8), '-', substr(h, 9, 4), '-5', substr(h, 14, 3), '-', CASE WHEN substr(h, 17, 1) IN ('0', '4', '8', 'c') THEN '8' WHEN substr(h, 17, 1) IN ('1', '5', '9', 'd') THEN '9' WHEN substr(h, 17, 1) IN ('2', '6', 'a', 'e') THEN 'a' ELSE 'b' END, substr(h, 18, 3), '-', substr(h, 21, 12)) AS uuid FROM (SELECT code, sha1(from_hex('6ba7b8109dad11d180b400c04fd430c8') || encode(lower(trim(name)))) AS h FROM activity) x", "activity"))
 def name_uuid(v: Views) -> DataFrame:
     return v.activity.select("code", text.name_uuid(F.col("name")).alias("uuid"))
 
@@ -431,9 +431,9 @@ def provider_status(v: Views) -> DataFrame:
     return background.provider_status(refs, v.library, "click")
 
 
-@query("SELECT CAST(floor(event_id / 3) AS BIGINT) AS provider_id FROM events GROUP BY 1 HAVING COUNT(*) FILTER (WHERE event_type <> 'click') = 0")
+@query("SELECT CAST(floor(event_id / 2) AS BIGINT) AS provider_id FROM events GROUP BY 1 HAVING COUNT(*) FILTER (WHERE event_type <> 'click') = 0")
 def full_only_providers(v: Views) -> DataFrame:
-    return background.only_in(v.spark.table("events").select(F.col("event_type").alias("source"), F.floor(F.col("event_id") / 3).alias("provider_id")), "click")
+    return background.only_in(v.spark.table("events").select(F.col("event_type").alias("source"), F.floor(F.col("event_id") / 2).alias("provider_id")), "click")
 
 
 _MATRIX = """direct AS (SELECT l_suppkey AS row, l_partkey AS mid, SUM(l_quantity) AS b FROM lineitem GROUP BY 1, 2),

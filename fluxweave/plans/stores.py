@@ -20,7 +20,7 @@ def _process_files(v: Views) -> str:
     """Orders as process documents of two sources, one JSON line each: some without an id, some fields missing."""
     path = new_path(v.spark, "processes")
     exchange = """named_struct('internalId', CAST(l_linenumber AS INT), 'isInput', IF(l_linestatus = 'O', TRUE, NULL), 'isQuantitativeReference', IF(l_linenumber = 1, TRUE, NULL), 'amount', IF(l_tax > 0.07, NULL, l_quantity),
-        'unit', IF(l_discount > 0.09, NULL, named_struct('name', 'kg')), 'flow', named_struct('@id', CAST(l_partkey AS STRING), 'name', l_shipmode, 'flowType', 'PRODUCT_FLOW'), 'defaultProvider', IF(l_suppkey % 2 = 0, named_struct('@id', CAST(l_suppkey AS STRING)), NULL))""".replace("l_shipmode", "l_returnflag")
+        'unit', IF(l_discount > 0.09, NULL, named_struct('name', 'kg')), 'flow', named_struct('@id', CAST(l_partkey AS STRING), 'name', l_returnflag, 'flowType', 'PRODUCT_FLOW'), 'defaultProvider', IF(l_suppkey % 2 = 0, named_struct('@id', CAST(l_suppkey AS STRING)), NULL))"""
     factor = "IF(l_discount > 0.05, named_struct('allocationType', 'CAUSAL_ALLOCATION', 'product', named_struct('@id', CAST(l_partkey AS STRING)), 'exchange', named_struct('internalId', CAST(l_linenumber AS INT)), 'value', l_discount), NULL)"
     lines = v.spark.sql(f"SELECT l_orderkey, sort_array(collect_list(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, {exchange} AS e, {factor} AS f))) AS rows FROM lineitem GROUP BY l_orderkey")
     docs = lines.join(v.spark.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -133,7 +133,7 @@ def build_jobs(v: Views) -> DataFrame:
     return catalog.jobs(v.spark.sql("SELECT CAST(o_orderkey AS STRING) AS code FROM orders"), coproducts).select("code", "flow_id")
 
 
-@query("SELECT p_partkey AS supplier, concat(p_name, '; at ', p_brand) AS supplier_name, p_brand AS flow_id, 'subset' AS supplier_db, '2025' AS vintage FROM part WHERE p_retailprice > 1000")
+@query("SELECT p_partkey AS supplier, concat(p_name, '; at ', p_brand) AS supplier_name, p_brand AS flow_id, 'subset' AS supplier_db, '2025' AS vintage FROM part WHERE p_retailprice > 905")
 def external_suppliers(v: Views) -> DataFrame:
     flows = v.spark.sql("SELECT p_partkey AS code, p_brand AS ref_flow_id FROM part")
     return background.external_index(v.catalogue.join(flows, "code"), "subset", "2025")
@@ -182,7 +182,7 @@ def merged_network(v: Views) -> DataFrame:
 # --- sinks -------------------------------------------------------------------------------------------------
 
 
-@query("SELECT 'full' AS db, COUNT(*) AS n_rows, TRUE AS refused FROM part UNION ALL SELECT 'subset', COUNT(*), TRUE FROM part WHERE p_retailprice > 1000 HAVING COUNT(*) > 0")
+@query("SELECT 'full' AS db, COUNT(*) AS n_rows, TRUE AS refused FROM part UNION ALL SELECT 'subset', COUNT(*), TRUE FROM part WHERE p_retailprice > 905 HAVING COUNT(*) > 0")
 def activity_store(v: Views) -> DataFrame:
     """A store that is there is kept; with overwrite it is written again."""
     path, refused = new_path(v.spark, "store"), False
@@ -204,7 +204,7 @@ def result_store(v: Views) -> DataFrame:
     return rounded(v.spark.read.parquet(path).withColumn("n_stored", F.lit(n).cast("long")))
 
 
-@query(with_views("SELECT scenario, COUNT(*) AS n_rows, SUM(COUNT(*)) OVER () AS n_written, 0 AS n_empty FROM scenario GROUP BY scenario", "scenario"))
+@query(with_views("SELECT scenario, COUNT(*) AS n_rows, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS n_written, 0 AS n_empty FROM scenario GROUP BY scenario", "scenario"))
 def contribution_store(v: Views) -> DataFrame:
     path, rows = new_path(v.spark, "contributions"), v.scenario.select("scenario", "method", "score")
     empty = sinks.write_contributions(rows.where("false"), path)
@@ -238,7 +238,7 @@ def conversion_store(v: Views) -> DataFrame:
     return rounded(v.spark.read.parquet(path))
 
 
-@query("SELECT 'full' AS db, COUNT(*) AS activity_count, '2026' AS vintage, FALSE AS stale FROM part UNION ALL SELECT 'subset', COUNT(*), '2025', TRUE FROM part WHERE p_retailprice > 1000 HAVING COUNT(*) > 0")
+@query("SELECT 'full' AS db, COUNT(*) AS activity_count, '2026' AS vintage, FALSE AS stale FROM part UNION ALL SELECT 'subset', COUNT(*), '2025', TRUE FROM part WHERE p_retailprice > 905 HAVING COUNT(*) > 0")
 def build_stamps(v: Views) -> DataFrame:
     """Stamping a build again replaces its row; the other build's flow list is stale then."""
     path = new_path(v.spark, "meta")

@@ -13,13 +13,13 @@ from fluxweave.plans.views import Views, with_views
 _DIRECT = "d AS (SELECT b.code, c.method, SUM(b.amount * c.cf) AS direct FROM biosphere b JOIN cf c ON c.flow_id = b.flow_id GROUP BY 1, 2)"
 
 
-def chain(demand: str) -> str:
-    """The recursive part: what a table of demands needs of every activity, and its scores."""
-    return f"""w AS (SELECT t.consumer, t.provider, t.amount / a.amount AS w FROM technosphere t JOIN activity a ON a.code = t.consumer),
+def chain(demand: str, network: str = "technosphere", rounds: int = 0) -> str:
+    """The recursive part: what a table of demands needs of every activity, and its scores; on a cyclic network after so many rounds."""
+    return f"""w AS (SELECT t.consumer, t.provider, t.amount / a.amount AS w FROM {network} t JOIN activity a ON a.code = t.consumer),
 q(demand_id, code, quantity, n) AS (
   SELECT demand_id, code, quantity, 0 FROM {demand}
   UNION ALL
-  SELECT q.demand_id, w.provider, SUM(q.quantity * w.w), q.n + 1 FROM q JOIN w ON w.consumer = q.code GROUP BY q.demand_id, w.provider, q.n),
+  SELECT q.demand_id, w.provider, SUM(q.quantity * w.w), q.n + 1 FROM q JOIN w ON w.consumer = q.code{f" WHERE q.n < {rounds}" if rounds else ""} GROUP BY q.demand_id, w.provider, q.n),
 supply AS (SELECT q.demand_id, q.code, SUM(q.quantity) AS quantity FROM q GROUP BY 1, 2),
 {_DIRECT},
 contrib AS (SELECT s.demand_id, d.method, s.code, s.quantity / a.amount * d.direct AS score FROM supply s JOIN activity a ON a.code = s.code JOIN d ON d.code = s.code)"""
@@ -71,6 +71,15 @@ def full_chain_scores(v: Views) -> DataFrame:
     return significant(solve.scores(solve.contributions(_supply(v), _direct(v))))
 
 
+_CYCLIC = ("activity", "technosphere", "cyclic", "biosphere", "cf", "demand")
+
+
+@query(with_views(f"SELECT demand_id, method, {digits('SUM(score)')} AS score FROM contrib GROUP BY 1, 2", *_CYCLIC, recursive=chain("demand", "cyclic", 120)))
+def cyclic_scores(v: Views) -> DataFrame:
+    """Scores where suppliers also take from their consumers; the statement stops after a fixed number of rounds."""
+    return significant(solve.scores(solve.contributions(solve.supply(v.demand, v.cyclic, v.activity), _direct(v))))
+
+
 @query(_contrib(f"SELECT demand_id AS scenario, method, code, {digits('score')} AS score FROM contrib WHERE abs(score) >= 1e-30"))
 def contributions(v: Views) -> DataFrame:
     return significant(_contributions(v))
@@ -127,14 +136,21 @@ def batch_study(v: Views) -> DataFrame:
 _AUDIT = "audit AS (SELECT l_partkey AS code, COUNT(*) FILTER (WHERE l_suppkey % 9 = 0) AS bio_unmatched, COUNT(*) FILTER (WHERE l_discount > 0.09) AS tech_unlinked, COUNT(*) FILTER (WHERE l_discount > 0.095) AS tech_ambiguous FROM lineitem WHERE l_partkey % 13 <> 5 GROUP BY l_partkey)"
 
 
-@query(with_views("""SELECT demand_id, COUNT(*) AS n_activities, COUNT(*) FILTER (WHERE p_retailprice < 905) AS n_external, COUNT(*) FILTER (WHERE p_retailprice >= 905 AND a.code IS NOT NULL) AS n_audited, COUNT(*) FILTER (WHERE p_retailprice >= 905 AND a.code IS NULL) AS n_unaudited,
+_COMPLETE = """SELECT demand_id, COUNT(*) AS n_activities, COUNT(*) FILTER (WHERE p_retailprice < 905) AS n_external, COUNT(*) FILTER (WHERE p_retailprice >= 905 AND a.code IS NOT NULL) AS n_audited, COUNT(*) FILTER (WHERE p_retailprice >= 905 AND a.code IS NULL) AS n_unaudited,
   CAST(coalesce(SUM(bio_unmatched) FILTER (WHERE p_retailprice >= 905), 0) AS BIGINT) AS bio_unmatched, CAST(coalesce(SUM(tech_unlinked) FILTER (WHERE p_retailprice >= 905), 0) AS BIGINT) AS tech_unlinked, CAST(coalesce(SUM(tech_ambiguous) FILTER (WHERE p_retailprice >= 905), 0) AS BIGINT) AS tech_ambiguous,
   COUNT(*) FILTER (WHERE p_retailprice >= 905 AND a.code IS NULL) = 0 AND coalesce(SUM(bio_unmatched + tech_unlinked) FILTER (WHERE p_retailprice >= 905), 0) = 0 AS fully_linked
-FROM supply s JOIN part ON p_partkey = s.code LEFT JOIN audit a ON a.code = s.code WHERE quantity <> 0 GROUP BY demand_id""", *_NETWORK, recursive=f"{_CHAIN}, {_AUDIT}"))
+FROM supply s JOIN part ON p_partkey = s.code LEFT JOIN audit a ON a.code = s.code WHERE quantity <> 0 GROUP BY demand_id"""
+
+
+@query(with_views(_COMPLETE, *_NETWORK, recursive=f"{_CHAIN}, {_AUDIT}"))
 def completeness(v: Views) -> DataFrame:
+    return _complete(v, _supply(v))
+
+
+def _complete(v: Views, levels: DataFrame) -> DataFrame:
     counted = v.spark.sql("SELECT l_partkey AS code, count_if(l_suppkey % 9 = 0) AS bio_unmatched, count_if(l_discount > 0.09) AS tech_unlinked, count_if(l_discount > 0.095) AS tech_ambiguous FROM lineitem WHERE l_partkey % 13 <> 5 GROUP BY l_partkey")
     external = v.spark.sql("SELECT p_partkey AS code FROM part WHERE p_retailprice < 905")
-    return audit.completeness(solve.supplied(_supply(v)).select("demand_id", "code"), counted, external)
+    return audit.completeness(solve.supplied(levels).select("demand_id", "code"), counted, external)
 
 
 _META = "SELECT event_type AS db, MAX(CASE WHEN value > 0 THEN CAST(CAST(user_id % 2 AS INT) + 2025 AS VARCHAR(10)) END) AS vintage, COUNT(*) AS activity_count FROM events GROUP BY event_type"
@@ -184,13 +200,12 @@ def source_verdicts(v: Views) -> DataFrame:
     return background.scan_sources(v.grid_reference, grid, "click")
 
 
-@query(None)
+@query(with_views(f"SELECT r.*, x.method, x.score, m.db, m.vintage FROM complete r JOIN (SELECT demand_id, method, {digits('SUM(score)')} AS score FROM contrib GROUP BY 1, 2) x ON x.demand_id = r.demand_id, meta m", *_NETWORK, recursive=f"{_CHAIN}, {_AUDIT}, complete AS ({_COMPLETE}), meta AS ({_META})"))
 def run_manifest(v: Views) -> DataFrame:
+    """Manifests laid flat: a row for each demand, method and build."""
     levels = _supply(v)
-    chain = solve.supplied(levels).select("demand_id", "code")
-    nothing = v.spark.sql("SELECT p_partkey AS code, 0L AS bio_unmatched, 0L AS tech_unlinked, 0L AS tech_ambiguous FROM part")
-    complete = audit.completeness(chain, nothing, v.spark.sql("SELECT p_partkey AS code FROM part WHERE p_retailprice < 905"))
-    return audit.manifest(solve.scores(solve.contributions(levels, _direct(v))), complete, v.spark.sql(_META))
+    rows = audit.manifest(solve.scores(solve.contributions(levels, _direct(v))), _complete(v, levels), v.spark.sql(_META))
+    return significant(rows.select("demand_id", "completeness.*", F.explode("scores").alias("s"), "builds").select("*", "s.*", F.explode("builds").alias("b")).select("*", "b.*").drop("s", "b", "builds"))
 
 
 # --- inventories -----------------------------------------------------------------------------------------------
@@ -264,7 +279,7 @@ def merge_catalogue(v: Views) -> DataFrame:
     return search.merge_builds(v.catalogue)
 
 
-@query(with_views("SELECT 'subset' AS db, CAST(p_partkey AS VARCHAR) AS code, p_retailprice > 1000 AS found, CASE WHEN p_retailprice > 1000 THEN '' ELSE 'full' END AS elsewhere FROM part"))
+@query(with_views("SELECT 'subset' AS db, CAST(p_partkey AS VARCHAR) AS code, p_retailprice > 905 AS found, CASE WHEN p_retailprice > 905 THEN '' ELSE 'full' END AS elsewhere FROM part"))
 def target_lookup(v: Views) -> DataFrame:
     wanted = v.spark.sql("SELECT 'subset' AS db, concat(p_partkey, '_', sha1(CAST(p_partkey AS STRING))) AS code FROM part")
     return search.lookup(v.catalogue.withColumn("code", F.col("code").cast("string")), wanted)
@@ -337,6 +352,6 @@ def shared_scenarios(v: Views) -> DataFrame:
     return compare.shared_scenarios(rows.where("c_acctbal > 9000"), rows.where("c_acctbal < -500"))
 
 
-@query(with_views("SELECT scenario, round(SUM(CASE WHEN method = 'AFRICA' THEN score END), 6) AS AFRICA, round(SUM(CASE WHEN method = 'ASIA' THEN score END), 6) AS ASIA, round(SUM(CASE WHEN method = 'EUROPE' THEN score END), 6) AS EUROPE FROM scenario GROUP BY scenario", "scenario"))
+@query(with_views("SELECT scenario, round(SUM(CASE WHEN method = 'AFRICA' THEN score END), 6) AS AFRICA, round(SUM(CASE WHEN method = 'ASIA' THEN score END), 6) AS ASIA, round(SUM(CASE WHEN method = 'EUROPE' THEN score END), 6) AS EUROPE, round(SUM(CASE WHEN method = 'AMERICA' THEN score END), 6) AS AMERICA, round(SUM(CASE WHEN method = 'MIDDLE EAST' THEN score END), 6) AS \"MIDDLE EAST\" FROM scenario GROUP BY scenario", "scenario"))
 def result_pivot(v: Views) -> DataFrame:
-    return rounded(compare.pivot(v.scenario, ["AFRICA", "ASIA", "EUROPE"]))
+    return rounded(compare.pivot(v.scenario, ["AFRICA", "ASIA", "EUROPE", "AMERICA", "MIDDLE EAST"]))

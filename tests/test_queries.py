@@ -53,7 +53,5 @@ def test_every_oracle_has_a_query():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_rows_only_queries(spark, sf):
-    assert plans.QUERIES["run_manifest"](spark, sf).count() == 5
-    ids = plans.QUERIES["name_uuid"](spark, sf).collect()
-    assert len(ids) == 200
+def test_source_identity_has_rows(spark, sf):
+    assert plans.QUERIES["source_identity"](spark, sf).count() > 0
