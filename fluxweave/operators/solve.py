@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from fluxweave.plans.lineage import cut, new_path
 
-#: Smallest live share, most rounds, rounds in a job, and after how many it is looked whether any share lives.
-TOLERANCE, MAX_ROUNDS, STEP, LOOK = 1e-12, 200, 4, 8
+#: Smallest live share, most rounds, rounds in a job, and after how many it is first looked whether any share lives.
+#: Looks read all rounds, so each comes a quarter of the rounds after the one before.
+TOLERANCE, MAX_ROUNDS, STEP, LOOK = 1e-12, 1000, 4, 8
 
 
 class Diverged(RuntimeError):
@@ -43,11 +44,12 @@ def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, m
     """seed (key, node, value) summed with all that the edges (src, dst, w) pass on: key, node, total."""
     spark, folder = seed.sparkSession, new_path(seed.sparkSession, "propagate")
     edges = cut(edges, f"{folder}/edges")
-    paths, newest = [f"{folder}/from=0"], 0
+    paths, newest, look = [f"{folder}/from=0"], 0, LOOK
     passed = frontier = cut(seed.groupBy("key", "node").agg(F.sum("value").alias("v")).withColumn("round", F.lit(0)), paths[0])
     while True:
         live = frontier.where("v <> 0")
-        if newest and newest % LOOK == 0:
+        if newest >= look:
+            look = newest + max(LOOK, newest // 4)
             reached = passed.groupBy("key", "node").agg(F.sum(F.abs("v")).alias("reached"))
             live = live.join(reached, ["key", "node"]).where(F.abs("v") > tolerance * F.col("reached"))
         if live.isEmpty():

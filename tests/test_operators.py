@@ -47,6 +47,15 @@ def test_divergence_is_an_error(spark):
         solve.propagate(seed, solve.coefficients(edges, made), max_rounds=8)
 
 
+def test_slow_cycle_is_solved(spark):
+    """Spectral radius 0.6: the share that lives dies out after some 55 rounds."""
+    edges = spark.createDataFrame([("a", "b", 0.6), ("b", "a", 0.6)], "consumer string, provider string, amount double")
+    made = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "code string, amount double")
+    seed = spark.createDataFrame([("k", "a", 1.0)], "key string, node string, value double")
+    got = {r["node"]: r["total"] for r in solve.propagate(seed, solve.coefficients(edges, made)).collect()}
+    assert got == pytest.approx({"a": 1 / (1 - 0.36), "b": 0.6 / (1 - 0.36)}, rel=1e-9)
+
+
 def test_latest_version_and_first_source_of_equals(spark):
     rows = spark.createDataFrame([("p", "00.01.002", "2020", "b"), ("p", "00.01.014", "2019", "c"), ("p", "00.01.014", "2019", "a")], "id string, v string, t string, src string")
     got = catalog.latest_version(rows, ["id"], "v", "t", ["src"]).first()
