@@ -66,6 +66,14 @@ def multipliers(outputs: DataFrame) -> DataFrame:
     return rows.withColumn("multiplier", m).withColumn("skipped", F.col("multiplier").isNull())
 
 
+def plan_census(decisions: DataFrame, multiplied: DataFrame) -> DataFrame:
+    """One row: processes by method, and co-products with a multiplier and without one that can be computed."""
+    methods = ("single", "native", "mass", "causal", "failed")
+    planned = decisions.agg(*(F.count_if(F.col("method") == m).alias(f"n_{m}") for m in methods))
+    scaled = multiplied.agg(F.count_if(~F.col("skipped")).alias("n_multipliers"), F.count_if("skipped").alias("n_skipped"))
+    return planned.join(F.broadcast(scaled), F.lit(True))
+
+
 def census(decisions: DataFrame) -> DataFrame:
     """Processes and outputs by method; degenerate ones have a factor of 0 or 1 though they make several products."""
     degenerate = (F.col("n_outputs") > 1) & F.col("factor").isin(0.0, 1.0)

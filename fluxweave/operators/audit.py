@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,10 +58,32 @@ def manifest(results: DataFrame, complete: DataFrame, meta: DataFrame) -> DataFr
 
 
 def describe_builds(activities: DataFrame, meta: DataFrame) -> DataFrame:
-    """Activities, stamped vintage and share of each build."""
+    """Activities, stamped vintage and share of each build, and the other builds (a handful) with their activities."""
     counts = activities.groupBy("db").agg(F.count(F.lit(1)).alias("n_activities"))
-    total = counts.agg(F.sum("n_activities").alias("n_all"))
-    return meta.join(counts, "db", "left").join(F.broadcast(total), F.lit(True)).select("db", "vintage", F.coalesce("n_activities", F.lit(0)).alias("n_activities"), F.try_divide("n_activities", "n_all").alias("share"))
+    total = counts.agg(F.sum("n_activities").alias("n_all"), F.array_sort(F.collect_list(F.struct("db", "n_activities"))).alias("builds"))
+    rest = F.filter("builds", lambda b: b["db"] != F.col("db"))
+    others = F.array_join(F.transform(rest, lambda b: F.concat(b["db"], F.lit(": "), b["n_activities"].cast("string"))), ", ")
+    return meta.join(counts, "db", "left").join(F.broadcast(total), F.lit(True)).select("db", "vintage", F.coalesce("n_activities", F.lit(0)).alias("n_activities"), F.try_divide("n_activities", "n_all").alias("share"), others.alias("other_builds"))
+
+
+def source_lines(stamps: DataFrame) -> DataFrame:
+    """db and one line on the files it was built from. stamps: db, is_full, name, sha256, release (null if the name has none).
+
+    A build of the full source names it with the head of its hash; one of bundles counts them and lists
+    their releases; one without stamped files is unstamped.
+    """
+    # The files of a build are a download's worth: their releases fit in one row.
+    g = stamps.groupBy("db").agg(F.count("name").alias("n"), F.max("is_full").alias("full"), F.min(F.struct("name", "sha256")).alias("first"), F.array_sort(F.collect_set(F.substring("release", 1, 12))).alias("releases"))
+    whole = F.concat(F.col("first.name"), F.lit(" (sha256 "), F.substring("first.sha256", 1, 12), F.lit(")"))
+    release = F.when(F.size("releases") > 0, F.concat(F.lit(", release "), F.array_join("releases", ", "))).otherwise("")
+    line = F.when(F.col("n") == 0, "unstamped").when(F.col("full"), whole).otherwise(F.concat(F.col("n").cast("string"), F.lit(" bundle files"), release))
+    return g.select("db", line.alias("line"))
+
+
+def build_report(parts: dict[str, DataFrame]) -> DataFrame:
+    """build, item and n: the columns of one-row tables of counts laid under each other."""
+    rows = [one.select(F.lit(build).alias("build"), F.explode(F.array(*(F.struct(F.lit(c).alias("item"), F.col(c).cast("long").alias("n")) for c in one.columns))).alias("x")) for build, one in parts.items()]
+    return reduce(DataFrame.unionByName, rows).select("build", "x.item", "x.n")
 
 
 def build_summaries(exchanges: DataFrame, meta: DataFrame, audit: DataFrame) -> DataFrame:

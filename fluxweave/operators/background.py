@@ -53,12 +53,16 @@ def classify_sources(votes: DataFrame) -> DataFrame:
     return best.join(top, "source", "left").select("source", F.when(F.col("n_top") == 1, F.col("top")).alias("verdict"))
 
 
-def decide_vintage(verdicts: DataFrame, explicit: str | None = None, default: str | None = None) -> DataFrame:
-    """One row: vintage and reason (explicit, unanimous, default, conflict, undecided)."""
-    g = verdicts.agg(F.count_distinct("verdict").alias("n"), F.min("verdict").alias("v"))
-    reason = F.when(F.lit(explicit is not None), "explicit").when(F.col("n") == 1, "unanimous").when(F.col("n") > 1, "conflict").when(F.lit(default is not None), "default").otherwise("undecided")
+def decide_vintage(verdicts: DataFrame, explicit: str | None = None, default: str | None = None, full: str | None = None) -> DataFrame:
+    """One row: vintage and reason (explicit, unanimous, conflict, full source, default, undecided).
+
+    The verdict of the source `full` counts only where no other source has one; it goes before the default.
+    """
+    other = F.lit(True) if full is None else F.col("source") != full
+    g = verdicts.agg(F.count_distinct(F.when(other, F.col("verdict"))).alias("n"), F.min(F.when(other, F.col("verdict"))).alias("v"), F.max(F.when(~other, F.col("verdict"))).alias("f"))
+    reason = F.when(F.lit(explicit is not None), "explicit").when(F.col("n") == 1, "unanimous").when(F.col("n") > 1, "conflict").when(F.col("f").isNotNull(), "full source").when(F.lit(default is not None), "default").otherwise("undecided")
     rows = g.withColumn("reason", reason)
-    vintage = F.when(F.col("reason") == "explicit", F.lit(explicit)).when(F.col("reason") == "unanimous", F.col("v").cast("string")).when(F.col("reason") == "default", F.lit(default))
+    vintage = F.when(F.col("reason") == "explicit", F.lit(explicit)).when(F.col("reason") == "unanimous", F.col("v").cast("string")).when(F.col("reason") == "full source", F.col("f").cast("string")).when(F.col("reason") == "default", F.lit(default))
     return rows.select("reason", vintage.cast("string").alias("vintage"), F.col("n").alias("n_verdicts"))
 
 
@@ -75,10 +79,13 @@ def library_inventory(inventory: DataFrame, flows: DataFrame, elementary: DataFr
 
 
 def lumped_activities(processes: DataFrame, inventory: DataFrame, db: str) -> DataFrame:
-    """Exchanges of one activity per library process: production of 1, and its whole inventory."""
-    production = processes.select(F.lit(db).alias("db"), F.col("process_id").alias("code"), F.col("process_id").alias("input_code"), F.lit(1.0).alias("amount"), F.lit("production").alias("type"))
+    """Exchanges of one activity per library process: production of 1 of its reference flow, and its whole inventory.
+
+    processes: process_id, ref_flow_id; ref_flow_id of the result is null on biosphere rows.
+    """
+    production = processes.select(F.lit(db).alias("db"), F.col("process_id").alias("code"), F.col("process_id").alias("input_code"), F.lit(1.0).alias("amount"), F.lit("production").alias("type"), "ref_flow_id")
     biosphere = inventory.select(F.lit(db).alias("db"), F.col("process_id").alias("code"), F.col("flow_id").alias("input_code"), "amount", F.lit("biosphere").alias("type"))
-    return production.unionByName(biosphere)
+    return production.unionByName(biosphere, allowMissingColumns=True)
 
 
 def provider_status(references: DataFrame, library: DataFrame, full: str) -> DataFrame:

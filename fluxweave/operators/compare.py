@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluxweave.operators import guards
+
 #: Order of the impact categories, and yearly impacts of one person.
 NORMALIZATION = {
     "Global warming": 8040.0, "Acidification": 11.5, "Eutrophication (Freshwater)": 1.45, "Eutrophication (Marine)": 2.06, "Freshwater ecotoxicity": 3.93e6,
@@ -87,14 +89,29 @@ def foreground_split(contributions: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def shared_scenarios(results: DataFrame, contributions: DataFrame) -> DataFrame:
-    return results.select("scenario").intersect(contributions.select("scenario"))
+    """Scenarios of both tables; having none in common is an error."""
+    shared = results.select("scenario").intersect(contributions.select("scenario"))
+    guards.require_some(shared, "results and contributions share no scenario")
+    return shared
+
+
+def kg_per_unit(unit: Column, density: Column) -> Column:
+    """kg in one unit: kg (or no unit) is 1, cubic metres have the configured density, all else is an error."""
+    name = F.lower(F.trim(F.coalesce(unit, F.lit("kg"))))
+    kg = F.when(name.isin("kg", ""), 1.0).when(name.isin("m3", "cubic meter", "cubic metres"), density)
+    return F.coalesce(kg, F.raise_error(F.concat(F.lit("no mass basis for "), name)).cast("double"))
 
 
 def rescale_to_kg(scores: DataFrame, densities: DataFrame) -> DataFrame:
-    """Scores per kg: kg as they are, m3 by the configured density, any other unit is an error."""
+    """Scores (scenario, unit, score) per kg; densities: scenario, density."""
     rows = scores.join(densities, "scenario", "left")
-    kg = F.when(F.col("unit") == "kg", 1.0).when(F.col("unit") == "m3", F.col("density"))
-    return rows.withColumn("kg_per_unit", F.coalesce(kg, F.raise_error(F.concat(F.lit("no mass basis for "), F.col("unit"))).cast("double"))).withColumn("score_per_kg", F.col("score") / F.col("kg_per_unit"))
+    return rows.withColumn("kg_per_unit", kg_per_unit(F.col("unit"), F.col("density"))).withColumn("score_per_kg", F.col("score") / F.col("kg_per_unit"))
+
+
+def kg_per_run(production: DataFrame, densities: DataFrame) -> DataFrame:
+    """kg that one run of each activity makes: production (code, amount, unit) times kg per unit; densities: code, density."""
+    rows = production.join(densities, "code", "left")
+    return rows.select("code", (F.col("amount") * kg_per_unit(F.col("unit"), F.col("density"))).alias("kg_per_run"))
 
 
 def ratios(cells: DataFrame) -> DataFrame:

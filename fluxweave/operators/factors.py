@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fluxweave.operators import guards
+
 
 def filter_locations(raw: DataFrame, is_spatial: Column, chosen: str = "") -> DataFrame:
     """Methods with regional factors keep the chosen location, all others the generic rows."""
@@ -47,6 +49,16 @@ def build_table(raw: DataFrame, flows: DataFrame, is_spatial: Column, chosen: st
     return last_wins(rows.join(flows.select("flow_id").distinct(), "flow_id", "left_semi"))
 
 
+def build_methods(raw: DataFrame, flows: DataFrame, is_spatial: Column, overrides: DataFrame, chosen: str = "") -> DataFrame:
+    """The factor table with the unit of each method. A method with several units and no override, or without any factor, is an error."""
+    units = method_units(raw, overrides)
+    guards.require_empty(units.where("status = 'conflict'"), "methods with several units")
+    table = build_table(raw, flows, is_spatial, chosen)
+    empty = raw.select("method").distinct().join(table.select("method").distinct(), "method", "left_anti")
+    guards.require_empty(empty, "methods without factors")
+    return table.join(units.select("method", "unit"), "method")
+
+
 def match_counts(rows: DataFrame, flows: DataFrame) -> DataFrame:
     """Matched and unmatched factors of each method."""
     listed = flows.select("flow_id", F.lit(True).alias("listed")).distinct()

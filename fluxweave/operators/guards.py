@@ -17,6 +17,18 @@ def require_empty(rows: DataFrame, message: str, shown: int = 5) -> None:
         raise GuardError(f"{message}: {'; '.join(str(r.asDict()) for r in found)}")
 
 
+def require_some(rows: DataFrame, message: str) -> None:
+    """Raise if rows is empty."""
+    if rows.isEmpty():
+        raise GuardError(message)
+
+
+def require_columns(df: DataFrame, names: tuple[str, ...], table: str) -> None:
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        raise GuardError(f"{table}: missing columns {', '.join(missing)}")
+
+
 # What violates a guard, as rows. The guards below raise on them; `report` counts them.
 
 
@@ -82,7 +94,9 @@ def allocation_possible(decisions: DataFrame) -> None:
     require_empty(impossible(decisions), "allocation is impossible")
 
 
-def flow_list(flows: DataFrame, conflicts: DataFrame, least: int) -> None:
+def flow_list(flows: DataFrame, conflicts: DataFrame, least: int, columns: tuple[str, ...] = ()) -> None:
+    """The list has its columns and enough rows, and no id names two flows."""
+    require_columns(flows, columns, "flow list")
     n = flows.count()
     if n < least:
         raise GuardError(f"the flow list has {n} rows, {least} are expected at least")

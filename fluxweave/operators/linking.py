@@ -44,6 +44,25 @@ def rebase(links: DataFrame, coproducts: DataFrame, multipliers: DataFrame) -> D
     return rows.withColumn("target", F.coalesce("coproduct_code", "supplier")).withColumn("amount_linked", amount)
 
 
+#: Counters of a link tally.
+COUNTERS = ("bio_matched", "bio_unmatched", "tech_linked", "tech_external", "tech_unlinked", "tech_ambiguous", "waste_links", "avoided_links", "coproduct_links", "causal_fallbacks")
+
+
+def totals(tallies: DataFrame) -> DataFrame:
+    """One row: processes, and the sum of every counter that tallies has."""
+    return tallies.agg(F.count(F.lit(1)).alias("n_processes"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS if c in tallies.columns))
+
+
+def coproduct_tally(rebased: DataFrame, causal: DataFrame) -> DataFrame:
+    """Per process: links that go to a causal co-product, and exchanges of a causal process that fell back to the mass share.
+
+    rebased: of `rebase`, with process_id; causal: of `allocation.causal_factors`.
+    """
+    links = rebased.groupBy("process_id").agg(F.count("coproduct_code").alias("coproduct_links"))
+    fell = causal.groupBy("process_id").agg(F.count_if("fell_back").alias("causal_fallbacks"))
+    return links.join(fell, "process_id", "full").fillna(0, ["coproduct_links", "causal_fallbacks"])
+
+
 def tally(classified: DataFrame, flows: DataFrame) -> DataFrame:
     """Six counters of each process, and waste and avoided links. Ambiguous ones are unlinked as well."""
     listed = flows.select("flow_id", F.lit(True).alias("listed")).distinct()

@@ -418,11 +418,12 @@ def library_dropped(v: Views) -> DataFrame:
     return background.library_inventory(v.library, v.library_flow, v.elementary)[1]
 
 
-@query(with_views("""SELECT 'grid' AS db, process_id AS code, process_id AS input_code, CAST(1.0 AS DOUBLE) AS amount, 'production' AS type FROM (SELECT DISTINCT process_id FROM library) p
-UNION ALL SELECT 'grid', process_id, flow_id, round(SUM(value), 6), 'biosphere' FROM lib WHERE flow_type = 'ELEMENTARY_FLOW' AND listed GROUP BY process_id, flow_id HAVING SUM(value) <> 0""", "library", "library_flow", "elementary", recursive=_LIBRARY))
+@query(with_views("""SELECT 'grid' AS db, process_id AS code, process_id AS input_code, CAST(1.0 AS DOUBLE) AS amount, 'production' AS type, MAX(row) AS ref_flow_id FROM library GROUP BY process_id
+UNION ALL SELECT 'grid', process_id, flow_id, round(SUM(value), 6), 'biosphere', NULL FROM lib WHERE flow_type = 'ELEMENTARY_FLOW' AND listed GROUP BY process_id, flow_id HAVING SUM(value) <> 0""", "library", "library_flow", "elementary", recursive=_LIBRARY))
 def lumped_background(v: Views) -> DataFrame:
     inventory = background.library_inventory(v.library, v.library_flow, v.elementary)[0]
-    return rounded(background.lumped_activities(v.library.select("process_id").distinct(), inventory, "grid"))
+    processes = v.library.groupBy("process_id").agg(F.max("row").alias("ref_flow_id"))
+    return rounded(background.lumped_activities(processes, inventory, "grid"))
 
 
 @query(with_views("SELECT provider_id, CASE WHEN l.process_id IS NOT NULL THEN 'resolved' WHEN bundles > 0 THEN 'missing_bundle' ELSE 'missing_full_only' END AS status FROM (SELECT user_id AS provider_id, COUNT(*) FILTER (WHERE event_type <> 'click') AS bundles FROM events GROUP BY user_id) r LEFT JOIN (SELECT DISTINCT process_id FROM library) l ON l.process_id = r.provider_id", "library"))

@@ -166,7 +166,7 @@ def stale_audit(v: Views) -> DataFrame:
     return audit.stale_sidecar(v.spark.table("events").where("value > 1").select(F.col("event_type").alias("db")), v.spark.sql(_META))
 
 
-@query(f"WITH meta AS ({_META}), acts AS (SELECT event_type AS db, COUNT(*) AS n FROM events GROUP BY 1) SELECT m.db, m.vintage, coalesce(a.n, 0) AS n_activities, round(a.n * 1.0 / (SELECT SUM(n) FROM acts), 6) AS share FROM meta m LEFT JOIN acts a ON a.db = m.db")
+@query(f"WITH meta AS ({_META}), acts AS (SELECT event_type AS db, COUNT(*) AS n FROM events GROUP BY 1) SELECT m.db, m.vintage, coalesce(a.n, 0) AS n_activities, round(a.n * 1.0 / (SELECT SUM(n) FROM acts), 6) AS share, (SELECT string_agg(concat(o.db, ': ', CAST(o.n AS VARCHAR)), ', ' ORDER BY o.db) FROM acts o WHERE o.db <> m.db) AS other_builds FROM meta m LEFT JOIN acts a ON a.db = m.db")
 def build_description(v: Views) -> DataFrame:
     return rounded(audit.describe_builds(v.spark.table("events").select(F.col("event_type").alias("db")), v.spark.sql(_META)))
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxweave.functions import schemas
-from fluxweave.operators import guards
+from fluxweave.operators import guards, search
 
 #: Names of source archives: an id, an underscore and a release hash.
 SOURCE_NAME = r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}_[0-9A-Za-z]+\.zip$"
@@ -14,9 +16,7 @@ SOURCE_NAME = r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}_[0-9A-Za-z]+\.zip$"
 
 def require_columns(df: DataFrame, table: str) -> DataFrame:
     """df, if it has the columns that the table needs."""
-    missing = [c for c in schemas.REQUIRED[table] if c not in df.columns]
-    if missing:
-        raise ValueError(f"{table}: missing columns {', '.join(missing)}")
+    guards.require_columns(df, schemas.REQUIRED[table], table)
     return df
 
 
@@ -59,6 +59,13 @@ def discover_sources(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", name.alias("name"), F.sha2("content", 256).alias("sha256"), name.rlike(SOURCE_NAME).alias("accepted")).orderBy("name")
 
 
+def choose_sources(found: DataFrame, full: str | None = None) -> DataFrame:
+    """The files a build reads: those with a source's name, or the one called `full`. None at all is an error."""
+    chosen = found.where(F.col("accepted") if full is None else F.col("name") == full)
+    guards.require_some(chosen, "no source has an accepted name" if full is None else f"the full source {full} is absent")
+    return chosen
+
+
 def source_identity(spark: SparkSession, path: str) -> DataFrame:
     """name, sha256 and 40-character release suffix of each file."""
     files = spark.read.format("binaryFile").load(path)
@@ -66,8 +73,11 @@ def source_identity(spark: SparkSession, path: str) -> DataFrame:
     return files.select(name.alias("name"), F.sha2("content", 256).alias("sha256"), F.regexp_extract(name, "_([0-9a-f]{40})[.]", 1).alias("release"))
 
 
-def check_pin(identity: DataFrame, name: str, sha256: str) -> None:
-    """Fail if the named source is there with another content; a source that is absent is not checked."""
+def check_pin(identity: DataFrame, name: str | None, sha256: str | None) -> None:
+    """Fail if the named source is there with another content; one that is absent is not checked, and without a pin there is a warning."""
+    if not name or not sha256:
+        warnings.warn("the conversion table names no source: its version cannot be checked", stacklevel=2)
+        return
     other = identity.where((F.col("name") == name) & (F.col("sha256") != sha256)).count()
     if other:
         raise ValueError(f"{name} is not the pinned source")
@@ -95,6 +105,14 @@ def read_reference_scores(df: DataFrame) -> DataFrame:
     return df.where(F.col("category").isNotNull()).withColumn("ol_score", F.coalesce("ol_score", F.lit(0.0)))
 
 
+def read_catalogue(spark: SparkSession, path: str, db: str | None = None) -> DataFrame:
+    """code, name and builds of the activities in a store (pos, db, code, name), of one build or of all; none is an error."""
+    rows = spark.read.parquet(path)
+    rows = rows if db is None else rows.where(F.col("db") == db)
+    guards.require_some(rows, "no build is there")
+    return search.merge_builds(rows)
+
+
 def read_library(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(processes, flows, cumulative inventory) of a solved library: three Parquet tables; ids of an index occur once."""
     processes, flows, inventory = (read_table(spark, f"{path}/{t}", f"library_{t}") for t in ("process", "flow", "inventory"))

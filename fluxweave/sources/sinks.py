@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_store(df: DataFrame, path: str, key: str = "db", overwrite: bool = False) -> None:
-    """Activities or exchanges by database; an existing store is kept unless overwrite is set."""
-    df.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(key).parquet(path)
+def write_store(df: DataFrame, path: str, key: str = "db", overwrite: bool = False, confirm: Callable[[str], bool] | None = None) -> None:
+    """Activities or exchanges by database; an existing store is kept unless overwrite is set or confirm(path) agrees."""
+    writer = df.write.partitionBy(key)
+    try:
+        writer.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS" or confirm is None or not confirm(path):
+            raise
+        writer.mode("overwrite").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, key: str) -> None:
@@ -48,6 +57,12 @@ def write_conversions(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def inherit_vintage(df: DataFrame, meta: DataFrame, background: str) -> DataFrame:
+    """Rows to stamp with the vintage of the background build they rest on; null if that has none."""
+    vintage = meta.where(F.col("db") == background).agg(F.max("vintage").alias("vintage"))
+    return df.drop("vintage").join(F.broadcast(vintage), F.lit(True))
+
+
 def stamp_build(df: DataFrame, path: str) -> None:
     """Insert or replace the rows of build_meta of the databases in df."""
     replace_partitions(df, path, "db")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,3 +218,66 @@ def test_guards(spark):
         guards.index_complete(spark.createDataFrame([("a",), ("a",)], "id string"), "id", 2)
     with pytest.raises(guards.GuardError, match="production"):
         guards.production_present(spark.createDataFrame([("a",)], "code string"), spark.createDataFrame([("b",)], "code string"))
+
+
+def test_methods_need_one_unit_and_a_factor(spark):
+    raw = spark.createDataFrame([("a", "x", "", 1.0, 1, "kg"), ("a", "x", "", 2.0, 2, "g"), ("b", "y", "", 3.0, 1, "MJ")], "method string, flow_id string, location string, cf double, row_index int, unit string")
+    flows = spark.createDataFrame([("x",), ("y",)], "flow_id string")
+    override = spark.createDataFrame([("a", "kg eq")], "method string, unit string")
+    got = {r["method"]: (r["cf"], r["unit"]) for r in factors.build_methods(raw, flows, F.lit(False), override).collect()}
+    assert got == {"a": (2.0, "kg eq"), "b": (3.0, "MJ")}
+    with pytest.raises(guards.GuardError, match="several units"):
+        factors.build_methods(raw, flows, F.lit(False), override.limit(0))
+    with pytest.raises(guards.GuardError, match="without factors"):
+        factors.build_methods(raw, flows.where("flow_id = 'x'"), F.lit(False), override)
+
+
+def test_sources_are_chosen_and_pins_checked(spark):
+    found = spark.createDataFrame([("full.zip", False), ("look-alike.zip", False), ("bundle.zip", True)], "name string, accepted boolean")
+    assert [r["name"] for r in readers.choose_sources(found).collect()] == ["bundle.zip"]
+    assert [r["name"] for r in readers.choose_sources(found, full="full.zip").collect()] == ["full.zip"]
+    for rows, full in ((found.where("not accepted"), None), (found, "other.zip")):
+        with pytest.raises(guards.GuardError):
+            readers.choose_sources(rows, full)
+    identity = spark.createDataFrame([("full.zip", "aa")], "name string, sha256 string")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        readers.check_pin(identity, "full.zip", "aa")
+        readers.check_pin(identity, "absent.zip", "bb")
+    with pytest.raises(ValueError, match="pinned"):
+        readers.check_pin(identity, "full.zip", "bb")
+    with pytest.warns(UserWarning, match="cannot be checked"):
+        readers.check_pin(identity, None, None)
+
+
+def test_store_asks_before_it_is_replaced(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", "x", "n"), (2, "b", "x", "n")], "pos int, db string, code string, name string")
+    path, asked = str(tmp_path / "store"), []
+    sinks.write_store(rows, path)
+    with pytest.raises(Exception, match="already exists"):
+        sinks.write_store(rows.limit(1), path, confirm=lambda p: bool(asked.append(p)))
+    assert asked == [path] and spark.read.parquet(path).count() == 2
+    assert [tuple(r) for r in readers.read_catalogue(spark, path).collect()] == [("x", "n", "a,b", 1)]
+    sinks.write_store(rows.where("db = 'b'"), path, confirm=lambda _: True)
+    assert readers.read_catalogue(spark, path, "b").count() == 1
+    with pytest.raises(guards.GuardError):
+        readers.read_catalogue(spark, path, "a")
+
+
+def test_mass_of_a_run_and_empty_intersections(spark):
+    production = spark.createDataFrame([("a", 2.0, "kg"), ("b", 3.0, "M3"), ("c", 4.0, None)], "code string, amount double, unit string")
+    density = spark.createDataFrame([("b", 850.0)], "code string, density double")
+    assert {r["code"]: r["kg_per_run"] for r in compare.kg_per_run(production, density).collect()} == {"a": 2.0, "b": 2550.0, "c": 4.0}
+    for wrong in (density.limit(0), density.withColumn("density", F.lit(None).cast("double"))):
+        with pytest.raises(Exception, match="no mass basis for m3"):
+            compare.kg_per_run(production, wrong).collect()
+    one, other = (spark.createDataFrame([(s,)], "scenario string") for s in "ab")
+    with pytest.raises(guards.GuardError, match="share no scenario"):
+        compare.shared_scenarios(one, other)
+
+
+def test_flow_list_names_missing_columns(spark):
+    flows = spark.createDataFrame([("x", "kg")], "flow_id string, unit string")
+    guards.flow_list(flows, flows.limit(0), 1, ("flow_id", "unit"))
+    with pytest.raises(guards.GuardError, match="missing columns context"):
+        guards.flow_list(flows, flows.limit(0), 1, ("flow_id", "context"))
