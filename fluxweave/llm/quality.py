@@ -90,6 +90,26 @@ class Network:
         return [z.T @ back, back.sum(0), hidden.T @ slope, np.array([slope.sum()])]
 
 
+def risk(net: Network, positive: np.ndarray, unlabelled: np.ndarray) -> tuple[tuple[float, float], list[np.ndarray]]:
+    """The risk on positives and the estimate of that on negatives, with logistic loss, and the gradient to step along.
+
+    That is the gradient of their sum; where the estimate is below zero, it is that of its negative
+    alone, which leads back up.
+    """
+    soft = lambda g: np.logaddexp(0, g)
+    sig = lambda g: 1 / (1 + np.exp(-np.clip(g, -30, 30)))
+    hp, gp = net.raw(positive)
+    hu, gu = net.raw(unlabelled)
+    negative = soft(gu).mean() - net.prior * soft(gp).mean()
+    slope_u, slope_p = sig(gu) / len(gu), -net.prior * sig(gp) / len(gp)
+    if negative < 0:
+        slope_u, slope_p = -slope_u, -slope_p
+    else:
+        slope_p = slope_p - net.prior * sig(-gp) / len(gp)
+    grads = [a + b for a, b in zip(net.gradient(unlabelled, hu, slope_u), net.gradient(positive, hp, slope_p), strict=True)]
+    return (net.prior * soft(-gp).mean(), negative), grads
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> Network:
     """Minimise the non-negative unbiased risk with logistic loss.
 
@@ -102,20 +122,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     rng = np.random.default_rng(SEED)
     first = [np.zeros_like(w) for w in net.p]
     second = [np.zeros_like(w) for w in net.p]
-    soft = lambda g: np.logaddexp(0, g)
-    sig = lambda g: 1 / (1 + np.exp(-np.clip(g, -30, 30)))
     for step in range(1, steps + 1):
         p = zp[rng.integers(0, len(zp), 512)]
         u = zu[rng.integers(0, len(zu), 1024)]
-        hp, gp = net.raw(p)
-        hu, gu = net.raw(u)
-        negative = soft(gu).mean() - prior * soft(gp).mean()
-        slope_u, slope_p = sig(gu) / len(gu), -prior * sig(gp) / len(gp)
-        if negative < 0:
-            slope_u, slope_p = -slope_u, -slope_p
-        else:
-            slope_p = slope_p - prior * sig(-gp) / len(gp)
-        grads = [a + b + 1e-4 * w for a, b, w in zip(net.gradient(u, hu, slope_u), net.gradient(p, hp, slope_p), net.p, strict=True)]
+        _, slopes = risk(net, p, u)
+        grads = [g + 1e-4 * w for g, w in zip(slopes, net.p, strict=True)]
         rate = RATE * (1 - step / (steps + 1))
         for i, g in enumerate(grads):
             first[i] = 0.9 * first[i] + 0.1 * g
