@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, jaccard, media, packing, pii, quality, sentencepiece_suffix, tokens, warc
+from . import chat, embedding_dedup, exact_dedup, jaccard, media, packing, pii, quality, sentencepiece_suffix, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_report(_table(spark, sf_dir, "pages")).select(*(F.col(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_token_counts, op2_media_columns, op3_exact_dedup, op4_chat_format, op5_packing, op6_quality, op7_sentencepiece, op8_ngram_jaccard, op9_pii, op10_warc)
+    every = (op1_token_counts, op2_media_columns, op3_exact_dedup, op4_chat_format, op5_packing, op6_quality, op7_sentencepiece, op8_ngram_jaccard, op9_pii, op10_warc, op13_embedding_dedup)
     return {f.__name__: f for f in every}
 
 
@@ -83,5 +87,20 @@ FROM g
 """
 
 
+OP13_SQL = """
+WITH RECURSIVE u AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.95
+), reach AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON l.a = r.b)
+SELECT e.vec_id, (SELECT COUNT(*) FROM l WHERE l.a = e.vec_id) AS n_links,
+       least(e.vec_id, (SELECT MIN(b) FROM reach r WHERE r.a = e.vec_id)) AS component_id,
+       e.vec_id <= coalesce((SELECT MIN(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS kept
+FROM embeddings e
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL, "op10_warc": OP10_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op10_warc": OP10_SQL, "op13_embedding_dedup": OP13_SQL}
