@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, exact_dedup, jaccard, media, packing, pii, quality, sentencepiece_suffix, tokens, warc
+from . import chat, embedding_dedup, exact_dedup, jaccard, media, packing, pii, prefix_trie, quality, sentencepiece_suffix, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +54,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_report(_table(spark, sf_dir, "pages")).select(*(F.col(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_token_counts, op2_media_columns, op3_exact_dedup, op4_chat_format, op5_packing, op6_quality, op7_sentencepiece, op8_ngram_jaccard, op9_pii, op10_warc, op13_embedding_dedup)
+    every = (op1_token_counts, op2_media_columns, op3_exact_dedup, op4_chat_format, op5_packing, op6_quality, op7_sentencepiece, op8_ngram_jaccard, op9_pii, op10_warc, op11_prefix_trie, op13_embedding_dedup)
     return {f.__name__: f for f in every}
 
 
@@ -87,6 +91,38 @@ FROM g
 """
 
 
+# CRC-32 of the decimal id, bit by bit; then heads and own turns as lists, nodes as their prefixes.
+OP11_SQL = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (SELECT conv_id, list(x ORDER BY pos) AS xs FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, xs, CAST(xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), c -> CAST(ascii(c) AS BIGINT))),
+         (s, c) -> list_reduce([xor(s, c), CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0], (a, z) -> xor(a // 2, CAST(3988292384 AS BIGINT) * (a % 2))))) % 6 AS INT) AS h
+  FROM own
+), c AS (
+  SELECT h.conv_id, list_concat(coalesce(list_slice(b.xs, 1, h.h), []), list_slice(h.xs, h.h + 1, len(h.xs))) AS xs
+  FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100
+), p AS (SELECT conv_id, d AS depth, list_slice(xs, 1, d) AS pre, len(xs) = d AS ends FROM c, unnest(range(0, len(xs) + 1)) r(d)),
+n AS (
+  SELECT depth, pre, MIN(conv_id) AS node, COUNT(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY depth, pre
+), m AS (SELECT p.conv_id, p.depth, n.node FROM p JOIN n ON n.depth = p.depth AND n.pre = p.pre),
+k AS (
+  SELECT n.*, up.node AS parent, (n.n_convs - 1) * CASE WHEN n.depth = 0 THEN 0 ELSE length(n.pre[-1].t) END AS saved
+  FROM n LEFT JOIN m up ON up.conv_id = n.node AND up.depth = n.depth - 1
+), g AS (SELECT parent AS node, depth - 1 AS depth, COUNT(*) AS n_children FROM k WHERE depth > 0 GROUP BY 1, 2),
+w AS (SELECT k.*, coalesce(g.n_children, 0) AS n_children FROM k LEFT JOIN g ON g.node = k.node AND g.depth = k.depth),
+s AS (
+  SELECT m.node, m.depth, SUM(w.saved) AS saved, COUNT(*) FILTER (WHERE w.n_children = 0) AS leaves
+  FROM w JOIN m ON m.conv_id = w.node AND m.depth <= w.depth GROUP BY 1, 2
+)
+SELECT w.node AS conv_id, w.depth, w.parent AS parent_conv_id, w.n_convs, w.n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN s ON s.node = w.node AND s.depth = w.depth
+"""
+
 OP13_SQL = """
 WITH RECURSIVE u AS (
   SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
@@ -103,4 +139,4 @@ FROM embeddings e
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL, "op10_warc": OP10_SQL, "op13_embedding_dedup": OP13_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op10_warc": OP10_SQL, "op11_prefix_trie": OP11_SQL, "op13_embedding_dedup": OP13_SQL}
