@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, exact_dedup, jaccard, media, packing, pii, prefix_trie, quality, sentencepiece_suffix, tokens, warc
+from . import alignment, chat, embedding_dedup, exact_dedup, jaccard, media, packing, pii, prefix_trie, quality, sentencepiece_suffix, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,12 +58,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_rows(_table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_token_counts, op2_media_columns, op3_exact_dedup, op4_chat_format, op5_packing, op6_quality, op7_sentencepiece, op8_ngram_jaccard, op9_pii, op10_warc, op11_prefix_trie, op13_embedding_dedup)
+    every = (op1_token_counts, op2_media_columns, op3_exact_dedup, op4_chat_format, op5_packing, op6_quality, op7_sentencepiece, op8_ngram_jaccard, op9_pii, op10_warc, op11_prefix_trie, op12_alignment, op13_embedding_dedup)
     return {f.__name__: f for f in every}
 
 
@@ -99,8 +103,8 @@ WITH t AS (
   FROM conversations WHERE conv_id IS NOT NULL
 ), own AS (SELECT conv_id, list(x ORDER BY pos) AS xs FROM t GROUP BY conv_id),
 h AS (
-  SELECT conv_id, xs, CAST(xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), c -> CAST(ascii(c) AS BIGINT))),
-         (s, c) -> list_reduce([xor(s, c), CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0], (a, z) -> xor(a // 2, CAST(3988292384 AS BIGINT) * (a % 2))))) % 6 AS INT) AS h
+  SELECT conv_id, xs, CAST(xor(CAST(4294967295 AS BIGINT), list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+         lambda s, c: list_reduce([xor(s, c), CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a // 2, CAST(3988292384 AS BIGINT) * (a % 2))))) % 6 AS INT) AS h
   FROM own
 ), c AS (
   SELECT h.conv_id, list_concat(coalesce(list_slice(b.xs, 1, h.h), []), list_slice(h.xs, h.h + 1, len(h.xs))) AS xs
@@ -125,8 +129,8 @@ FROM w JOIN s ON s.node = w.node AND s.depth = w.depth
 
 OP13_SQL = """
 WITH RECURSIVE u AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.95
