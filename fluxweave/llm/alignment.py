@@ -25,8 +25,11 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -37,12 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import arrow_limits, broadcast_if_small, id_and_text, materialize
+from .common import arrow_limits, id_and_text, materialize
 
 A_MODEL, B_MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 #: Words that a worker keeps, longest kept, pairs that a task sums before it writes them, pairs that are broadcast.
 WORDS, WORD, SUMMED, FREQUENT = 300_000, 48, 1_000_000, 400_000
-#: Bytes of text aligned at once.
+#: Characters of text aligned at once.
 BLOCK = 1 << 20
 
 #: The byte-to-character table of byte-level vocabularies keeps printable bytes as they are.
@@ -78,59 +81,86 @@ def models(a_path: str, b_path: str) -> tuple[Tokenizer, sentencepiece.SentenceP
     return a, b, Side(spelled), Side(pieces)
 
 
-def _cuts(text: str) -> bool:
-    """Whether single spaces part the text for both tokenizers: no other white space is next to one."""
-    return not (text[0].isspace() or text[-1].isspace() or "  " in text or "▁" in text or any(w[0].isspace() or w[-1].isspace() for w in text.split(" ")))
+#: Where a space does not part a text for certain: other white space next to it, white space at an end, the space mark.
+_UNCERTAIN = re.compile(r" \s|\s |^\s|\s\Z|▁")
+#: Words that are one run of Latin letters and one of marks, which the A side takes apart there.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 
 
 class Words(dict):
-    """Numbers of words; tokens of both sides lie in flat arrays by number. None where the bytes differ."""
+    """Numbers of words; the tokens of both sides lie in flat arrays, each word's between two offsets."""
 
     def __init__(self, a_path: str, b_path: str):
         super().__init__()
         self.a, self.b, self.sa, self.sb = models(a_path, b_path)
+        self.model, self.marks = self.a.model, {"": []}
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.tokens: list[tuple[np.ndarray, np.ndarray] | None] = []
+        self.ids, self.ends, self.same = (array("i"), array("i")), (array("q", [0]), array("q", [0])), array("b")
 
-    def encode(self, words: list[str]) -> None:
-        """Numbers for words that have none; each stands for a space and the word."""
-        ids_a = [e.ids for e in self.a.encode_batch([" " + w for w in words], add_special_tokens=False)]
-        for word, a, b in zip(words, ids_a, self.b.encode(words, num_threads=1), strict=True):
-            whole = (" " + word).encode()
-            same = b"".join(map(self.sa.spelled.__getitem__, a)) == whole and b"".join(map(self.sb.spelled.__getitem__, b)) == whole
-            self[word] = len(self.tokens)
-            self.tokens.append((np.array(a, np.int32), np.array(b, np.int32)) if same else None)
+    def _a(self, text: str) -> list[int]:
+        return [t.id for t in self.model.tokenize("".join(_CHARS[b] for b in text.encode()))]
 
+    def _plain(self, word: str) -> list[int] | None:
+        found = _PLAIN.fullmatch(word)
+        if found is None:
+            return None
+        stem, mark = found.groups()
+        if mark not in self.marks:
+            self.marks[mark] = self._a(mark)
+        return [t.id for t in self.model.tokenize("Ġ" + stem)] + self.marks[mark] if stem.isascii() else self._a(" " + stem) + self.marks[mark]
 
-def encode(texts: list[str], words: Words) -> list[tuple[np.ndarray, np.ndarray] | None]:
-    """Token ids of both sides of each text, None where they do not spell it."""
-    parts = [t.split(" ") if t and _cuts(t) else [t] if t else None for t in texts]
+    def add(self, words: list[str]) -> None:
+        """Numbers for words that have none; each stands for a space and the word."""
+        a_ids = list(map(self._plain, words))
+        odd = [i for i, x in enumerate(a_ids) if x is None]
+        for i, e in zip(odd, self.a.encode_batch([" " + words[i] for i in odd], add_special_tokens=False), strict=True):
+            a_ids[i] = e.ids
+        for word, a, b in zip(words, a_ids, self.b.encode(words, num_threads=1), strict=True):
+            whole = (" " + word).encode()
+            same = b"".join(map(self.sb.spelled.__getitem__, b)) == whole and b"".join(map(self.sa.spelled.__getitem__, a)) == whole
+            self[word] = len(self.same)
+            self.same.append(same)
+            for flat, ends, ids in zip(self.ids, self.ends, (a, b), strict=True):
+                flat.extend(ids)
+                ends.append(len(flat))
+
+    def drop(self, words: list[str]) -> None:
+        """Takes back the words that were added last."""
+        n = len(self.same) - len(words)
+        for w in words:
+            del self[w]
+        del self.same[n:]
+        for flat, ends in zip(self.ids, self.ends, strict=True):
+            del flat[ends[n] :], ends[n + 1 :]
+
+    def gather(self, side: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one behind the other, and how many each has."""
+        flat, ends = np.array(self.ids[side], np.int32), np.array(self.ends[side], np.int64)
+        n = ends[codes + 1] - ends[codes]
+        at = np.repeat(ends[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return flat[at], n
+
+
+def encode(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token ids of both sides, all texts one behind the other, and how many of each side a text has: 0 where they do not spell it."""
+    parts = [([t] if _UNCERTAIN.search(t) else t.split(" ")) if t else [] for t in texts]
     if len(words) > WORDS:
         words.clear()
-    new = {w for p in parts if p for w in p if len(w) <= WORD and w not in words}
-    words.encode(list(new))
-    out: list[tuple[np.ndarray, np.ndarray] | None] = []
-    long: dict[str, int] = {}
-    for p in parts:
-        found: list | None = []
-        for w in p or ():
-            k = words.get(w)
-            if k is None:
-                words.encode([w])
-                long[w] = k = words[w]
-            pair = words.tokens[k]
-            if pair is None:
-                found = None
-                break
-            found.append(pair)
-        out.append((np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])) if found else None)
-    for w, k in long.items():  # their arrays go, their numbers stay unused
-        del words[w]
-        words.tokens[k] = None
-    return out
+    new = {w for w in set(chain.from_iterable(parts)) if w not in words}
+    long = [w for w in new if len(w) > WORD]
+    words.add([w for w in new if len(w) <= WORD])
+    words.add(long)
+    sizes = np.array([len(p) for p in parts], np.int64)
+    codes = np.fromiter(map(words.__getitem__, chain.from_iterable(parts)), np.int64, int(sizes.sum()))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    wrong = np.bincount(owner[np.array(words.same, bool)[codes] == 0], minlength=len(texts)) > 0
+    codes, owner = codes[~wrong[owner]], owner[~wrong[owner]]
+    (a, n_a), (b, n_b) = words.gather(0, codes), words.gather(1, codes)
+    words.drop(long)
+    return a, b, np.bincount(owner, n_a, len(texts)).astype(np.int64), np.bincount(owner, n_b, len(texts)).astype(np.int64)
 
 
 def coalesce(start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -157,14 +187,18 @@ def align(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray)
     return {"order": order, "side": side, "group": group, "left": left, "right": right}
 
 
-def _spell(ids: np.ndarray, side: np.ndarray, group: np.ndarray) -> str:
-    """`a1,a2|b1;a3|b2,b3` of tokens sorted by group, then side."""
-    sep = np.full(len(ids), ",", object)
-    sep[:-1][side[:-1] < side[1:]] = "|"
-    sep[:-1][group[:-1] < group[1:]] = ";"
-    text = np.empty(2 * len(ids), object)
-    text[0::2], text[1::2] = list(map(str, ids.tolist())), sep
-    return "".join(text[:-1].tolist())
+@lru_cache(maxsize=2)
+def _written(size: int) -> np.ndarray:
+    """Every id with each of the three signs that can follow it."""
+    return np.array([f"{i}{sign}" for sign in ",|;" for i in range(size)], object)
+
+
+def _spell(ids: np.ndarray, side: np.ndarray, group: np.ndarray, size: int) -> str:
+    """`a1,a2|b1;a3|b2,b3` of tokens sorted by group, then side; size: above all ids."""
+    sign = np.zeros(len(ids), np.int64)
+    sign[:-1][side[:-1] < side[1:]] = 1
+    sign[:-1][group[:-1] < group[1:]] = 2
+    return "".join(_written(size)[sign * size + ids].tolist())[:-1]
 
 
 def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -190,6 +224,7 @@ def _aligner(a_path: str, b_path: str):
         words, row = Words(a_path, b_path), TaskContext.get().partitionId() << 40
         keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
         a_len, b_len = words.sa.size, words.sb.size
+        most = max(len(a_len), len(b_len))
 
         def summed() -> pa.RecordBatch:
             n = len(keys)
@@ -198,28 +233,23 @@ def _aligner(a_path: str, b_path: str):
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in _blocks(texts):
-                tokens = encode(texts[lo:hi], words)
-                some = [t for t in tokens if t is not None]
-                a = np.concatenate([x for x, _ in some]) if some else np.zeros(0, np.int32)
-                b = np.concatenate([y for _, y in some]) if some else np.zeros(0, np.int32)
+                a, b, n_a, n_b = encode(texts[lo:hi], words)
                 got = align(a, b, a_len[a], b_len[b])
                 # Sorted by start, a group's tokens are sorted by side in a second, stable step.
                 place = got["order"][np.lexsort((got["side"][got["order"]], got["group"]))]
                 every, side, group = np.concatenate([a, b])[place], got["side"][place], np.sort(got["group"])
                 pair = a[got["left"]].astype(np.int64) << 32 | b[got["right"]]
-                ends_a, ends_all = np.cumsum([len(x) for x, _ in some]), np.cumsum([len(x) + len(y) for x, y in some])
-                ends_links = np.searchsorted(got["left"], ends_a, "left")
-                out, k = [], 0
-                at = at_link = 0
-                for i, t in zip(range(lo, hi), tokens, strict=True):
-                    if t is None:
+                ends, ends_links = np.cumsum(n_a + n_b), np.searchsorted(got["left"], np.cumsum(n_a), "left")
+                out, at, at_link = [], 0, 0
+                for i in range(lo, hi):
+                    if n_a[i - lo] == 0:
                         out.append((0, row, ids[i], 0, 0, 0, 0, "", [], [], None, None))
                     else:
-                        cut, links = slice(at, ends_all[k]), pair[at_link : ends_links[k]]
-                        at, at_link, k = ends_all[k], ends_links[k], k + 1
+                        cut, links = slice(at, ends[i - lo]), pair[at_link : ends_links[i - lo]]
+                        at, at_link = ends[i - lo], ends_links[i - lo]
                         found, count = np.unique(links, return_counts=True)
-                        digest = hashlib.sha256(_spell(every[cut], side[cut], group[cut]).encode()).hexdigest()
-                        out.append((0, row, ids[i], len(t[0]), len(t[1]), int(group[cut][-1] - group[cut][0]) + 1, len(links), digest, found, count.astype(np.int32), None, None))
+                        digest = hashlib.sha256(_spell(every[cut], side[cut], group[cut], most).encode()).hexdigest()
+                        out.append((0, row, ids[i], n_a[i - lo], n_b[i - lo], int(group[cut][-1] - group[cut][0]) + 1, len(links), digest, found, count.astype(np.int32), None, None))
                     row += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], _COLUMNS)
                 both, at_both = np.unique(np.concatenate([keys, pair]), return_inverse=True)
