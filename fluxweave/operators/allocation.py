@@ -26,31 +26,64 @@ def native_factors(factors: DataFrame) -> DataFrame:
     return factors.where("internal_id is null").groupBy("process_id", "allocation_type", "product_flow_id").agg(F.min_by("value", "pos").alias("native_factor"))
 
 
-def decide(outputs: DataFrame, natives: DataFrame, causal: DataFrame, declared: DataFrame) -> DataFrame:
-    """process_id, ref_flow, method (single, causal, native, mass, failed) and the reference's factor.
+#: Declared methods whose factors belong to exchanges.
+CAUSAL = ("CAUSAL", "CAUSAL_ALLOCATION")
+
+
+def decide(outputs: DataFrame, natives: DataFrame, declared: DataFrame) -> DataFrame:
+    """process_id, ref_flow, n_outputs, method (single, causal, native, mass, failed) and the reference's factor.
 
     outputs: process_id, flow_id, is_ref, mass_fraction; natives: process_id, allocation_type,
-    product_flow_id, native_factor; causal: process_id with causal factors; declared: process_id, allocation_type.
+    product_flow_id, native_factor; declared: process_id, allocation_type of every process. The declared
+    method is asked first: a process is causal if and only if it says so, whatever other factors it has; its
+    factor, for exchanges without their own, is the reference's mass fraction, or 1 without any mass. At most one
+    output is single with 1, also where the reference is an input (then ref_flow is null). Several
+    outputs without a reference, or without a factor and a mass of the reference, have failed.
     """
     g = outputs.groupBy("process_id").agg(F.count(F.lit(1)).alias("n_outputs"), F.max(F.when(F.col("is_ref"), F.col("flow_id"))).alias("ref_flow"), F.max(F.when(F.col("is_ref"), F.col("mass_fraction"))).alias("ref_mass"))
-    own = declared.join(natives, ["process_id", "allocation_type"], "left").select("process_id", F.col("product_flow_id").alias("ref_flow"), "native_factor")
-    rows = g.join(own, ["process_id", "ref_flow"], "left").join(causal.select("process_id", F.lit(True).alias("is_causal")).distinct(), "process_id", "left")
-    single = F.col("n_outputs") == 1
-    method = F.when(single, "single").when(F.col("ref_flow").isNull(), "failed").when(F.col("is_causal"), "causal").when(F.col("native_factor").isNotNull(), "native").when(F.col("ref_mass") > 0, "mass").otherwise("failed")
+    rows = declared.select("process_id", "allocation_type").join(g, "process_id", "full").withColumn("n_outputs", F.coalesce("n_outputs", F.lit(0)))
+    rows = rows.join(natives.withColumnRenamed("product_flow_id", "ref_flow"), ["process_id", "allocation_type", "ref_flow"], "left")
+    method = F.when(F.col("n_outputs") <= 1, "single").when(F.col("ref_flow").isNull(), "failed").when(F.col("allocation_type").isin(*CAUSAL), "causal").when(F.col("native_factor").isNotNull(), "native").when(F.col("ref_mass") > 0, "mass").otherwise("failed")
     rows = rows.withColumn("method", method)
-    factor = F.when(F.col("method") == "single", 1.0).when(F.col("method") == "native", F.col("native_factor")).when(F.col("method").isin("mass", "causal"), F.col("ref_mass"))
+    factor = F.when(F.col("method") == "single", 1.0).when(F.col("method") == "native", F.col("native_factor")).when(F.col("method") == "mass", F.col("ref_mass")).when(F.col("method") == "causal", F.coalesce("ref_mass", F.lit(1.0)))
     return rows.select("process_id", "ref_flow", "n_outputs", "method", factor.alias("factor"))
 
 
+def normalized_outputs(normalized: DataFrame, conversions: DataFrame, factors: DataFrame, mass: str = "mass") -> DataFrame:
+    """process_id, flow_id, is_ref, amount (in the flow's reference unit), mass and mass_fraction of product outputs.
+
+    normalized: of `units.normalize`; conversions and factors as there. A flow that a process gives in
+    several exchanges is one output with their sum.
+    """
+    outputs = product_outputs(normalized).groupBy("process_id", "flow_id").agg(F.max(F.coalesce("is_ref", F.lit(False))).alias("is_ref"), F.sum("amount_ref").alias("amount"))
+    to_mass = factors.where(F.col("fp_id") == mass).select("flow_id", F.col("factor").alias("mass_factor"))
+    rows = outputs.join(conversions.select("flow_id", "ref_fp_id"), "flow_id", "left").join(to_mass, "flow_id", "left")
+    return mass_fractions(rows.withColumn("mass", output_mass(F.col("ref_fp_id"), F.lit(mass), F.col("amount"), F.col("mass_factor"))).drop("ref_fp_id", "mass_factor"))
+
+
+def shares(outputs: DataFrame, natives: DataFrame, declared: DataFrame, decisions: DataFrame) -> DataFrame:
+    """outputs with share: by the method that its process's reference was allocated with, native or mass."""
+    rows = outputs.join(decisions.where("method in ('native', 'mass')").select("process_id", "method"), "process_id").join(declared.select("process_id", "allocation_type"), "process_id", "left")
+    rows = rows.join(natives.withColumnRenamed("product_flow_id", "flow_id"), ["process_id", "allocation_type", "flow_id"], "left")
+    return rows.withColumn("share", F.when(F.col("method") == "native", F.col("native_factor")).otherwise(F.col("mass_fraction"))).drop("allocation_type", "native_factor", "method")
+
+
+def causal_coproducts(outputs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """process_id, co_flow and fallback (for exchanges without a factor) of what causal processes make beside their reference."""
+    causal = decisions.where("method = 'causal'").select("process_id", "ref_flow")
+    rows = outputs.join(causal, "process_id").where(F.col("flow_id") != F.col("ref_flow"))
+    return rows.select("process_id", F.col("flow_id").alias("co_flow"), F.coalesce("mass_fraction", F.lit(1.0)).alias("fallback"))
+
+
 def causal_factors(exchanges: DataFrame, columns: DataFrame, fallback: DataFrame) -> DataFrame:
     """Factor of each exchange for each product of a causal process.
 
     exchanges: process_id, internal_id; columns: process_id, product_flow_id, internal_id, value;
-    fallback: process_id, product_flow_id, mass_fraction for exchanges that no row names.
+    fallback: process_id, product_flow_id, mass_fraction for exchanges that no row names; 1 without any mass.
     """
     wide = exchanges.join(fallback, "process_id")
     rows = wide.join(columns, ["process_id", "product_flow_id", "internal_id"], "left")
-    return rows.withColumn("factor", F.coalesce("value", "mass_fraction")).withColumn("fell_back", F.col("value").isNull())
+    return rows.withColumn("factor", F.coalesce("value", "mass_fraction", F.lit(1.0))).withColumn("fell_back", F.col("value").isNull())
 
 
 def multipliers(outputs: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ def resolve(exchanges: DataFrame, processes: DataFrame, external: DataFrame, sup
     of these is ambiguous. Candidates are counted per flow first, so no exchange meets them all.
     """
     inside = processes.select(F.col("process_id").alias("p_id"), F.lit("process").alias("p_db")).distinct()
-    outside = external.select(F.col("supplier").alias("x_id"), F.col("supplier_db").alias("x_db")).distinct()
+    # An id that two builds have is one provider, of the build whose name comes first.
+    outside = external.groupBy(F.col("supplier").alias("x_id")).agg(F.min("supplier_db").alias("x_db"))
     per_flow = suppliers.groupBy(F.col("flow_id").alias("f_id")).agg(F.count(F.lit(1)).alias("f_n"), F.min(F.struct("supplier", "supplier_db")).alias("f_one"))
     per_name = suppliers.groupBy(F.col("flow_id").alias("n_flow"), F.col("supplier_name").alias("n_name")).agg(F.count(F.lit(1)).alias("n_n"), F.min(F.struct("supplier", "supplier_db")).alias("n_one")).where("n_n = 1")
     rows = exchanges.join(inside, F.col("provider_id") == F.col("p_id"), "left").join(outside, F.col("provider_id") == F.col("x_id"), "left")
@@ -64,13 +65,17 @@ def coproduct_tally(rebased: DataFrame, causal: DataFrame) -> DataFrame:
 
 
 def tally(classified: DataFrame, flows: DataFrame) -> DataFrame:
-    """Six counters of each process, and waste and avoided links. Ambiguous ones are unlinked as well."""
+    """Six counters of each process, and waste and avoided links.
+
+    Every link counts as linked, external ones as external too; ambiguous ones are unlinked as well. Waste links
+    are outputs that found their treatment; avoided links count whether they found a supplier or not.
+    """
     listed = flows.select("flow_id", F.lit(True).alias("listed")).distinct()
     rows = classified.join(listed, "flow_id", "left")
     bio, tech = F.col("kind") == "biosphere", F.col("kind") == "technosphere"
     return rows.groupBy("process_id").agg(
         F.count_if(bio & F.col("listed").isNotNull()).alias("bio_matched"), F.count_if(bio & F.col("listed").isNull()).alias("bio_unmatched"),
-        F.count_if(tech & (F.col("supplier_db") == "process")).alias("tech_linked"), F.count_if(tech & (F.col("supplier_db") != "process")).alias("tech_external"),
+        F.count_if(tech & F.col("supplier").isNotNull()).alias("tech_linked"), F.count_if(tech & (F.col("supplier_db") != "process")).alias("tech_external"),
         F.count_if(tech & F.col("supplier").isNull()).alias("tech_unlinked"), F.count_if(tech & F.col("ambiguous")).alias("tech_ambiguous"),
-        F.count_if(tech & ~F.col("is_input")).alias("waste_links"), F.count_if(tech & F.col("is_avoided")).alias("avoided_links"),
+        F.count_if(tech & ~F.col("is_input") & F.col("supplier").isNotNull()).alias("waste_links"), F.count_if(tech & F.col("is_avoided")).alias("avoided_links"),
     )

@@ -34,7 +34,7 @@ def _coproduct_tally(v: Views) -> DataFrame:
     causal = v.declared.where("allocation_type = 'CAUSAL'").select(F.col("process_id").alias("supplier"))
     coproducts = mult.join(causal, "supplier").select("supplier", "flow_id", F.col("flow_id").cast("string").alias("coproduct_code"))
     columns = v.factor.where("internal_id is not null").select("process_id", "product_flow_id", "internal_id", "value")
-    exchanges = v.raw_exchange.select("process_id", "internal_id").join(columns.select("process_id").distinct(), "process_id", "left_semi")
+    exchanges = v.raw_exchange.select("process_id", "internal_id").join(v.declared.where("allocation_type = 'CAUSAL'").select("process_id"), "process_id", "left_semi")
     shares = allocation.mass_fractions(v.product).select("process_id", F.col("flow_id").alias("product_flow_id"), "mass_fraction")
     return linking.coproduct_tally(linking.rebase(links, coproducts, mult), allocation.causal_factors(exchanges, columns, shares))
 

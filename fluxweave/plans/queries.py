@@ -229,9 +229,9 @@ _LISTED = "listed AS (SELECT p_brand AS flow_id FROM part GROUP BY p_brand HAVIN
 
 @query(with_views("""
 SELECT process_id, COUNT(*) FILTER (WHERE kind = 'biosphere' AND l.flow_id IS NOT NULL) AS bio_matched, COUNT(*) FILTER (WHERE kind = 'biosphere' AND l.flow_id IS NULL) AS bio_unmatched,
-       COUNT(*) FILTER (WHERE kind = 'technosphere' AND supplier_db = 'process') AS tech_linked, COUNT(*) FILTER (WHERE kind = 'technosphere' AND supplier_db = 'external') AS tech_external,
+       COUNT(*) FILTER (WHERE kind = 'technosphere' AND supplier IS NOT NULL) AS tech_linked, COUNT(*) FILTER (WHERE kind = 'technosphere' AND supplier_db = 'external') AS tech_external,
        COUNT(*) FILTER (WHERE kind = 'technosphere' AND supplier IS NULL) AS tech_unlinked, COUNT(*) FILTER (WHERE kind = 'technosphere' AND ambiguous) AS tech_ambiguous,
-       COUNT(*) FILTER (WHERE kind = 'technosphere' AND NOT is_input) AS waste_links, COUNT(*) FILTER (WHERE kind = 'technosphere' AND is_avoided) AS avoided_links
+       COUNT(*) FILTER (WHERE kind = 'technosphere' AND NOT is_input AND supplier IS NOT NULL) AS waste_links, COUNT(*) FILTER (WHERE kind = 'technosphere' AND is_avoided) AS avoided_links
 FROM linked LEFT JOIN listed l ON l.flow_id = linked.flow_id GROUP BY process_id""", "raw_exchange", recursive=f"{_SUPPLIERS}, {_LISTED}"))
 def link_tally(v: Views) -> DataFrame:
     return linking.tally(_linked(v), v.spark.sql("SELECT p_brand AS flow_id FROM part GROUP BY p_brand HAVING MIN(p_retailprice) > 901"))
@@ -241,17 +241,16 @@ def link_tally(v: Views) -> DataFrame:
 
 _ALLOC = """mf AS (SELECT p.*, CASE WHEN t.total > 0 THEN CASE WHEN p.mass > 0 THEN p.mass ELSE 0 END / t.total END AS mass_fraction FROM product p JOIN (SELECT process_id, SUM(CASE WHEN mass > 0 THEN mass END) AS total FROM product GROUP BY process_id) t ON t.process_id = p.process_id),
 nat AS (SELECT process_id, allocation_type, product_flow_id, arg_min(value, pos) AS native_factor FROM factor WHERE internal_id IS NULL GROUP BY 1, 2, 3),
-dec AS (SELECT g.process_id, g.ref_flow, g.n_outputs,
-    CASE WHEN n_outputs = 1 THEN 'single' WHEN ref_flow IS NULL THEN 'failed' WHEN c.process_id IS NOT NULL THEN 'causal' WHEN n.native_factor IS NOT NULL THEN 'native' WHEN ref_mass > 0 THEN 'mass' ELSE 'failed' END AS method,
-    CASE WHEN n_outputs = 1 THEN 1.0 WHEN c.process_id IS NOT NULL THEN ref_mass WHEN n.native_factor IS NOT NULL THEN n.native_factor WHEN ref_mass > 0 THEN ref_mass END AS factor
-  FROM (SELECT process_id, COUNT(*) AS n_outputs, MAX(CASE WHEN is_ref THEN flow_id END) AS ref_flow, MAX(CASE WHEN is_ref THEN mass_fraction END) AS ref_mass FROM mf GROUP BY process_id) g
-  LEFT JOIN declared d ON d.process_id = g.process_id LEFT JOIN nat n ON n.process_id = g.process_id AND n.allocation_type = d.allocation_type AND n.product_flow_id = g.ref_flow
-  LEFT JOIN (SELECT DISTINCT process_id FROM factor WHERE internal_id IS NOT NULL) c ON c.process_id = g.process_id)"""
+dec AS (SELECT d.process_id, g.ref_flow, coalesce(g.n_outputs, 0) AS n_outputs,
+    CASE WHEN coalesce(n_outputs, 0) <= 1 THEN 'single' WHEN ref_flow IS NULL THEN 'failed' WHEN d.allocation_type = 'CAUSAL' THEN 'causal' WHEN n.native_factor IS NOT NULL THEN 'native' WHEN ref_mass > 0 THEN 'mass' ELSE 'failed' END AS method,
+    CASE WHEN coalesce(n_outputs, 0) <= 1 THEN 1.0 WHEN d.allocation_type = 'CAUSAL' THEN coalesce(ref_mass, 1.0) WHEN n.native_factor IS NOT NULL THEN n.native_factor WHEN ref_mass > 0 THEN ref_mass END AS factor
+  FROM declared d LEFT JOIN (SELECT process_id, COUNT(*) AS n_outputs, MAX(CASE WHEN is_ref THEN flow_id END) AS ref_flow, MAX(CASE WHEN is_ref THEN mass_fraction END) AS ref_mass FROM mf GROUP BY process_id) g ON d.process_id = g.process_id
+  LEFT JOIN nat n ON n.process_id = d.process_id AND n.allocation_type = d.allocation_type AND n.product_flow_id = g.ref_flow)"""
 
 
 def _decided(v: Views) -> DataFrame:
     outputs = allocation.mass_fractions(v.product)
-    return allocation.decide(outputs, allocation.native_factors(v.factor), v.factor.where("internal_id is not null"), v.declared)
+    return allocation.decide(outputs, allocation.native_factors(v.factor), v.declared)
 
 
 @query(with_views("SELECT process_id, flow_id, round(mass_fraction, 6) AS mass_fraction FROM mf", "product", "declared", "factor", recursive=_ALLOC))
@@ -269,12 +268,12 @@ def alloc_decision(v: Views) -> DataFrame:
     return rounded(_decided(v))
 
 
-@query(with_views("""SELECT e.process_id, e.internal_id, e.l_suppkey, m.flow_id AS product_flow_id, round(coalesce(f.value, m.mass_fraction), 6) AS factor, f.value IS NULL AS fell_back
-FROM raw_exchange e JOIN mf m ON m.process_id = e.process_id JOIN (SELECT DISTINCT process_id FROM factor WHERE internal_id IS NOT NULL) c ON c.process_id = e.process_id
-LEFT JOIN factor f ON f.process_id = e.process_id AND f.product_flow_id = m.flow_id AND f.internal_id = e.internal_id""", "raw_exchange", "product", "declared", "factor", recursive=_ALLOC))
+@query(with_views("""SELECT e.process_id, e.internal_id, e.l_suppkey, m.flow_id AS product_flow_id, round(coalesce(f.value, m.mass_fraction, 1.0), 6) AS factor, f.value IS NULL AS fell_back
+FROM raw_exchange e JOIN mf m ON m.process_id = e.process_id JOIN declared c ON c.process_id = e.process_id AND c.allocation_type = 'CAUSAL'
+LEFT JOIN factor f ON f.allocation_type = 'CAUSAL' AND f.process_id = e.process_id AND f.product_flow_id = m.flow_id AND f.internal_id = e.internal_id""", "raw_exchange", "product", "declared", "factor", recursive=_ALLOC))
 def alloc_causal(v: Views) -> DataFrame:
     columns = v.factor.where("internal_id is not null").select("process_id", "product_flow_id", "internal_id", "value")
-    exchanges = v.raw_exchange.select("process_id", "internal_id", "l_suppkey").join(columns.select("process_id").distinct(), "process_id", "left_semi")
+    exchanges = v.raw_exchange.select("process_id", "internal_id", "l_suppkey").join(v.declared.where("allocation_type = 'CAUSAL'").select("process_id"), "process_id", "left_semi")
     shares = allocation.mass_fractions(v.product).select("process_id", F.col("flow_id").alias("product_flow_id"), "mass_fraction")
     return rounded(allocation.causal_factors(exchanges, columns, shares).select("process_id", "internal_id", "l_suppkey", "product_flow_id", "factor", "fell_back"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fluxweave.functions import text, units
 from fluxweave.operators import allocation, background, catalog, compare, foreground, guards, search
 from fluxweave.plans.lineage import new_path
-from fluxweave.plans.queries import SQL, _decided, _normalized, query, rounded
+from fluxweave.plans.queries import _NORMALIZED, SQL, _decided, _normalized, query, rounded
 from fluxweave.plans.views import Views, with_views
 from fluxweave.sources import readers, sinks
 
@@ -117,13 +117,16 @@ def reference_match(v: Views) -> DataFrame:
 # --- rows in between ---------------------------------------------------------------------------------------
 
 
-@query(with_views("""SELECT e.process_id, e.internal_id, e.l_suppkey, round(CASE WHEN c.ref_fp_id = 'mass' THEN e.amount WHEN f.factor IS NOT NULL THEN e.amount * f.factor ELSE 0 END, 6) AS mass
-FROM raw_exchange e LEFT JOIN conversion c ON c.flow_id = e.flow_id LEFT JOIN conversion_factor f ON f.flow_id = e.flow_id AND f.fp_id = 'mass' WHERE NOT e.is_input AND e.flow_type = 'PRODUCT_FLOW'""", "raw_exchange", "conversion", "conversion_factor"))
+@query(with_views("""SELECT e.process_id, e.internal_id, e.l_suppkey, round(x.mass * CASE WHEN c.ref_fp_id = 'mass' THEN 1.0 ELSE coalesce(m.factor, 0.0) END, 6) AS mass FROM raw_exchange e
+JOIN (SELECT process_id, internal_id, l_suppkey, flow_id, unit, fp_id, amount, CASE WHEN f IS NULL THEN amount WHEN listed AND NOT same AND factor IS NOT NULL THEN amount * f / factor ELSE amount * f END AS mass FROM n) x
+  ON x.process_id = e.process_id AND x.internal_id = e.internal_id AND x.l_suppkey = e.l_suppkey AND x.flow_id = e.flow_id AND x.amount = e.amount
+LEFT JOIN conversion c ON c.flow_id = e.flow_id LEFT JOIN conversion_factor m ON m.flow_id = e.flow_id AND m.fp_id = 'mass' WHERE NOT e.is_input AND e.flow_type = 'PRODUCT_FLOW'""", "raw_exchange", "conversion", "conversion_factor", recursive=_NORMALIZED))
 def output_mass(v: Views) -> DataFrame:
-    outputs = allocation.product_outputs(v.raw_exchange)
+    """Masses of outputs, from amounts in their flow's reference unit."""
+    outputs = allocation.product_outputs(_normalized(v))
     of_mass = v.conversion_factor.where("fp_id = 'mass'").select("flow_id", "factor")
     rows = outputs.join(v.conversion.select("flow_id", "ref_fp_id"), "flow_id", "left").join(of_mass, "flow_id", "left")
-    return rounded(rows.select("process_id", "internal_id", "l_suppkey", allocation.output_mass(F.col("ref_fp_id"), F.lit("mass"), F.col("amount"), F.col("factor")).alias("mass")))
+    return rounded(rows.select("process_id", "internal_id", "l_suppkey", allocation.output_mass(F.col("ref_fp_id"), F.lit("mass"), F.col("amount_ref"), F.col("factor")).alias("mass")))
 
 
 @query(with_views("SELECT CAST(o_orderkey AS VARCHAR) AS code, CAST(NULL AS BIGINT) AS flow_id FROM orders UNION ALL SELECT concat(CAST(p.process_id AS VARCHAR), '__co__', CAST(p.flow_id AS VARCHAR)), p.flow_id FROM product p JOIN declared d ON d.process_id = p.process_id WHERE d.allocation_type = 'CAUSAL' AND NOT p.is_ref", "product", "declared"))

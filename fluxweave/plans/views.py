@@ -81,7 +81,37 @@ VIEWS: dict[str, str] = {
         UNION ALL
         SELECT p.process_id, d.allocation_type, p.flow_id, CAST(NULL AS INT), CAST(0.999 AS DOUBLE), 2 FROM product p JOIN declared d ON p.process_id = d.process_id WHERE d.allocation_type = 'ECONOMIC'
         UNION ALL
-        SELECT p.process_id, d.allocation_type, p.flow_id, 1, p.price_share, 3 FROM product p JOIN declared d ON p.process_id = d.process_id WHERE d.allocation_type = 'CAUSAL'""",
+        SELECT p.process_id, 'CAUSAL', p.flow_id, 1, p.price_share, 3 FROM product p JOIN declared d ON p.process_id = d.process_id WHERE d.allocation_type = 'CAUSAL' OR p.process_id % 2 = 0""",
+    # An import: orders are processes, their lines exchanges. Line 1 is the reference (of every tenth process an input:
+    # a treatment), lines 2 and 3 of most are further products. A link draws one of three products of its supplier.
+    "import_line": """
+        SELECT l_orderkey AS process_id, l_linenumber AS internal_id, MIN(l_partkey) AS part, MIN(l_suppkey) AS supp, SUM(l_quantity) AS amount, SUM(l_extendedprice) AS price, MIN(l_returnflag) AS flag, MIN(l_discount) AS discount,
+               l_linenumber = 1 AS is_ref, l_linenumber <= 3 AND (l_linenumber = 1 OR l_orderkey % 3 <> 0) AS is_output, l_orderkey - l_orderkey % 97 + (l_orderkey * 7 + l_linenumber) % 97 AS drawn
+        FROM lineitem GROUP BY l_orderkey, l_linenumber""",
+    "import_exchange": """
+        SELECT process_id, internal_id,
+               CASE WHEN is_output THEN concat('g', CAST(process_id % 97 AS VARCHAR(10)), '/', CAST(internal_id AS VARCHAR(10))) WHEN flag = 'A' THEN concat('e', CAST(supp AS VARCHAR(10))) ELSE concat('g', CAST(drawn % 97 AS VARCHAR(10)), '/', CAST(1 + part % 3 AS VARCHAR(10))) END AS flow_id,
+               amount, CASE (internal_id + part) % 5 WHEN 0 THEN 'kg' WHEN 1 THEN 'g' WHEN 2 THEN 'Mg' WHEN 3 THEN 'lb' ELSE 'MJ' END AS unit, CASE (internal_id + part) % 5 WHEN 4 THEN 'energy' ELSE 'mass' END AS fp_id,
+               CASE WHEN is_output THEN CASE WHEN is_ref AND process_id % 10 = 9 THEN 'WASTE_FLOW' ELSE 'PRODUCT_FLOW' END WHEN flag = 'A' THEN 'ELEMENTARY_FLOW' WHEN flag = 'R' THEN 'WASTE_FLOW' ELSE 'PRODUCT_FLOW' END AS flow_type,
+               (is_ref AND process_id % 10 = 9) OR (NOT is_output AND flag = 'N') AS is_input, is_ref, discount > 0.08 AS is_avoided,
+               CASE WHEN supp % 5 = 0 THEN -drawn WHEN supp % 5 = 1 THEN NULL ELSE drawn END AS provider_id, concat('order ', CAST(drawn % 100 AS VARCHAR(10))) AS provider_name, price
+        FROM import_line""",
+    "import_inside": """
+        SELECT process_id, flow_id, process_id AS supplier, concat('order ', CAST(process_id % 100 AS VARCHAR(10))) AS supplier_name, 'process' AS supplier_db FROM import_exchange WHERE is_ref""",
+    "import_outside": """
+        SELECT concat('g', CAST(p_partkey % 97 AS VARCHAR(10)), '/3') AS flow_id, -p_partkey AS supplier, p_name AS supplier_name, 'external' AS supplier_db FROM part WHERE p_partkey % 4 = 0""",
+    "import_conversion": """
+        SELECT flow_id, CASE WHEN length(flow_id) % 2 = 0 THEN 'mass' ELSE 'volume' END AS ref_fp_id, CASE WHEN length(flow_id) % 2 = 0 THEN 'kg' ELSE 'm3' END AS ref_unit FROM import_exchange WHERE flow_id LIKE 'g%' GROUP BY flow_id""",
+    "import_step": """
+        SELECT flow_id, 'mass' AS fp_id, CAST(800.0 AS DOUBLE) AS factor FROM import_exchange WHERE flow_id LIKE 'g%' AND length(flow_id) % 2 = 1 AND flow_id NOT LIKE 'g1%/3' GROUP BY flow_id
+        UNION ALL SELECT flow_id, 'energy', CAST(40.0 AS DOUBLE) FROM import_exchange WHERE flow_id LIKE 'g%' GROUP BY flow_id""",
+    "import_factor": """
+        SELECT x.process_id, k.allocation_type, x.flow_id AS product_flow_id, CAST(NULL AS INT) AS internal_id, x.price / CASE k.allocation_type WHEN 'ECONOMIC' THEN t.price ELSE 2 * t.price END AS value, 1 AS pos
+        FROM import_exchange x JOIN (SELECT process_id, SUM(price) AS price FROM import_exchange WHERE NOT is_input AND flow_type = 'PRODUCT_FLOW' GROUP BY process_id) t ON t.process_id = x.process_id CROSS JOIN (SELECT 'ECONOMIC' AS allocation_type UNION ALL SELECT 'PHYSICAL') k
+        WHERE NOT x.is_input AND x.flow_type = 'PRODUCT_FLOW' AND (k.allocation_type = 'ECONOMIC' OR x.process_id % 4 <> 0)
+        UNION ALL
+        SELECT o.process_id, 'CAUSAL', o.flow_id, i.internal_id, 1.0 / (2 + o.internal_id + i.internal_id), 2 FROM import_exchange o JOIN import_exchange i ON i.process_id = o.process_id
+        WHERE NOT o.is_input AND o.flow_type = 'PRODUCT_FLOW' AND (o.internal_id + i.internal_id) % 4 <> 0 AND i.internal_id > 1""",
     # References to grids: event types are sources, events refer to one of two grids.
     "grid_reference": """
         SELECT event_type AS source, CAST(user_id % 2 AS VARCHAR(10)) AS provider_id, event_id AS process_id FROM events""",
@@ -114,7 +144,8 @@ VIEWS: dict[str, str] = {
 }
 
 #: Views that a view reads.
-NEEDS = {"product": ("output",), "factor": ("output", "product", "declared"), "cyclic": ("technosphere",)}
+NEEDS = {"product": ("output",), "factor": ("output", "product", "declared"), "cyclic": ("technosphere",),
+         "import_exchange": ("import_line",), **{f"import_{n}": ("import_line", "import_exchange") for n in ("inside", "conversion", "step", "factor")}}
 
 
 def register(spark: SparkSession, sf_dir: str) -> None:

@@ -8,7 +8,7 @@ import warnings
 import pytest
 from pyspark.sql import functions as F
 
-from fluxweave.operators import allocation, audit, background, catalog, compare, conversion, factors, foreground, guards, linking, search, solve
+from fluxweave.operators import allocation, audit, background, catalog, compare, conversion, factors, foreground, guards, jobs, linking, search, solve
 from fluxweave.sources import readers, sinks
 
 CYCLE = [("W", "S", 0.5), ("W", "F", 0.2), ("S", "N", 0.4), ("N", "S", 0.1), ("F", "N", -0.05), ("N", "N", 0.02)]
@@ -78,10 +78,61 @@ def test_allocation_methods(spark):
     fac = spark.createDataFrame([("e", "ECON", "fuel", 3, 0.999, 0), ("e", "ECON", "fuel", None, 0.8, 1), ("e", "ECON", "wax", None, 0.2, 2), ("e", "PHYS", "fuel", None, 0.6667, 3)], "process_id string, allocation_type string, product_flow_id string, internal_id int, value double, pos int")
     declared = spark.createDataFrame([("e", "ECON")], "process_id string, allocation_type string")
     shares = allocation.mass_fractions(out)
-    got = {r["process_id"]: (r["method"], r["factor"]) for r in allocation.decide(shares, allocation.native_factors(fac), fac.where("false"), declared).collect()}
+    got = {r["process_id"]: (r["method"], r["factor"]) for r in allocation.decide(shares, allocation.native_factors(fac), declared).collect()}
     assert got == {"e": ("native", 0.8), "m": ("mass", pytest.approx(100 / 145)), "s": ("single", 1.0), "z": ("failed", None)}
     with pytest.raises(guards.GuardError):
-        guards.allocation_possible(allocation.decide(shares, allocation.native_factors(fac), fac.where("false"), declared))
+        guards.allocation_possible(allocation.decide(shares, allocation.native_factors(fac), declared))
+
+
+def test_declared_method_is_asked_first(spark):
+    """Factors of several kinds side by side; causal without masses; a reference on the input side."""
+    out = spark.createDataFrame([("n", "a", True, 0.6), ("n", "b", False, 0.4), ("c", "a", True, 0.6), ("c", "b", False, 0.4), ("k", "a", True, None), ("k", "b", False, None), ("w2", "a", False, 0.5), ("w2", "b", False, 0.5)], "process_id string, flow_id string, is_ref boolean, mass_fraction double")
+    fac = spark.createDataFrame([("n", "PHYSICAL", "a", None, 0.7, 0), ("n", "CAUSAL", "a", 3, 0.9, 1), ("c", "ECONOMIC", "a", None, 0.2, 2), ("c", "CAUSAL", "a", None, 0.1, 3)], "process_id string, allocation_type string, product_flow_id string, internal_id int, value double, pos int")
+    declared = spark.createDataFrame([("n", "PHYSICAL"), ("c", "CAUSAL"), ("k", "CAUSAL"), ("w", "ECONOMIC"), ("w2", "ECONOMIC"), ("u", None)], "process_id string, allocation_type string")
+    got = {r["process_id"]: (r["method"], r["factor"], r["ref_flow"]) for r in allocation.decide(out, allocation.native_factors(fac), declared).collect()}
+    assert got == {"n": ("native", 0.7, "a"), "c": ("causal", 0.6, "a"), "k": ("causal", 1.0, "a"), "w": ("single", 1.0, None), "w2": ("failed", None, None), "u": ("single", 1.0, None)}
+
+
+IMPORT = "process_id string, internal_id int, flow_id string, amount double, unit string, fp_id string, flow_type string, is_input boolean, is_ref boolean, is_avoided boolean, provider_id string, provider_name string"
+
+
+def _import(spark, exchanges, factors, declared, strict=True):
+    rows = spark.createDataFrame([(p, i, f, a, "kg", "mass", t, inp, ref, False, prov, None) for p, i, f, a, t, inp, ref, prov in exchanges], IMPORT)
+    conv = spark.createDataFrame([(f, "mass", "kg") for f in sorted({x[2] for x in exchanges})], "flow_id string, ref_fp_id string, ref_unit string")
+    inside = rows.where("is_ref").selectExpr("process_id", "flow_id", "process_id as supplier", "process_id as supplier_name", "'process' as supplier_db")
+    built = jobs.import_build(rows, conv, spark.createDataFrame([], "flow_id string, fp_id string, factor double"), spark.createDataFrame(factors, "process_id string, allocation_type string, product_flow_id string, internal_id int, value double, pos int"), spark.createDataFrame(declared, "process_id string, allocation_type string"), spark.createDataFrame([("co2",)], "flow_id string"), inside, inside.where("false"), strict=strict)
+    return {(r["code"], r["type"], r["input"]): round(r["amount_built"], 9) for r in built.collect()}
+
+
+P, W, E = "PRODUCT_FLOW", "WASTE_FLOW", "ELEMENTARY_FLOW"
+
+
+def test_import_with_coproducts_and_treatments(spark):
+    """A causal process with its grid, an economic one, a landfill, and a process that draws from all of them."""
+    exchanges = [
+        ("ref", 1, "fuel", 60.0, P, False, True, None), ("ref", 2, "wax", 40.0, P, False, False, None), ("ref", 3, "crude", 120.0, P, True, False, "well"), ("ref", 4, "co2", 10.0, E, False, False, None), ("ref", 5, "sludge", 7.0, W, False, False, "fill"),
+        ("eco", 1, "meal", 80.0, P, False, True, None), ("eco", 2, "oil", 20.0, P, False, False, None), ("eco", 3, "co2", 5.0, E, False, False, None),
+        ("well", 1, "crude", 1.0, P, False, True, None), ("fill", 1, "sludge", 1.0, W, True, True, None), ("fill", 2, "co2", 2.0, E, False, False, None),
+        ("user", 1, "thing", 1.0, P, False, True, None), ("user", 2, "wax", 3.0, P, True, False, "ref"), ("user", 3, "oil", 2.0, P, True, False, "eco"), ("user", 4, "fuel", 4.0, P, True, False, "ref"),
+    ]
+    factors = [("ref", "CAUSAL", "fuel", 3, 0.9, 0), ("ref", "CAUSAL", "wax", 3, 0.1, 1), ("ref", "CAUSAL", "fuel", 4, 0.5, 2), ("ref", "CAUSAL", "wax", 4, 0.5, 3), ("eco", "ECONOMIC", "meal", None, 0.6, 4), ("eco", "ECONOMIC", "oil", None, 0.4, 5), ("eco", "CAUSAL", "meal", 3, 0.99, 6)]
+    got = _import(spark, exchanges, factors, [("ref", "CAUSAL"), ("eco", "ECONOMIC")])
+    assert got == {
+        ("ref", "production", "ref"): 60.0, ("ref", "technosphere", "well"): 108.0, ("ref", "biosphere", "co2"): 5.0, ("ref", "technosphere", "fill"): 4.2,
+        ("ref__co__wax", "production", "ref__co__wax"): 40.0, ("ref__co__wax", "technosphere", "well"): 12.0, ("ref__co__wax", "biosphere", "co2"): 5.0, ("ref__co__wax", "technosphere", "fill"): 2.8,
+        ("eco", "production", "eco"): 80.0, ("eco", "biosphere", "co2"): 3.0, ("well", "production", "well"): 1.0, ("fill", "production", "fill"): 1.0, ("fill", "biosphere", "co2"): 2.0,
+        ("user", "production", "user"): 1.0, ("user", "technosphere", "ref__co__wax"): 3.0, ("user", "technosphere", "eco"): round(2.0 * 80 * 0.4 / (20 * 0.6), 9), ("user", "technosphere", "ref"): 4.0,
+    }
+
+
+def test_import_stops_where_a_guard_finds_something(spark):
+    two = [("p", 1, "a", 1.0, P, False, False, None), ("p", 2, "b", 1.0, P, False, False, None)]
+    with pytest.raises(guards.GuardError):
+        _import(spark, two, [], [("p", "ECONOMIC")])
+    assert _import(spark, two, [], [("p", "ECONOMIC")], strict=False) == {}
+    causal = [("p", 1, "a", 1.0, P, False, True, None), ("p", 2, "b", 1.0, P, False, False, None), ("q", 1, "c", 1.0, P, False, True, None), ("q", 2, "b", 1.0, P, True, False, "p")]
+    with pytest.raises(guards.GuardError, match="consumed"):
+        _import(spark, causal, [], [("p", "CAUSAL")])
 
 
 def test_multiplier_conserves_burden(spark):
