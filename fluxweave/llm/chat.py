@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, materialize
+from .common import arrow_limits, broadcast_if_small, materialize
 
 ROLES = ("system", "user", "assistant")
 RELABEL, MERGE, INSERT = 3, 1, 2
@@ -174,8 +174,9 @@ def repair(conversations: DataFrame) -> DataFrame:
         ends = chain([np.array(p, np.int64).reshape(4, 4) for p in pdf["product"]])
         return pd.DataFrame({"conv": pdf["conv"], "part": pdf["part"], "first": [a for a, _ in ends], "last": [b for _, b in ends], "ends": [False] * (len(pdf) - 1) + [True]})
 
-    # Two rows for each partition at most, which bounds what is broadcast.
-    joints = F.broadcast(materialize(pieces.groupBy("conv").applyInPandas(join_pieces, "conv string, part int, first int, last int, ends boolean"), "joints"))
+    # Two rows for each partition at most; beyond the limit they are joined by a shuffle.
+    joints = materialize(pieces.groupBy("conv").applyInPandas(join_pieces, "conv string, part int, first int, last int, ends boolean"), "joints")
+    joints = broadcast_if_small(joints, joints.count())
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []

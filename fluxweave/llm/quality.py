@@ -6,7 +6,7 @@ the non-negative unbiased risk  pi R+(g) + max(0, Ru(g) - pi R-(g)),  pi being t
 estimated from all labels of the training folds. Labels, lang, source and doc_id are no inputs.
 
 The fit takes at most MAX_POSITIVE and MAX_UNLABELLED documents, those with the smallest hash of
-their id; every document is scored over its whole text.
+their id, one row of each id (the smallest text where rows share one); every document is scored over its whole text.
 
 Defined cases: null text counts as empty and is scored like any other; without positives every score
 is the prior; rows that repeat give equal rows; a null doc_id is no training row and counts as not
@@ -140,7 +140,10 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def _collect(rows: DataFrame) -> np.ndarray:
-    return np.array([r.x for r in with_features(rows).select("x").collect()], np.float32).reshape(-1, WIDTH)
+    """Features of one row for each doc_id, so the bound on ids bounds the rows: of rows that share one, the smallest text's."""
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+    found = sorted(with_features(rows).select("doc_id", "x").collect(), key=lambda r: r.doc_id)
+    return np.array([r.x for r in found], np.float32).reshape(-1, WIDTH)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Network:

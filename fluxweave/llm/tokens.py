@@ -7,9 +7,10 @@ in each Python worker, filled by encoding what is missing. Which pre-tokens are
 a bounded summary of every task over all its rows; the table only saves time and never changes a
 count.
 
-Defined cases: null text counts as empty (0 bytes, 0 tokens); texts with runs of spaces are
-encoded whole; very long words are encoded but not cached; a null doc_id stays null; an empty table
-gives an empty result; other columns are ignored.
+Defined cases: null text counts as empty (0 bytes, 0 tokens); texts with runs of spaces or with U+2581 are
+encoded whole; very long texts are cut and counted like others, very long words are encoded but not cached;
+repeated rows are rows of their own; a null doc_id stays null; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ TABLE, COUNTED, REPORTED, CACHED = 65_536, 200_000, 2_000, 400_000
 #: Longest word that is cached, in characters.
 WORD = 64
 LIMIT = 4096
+#: What the model writes for a space; pieces may hold several, and reach across a mark that a text holds itself.
+MARK = "▁"
 
 
 @lru_cache(maxsize=4)
@@ -48,9 +51,9 @@ def processor(path: str) -> sentencepiece.SentencePieceProcessor:
 
 
 def cut(text: str) -> list[str] | None:
-    """Pre-tokens, those after a line feed with it in front; None where runs of spaces make the text one piece."""
+    """Pre-tokens, those after a line feed with it in front; None where runs of spaces, or the space mark itself, make the text one piece."""
     text = text.replace("\n", " \n")
-    if not text or text[0] == " " or text[-1] == " " or "  " in text:
+    if not text or text[0] == " " or text[-1] == " " or "  " in text or MARK in text:
         return None
     return text.split(" ")
 

@@ -169,3 +169,15 @@ def test_pipeline_runs_on_nothing(spark, larger):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, larger)
     assert now.collect() == []
+
+
+def test_fit_takes_one_row_of_an_id(spark, monkeypatch):
+    """Ten thousand rows of one doc_id neither reach the driver nor weigh the fit."""
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    base = [(i, f"text number {i} of a small set, with words." if i % 2 else "$$$ !!! 000 |||" * 3) for i in range(60)]
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u, prior: seen.append((p, u, prior)))
+    for rows in (base, base + [(7, "zzz")] * 10_000):
+        quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    (p, u, a), (q, v, b) = seen
+    assert p.shape == q.shape and u.shape == v.shape and a == b and (p == q).all() and (u == v).all()

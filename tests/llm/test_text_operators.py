@@ -51,6 +51,21 @@ def test_pre_tokens_add_up(text):
     assert tokens.Lengths(tokens.MODEL).of(text) == len(SP.encode(text))
 
 
+def test_texts_with_the_space_mark():
+    """Marks, blanks, line feeds and characters outside the vocabulary in any order."""
+    rng, lengths = random.Random(12), tokens.Lengths(tokens.MODEL)
+    for _ in range(20_000):
+        text = "".join(rng.choice("▁ \néſﬁ漢abc🙂.\t") for _ in range(rng.randrange(1, 14)))
+        assert lengths.of(text) == len(SP.encode(text)), repr(text)
+    assert lengths.of("é ſ ▁ ﬁ") == 5
+
+
+def test_token_counts_of_a_very_long_text(spark):
+    long = "word after word\n" * 120_000 + "x" * 30_000
+    rows = tokens.token_counts(docs(spark, [(1, long), (1, long), (2, None)])).collect()
+    assert sorted(r.n_tokens for r in rows) == [0, len(SP.encode(long)), len(SP.encode(long))]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(TEXTS, max_size=4))
 def test_suffix_array_encoding(texts):
