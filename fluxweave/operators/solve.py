@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluxweave.operators.blocks import ordered_totals
 from fluxweave.plans.lineage import cut, new_path
 
 #: Smallest live share, most rounds, rounds in a job, and after how many it is first looked whether any share lives.
@@ -67,11 +68,14 @@ def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, m
     raise Diverged(f"no convergence in {newest} rounds; largest at {', '.join(worst)}")
 
 
-def supply(demand: DataFrame, technosphere: DataFrame, production: DataFrame) -> DataFrame:
-    """demand_id, code, quantity (of product) and level (runs of the activity) for demand (demand_id, code, quantity)."""
+def supply(demand: DataFrame, technosphere: DataFrame, production: DataFrame, ordered: bool = False) -> DataFrame:
+    """demand_id, code, quantity (of product) and level (runs of the activity) for demand (demand_id, code, quantity).
+
+    ordered: by components in topological order instead of the series, which solves networks whose series diverges.
+    """
     seed = demand.select(F.col("demand_id").alias("key"), F.col("code").alias("node"), F.col("quantity").alias("value"))
     made = production.groupBy("code").agg(F.sum("amount").alias("made"))
-    out = propagate(seed, coefficients(technosphere, production)).select(F.col("key").alias("demand_id"), F.col("node").alias("code"), F.col("total").alias("quantity"))
+    out = (ordered_totals if ordered else propagate)(seed, coefficients(technosphere, production)).select(F.col("key").alias("demand_id"), F.col("node").alias("code"), F.col("total").alias("quantity"))
     return out.join(made, "code", "left").select("demand_id", "code", "quantity", F.try_divide("quantity", "made").alias("level"))
 
 
@@ -95,12 +99,12 @@ def scores(contributed: DataFrame) -> DataFrame:
     return contributed.groupBy("demand_id", "method").agg(F.sum("score").alias("score"))
 
 
-def unit_scores(technosphere: DataFrame, production: DataFrame, direct: DataFrame) -> DataFrame:
+def unit_scores(technosphere: DataFrame, production: DataFrame, direct: DataFrame, ordered: bool = False) -> DataFrame:
     """code, method, unit_score: the whole-chain score of one unit of every activity's product."""
     made = production.groupBy("code").agg(F.sum("amount").alias("made"))
     seed = direct.join(made, "code").select(F.col("method").alias("key"), F.col("code").alias("node"), (F.col("direct") / F.col("made")).alias("value"))
     back = coefficients(technosphere, production).select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
-    return propagate(seed, back).select(F.col("node").alias("code"), F.col("key").alias("method"), F.col("total").alias("unit_score"))
+    return (ordered_totals if ordered else propagate)(seed, back).select(F.col("node").alias("code"), F.col("key").alias("method"), F.col("total").alias("unit_score"))
 
 
 def study(demand: DataFrame, units: DataFrame) -> DataFrame:

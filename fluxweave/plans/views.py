@@ -22,6 +22,11 @@ VIEWS: dict[str, str] = {
           SELECT consumer, provider, amount FROM technosphere
           UNION ALL SELECT CAST(FLOOR(p_partkey / 2) AS BIGINT), p_partkey, CAST(0.25 AS DOUBLE) FROM part WHERE p_partkey > 0 AND p_partkey % 5 = 0) e
         GROUP BY consumer, provider""",
+    # Pairs that use more of one another than they make: the series diverges, the solution does not.
+    "amplifying": """
+        SELECT p_partkey AS consumer, p_partkey + 1 AS provider, CAST(1.5 AS DOUBLE) * (1 + p_partkey % 4) AS amount FROM part WHERE p_partkey % 2 = 0
+        UNION ALL SELECT p_partkey, p_partkey - 1, CAST(1.0 AS DOUBLE) * (1 + p_partkey % 4) FROM part WHERE p_partkey % 2 = 1
+        UNION ALL SELECT p_partkey, 2 * CAST(FLOOR(p_partkey / 4) AS BIGINT), CAST(0.3 AS DOUBLE) * (1 + p_partkey % 4) FROM part WHERE p_partkey % 2 = 0 AND p_partkey > 0""",
     "biosphere": """
         SELECT l_partkey AS code, l_suppkey AS flow_id, SUM(l_quantity) / 1000 AS amount FROM lineitem GROUP BY l_partkey, l_suppkey""",
     "elementary": """
