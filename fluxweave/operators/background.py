@@ -105,3 +105,22 @@ def consistency(cumulative: DataFrame, direct: DataFrame, supply: DataFrame) ->
     rows = cumulative.join(made, ["row", "col"], "full")
     error = F.abs(F.coalesce("value", F.lit(0.0)) - F.coalesce("made", F.lit(0.0))) / F.greatest(F.abs(F.coalesce("value", F.lit(0.0))), F.lit(1e-30))
     return rows.groupBy("col").agg(F.max(error).alias("max_error"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def probe(cumulative: DataFrame, direct: DataFrame, supply: DataFrame, probes: int = 16, tolerance: float = 1e-9) -> DataFrame:
+    """row, n_probes, n_failed: whether cumulative (row, col, value) is direct (row, mid, value) times supply (mid, col, value).
+
+    Freivalds' test: a probe gives every column a sign, by a hash of its name, and compares M r with B (S r),
+    so the product is never formed; a wrong row passes a probe with a chance of a half at most. Two matrices cost
+    one pass each for all probes together.
+    """
+    def signed(value, i):
+        return F.when(F.substring(F.md5(F.concat_ws("/", F.col("col").cast("string"), F.lit(str(i))).cast("binary")), 1, 1) < "8", value).otherwise(-value)
+
+    sums = lambda df, key: df.groupBy(key).agg(*(F.sum(signed(F.col("value"), i)).alias(f"r{i}") for i in range(probes)), F.sum(F.abs("value")).alias("size"))
+    short = sums(supply, "mid")
+    made = direct.join(short, "mid").groupBy("row").agg(*(F.sum(F.col("value") * F.col(f"r{i}")).alias(f"m{i}") for i in range(probes)), F.sum(F.abs("value") * F.col("size")).alias("made_size"))
+    rows = sums(cumulative, "row").join(made, "row", "full")
+    scale = F.coalesce("size", F.lit(0.0)) + F.coalesce("made_size", F.lit(0.0))
+    failed = [F.when(F.abs(F.coalesce(f"r{i}", F.lit(0.0)) - F.coalesce(f"m{i}", F.lit(0.0))) > tolerance * scale, 1).otherwise(0) for i in range(probes)]
+    return rows.select("row", F.lit(probes).alias("n_probes"), sum(failed[1:], failed[0]).alias("n_failed"))

@@ -443,7 +443,24 @@ m AS (SELECT l_suppkey AS row, p_brand AS col, SUM(l_quantity * p_size / 10.0) +
 
 @query(f"WITH {_MATRIX} SELECT m.col, round(MAX(abs(m.value - coalesce(made, 0)) / greatest(abs(m.value), 1e-30)), 6) AS max_error, COUNT(*) AS n_rows FROM m FULL JOIN (SELECT d.row, i.col, SUM(b * s) AS made FROM direct d JOIN inv i ON i.mid = d.mid GROUP BY 1, 2) x ON x.row = m.row AND x.col = m.col GROUP BY m.col")
 def library_consistency(v: Views) -> DataFrame:
+    return rounded(background.consistency(*_matrices(v)))
+
+
+def _matrices(v: Views) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cumulative (with an error in every tenth row), direct and supply."""
     cumulative = v.spark.sql("SELECT l_suppkey AS row, p_brand AS col, SUM(l_quantity * p_size / 10D) + CASE WHEN l_suppkey % 10 = 0 THEN 1D ELSE 0D END AS value FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_suppkey, p_brand")
     direct = v.spark.sql("SELECT l_suppkey AS row, l_partkey AS mid, SUM(l_quantity) AS value FROM lineitem GROUP BY l_suppkey, l_partkey")
-    supply = v.spark.sql("SELECT p_partkey AS mid, p_brand AS col, p_size / 10D AS value FROM part")
-    return rounded(background.consistency(cumulative, direct, supply))
+    return cumulative, direct, v.spark.sql("SELECT p_partkey AS mid, p_brand AS col, p_size / 10D AS value FROM part")
+
+
+_SIGN = "CASE WHEN substr(md5(concat(col, '/', CAST(i AS VARCHAR))), 1, 1) < '8' THEN 1 ELSE -1 END"
+
+
+@query(f"""WITH {_MATRIX}, probes AS (SELECT i FROM range(0, 16) t(i)),
+short AS (SELECT i, mid, SUM(s * {_SIGN}) AS r FROM inv, probes GROUP BY 1, 2),
+made AS (SELECT i, row, SUM(b * r) AS x, SUM(abs(b)) AS size FROM direct JOIN short ON short.mid = direct.mid GROUP BY 1, 2),
+given AS (SELECT i, row, SUM(value * {_SIGN}) AS x, SUM(abs(value)) AS size FROM m, probes GROUP BY 1, 2)
+SELECT given.row, 16 AS n_probes, CAST(COUNT(*) FILTER (WHERE abs(given.x - made.x) > 1e-9 * (given.size + made.size)) AS INT) AS n_failed FROM given JOIN made ON made.row = given.row AND made.i = given.i GROUP BY 1""")
+def library_probe(v: Views) -> DataFrame:
+    """Rows of the library that are not what its matrices give, found without their product."""
+    return background.probe(*_matrices(v))

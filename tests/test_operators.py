@@ -332,3 +332,16 @@ def test_flow_list_names_missing_columns(spark):
     guards.flow_list(flows, flows.limit(0), 1, ("flow_id", "unit"))
     with pytest.raises(guards.GuardError, match="missing columns context"):
         guards.flow_list(flows, flows.limit(0), 1, ("flow_id", "context"))
+
+
+def test_probe_finds_a_planted_error_without_the_product(spark):
+    direct = spark.createDataFrame([(r, m, float(r + m)) for r in range(20) for m in range(6)], "row int, mid int, value double")
+    supply = spark.createDataFrame([(m, f"c{c}", float(m * c - 3)) for m in range(6) for c in range(8)], "mid int, col string, value double")
+    right = [(r, f"c{c}", float(sum((r + m) * (m * c - 3) for m in range(6)))) for r in range(20) for c in range(8)]
+    wrong = [(r, c, x + (1e-3 if (r, c) == (7, "c2") else 0.0)) for r, c, x in right]
+    schema = "row int, col string, value double"
+    assert {r["n_failed"] for r in background.probe(spark.createDataFrame(right, schema), direct, supply).collect()} == {0}
+    rows = background.probe(spark.createDataFrame(wrong, schema), direct, supply)
+    assert {r["row"] for r in rows.collect() if r["n_failed"]} == {7}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") <= 4 and "Cartesian" not in plan and "NestedLoop" not in plan
