@@ -1,17 +1,20 @@
-"""Catalogue search: merged builds, ranked matches, suggestions, look-up of a target."""
+"""Catalogue search: merged builds, an index of grams, ranked matches, suggestions, look-up of a target."""
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxweave.functions.text import head_segment, tokens
-
+from fluxweave.plans.lineage import cut
 
 #: Most queries that are sent to every task at once.
 BLOCK = 1000
+#: Characters of the longest gram; grams of a token that are looked up, the rarest first.
+GRAM, PROBES = 3, 2
 
 
 def merge_builds(catalogue: DataFrame) -> DataFrame:
@@ -39,12 +42,59 @@ def against_all(rows: DataFrame, queries: DataFrame, on: Column) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows.join(F.broadcast(b), on) for b in blocks])
 
 
-def search(catalogue: DataFrame, queries: DataFrame, limit: int = 20) -> DataFrame:
+class Index(NamedTuple):
+    """entries (code, name, key), postings (gram, key) and their number (gram, n_keys); a key stands for a lower-case name."""
+
+    entries: DataFrame
+    postings: DataFrame
+    counts: DataFrame
+
+
+def _grams(low: Column, size: int) -> Column:
+    n = F.length(low) - size + 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(low, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+
+
+def build_index(catalogue: DataFrame, path: str) -> Index:
+    """An index of the catalogue's names (code, name), written once and read by every later search.
+
+    Grams of one to three characters are rows, not lists, laid out by (gram, key): a gram that every name holds is
+    spread over tasks and files. The empty gram stands for every name. Names that are null are found by nothing.
+    """
+    rows = catalogue.where("name is not null").select("code", "name", F.xxhash64(F.lower("name")).alias("key"))
+    rows.write.parquet(f"{path}/entries")
+    low = F.lower("name")
+    every = F.array_distinct(F.concat(F.array(F.lit("")), *(_grams(low, k) for k in range(1, GRAM + 1))))
+    names = rows.select("key", low.alias("name")).distinct()
+    postings = names.select(F.explode(every).alias("gram"), "key").distinct()
+    postings = cut(postings.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key"), f"{path}/postings")
+    postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n_keys")).write.parquet(f"{path}/counts")
+    return open_index(catalogue.sparkSession, path)
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    return Index(*(spark.read.parquet(f"{path}/{part}") for part in Index._fields))
+
+
+def candidates(index: Index, queries: DataFrame) -> DataFrame:
+    """query and the keys of all names that hold the rarest grams of each of its tokens."""
+    own = F.when(F.length("token") < GRAM, F.array("token")).otherwise(F.array_distinct(_grams(F.col("token"), GRAM)))
+    words = F.when(F.size(tokens(F.col("query"))) > 0, F.array_distinct(tokens(F.col("query")))).otherwise(F.array(F.lit("")))
+    wanted = queries.select("query").distinct().select("query", F.explode(words).alias("token")).select("query", "token", F.explode(own).alias("gram"))
+    # A gram that no name holds comes first, and leaves its query without candidates.
+    w = Window.partitionBy("query", "token").orderBy(F.coalesce("n_keys", F.lit(0)), "gram")
+    probes = wanted.join(index.counts, "gram", "left").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= PROBES).select("query", "gram").distinct()
+    needed = probes.groupBy("query").agg(F.count(F.lit(1)).alias("needed"))
+    held = probes.join(index.postings, "gram").groupBy("query", "key").agg(F.count(F.lit(1)).alias("held"))
+    return held.join(needed, "query").where("held = needed").select("query", "key")
+
+
+def search(index: Index, queries: DataFrame, limit: int = 20) -> DataFrame:
     """Best matches of each query (query): query, rank, code, name, total. limit 0 gives all.
 
-    Queries are what users type, a few rows: the catalogue is read once for each block of them.
+    Candidates come from the index and are verified; the catalogue itself is met by key alone.
     """
-    hits = against_all(catalogue, queries, match(F.col("name"), F.col("query")))
+    hits = candidates(index, queries).join(index.entries, "key").where(match(F.col("name"), F.col("query")))
     w = Window.partitionBy("query").orderBy(*rank_key(F.col("name"), F.col("query")), "code")
     total = hits.groupBy("query").agg(F.count(F.lit(1)).alias("total"))
     ranked = hits.withColumn("rank", F.row_number().over(w))

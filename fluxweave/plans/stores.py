@@ -69,9 +69,8 @@ def _source_folder(v: Views) -> str:
 
 @query()
 def source_identity(v: Views) -> DataFrame:
-    """Content hash of the files of the small tables, and whether their names are those of sources."""
-    folder = _source_folder(v)
-    files = f"{folder}/{{region,nation,supplier,customer,part}}.parquet"
+    """Content hash of every given file, and whether its name is that of a source."""
+    files = f"{_source_folder(v)}/*.parquet"
     return readers.source_identity(v.spark, files).join(readers.discover_sources(v.spark, files).select("name", "accepted"), "name")
 
 

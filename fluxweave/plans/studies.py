@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fluxweave.functions import text
 from fluxweave.operators import audit, background, compare, foreground, search, solve
+from fluxweave.plans.lineage import new_path
 from fluxweave.plans.queries import query, rounded
 from fluxweave.plans.views import Views, with_views
 
@@ -255,6 +256,10 @@ _TERMS = ("large box", "steel", "brand#1", "small", "plated tin; at brand#3")
 _QUERIES = "qs(query) AS (VALUES " + ", ".join(f"('{t}')" for t in _TERMS) + ")"
 
 
+def _index(v: Views) -> search.Index:
+    return search.build_index(v.activity.select("code", "name"), new_path(v.spark, "search"))
+
+
 def _queries(v: Views) -> DataFrame:
     return v.spark.createDataFrame([(t,) for t in _TERMS], "query string")
 
@@ -264,7 +269,17 @@ def _queries(v: Views) -> DataFrame:
     CASE WHEN (SELECT bool_and(contains(trim(string_split(lower(name), ';')[1]), t)) FROM (SELECT unnest(string_split(query, ' ')) AS t) z) THEN 0 ELSE 1 END, CASE WHEN starts_with(lower(name), query) THEN 0 ELSE 1 END, length(name), name, code) AS rank
   FROM activity, qs WHERE (SELECT bool_and(contains(lower(name), t)) FROM (SELECT unnest(string_split(query, ' ')) AS t) z)) r WHERE rank <= 20""", "activity", recursive=_QUERIES))
 def search_rank(v: Views) -> DataFrame:
-    return search.search(v.activity.select("code", "name"), _queries(v))
+    return search.search(_index(v), _queries(v))
+
+
+@query(with_views("""SELECT query, lower(name) AS best, code, total FROM (
+  SELECT query, code, name, COUNT(*) OVER (PARTITION BY query) AS total, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN lower(name) = lower(query) THEN 0 ELSE 1 END,
+    CASE WHEN contains(head, t1) AND contains(head, t2) THEN 0 ELSE 1 END, CASE WHEN starts_with(lower(name), lower(query)) THEN 0 ELSE 1 END, length(name), name, code) AS rank
+  FROM (SELECT *, trim(string_split(lower(name), ';')[1]) AS head FROM activity) a, (SELECT *, lower(string_split(query, ' ')[1]) AS t1, lower(string_split(query, ' ')[2]) AS t2 FROM asked) q WHERE contains(lower(name), t1) AND contains(lower(name), t2)) r WHERE rank = 1""", "activity", recursive="asked AS (SELECT DISTINCT concat(string_split(p_name, ' ')[1], ' ', p_brand) AS query FROM part)"))
+def search_products(v: Views) -> DataFrame:
+    """The best match, and how many there are, for the first word of every product with its brand."""
+    asked = v.spark.sql("SELECT DISTINCT concat(split(p_name, ' ')[0], ' ', p_brand) AS query FROM part")
+    return search.search(_index(v), asked, 1).select("query", F.lower("name").alias("best"), "code", "total")
 
 
 @query(with_views("""SELECT query, rank, head, round(likeness, 6) AS likeness FROM (

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import warnings
+from collections.abc import Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ from fluxweave.operators import guards, search
 
 #: Names of source archives: an id, an underscore and a release hash.
 SOURCE_NAME = r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}_[0-9A-Za-z]+\.zip$"
+#: Bytes of a file that are read at once.
+BLOCK_BYTES = 8 << 20
 
 
 def require_columns(df: DataFrame, table: str) -> DataFrame:
@@ -32,7 +38,8 @@ def read_flows(spark: SparkSession, path: str, lines: bool = False) -> DataFrame
     raw = spark.read.schema(schemas.FLOW).option("multiLine", not lines).option("recursiveFileLookup", True).json(path)
     source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/flows/[^/]+$", 1)
     rows = raw.select(source.alias("source"), F.col("`@id`").alias("flow_id"), "name", F.col("flowType").alias("flow_type"), F.col("flowProperties").alias("flow_properties")).where("flow_id is not null")
-    return rows.groupBy("flow_id").agg(*(F.max_by(c, "source").alias(c) for c in ("name", "flow_type", "flow_properties")))
+    row = F.struct("name", "flow_type", "flow_properties")
+    return rows.groupBy("flow_id").agg(F.max_by(row, "source").alias("row")).select("flow_id", "row.*")
 
 
 def explode_exchanges(processes: DataFrame) -> DataFrame:
@@ -52,11 +59,33 @@ def explode_factors(processes: DataFrame) -> DataFrame:
     return processes.select("process_id", F.posexplode("allocation_factors").alias("pos", "f")).select("process_id", "pos", f["allocationType"].alias("allocation_type"), f["product"]["@id"].alias("product_flow_id"), f["exchange"]["internalId"].alias("internal_id"), f["value"].alias("value"))
 
 
+def _digests(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in files:
+        yield rows.assign(sha256=[_digest(path) for path in rows["path"]])
+
+
+def _digest(path: str) -> str:
+    """SHA-256 of a file, of which one block at a time is in memory."""
+    # Spark names local files file:/..., with blanks as they are, which is no URI to Arrow.
+    local = path.removeprefix("file:").startswith("/")
+    store, name = (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(path)
+    state = hashlib.sha256()
+    with store.open_input_stream(name) as stream:
+        while block := stream.read(BLOCK_BYTES):
+            state.update(block)
+    return state.hexdigest()
+
+
+def content_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """path, name, sha256 and n_bytes of each file. A file is a stream of blocks in the task that owns it, never one row; Spark lists no empty files."""
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("n_bytes"))
+    hashed = files.mapInPandas(_digests, "path string, n_bytes long, sha256 string")
+    return hashed.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "sha256", "n_bytes")
+
+
 def discover_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Files of a folder: path, name, sha256, and whether the name is one of a source."""
-    files = spark.read.format("binaryFile").load(folder)
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    return files.select("path", name.alias("name"), F.sha2("content", 256).alias("sha256"), name.rlike(SOURCE_NAME).alias("accepted")).orderBy("name")
+    return content_hashes(spark, folder).select("path", "name", "sha256", F.col("name").rlike(SOURCE_NAME).alias("accepted"))
 
 
 def choose_sources(found: DataFrame, full: str | None = None) -> DataFrame:
@@ -68,9 +97,7 @@ def choose_sources(found: DataFrame, full: str | None = None) -> DataFrame:
 
 def source_identity(spark: SparkSession, path: str) -> DataFrame:
     """name, sha256 and 40-character release suffix of each file."""
-    files = spark.read.format("binaryFile").load(path)
-    name = F.regexp_extract("path", "([^/]+)$", 1)
-    return files.select(name.alias("name"), F.sha2("content", 256).alias("sha256"), F.regexp_extract(name, "_([0-9a-f]{40})[.]", 1).alias("release"))
+    return content_hashes(spark, path).select("name", "sha256", F.regexp_extract("name", "_([0-9a-f]{40})[.]", 1).alias("release"))
 
 
 def check_pin(identity: DataFrame, name: str | None, sha256: str | None) -> None:

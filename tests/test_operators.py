@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import random
 import warnings
 
 import pytest
@@ -197,13 +199,45 @@ def test_target_choice():
         foreground.pick_target(["a", "b"])
 
 
-def test_search(spark):
-    names = spark.createDataFrame([("1", "Steel; billets; at plant"), ("2", "Steel"), ("3", "Cold rolled steel; at plant")], "code string, name string")
-    queries = spark.createDataFrame([("steel",), ("",)], "query string")
-    got = search.search(names, queries).orderBy("query", "rank").collect()
+def test_search(spark, tmp_path):
+    names = spark.createDataFrame([("1", "Steel; billets; at plant"), ("2", "Steel"), ("3", "Cold rolled steel; at plant"), ("4", None), ("5", "")], "code string, name string")
+    queries = spark.createDataFrame([("steel",), ("",), ("steel zz",), ("t p",)], "query string")
+    index = search.build_index(names, str(tmp_path / "index"))
+    got = search.search(index, queries).orderBy("query", "rank").collect()
     assert [r["code"] for r in got if r["query"] == "steel"] == ["2", "1", "3"]
-    assert [r["code"] for r in got if r["query"] == ""] == ["2", "1", "3"]
-    assert search.suggest(names, spark.createDataFrame([("steal",)], "query string")).first()["head"] == "steel"
+    assert [r["code"] for r in got if r["query"] == ""] == ["5", "2", "1", "3"]
+    assert [r["code"] for r in got if r["query"] == "t p"] == ["1", "3"] and not [r for r in got if r["query"] == "steel zz"]
+    assert search.suggest(names.where("name is not null"), spark.createDataFrame([("steal",)], "query string")).first()["head"] == "steel"
+
+
+def test_search_by_index_equals_scan(spark, tmp_path):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abÄé😀-") for _ in range(rng.randint(1, 5))) for _ in range(60)]
+    names = [(str(i), " ".join(rng.choices(words, k=rng.randint(0, 4)))) for i in range(300)]
+    asked = sorted({" ".join(rng.choices([w[: rng.randint(1, 5)] for w in words], k=rng.randint(0, 3))) for _ in range(120)})
+    path = str(tmp_path / "index")
+    search.build_index(spark.createDataFrame(names, "code string, name string"), path)
+    plan_of = search.search(search.open_index(spark, path), spark.createDataFrame([(q,) for q in asked], "query string"), 0)
+    want = {(q, c) for q in asked for c, n in names if all(t in n.lower() for t in q.lower().split())}
+    assert {(r["query"], r["code"]) for r in plan_of.collect()} == want and len(want) > 500
+    assert "NestedLoop" not in plan_of._jdf.queryExecution().toString() and "Cartesian" not in plan_of._jdf.queryExecution().toString()
+
+
+def test_content_hash_is_a_stream(spark, tmp_path, monkeypatch):
+    (tmp_path / "empty.bin").write_bytes(b"")
+    (tmp_path / "two words.bin").write_bytes(b"x" * 1000)
+    monkeypatch.setattr(readers, "BLOCK_BYTES", 7)
+    want = {"two words.bin": hashlib.sha256(b"x" * 1000).hexdigest()}
+    assert {r["name"]: r["sha256"] for r in readers.content_hashes(spark, str(tmp_path)).collect()} == want
+    assert readers._digest(str(tmp_path / "two words.bin")) == want["two words.bin"]
+
+
+def test_flow_rows_do_not_mix(spark, tmp_path):
+    for source, flows in (("a", [("f", "A", None), ("g", "G", "PRODUCT_FLOW")]), ("b", [("f", None, "WASTE_FLOW"), ("f", "B", None)])):
+        (tmp_path / source / "flows").mkdir(parents=True)
+        (tmp_path / source / "flows" / "f.json").write_text("\n".join(json.dumps({"@id": i, "name": n, "flowType": t}) for i, n, t in flows))
+    got = {r["flow_id"]: (r["name"], r["flow_type"]) for r in readers.read_flows(spark, str(tmp_path), lines=True).collect()}
+    assert got["g"] == ("G", "PRODUCT_FLOW") and got["f"] in ((None, "WASTE_FLOW"), ("B", None))
 
 
 def test_comparison(spark):
