@@ -16,6 +16,9 @@ kept; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,8 @@ HINTS = {"email": lambda t: t.contains("@"), "ip": lambda t: t.rlike(r"[0-9]\.[0
 MIN_SUPPORT = 3
 #: Shares of an entity's information from which a term is generalised, or removed.
 GENERALISE, REMOVE = 0.8, 0.95
+#: Elements of an array that are handled in one go where a result grows with each.
+BLOCK = 256
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
@@ -60,20 +65,55 @@ def _passes(kind: str, value: Column) -> Column:
     return n.between(9, 15) if kind == "phone" else F.lit(True)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(values: Column) -> Column:
+    """An array cut into arrays of BLOCK elements."""
+    n = F.size(values)
+    starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return _let(values, lambda v: F.transform(starts, lambda i: F.slice(v, i, F.lit(BLOCK))))
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running results of join, from 0, over an array of non-negative ints.
+
+    Block by block: an array to which an element is appended is copied, so that one pass over n elements costs
+    n * n / 2 copies, and over blocks n * BLOCK / 2.
+    """
+
+    def plain(block: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return _let(join(acc["at"], x), lambda at: F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out")))
+
+        return F.aggregate(block, zero, step, lambda acc: acc["out"])
+
+    def shifted(inner: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), plain(F.transform(inner, lambda x: F.element_at(x, -1))))
+        pairs = F.slice(F.arrays_zip(inner.alias("inner"), before.alias("before")), F.lit(1), F.size(inner))
+        return F.flatten(F.transform(pairs, lambda p: F.transform(p["inner"], lambda v: join(p["before"], v))))
+
+    return _let(F.transform(_blocks(values), plain), shifted)
+
+
 def kind_spans(text: Column, kind: str) -> Column:
     """Spans of one kind in code points: what lies between matches gives their offsets."""
     pattern = F.lit(PATTERNS[kind])
     found = F.regexp_extract_all(text, pattern, F.lit(0))
-    pairs = F.slice(F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), found.alias("hit")), F.lit(1), F.size(found))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    pairs = _let(found, lambda hits: F.slice(F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), hits.alias("hit")), F.lit(1), F.size(hits)))
+
+    def placed(pairs: Column) -> Column:
+        ends = running(F.transform(pairs, lambda p: F.length(p["gap"]) + F.length(p["hit"])), add)
+        return F.transform(F.arrays_zip(F.transform(pairs, lambda p: p["hit"]).alias("hit"), ends.alias("end")), span)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), x["hit"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
+    def span(x: Column) -> Column:
+        return F.struct((x["end"] - F.length(x["hit"])).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["hit"].alias("value"))
 
-    every = F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    every = _let(pairs, placed).cast(SPAN)
     return F.when(HINTS[kind](text), F.filter(every, lambda s: _passes(kind, s["value"]))).otherwise(F.array().cast(SPAN))
 
 
@@ -123,10 +163,11 @@ def disclosure(docs: DataFrame, lines: DataFrame) -> DataFrame:
     terms = joint.select("term").distinct()
     n_terms = terms.count()
     # The empty term stands for the line itself, so its count is that of all distinct lines.
-    corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
-    each = corpus_lines.select(F.explode(F.concat(F.array(F.lit("")), _words(F.col("line")))).alias("term"))
+    # Lines go by a name of 96 bits, and only beside terms that are wanted.
+    corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    each = corpus_lines.select(F.xxhash64("line").alias("h"), F.hash("line").alias("g"), F.explode(F.concat(F.array(F.lit("")), _words(F.col("line")))).alias("term"))
     wanted = terms.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
-    own = materialize(each.join(broadcast_if_small(wanted, n_terms + 1), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-terms")
+    own = materialize(each.join(broadcast_if_small(wanted, n_terms + 1), "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-terms")
     n_lines = (own.where("term = ''").first() or {"n_term": 1})["n_term"]
     content = -F.log(F.col("n_entity") / F.lit(n_lines))
     share = 1 + F.log(F.least(F.lit(1.0), F.col("n_joint") / F.col("n_term"))) / content
@@ -144,22 +185,35 @@ def told_hits(rows: DataFrame, told: DataFrame) -> DataFrame:
 
 def term_spans(text: Column, terms: Column) -> Column:
     """Spans of the terms (term, share) in a text."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def of_term(t: Column) -> Column:
         pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), t["term"], F.lit(r"(?![\p{L}\p{N}])"))
-        gaps = F.split(text, pattern, -1)
         kind = F.when(t["share"] >= REMOVE, "term_removed").otherwise("term_generalised")
+        steps = _let(F.split(text, pattern, -1), lambda gaps: F.transform(F.slice(gaps, F.lit(1), F.size(gaps) - 1), lambda g: F.length(g) + F.length(t["term"])))
+        return F.transform(running(steps, add), lambda end: F.struct((end - F.length(t["term"])).alias("start"), F.lit(len(KINDS)).alias("rank"), kind.alias("kind"), end.alias("end"), F.lit("").alias("value")))
+
+    return F.flatten(F.transform(terms, of_term)).cast(SPAN)
+
+
+def apart(added: Column, base: Column) -> Column:
+    """The added spans that meet no base span (those by start): a search by halves for the base spans that start
+    before an added one ends, and the farthest end among them."""
 
-        def step(acc: Column, gap: Column) -> Column:
-            start = acc["at"] + F.length(gap)
-            end = start + F.length(t["term"])
-            span = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), kind.alias("kind"), end.alias("end"), F.lit("").alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
+    def clear(far: Column) -> Column:
+        n = F.size(base)
+        bits = F.sequence(F.lit(29), F.lit(0))
 
-        return F.aggregate(F.slice(gaps, F.lit(1), F.size(gaps) - 1), zero, step, lambda acc: acc["out"])
+        def met(t: Column) -> Column:
+            def longer(at: Column, bit: Column) -> Column:
+                to = at + F.pow(F.lit(2.0), bit).cast("int")
+                return F.when((to <= n) & (F.try_element_at(base, to)["start"] < t["end"]), to).otherwise(at)
 
-    return F.flatten(F.transform(terms, of_term))
+            before = F.aggregate(bits, F.lit(0), longer)
+            return _let(before, lambda k: (k > 0) & (F.try_element_at(far, F.greatest(k, F.lit(1))) > t["start"]))
+
+        return F.filter(added, lambda t: ~met(t))
+
+    return F.when((F.size(base) == 0) | (F.size(added) == 0), added).otherwise(_let(running(F.transform(base, lambda b: b["end"]), F.greatest), clear))
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
@@ -173,10 +227,10 @@ def find_spans(docs: DataFrame) -> DataFrame:
     told = materialize(disclosure(rows.select("text"), lines), "pii-told")
     hits = materialize(told_hits(rows, told), "pii-hits")
     # The text is in the row already; it need not be sent twice.
-    joined = rows.drop("text").join(broadcast_if_small(hits, hits.count(), 20_000), "text_key", "left").withColumn("text", text)
+    n_terms = hits.agg(F.sum(F.size("terms") + 1)).first()[0] or 0
+    joined = rows.drop("text").join(broadcast_if_small(hits, n_terms, 100_000), "text_key", "left").withColumn("text", text)
     added = F.when(F.col("terms").isNotNull(), term_spans(F.col("text"), F.col("terms"))).otherwise(F.array().cast(SPAN))
-    apart = F.filter("added", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return joined.withColumn("added", added).select("row", "text", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
+    return joined.withColumn("added", added).select("row", "text", "base", F.array_sort(F.concat("base", apart(F.col("added"), F.col("base")))).alias("spans"))
 
 
 def _joined(spans: str) -> Column:
@@ -191,16 +245,27 @@ def pii_report(docs: DataFrame) -> DataFrame:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span as a placeholder; removed terms vanish; what overlaps goes with the first."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each span as a placeholder; removed terms vanish; what overlaps goes with the first.
+
+    Finding a position reads a text from its start, so each block of spans takes its own part of the text first.
+    """
     name = lambda k: F.when(k == "term_removed", "").when(k == "term_generalised", "[TERM]").otherwise(F.concat(F.lit("["), F.upper(k), F.lit("]")))
 
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        out = F.when(new, F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), name(s["kind"]))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def piece(part: Column, begin: Column, x: Column) -> Column:
+        new = x["s"]["start"] >= x["at"]
+        return F.when(new, F.concat(F.substr(part, x["at"] - begin + 1, x["s"]["start"] - x["at"]), name(x["s"]["kind"]))).otherwise("")
+
+    def of_block(block: Column) -> Column:
+        begin, last = block[0]["at"], F.element_at(block, -1)["s"]["start"]
+        part = F.substr(text, begin + 1, F.greatest(last - begin, F.lit(0)))
+        return _let(part, lambda part: F.array_join(F.transform(block, lambda x: piece(part, begin, x)), ""))
+
+    def clean(ends: Column) -> Column:
+        at = F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1))
+        pieces = F.transform(_blocks(F.arrays_zip(spans.alias("s"), at.alias("at"))), of_block)
+        return F.concat(F.array_join(pieces, ""), F.substr(text, F.element_at(ends, -1) + 1, F.length(text)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text)))))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(running(F.transform(spans, lambda s: s["end"]), F.greatest), clean))
 
 
 def sanitize(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -100,6 +101,43 @@ def test_long_text(spark):
     assert row.n_email == 5_000 and row.base_sha256 == hashlib.sha256(base(text).encode()).hexdigest()
 
 
+def test_spans_in_blocks(spark, monkeypatch):
+    """Running results, overlaps and redaction against plain loops, across many blocks."""
+    monkeypatch.setattr(pii, "BLOCK", 3)
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        text = "".join(rng.choice("abé😀 ") for _ in range(rng.randint(0, 90)))
+        spans = sorted((s, rng.randint(0, 3), rng.choice(("email", "term_removed", "term_generalised")), s + rng.randint(1, 9), "") for s in rng.choices(range(len(text) + 1), k=rng.randint(0, 20)))
+        spans = [s for s in spans if s[3] <= len(text)]
+        base = [s for s in spans if rng.random() < 0.5]
+        rows.append((i, text, spans, base))
+    df = spark.createDataFrame(rows, f"i int, text string, spans {pii.SPAN}, base {pii.SPAN}")
+    ends = F.transform("spans", lambda s: s["end"])
+    got = df.select("i", pii.running(ends, lambda a, b: a + b).alias("sums"), pii.running(ends, F.greatest).alias("far"), pii.apart(F.col("spans"), F.col("base")).alias("apart"), pii.redact(F.col("text"), F.col("spans")).alias("clean")).collect()
+    for r in got:
+        _, text, spans, base = rows[r["i"]]
+        assert r["sums"] == list(itertools.accumulate(s[3] for s in spans)) and r["far"] == list(itertools.accumulate((s[3] for s in spans), max))
+        assert [tuple(s) for s in r["apart"]] == [s for s in spans if not any(b[0] < s[3] and s[0] < b[3] for b in base)]
+        at, out = 0, ""
+        for start, _, kind, end, _ in spans:
+            if start >= at:
+                out += text[at:start] + {"email": "[EMAIL]", "term_removed": "", "term_generalised": "[TERM]"}[kind]
+            at = max(at, end)
+        assert r["clean"] == out + text[at:]
+
+
+def test_spans_grow_in_step_with_the_text(spark):
+    """Twice as many spans take about twice as long, not four times."""
+    took = {}
+    for n in (1_000, 16_000, 32_000):
+        df = spark.createDataFrame([(" ".join(f"u{i}@example.org" for i in range(n)),)], "text string").withColumn("spans", pii.base_spans(F.col("text")))
+        begun = time.time()
+        r = df.select(F.size("spans").alias("n"), F.length(pii.redact(F.col("text"), F.col("spans"))).alias("left")).first()
+        took[n] = time.time() - begun
+        assert (r["n"], r["left"]) == (n, 8 * n - 1)
+    assert took[32_000] < 3.5 * took[16_000], took
+
+
 def test_lines_of_entities(spark):
     text = "a@b.co first\n\nnone\n+1 555 123 4567 and a@b.co, A@b.co\n10.0.0.1"
     df = docs(spark, [(1, text)]).select(F.lit("k").alias("text_key"), "text", pii.base_spans(F.col("text")).alias("base"))
