@@ -163,11 +163,11 @@ def disclosure(docs: DataFrame, lines: DataFrame) -> DataFrame:
     terms = joint.select("term").distinct()
     n_terms = terms.count()
     # The empty term stands for the line itself, so its count is that of all distinct lines.
-    # Lines go by a name of 96 bits, and only beside terms that are wanted.
-    corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
-    each = corpus_lines.select(F.xxhash64("line").alias("h"), F.hash("line").alias("g"), F.explode(F.concat(F.array(F.lit("")), _words(F.col("line")))).alias("term"))
+    # Lines are made distinct before their words are taken: far fewer rows move than (term, name of line) would be.
+    corpus_lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
+    each = corpus_lines.select(F.explode(F.concat(F.array(F.lit("")), _words(F.col("line")))).alias("term"))
     wanted = terms.unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term")))
-    own = materialize(each.join(broadcast_if_small(wanted, n_terms + 1), "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-terms")
+    own = materialize(each.join(broadcast_if_small(wanted, n_terms + 1), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-terms")
     n_lines = (own.where("term = ''").first() or {"n_term": 1})["n_term"]
     content = -F.log(F.col("n_entity") / F.lit(n_lines))
     share = 1 + F.log(F.least(F.lit(1.0), F.col("n_joint") / F.col("n_term"))) / content
