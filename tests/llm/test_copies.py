@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fluxweave.llm import exact_dedup, fuse_filter, graph, jaccard
 
@@ -48,6 +49,38 @@ def test_exact_dedup(spark, rows):
     assert got == sorted(expected, key=str)
 
 
+def test_filters_serve_batches_of_other_sizes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_KEYS", 20)
+    store, in_old = str(tmp_path / "filters"), F.col("doc_id") < 100
+    old = [(i, f"old {i}") for i in range(100)]
+    stamps = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "filters").rglob("*.parquet") if "snapshot=" in str(p)}
+
+    def check(batch):
+        got = exact_dedup.exact_dedup(docs(spark, old + batch), in_old, store).collect()
+        groups = defaultdict(list)
+        for i, t in old + batch:
+            groups[t].append(i)
+        assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got) == sorted((i, max(groups[t]), len(groups[t])) for i, t in old + batch)
+
+    check([(100 + i, f"old {3 * i}") for i in range(10)])
+    first = stamps()
+    assert len(first) == exact_dedup.buckets_for(100) == 8
+    # A batch with more buckets than the snapshot, and an empty one, load the same files.
+    check([(100 + i, f"old {i}") for i in range(700)])
+    check([])
+    assert stamps() == first
+    # Another snapshot has files of its own.
+    old.append((99, "one more"))
+    check([(100, "one more"), (101, "old 5")])
+    assert len(stamps()) == 16 and first.items() <= stamps().items()
+
+
+def test_exact_dedup_of_very_long_texts(spark):
+    long = "0123456789" * 300_000
+    got = exact_dedup.exact_dedup(docs(spark, [(1, long), (2, long), (3, long + "x"), (4, long[:-1])]))
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got.collect()) == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 1, True)]
+
+
 def brute(rows, n, num, den):
     def shingles(t):
         w = (t or "").encode().lower().split()
