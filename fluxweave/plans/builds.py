@@ -97,7 +97,7 @@ def inherited_vintage(v: Views) -> DataFrame:
     first = meta.where("db LIKE '1%'").first()
     counts = v.spark.sql("SELECT o_orderstatus AS db, COUNT(*) AS activity_count FROM orders GROUP BY 1")
     sinks.stamp_build(sinks.inherit_vintage(counts, meta, first["db"] if first else ""), path)
-    return v.spark.read.schema("activity_count long, vintage string, db string").parquet(path)
+    return readers.read_stored(v.spark, path)
 
 
 # --- factors and units --------------------------------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,10 +190,10 @@ def activity_store(v: Views) -> DataFrame:
     sinks.write_store(v.catalogue.where("db = 'full'"), path)
     try:
         sinks.write_store(v.catalogue, path)
-    except AnalysisException:
+    except FileExistsError:
         refused = True
     sinks.write_store(v.catalogue, path, overwrite=True)
-    return v.spark.read.parquet(path).groupBy("db").agg(F.count(F.lit(1)).alias("n_rows")).select("db", "n_rows", F.lit(refused).alias("refused"))
+    return readers.read_stored(v.spark, path).groupBy("db").agg(F.count(F.lit(1)).alias("n_rows")).select("db", "n_rows", F.lit(refused).alias("refused"))
 
 
 @query(with_views("SELECT scenario, method, round(score, 6) AS score, (SELECT COUNT(DISTINCT scenario) FROM scenario) AS n_stored FROM (SELECT scenario, method, CASE WHEN scenario = 'BUILDING' THEN score * 2 ELSE score END AS score FROM scenario) s", "scenario"))
@@ -203,7 +202,7 @@ def result_store(v: Views) -> DataFrame:
     path, rows = new_path(v.spark, "results"), v.scenario.select("scenario", "method", "score")
     sinks.write_results(rows, path)
     n = sinks.write_results(rows.where("scenario = 'BUILDING'").withColumn("score", F.col("score") * 2), path)
-    return rounded(v.spark.read.parquet(path).withColumn("n_stored", F.lit(n).cast("long")))
+    return rounded(readers.read_stored(v.spark, path).withColumn("n_stored", F.lit(n).cast("long")))
 
 
 @query(with_views("SELECT scenario, COUNT(*) AS n_rows, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS n_written, 0 AS n_empty FROM scenario GROUP BY scenario", "scenario"))
@@ -211,7 +210,18 @@ def contribution_store(v: Views) -> DataFrame:
     path, rows = new_path(v.spark, "contributions"), v.scenario.select("scenario", "method", "score")
     empty = sinks.write_contributions(rows.where("false"), path)
     n = sinks.write_contributions(rows, path)
-    return v.spark.read.parquet(path).groupBy("scenario").agg(F.count(F.lit(1)).alias("n_rows")).withColumns({"n_written": F.lit(n).cast("long"), "n_empty": F.lit(empty)})
+    return readers.read_stored(v.spark, path).groupBy("scenario").agg(F.count(F.lit(1)).alias("n_rows")).withColumns({"n_written": F.lit(n).cast("long"), "n_empty": F.lit(empty)})
+
+
+@query(with_views("""SELECT s.scenario, s.method, round(s.score / nullif(b.score, 0), 6) AS ratio FROM scenario s JOIN scenario b ON b.method = s.method AND b.scenario = 'BUILDING'""", "scenario"))
+def result_scan(v: Views) -> DataFrame:
+    """Stored results, read through the gate of their columns, rewritten from themselves, and set against a baseline."""
+    path, unit = new_path(v.spark, "results"), {"unit": F.lit(""), "functional_unit": F.lit("unit")}
+    sinks.write_results(v.scenario.select("scenario", "method", "score").withColumns(unit), path)
+    sinks.write_results(readers.read_stored(v.spark, path, "result").withColumn("score", F.col("score") * 2), path)
+    rows = readers.read_stored(v.spark, path, "result")
+    base = rows.where("scenario = 'BUILDING'").select("method", F.col("score").alias("base"))
+    return rounded(rows.join(base, "method").select("scenario", "method", F.expr("score / nullif(base, 0)").alias("ratio")))
 
 
 @query(with_views("SELECT method, flow_id, round(CASE WHEN method = 'ASIA' THEN -cf ELSE cf END, 6) AS cf FROM cf", "cf"))
@@ -220,7 +230,7 @@ def factor_store(v: Views) -> DataFrame:
     path = new_path(v.spark, "cf")
     sinks.write_cf(v.cf, path)
     sinks.write_cf(v.cf.where("method = 'ASIA'").withColumn("cf", -F.col("cf")), path)
-    return rounded(v.spark.read.parquet(path).select("method", "flow_id", "cf"))
+    return rounded(readers.read_stored(v.spark, path).select("method", "flow_id", "cf"))
 
 
 @query("SELECT o_orderpriority AS db, COUNT(*) AS n_processes, round(SUM(o_totalprice), 2) AS total FROM orders GROUP BY 1")
@@ -229,7 +239,7 @@ def link_audit_store(v: Views) -> DataFrame:
     path = new_path(v.spark, "audit")
     for part in ("o_orderpriority < '3'", "o_orderpriority >= '3'"):
         sinks.write_link_audit(v.spark.sql(f"SELECT o_orderpriority AS db, o_orderkey, o_totalprice FROM orders WHERE {part}"), path)
-    return rounded(v.spark.read.parquet(path).groupBy("db").agg(F.count(F.lit(1)).alias("n_processes"), F.sum("o_totalprice").alias("total")), 2)
+    return rounded(readers.read_stored(v.spark, path).groupBy("db").agg(F.count(F.lit(1)).alias("n_processes"), F.sum("o_totalprice").alias("total")), 2)
 
 
 @query(with_views("SELECT flow_id, fp_id, round(factor, 6) AS factor FROM conversion_factor", "conversion_factor"))
@@ -237,7 +247,7 @@ def conversion_store(v: Views) -> DataFrame:
     path = new_path(v.spark, "conversions")
     for rows in (v.conversion_factor.limit(0), v.conversion_factor):
         sinks.write_conversions(rows, path)
-    return rounded(v.spark.read.parquet(path))
+    return rounded(readers.read_stored(v.spark, path))
 
 
 @query("SELECT 'full' AS db, COUNT(*) AS activity_count, '2026' AS vintage, FALSE AS stale FROM part UNION ALL SELECT 'subset', COUNT(*), '2025', TRUE FROM part WHERE p_retailprice > 905 HAVING COUNT(*) > 0")
@@ -247,7 +257,7 @@ def build_stamps(v: Views) -> DataFrame:
     counts = v.catalogue.groupBy("db").agg(F.count(F.lit(1)).alias("activity_count"))
     sinks.stamp_build(counts.withColumns({"vintage": F.lit("2025"), "flow_version": F.lit("1")}), path)
     sinks.stamp_build(counts.where("db = 'full'").withColumns({"vintage": F.lit("2026"), "flow_version": F.lit("2")}), path)
-    return guards.stale(v.spark.read.parquet(path), "2").select("db", "activity_count", F.col("vintage").cast("string").alias("vintage"), "stale")
+    return guards.stale(readers.read_stored(v.spark, path), "2").select("db", "activity_count", "vintage", "stale")
 
 
 @query("SELECT s_nationkey % 2 AS mode, vintage, partial, COUNT(*) AS n_rows FROM supplier, (SELECT '2025' AS vintage, FALSE AS partial UNION ALL SELECT '2026', FALSE UNION ALL SELECT '2025', TRUE) t WHERE NOT partial OR s_suppkey % 3 = 0 GROUP BY 1, 2, 3")
@@ -255,7 +265,7 @@ def validation_store(v: Views) -> DataFrame:
     path, rows = new_path(v.spark, "validation"), v.spark.sql("SELECT s_nationkey % 2 AS mode, s_suppkey FROM supplier")
     for vintage, partial in (("2025", False), ("2026", False), ("2025", True)):
         sinks.write_validation(rows.where("s_suppkey % 3 = 0") if partial else rows, path, vintage, partial)
-    return v.spark.read.parquet(path).groupBy(F.col("mode").cast("long").alias("mode"), F.col("vintage").cast("string").alias("vintage"), F.col("partial").cast("boolean").alias("partial")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return readers.read_stored(v.spark, path).groupBy("mode", "vintage", "partial").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(with_views("SELECT COUNT(*) AS n_results, round(SUM(score), 6) AS total, COUNT(DISTINCT scenario) AS n_scenarios FROM scenario", "scenario"))

@@ -7,12 +7,12 @@ import warnings
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxweave.functions import schemas
 from fluxweave.operators import guards, search
+from fluxweave.sources import versions
 
 #: Names of source archives: an id, an underscore and a release hash.
 SOURCE_NAME = r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}_[0-9A-Za-z]+\.zip$"
@@ -66,9 +66,7 @@ def _digests(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _digest(path: str) -> str:
     """SHA-256 of a file, of which one block at a time is in memory."""
-    # Spark names local files file:/..., with blanks as they are, which is no URI to Arrow.
-    local = path.removeprefix("file:").startswith("/")
-    store, name = (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(path)
+    store, name = versions.locate(path)
     state = hashlib.sha256()
     with store.open_input_stream(name) as stream:
         while block := stream.read(BLOCK_BYTES):
@@ -127,6 +125,12 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return require_columns(spark.read.parquet(path), table)
 
 
+def read_stored(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """A table that a sink wrote, as its newest version has it, if it has the columns that the table needs."""
+    rows = versions.read(spark, path)
+    return rows if table is None else require_columns(rows, table)
+
+
 def read_reference_scores(df: DataFrame) -> DataFrame:
     """process, mode, category, ol_score: null scores are 0, rows without a category go."""
     return df.where(F.col("category").isNotNull()).withColumn("ol_score", F.coalesce("ol_score", F.lit(0.0)))
@@ -134,7 +138,7 @@ def read_reference_scores(df: DataFrame) -> DataFrame:
 
 def read_catalogue(spark: SparkSession, path: str, db: str | None = None) -> DataFrame:
     """code, name and builds of the activities in a store (pos, db, code, name), of one build or of all; none is an error."""
-    rows = spark.read.parquet(path)
+    rows = read_stored(spark, path)
     rows = rows if db is None else rows.where(F.col("db") == db)
     guards.require_some(rows, "no build is there")
     return search.merge_builds(rows)

@@ -1,34 +1,34 @@
-"""Sinks: guarded stores, replace-by-scenario results, manifests, tagged validation tables."""
+"""Sinks: guarded stores, replace-by-scenario results, manifests, tagged validation tables.
+
+Stores are versioned tables (`versions`): a write is seen whole or not at all; `read_stored` reads them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fluxweave.sources import versions
+
 
 def write_store(df: DataFrame, path: str, key: str = "db", overwrite: bool = False, confirm: Callable[[str], bool] | None = None) -> None:
     """Activities or exchanges by database; an existing store is kept unless overwrite is set or confirm(path) agrees."""
-    writer = df.write.partitionBy(key)
-    try:
-        writer.mode("overwrite" if overwrite else "errorifexists").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_ALREADY_EXISTS" or confirm is None or not confirm(path):
-            raise
-        writer.mode("overwrite").parquet(path)
+    if versions.exists(path) and not overwrite and (confirm is None or not confirm(path)):
+        raise FileExistsError(f"{path} already exists")
+    versions.write(df, path, [key], whole=True)
 
 
 def replace_partitions(df: DataFrame, path: str, key: str) -> None:
     """Rewrite only the partitions that df has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    versions.write(df, path, [key])
 
 
 def write_results(df: DataFrame, path: str) -> int:
     """Results by scenario: a scenario that was there is replaced. The number of scenarios now stored."""
     replace_partitions(df, path, "scenario")
-    return df.sparkSession.read.parquet(path).select("scenario").distinct().count()
+    return len(versions.live(path))
 
 
 def write_contributions(df: DataFrame, path: str) -> int:
@@ -54,7 +54,7 @@ def write_link_audit(df: DataFrame, path: str) -> None:
 
 
 def write_conversions(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    versions.write(df, path, [])
 
 
 def inherit_vintage(df: DataFrame, meta: DataFrame, background: str) -> DataFrame:
@@ -71,4 +71,4 @@ def stamp_build(df: DataFrame, path: str) -> None:
 def write_validation(df: DataFrame, path: str, vintage: str, partial: bool) -> None:
     """Runs of another vintage, and partial runs, go to partitions of their own."""
     tagged = df.withColumn("vintage", F.lit(vintage)).withColumn("partial", F.lit(partial))
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("mode", "vintage", "partial").parquet(path)
+    versions.write(tagged, path, ["mode", "vintage", "partial"])
