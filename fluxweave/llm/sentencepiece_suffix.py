@@ -11,7 +11,8 @@ edge fall back to byte pieces.
 
 Defined cases: null text counts as empty and has no ids; texts with runs of spaces are taken as one
 pre-token each run; a null doc_id stays null; rows that repeat give equal rows; an empty table gives
-an empty result; other columns are ignored.
+an empty result; very long texts are encoded whole, in memory for a few numbers a character; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ import hashlib
 import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +33,7 @@ from .common import arrow_limits, id_and_text
 from .tokens import MODEL, processor
 
 #: Pre-tokens that a worker keeps (the first it meets, which the frequent ones are among); characters from which
-#: one is not kept and is relaxed by itself; characters indexed at once; pairs kept.
+#: one is not kept and is cut into parts; characters indexed at once; pairs kept.
 CACHED, WORD, INDEXED, PAIRS = 300_000, 48, 1 << 17, 500_000
 #: A text's pre-tokens: spaces with the word after them, or a line feed.
 _CUT = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
@@ -51,6 +53,7 @@ class Vocabulary:
         self.name_ids = np.array([self.ids[p] for p in self.names], np.int32)
         self.longest = max(map(len, self.names))
         self.lengths = np.array([len(p) for p in self.names], np.int64)
+        self.spans, self.numbers = self.lengths.tolist(), self.name_ids.tolist()
         self.alphabet = np.unique(np.frombuffer("".join(self.names).encode("utf-32-le"), "<u4"))
         # Every piece as the lowest and the highest suffix that starts with it.
         low, high = np.zeros((len(self.names), self.longest), ">u2"), np.full((len(self.names), self.longest), 0xFFFF, ">u2")
@@ -153,17 +156,6 @@ def relax(end: np.ndarray, piece: np.ndarray, starts: np.ndarray, sizes: np.ndar
     return last
 
 
-def relax_long(end: list[int], piece: list[int], start: int, size: int, vocab: Vocabulary) -> np.ndarray:
-    """The same for one long word, position by position."""
-    last, k, spans = [-1] * (size + 1), 0, vocab.lengths
-    for i in range(1, size + 1):
-        while k < len(end) and end[k] == start + i:
-            if last[i] < 0 and ((p := last[i - int(spans[piece[k]])]) < 0 or vocab.holds(p, piece[k])):
-                last[i] = piece[k]
-            k += 1
-    return np.array(last, np.int64)
-
-
 def encode_words(words: list[str], vocab: Vocabulary) -> list[bytes]:
     """Ids (32-bit) of each word, by relaxing the edges in order of position.
 
@@ -173,10 +165,7 @@ def encode_words(words: list[str], vocab: Vocabulary) -> list[bytes]:
     end, piece = edges(words, vocab)
     sizes = np.array([len(w) for w in words], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
-    if sizes.max() > WORD:
-        last = np.concatenate([relax_long(end[a:b].tolist(), piece[a:b].tolist(), int(s), int(n), vocab) for s, n, a, b in zip(starts, sizes, np.searchsorted(end, starts, "right"), np.searchsorted(end, starts + sizes, "right"), strict=True)])
-    else:
-        last = relax(end, piece, starts, sizes, vocab)
+    last = relax(end, piece, starts, sizes, vocab)
     # From the ends back to the starts, one piece of every word a step.
     at, rows, found, plain = starts + sizes, [], [], np.ones(len(words), bool)
     open_ = np.flatnonzero(sizes)
@@ -197,18 +186,61 @@ def encode_words(words: list[str], vocab: Vocabulary) -> list[bytes]:
     return out
 
 
-def _with_bytes(word: str, last: np.ndarray, vocab: Vocabulary) -> bytes:
-    """Ids of a word some characters of which are no pieces."""
-    ids, i = [], len(word)
+def _with_bytes(word: str, last: Sequence[int], vocab: Vocabulary) -> bytes:
+    """Ids of a word by its last pieces; characters that are no pieces become bytes."""
+    ids, i = array("i"), len(word)
     while i > 0:
-        q = int(last[i])
+        q = last[i]
         if q >= 0:
-            ids.append(int(vocab.name_ids[q]))
-            i -= int(vocab.lengths[q])
+            ids.append(vocab.numbers[q])
+            i -= vocab.spans[q]
         else:
-            ids += [vocab.byte[b] for b in reversed(word[i - 1].encode("utf-8"))]
+            ids.extend(vocab.byte[b] for b in reversed(word[i - 1].encode("utf-8")))
             i -= 1
-    return np.array(ids[::-1], "<i4").tobytes()
+    return np.frombuffer(ids, np.int32)[::-1].astype("<i4").tobytes()
+
+
+def uncrossed(word: str, vocab: Vocabulary) -> Iterator[list[int]]:
+    """Block by block, the places inside a long word that no piece reaches across.
+
+    A block is indexed with as much around it as the longest piece reaches, so each place sees all its pieces.
+    """
+    for at in range(0, len(word), INDEXED):
+        low, high = max(0, at - vocab.longest), min(len(word), at + INDEXED + vocab.longest)
+        end, piece = edges([word[low:high]], vocab)
+        begun, ended = np.bincount(end - vocab.lengths[piece] + 1, minlength=high - low + 2), np.bincount(end, minlength=high - low + 2)
+        free = np.cumsum(begun - ended)[: high - low] == 0
+        free[: max(at, 1) - low] = False
+        yield (low + np.flatnonzero(free[: at + INDEXED - low])).tolist()
+
+
+def encode_run(word: str, vocab: Vocabulary) -> bytes:
+    """Ids of one long word, its edges found in blocks and relaxed position by position."""
+    last, spans, pairs = array("i", [-1]) * (len(word) + 1), vocab.spans, vocab.pairs
+    for at in range(0, len(word), INDEXED):
+        low = max(0, at - vocab.longest)
+        end, piece = edges([word[low : at + INDEXED]], vocab)
+        first = np.searchsorted(end, at - low, "right")
+        for e, q in zip((end[first:] + low).tolist(), piece[first:].tolist(), strict=True):
+            if last[e] < 0:
+                before = last[e - spans[q]]
+                if before < 0 or ((known := pairs.get(before << 20 | q)) is None and vocab.holds(before, q)) or known:
+                    last[e] = q
+    return _with_bytes(word, last, vocab)
+
+
+def encode_long(word: str, vocab: Vocabulary) -> bytes:
+    """Ids of a long pre-token, part by part: what no piece reaches across never merges, so the parts encode alone."""
+    out, begin = [], 0
+    for cuts in itertools.chain(uncrossed(word, vocab), [[len(word)]]):
+        parts = [word[a:b] for a, b in zip([begin, *cuts], cuts, strict=False)]
+        begin = cuts[-1] if cuts else begin
+        fresh = list(dict.fromkeys(parts))
+        short = [w for w in fresh if len(w) <= WORD]
+        known = dict(zip(short, encode_words(short, vocab), strict=True)) if short else {}
+        known.update((w, encode_run(w, vocab)) for w in fresh if len(w) > WORD)
+        out.append(b"".join(map(known.__getitem__, parts)))
+    return b"".join(out)
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -227,8 +259,9 @@ class Encoder:
         fresh = [w for w in fresh if w not in self.seen]
         short = [w for w in fresh if len(w) <= WORD]
         room = max(0, CACHED - len(self.seen))
-        for block in itertools.chain(_blocks(short), ([w] for w in fresh if len(w) > WORD)):
+        for block in _blocks(short):
             self.seen.update(zip(block, encode_words(block, self.vocab), strict=True))
+        self.seen.update((w, encode_long(w, self.vocab)) for w in fresh if len(w) > WORD)
         get = self.seen.__getitem__
         out = [np.frombuffer(b"".join(map(get, part)), "<i4") for part in cut]
         for w in itertools.chain(short[room:], (w for w in fresh if len(w) > WORD)):

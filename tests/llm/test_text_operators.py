@@ -249,3 +249,24 @@ def test_plan_is_filled_by_combinations(seed):
                 used[sequence, offset : offset + n] = True
     whole = plan.sequences - (plan.total % 2048).bit_count()
     assert used[:whole].all() and all(int(n).bit_count() == 1 for n in used[whole:].sum(axis=1))
+
+
+@pytest.mark.parametrize("block", [40, 64, 1 << 17])
+def test_long_words_in_blocks(monkeypatch, block):
+    monkeypatch.setattr(sentencepiece_suffix, "INDEXED", block)
+    rng, coder = random.Random(block), sentencepiece_suffix.Encoder()
+    kinds = ["abcdefghij", "aaab", "the of and ing".replace(" ", ""), "0123456789", "=-_.", "éüß日本語中文", "\U0001f600ſﬁ", "e"]
+    for _ in range(150):
+        text = "".join("".join(rng.choices(rng.choice(kinds), k=rng.randint(1, 60))) for _ in range(rng.randint(1, 8)))
+        assert coder.encode([text])[0].tolist() == SP.encode(text), text
+
+
+def test_places_that_no_piece_reaches_across(monkeypatch):
+    vocab = sentencepiece_suffix.vocabulary(tokens.MODEL)
+    word = "▁" + "".join(random.Random(5).choices("abcd日9=", k=700))
+    whole = next(sentencepiece_suffix.uncrossed(word, vocab))
+    end, piece = sentencepiece_suffix.edges([word], vocab)
+    crossed = {i for e, n in zip(end.tolist(), vocab.lengths[piece].tolist(), strict=True) for i in range(e - n + 1, e)}
+    assert whole == [i for i in range(1, len(word)) if i not in crossed]
+    monkeypatch.setattr(sentencepiece_suffix, "INDEXED", 50)
+    assert [i for block in sentencepiece_suffix.uncrossed(word, vocab) for i in block] == whole
