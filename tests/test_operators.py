@@ -193,6 +193,33 @@ def test_foreground_collects_all_errors(spark):
     assert {(r["type"], r["amount"]) for r in good} == {("production", 1.0), ("technosphere", 0.5), ("biosphere", 0.0)}
 
 
+def test_foreground_rows_that_ask_for_nothing_are_spread(spark):
+    """Rows without name, provider or flow do not meet in one task under a null key."""
+    rows = spark.range(4000).selectExpr("CAST(id AS INT) AS lineno", "' ' AS process_name", "'production' AS exchange_type", "CAST(NULL AS STRING) AS flow_uuid", "CAST(NULL AS STRING) AS provider_uuid", "'1' AS amount", "'kg' AS unit", "'' AS is_ref")
+    table = spark.createDataFrame([("x", "kg")], "id string, unit string")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        checked = foreground.validate(rows, table.toDF("flow_id", "unit"), table.toDF("code", "unit"))
+        got = checked.select("lineno", F.size("errors").alias("n"), F.spark_partition_id().alias("p")).toPandas()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert len(got) == got.lineno.nunique() == 4000 and set(got.n) == {1}
+    assert got.groupby("p").size().max() < 2000
+
+
+def test_foreground_checks_are_written_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "Cup", "production", None, None, "2", "kg", "yes"), (2, "Cup", "technosphere", None, "bg", "500", "g", "")], FG)
+    bio, back = spark.createDataFrame([("co2", "kg")], "flow_id string, unit string"), spark.createDataFrame([("bg", "kg")], "code string, unit string")
+    path = f"file://{tmp_path}/loaded"
+    loaded = foreground.load(foreground.validate(rows, bio, back), path=path)
+    assert loaded.inputFiles() and loaded.columns == ["code", "input_code", "amount", "type", "link_db"] and loaded.count() == spark.read.parquet(path).count() == 2
+    with pytest.raises(foreground.InvalidInventory, match="row 2: unknown provider"):
+        foreground.load(foreground.validate(rows.replace("bg", "gone", "provider_uuid"), bio, back), path=f"file://{tmp_path}/bad")
+
+
 def test_target_choice():
     assert foreground.pick_target(["a"]) == "a" and foreground.pick_target(["a", "b"], "b") == "b"
     with pytest.raises(ValueError, match="name one"):
