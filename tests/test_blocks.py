@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from fluxweave.operators import blocks, solve
@@ -65,3 +66,19 @@ def test_no_edges_and_no_solution(spark):
     assert ordered(spark, CYCLES, []) == {}
     with pytest.raises(Exception, match="no single solution"):
         ordered(spark, [(0, 1, 1.0), (1, 0, 1.0)], [("a", 0, 1.0)])
+
+
+def test_many_small_components_share_a_call(spark, monkeypatch):
+    """Circles of 2 to 4 nodes and self-loops, with one to three keys each: few calls, and each solved by itself."""
+    monkeypatch.setattr(blocks, "CELLS", 40)
+    rng = np.random.default_rng(5)
+    edges, seeds = [], []
+    for c in range(60):
+        n = c % 4 + 1
+        edges += [(10 * c + i, 10 * c + (i + 1) % n, float(rng.uniform(1.1, 2.0))) for i in range(n)]
+        seeds += [("abc"[k], 10 * c + int(rng.integers(n)), float(rng.normal())) for k in range(c % 3 + 1)]
+    close(ordered(spark, edges, seeds), dense(600, edges, seeds))
+    b = pd.DataFrame([(i // 10 * 10, k, i, v) for k, i, v in seeds], columns=["comp", "key", "node", "v"])
+    w = pd.DataFrame([(s // 10 * 10, s, d, x) for s, d, x in edges], columns=["comp", "src", "dst", "w"])
+    got = blocks._dense(b, w)  # all of them in one call
+    close({(r.key, r.node): r.v for r in got.itertuples()}, dense(600, edges, seeds))
