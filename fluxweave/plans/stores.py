@@ -18,16 +18,17 @@ from fluxweave.sources import readers, sinks
 def _process_files(v: Views) -> str:
     """Orders as process documents of two sources, one JSON line each: some without an id, some fields missing."""
     path = new_path(v.spark, "processes")
-    exchange = """named_struct('internalId', CAST(l_linenumber AS INT), 'isInput', IF(l_linestatus = 'O', TRUE, NULL), 'isQuantitativeReference', IF(l_linenumber = 1, TRUE, NULL), 'amount', IF(l_tax > 0.07, NULL, l_quantity),
-        'unit', IF(l_discount > 0.09, NULL, named_struct('name', 'kg')), 'flow', named_struct('@id', CAST(l_partkey AS STRING), 'name', l_returnflag, 'flowType', 'PRODUCT_FLOW'), 'defaultProvider', IF(l_suppkey % 2 = 0, named_struct('@id', CAST(l_suppkey AS STRING)), NULL))"""
-    factor = "IF(l_discount > 0.05, named_struct('allocationType', 'CAUSAL_ALLOCATION', 'product', named_struct('@id', CAST(l_partkey AS STRING)), 'exchange', named_struct('internalId', CAST(l_linenumber AS INT)), 'value', l_discount), NULL)"
-    lines = v.spark.sql(f"SELECT l_orderkey, sort_array(collect_list(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, {exchange} AS e, {factor} AS f))) AS rows FROM lineitem GROUP BY l_orderkey")
+    exchange = """named_struct('internalId', CAST(x.l_linenumber AS INT), 'isInput', IF(x.l_linestatus = 'O', TRUE, NULL), 'isQuantitativeReference', IF(x.l_linenumber = 1, TRUE, NULL), 'amount', IF(x.l_tax > 0.07, NULL, x.l_quantity),
+        'unit', IF(x.l_discount > 0.09, NULL, named_struct('name', 'kg')), 'flow', named_struct('@id', CAST(x.l_partkey AS STRING), 'name', x.l_returnflag, 'flowType', 'PRODUCT_FLOW'), 'defaultProvider', IF(x.l_suppkey % 2 = 0, named_struct('@id', CAST(x.l_suppkey AS STRING)), NULL))"""
+    factor = "IF(x.l_discount > 0.05, named_struct('allocationType', 'CAUSAL_ALLOCATION', 'product', named_struct('@id', CAST(x.l_partkey AS STRING)), 'exchange', named_struct('internalId', CAST(x.l_linenumber AS INT)), 'value', x.l_discount), NULL)"
+    # The line items move as they are; documents are made where an order has come together.
+    lines = v.spark.sql("SELECT l_orderkey, sort_array(collect_list(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_linestatus, l_returnflag))) AS rows FROM lineitem GROUP BY l_orderkey")
     docs = lines.join(v.spark.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey"), F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderkey").cast("string")).alias("@id"), F.col("o_orderpriority").alias("name"), F.lit("01.2").alias("version"),
-        F.col("o_orderstatus").alias("defaultAllocationMethod"), F.expr("transform(rows, x -> x.e)").alias("exchanges"), F.expr("array_compact(transform(rows, x -> x.f))").alias("allocationFactors"),
+        F.col("o_orderstatus").alias("defaultAllocationMethod"), F.expr(f"transform(rows, x -> {exchange})").alias("exchanges"), F.expr(f"array_compact(transform(rows, x -> {factor}))").alias("allocationFactors"),
     )
     for k in (0, 1):
-        docs.where(F.col("o_orderkey") % 2 == k).drop("o_orderkey").write.json(f"{path}/bundle_{k}/processes")
+        docs.where(F.col("o_orderkey") % 2 == k).drop("o_orderkey").write.option("compression", "gzip").json(f"{path}/bundle_{k}/processes")
     return path
 
 

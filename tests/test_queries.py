@@ -55,3 +55,11 @@ def test_every_oracle_has_a_query():
 
 def test_source_identity_has_rows(spark, sf):
     assert plans.QUERIES["source_identity"](spark, sf).count() > 0
+
+
+def test_process_files_are_compressed(spark, sf):
+    from fluxweave.plans import stores
+    from fluxweave.plans.views import Views
+
+    files = spark.read.option("recursiveFileLookup", True).text(stores._process_files(Views(spark, sf))).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
