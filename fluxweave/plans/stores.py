@@ -175,7 +175,7 @@ def foreground_links(v: Views) -> DataFrame:
 def merged_network(v: Views) -> DataFrame:
     """A valid inventory beside the network's own exchanges; rows of customers that do not exist are left out before."""
     rows = _valid(v).where("exchange_type <> 'technosphere' or link_db is not null")
-    loaded = foreground.load(rows)
+    loaded = foreground.load(rows, path=new_path(v.spark, "inventory"))
     network = v.spark.sql("SELECT CAST(l_orderkey AS STRING) AS code, CAST(l_partkey AS STRING) AS input_code, l_quantity AS amount, 'technosphere' AS type FROM lineitem")
     whole = foreground.merge(network, loaded.select("code", "input_code", "amount", "type"))
     return rounded(whole.groupBy("type").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount")))
