@@ -1,6 +1,8 @@
 """Network solve: many demands at once, or every activity at once, by rounds of join and aggregate.
 
-One round passes the newest amounts, the frontier, along the edges. A few rounds make one job, which writes
+The amounts of few keys are columns of one row for each node. Where seeds lie all over the network, nodes outside of
+cycles are met in order: each waits for all of its edges and passes its total on once. Elsewhere one round passes the
+newest amounts, the frontier, along the edges. A few rounds make one job, which writes
 what arrives in each: a round's exchange serves both the write and the next round. Only the frontier is
 joined and shuffled; the totals are one sum over all rounds at the end. Rounds end when nothing moves any
 more. On a cyclic network amounts only die down: there, now and then, the frontier is held against the sum of
@@ -11,8 +13,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from fluxweave.operators.blocks import ordered_totals
 from fluxweave.plans.lineage import cut, new_path
@@ -20,6 +23,10 @@ from fluxweave.plans.lineage import cut, new_path
 #: Smallest live share, most rounds, rounds in a job, and after how many it is first looked whether any share lives.
 #: Looks read all rounds, so each comes a quarter of the rounds after the one before.
 TOLERANCE, MAX_ROUNDS, STEP, LOOK = 1e-12, 1000, 4, 8
+#: Keys up to which amounts are columns; edges for each seeded node up to which nodes are met in order.
+KEYS, SPREAD = 16, 8
+#: Factors up to which they are broadcast; more of them are joined by a shuffle.
+FEW = 500_000
 
 
 class Diverged(RuntimeError):
@@ -36,36 +43,128 @@ def coefficients(technosphere: DataFrame, production: DataFrame) -> DataFrame:
     return edges.join(made, "src").select("src", "dst", (F.col("amount") / F.col("made")).alias("w"))
 
 
-def _passed_on(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """key, node, v: what the frontier's amounts give to the nodes behind their edges."""
-    return frontier.where("v <> 0").join(edges, F.col("node") == F.col("src")).groupBy("key", F.col("dst").alias("node")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+def distinct_keys(rows: DataFrame, key: str, value: str) -> list | None:
+    """The keys of rows that lie in a file, if they are few and no value is null; else None."""
+    found = rows.groupBy(key).agg(F.max(F.col(value).isNull()).alias("gap")).limit(KEYS + 1).collect()
+    return None if len(found) > KEYS or any(r["gap"] for r in found) else [r[key] for r in found]
 
 
-def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """seed (key, node, value) summed with all that the edges (src, dst, w) pass on: key, node, total."""
-    spark, folder = seed.sparkSession, new_path(seed.sparkSession, "propagate")
-    edges = cut(edges, f"{folder}/edges")
+def widened(rows: DataFrame, key: str, keys: list, by: str, value: str) -> DataFrame:
+    """One row for each `by`: the sum of the first key's values as v0, and so on; null where it has none."""
+    kind = rows.schema[key].dataType
+    return rows.groupBy(by).agg(*(F.sum(F.when(F.col(key).eqNullSafe(F.lit(k).cast(kind)), F.col(value).cast("double"))).alias(f"v{i}") for i, k in enumerate(keys)))
+
+
+def lengthened(wide: DataFrame, key: str, keys: list, kind: DataType, value: str) -> DataFrame:
+    """The rows that `widened` has laid out: the other columns, key, value."""
+    columns = [f"v{i}" for i in range(len(keys))]
+    cells = F.array(*(F.struct(F.lit(k).cast(kind).alias(key), F.col(c).alias(value)) for k, c in zip(keys, columns, strict=True)))
+    rest = [c for c in wide.columns if c not in columns]
+    return wide.select(*rest, F.explode(cells).alias("cell")).select(*rest, "cell.*").where(F.col(value).isNotNull())
+
+
+def _passed_on(frontier: DataFrame, edges: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """by, node, values: what the frontier's amounts give to the nodes behind their edges."""
+    given = (F.sum(F.nullif(F.col(c), F.lit(0.0)) * F.col("w")).alias(c) for c in values)
+    return frontier.where(_moves(values)).join(edges, F.col("node") == F.col("src")).groupBy(*by, F.col("dst").alias("node")).agg(*given)
+
+
+def _moves(values: list[str]) -> Column:
+    return reduce(Column.__or__, (F.coalesce(F.col(c) != 0, F.lit(False)) for c in values))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    """The sum of what is there."""
+    return F.coalesce(a + b, a, b)
+
+
+def _diverged(rows: DataFrame, by: list[str], values: list[str], keys: list, newest: int) -> Diverged:
+    size = F.greatest(*(F.abs(c) for c in values)) if len(values) > 1 else F.abs(values[0])
+    worst = [f"{r['key'] if by else next(k for k, c in zip(keys, values, strict=True) if r[c] is not None and abs(r[c]) == r['size'])}/{r['node']}" for r in rows.withColumn("size", size).orderBy(F.desc("size")).limit(5).collect()]
+    return Diverged(f"no convergence in {newest} rounds; largest at {', '.join(worst)}")
+
+
+def _series(start: DataFrame, edges: DataFrame, by: list[str], values: list[str], keys: list, folder: str, tolerance: float, max_rounds: int) -> DataFrame:
+    """start (by, node, values) summed with all that the edges pass on, round by round."""
+    spark, at = start.sparkSession, [*by, "node"]
     paths, newest, look = [f"{folder}/from=0"], 0, LOOK
-    passed = frontier = cut(seed.groupBy("key", "node").agg(F.sum("value").alias("v")).withColumn("round", F.lit(0)), paths[0])
+    passed = frontier = cut(start.withColumn("round", F.lit(0)), paths[0])
+    sums = lambda f, rows: rows.groupBy(*at).agg(*(F.sum(f(F.col(c))).alias(c) for c in values))
     while True:
-        live = frontier.where("v <> 0")
+        live = frontier.where(_moves(values))
         if newest >= look:
             look = newest + max(LOOK, newest // 4)
-            reached = passed.groupBy("key", "node").agg(F.sum(F.abs("v")).alias("reached"))
-            live = live.join(reached, ["key", "node"]).where(F.abs("v") > tolerance * F.col("reached"))
+            reached = sums(F.abs, passed).select(*at, *(F.col(c).alias(f"reached_{c}") for c in values))
+            live = live.join(reached, at).where(reduce(Column.__or__, (F.coalesce(F.abs(c) > tolerance * F.col(f"reached_{c}"), F.lit(False)) for c in values)))
         if live.isEmpty():
-            return passed.groupBy("key", "node").agg(F.sum("v").alias("total"))
+            return sums(lambda c: c, passed)
         if newest >= max_rounds:
-            break
+            raise _diverged(frontier, by, values, keys, newest)
         rounds = []
         for newest in range(newest + 1, newest + STEP + 1):
-            frontier = _passed_on(frontier, edges)
+            frontier = _passed_on(frontier, edges, by, values)
             rounds.append(frontier.withColumn("round", F.lit(newest)))
         paths.append(f"{folder}/from={newest - STEP + 1}")
         frontier = cut(reduce(DataFrame.unionByName, rounds), paths[-1]).where(F.col("round") == newest)
         passed = spark.read.schema(passed.schema).parquet(*paths)
-    worst = [f"{r['key']}/{r['node']}" for r in frontier.orderBy(F.abs("v").desc()).limit(5).collect()]
-    raise Diverged(f"no convergence in {newest} rounds; largest at {', '.join(worst)}")
+
+
+def _in_order(start: DataFrame, edges: DataFrame, values: list[str], keys: list, folder: str, tolerance: float, max_rounds: int) -> DataFrame:
+    """The same for one row a node: a node waits until all its edges have brought theirs, and then passes its total on once.
+
+    What lies on cycles or behind them waits for ever and is left to the series.
+    """
+    spark = start.sparkSession
+    entering = edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_in"))
+    ends = edges.select(F.col("src").alias("node")).distinct()
+    own = [F.col(c).alias(f"own_{c}") for c in values]
+    nodes = cut(start.select("node", *own).join(entering, "node", "full").join(ends, "node", "full").withColumn("n_in", F.coalesce("n_in", F.lit(0))), f"{folder}/nodes")
+    # A node that waits has a way to itself, so that a round is one join.
+    stays = nodes.where("n_in > 0").select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(1.0).alias("w"), F.lit(True).alias("stay"))
+    ways = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w"), F.lit(False).alias("stay")).unionByName(stays), f"{folder}/ways")
+    state = nodes.where("n_in = 0").select("node", F.lit(0).cast("long").alias("n"), *(F.col(f"own_{c}").alias(c) for c in values), F.lit(True).alias("ready"), F.lit(0).alias("round"))
+    newest, paths = 0, [f"{folder}/ordered=0"]
+    state = done = cut(state, paths[0])
+    while not state.where("ready").isEmpty():
+        if newest >= max_rounds:
+            raise _diverged(state.where("ready"), [], values, keys, newest)
+        rounds = []
+        for newest in range(newest + 1, newest + STEP + 1):
+            given = state.join(ways, (F.col("node") == F.col("src")) & (F.col("ready") != F.col("stay")))
+            arrived = given.groupBy(F.col("dst").alias("node")).agg(F.sum(F.when(F.col("stay"), F.col("n")).otherwise(1)).alias("n"), *(F.sum(F.col(c) * F.col("w")).alias(c) for c in values))
+            ready = F.col("n") == F.col("n_in")
+            state = arrived.join(nodes, "node").select("node", "n", *(F.when(ready, _plus(F.col(c), F.col(f"own_{c}"))).otherwise(F.col(c)).alias(c) for c in values), ready.alias("ready"))
+            rounds.append((state if len(rounds) == STEP - 1 else state.where("ready")).withColumn("round", F.lit(newest)))
+        paths.append(f"{folder}/ordered={newest}")
+        state = cut(reduce(DataFrame.unionByName, rounds), paths[-1]).where(F.col("round") == newest)
+        done = spark.read.schema(done.schema).parquet(*paths)
+    total = done.where("ready").select("node", *values)
+    if total.count() == nodes.count():
+        return total
+    waiting = state.select("node", *values)
+    rest = nodes.join(total.select("node"), "node", "left_anti").join(waiting, "node", "left").select("node", *(_plus(F.col(c), F.col(f"own_{c}")).alias(c) for c in values))
+    rest = cut(rest, f"{folder}/cyclic")
+    inner = cut(edges.join(rest.select(F.col("node").alias("src")), "src", "left_semi").select("src", "dst", "w"), f"{folder}/cyclic-edges")
+    return total.unionByName(_series(rest, inner, [], values, keys, folder, tolerance, max_rounds))
+
+
+def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """seed (key, node, value) summed with all that the edges (src, dst, w) pass on: key, node, total."""
+    folder = new_path(seed.sparkSession, "propagate")
+    edges = cut(edges, f"{folder}/edges")
+    seed = cut(seed.select("key", "node", F.col("value").cast("double").alias("v")), f"{folder}/seed")
+    keys = distinct_keys(seed, "key", "v")
+    if not keys or not edges.where("w is null").isEmpty():
+        rows = seed.groupBy("key", "node").agg(F.sum("v").alias("v"))
+        return _series(rows, edges, ["key"], ["v"], [], folder, tolerance, max_rounds).select("key", "node", F.col("v").alias("total"))
+    values = [f"v{i}" for i in range(len(keys))]
+    wide = cut(widened(seed, "key", keys, "node", "v"), f"{folder}/wide")
+    # Few seeds reach few nodes: only where they lie all over the network is all of it gone through.
+    if SPREAD * wide.count() >= edges.count():
+        out = _in_order(wide, edges, values, keys, folder, tolerance, max_rounds)
+    else:
+        out = _series(wide, edges, [], values, keys, folder, tolerance, max_rounds)
+    return lengthened(out, "key", keys, seed.schema["key"].dataType, "total").select("key", "node", "total")
 
 
 def supply(demand: DataFrame, technosphere: DataFrame, production: DataFrame, ordered: bool = False) -> DataFrame:
@@ -86,7 +185,9 @@ def supplied(rows: DataFrame) -> DataFrame:
 
 def characterized(biosphere: DataFrame, cf: DataFrame) -> DataFrame:
     """code, method, direct: score of one run of each activity's own exchanges."""
-    return biosphere.join(cf.select("method", "flow_id", "cf"), "flow_id").groupBy("code", "method").agg(F.sum(F.col("amount") * F.col("cf")).alias("direct"))
+    factors = cut(cf.select("method", "flow_id", "cf"), new_path(cf.sparkSession, "factors"))
+    factors = F.broadcast(factors) if factors.count() <= FEW else factors
+    return biosphere.join(factors, "flow_id").groupBy("code", "method").agg(F.sum(F.col("amount") * F.col("cf")).alias("direct"))
 
 
 def contributions(levels: DataFrame, direct: DataFrame, threshold: float = 1e-30) -> DataFrame:
