@@ -44,3 +44,20 @@ def test_layouts_agree(spark, monkeypatch, keys, spread):
     monkeypatch.setattr(solve, "KEYS", keys)
     monkeypatch.setattr(solve, "SPREAD", spread)
     assert totals(spark, ORDERED + CIRCLE, SEEDS) == pytest.approx(dense(ORDERED + CIRCLE, SEEDS), rel=1e-9)
+
+
+@pytest.mark.parametrize("few", [16, 1])
+def test_study_keeps_scores_that_are_null(spark, monkeypatch, few):
+    monkeypatch.setattr(solve, "KEYS", few)
+    demand = spark.createDataFrame([(1, "x", 2.0), (1, "y", 3.0), (2, "x", None), (3, "z", 1.0)], "demand_id long, code string, quantity double")
+    units = spark.createDataFrame([("x", "m", 1.0), ("x", "n", 5.0), ("y", "m", 10.0)], "code string, method string, unit_score double")
+    got = {(r["demand_id"], r["method"]): r["score"] for r in solve.study(demand, units).collect()}
+    assert got == {(1, "m"): 32.0, (1, "n"): 10.0, (2, "m"): None, (2, "n"): None}
+
+
+def test_study_meets_a_code_once(spark, monkeypatch):
+    """One row for each input, not one for each of its methods, reaches the sum by demand."""
+    demand = spark.createDataFrame([(1, "x", 2.0)], "demand_id long, code string, quantity double")
+    units = spark.createDataFrame([("x", m, 1.0) for m in "mnopq"], "code string, method string, unit_score double")
+    plan = solve.study(demand, units)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate")
