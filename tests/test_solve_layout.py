@@ -61,3 +61,13 @@ def test_study_meets_a_code_once(spark, monkeypatch):
     units = spark.createDataFrame([("x", m, 1.0) for m in "mnopq"], "code string, method string, unit_score double")
     plan = solve.study(demand, units)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("Aggregate")
+
+
+def test_contributions_are_not_summed_again(spark):
+    """Methods meet a level as columns, and their products need no sum by demand, method and code."""
+    levels = spark.createDataFrame([("d", "x", 2.0), ("d", "y", -1.0), ("e", "x", None)], "demand_id string, code string, level double")
+    direct = spark.createDataFrame([("x", "m", 3.0), ("x", "n", 1e-40), ("y", "m", 5.0), ("z", "m", 7.0)], "code string, method string, direct double")
+    out = solve.contributions(levels, direct)
+    assert {(r["demand_id"], r["method"], r["code"]): r["score"] for r in out.collect()} == {("d", "m", "x"): 6.0, ("d", "m", "y"): -5.0}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate")
