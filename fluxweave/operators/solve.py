@@ -6,7 +6,8 @@ newest amounts, the frontier, along the edges. A few rounds make one job, which
 what arrives in each: a round's exchange serves both the write and the next round. Only the frontier is
 joined and shuffled; the totals are one sum over all rounds at the end. Rounds end when nothing moves any
 more. On a cyclic network amounts only die down: there, now and then, the frontier is held against the sum of
-absolute amounts that reached its nodes, a ratio which no unit can disturb.
+absolute amounts that reached its nodes, a ratio which no unit can disturb. Before that what lies on cycles or behind
+them is contracted: a node with one edge into it is a multiple of the node before it, whose edges take its place.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from fluxweave.operators.blocks import ordered_totals
 from fluxweave.plans.lineage import cut, new_path
 
 #: Smallest live share, most rounds, rounds in a job, and after how many it is first looked whether any share lives.
-#: Looks read all rounds, so each comes a quarter of the rounds after the one before.
+#: A look sums the rounds since the one before it and comes a quarter of all rounds after it.
 TOLERANCE, MAX_ROUNDS, STEP, LOOK = 1e-12, 1000, 4, 8
 #: Keys up to which amounts are columns; edges for each seeded node up to which nodes are met in order.
 KEYS, SPREAD = 16, 8
+#: Share of the nodes that a contraction must take, and the largest edge of a node to itself that is divided out.
+LEAST, LOOP = 0.1, 0.5
 #: Factors up to which they are broadcast; more of them are joined by a shuffle.
 FEW = 500_000
 
@@ -87,26 +90,82 @@ def _diverged(rows: DataFrame, by: list[str], values: list[str], keys: list, new
 def _series(start: DataFrame, edges: DataFrame, by: list[str], values: list[str], keys: list, folder: str, tolerance: float, max_rounds: int) -> DataFrame:
     """start (by, node, values) summed with all that the edges pass on, round by round."""
     spark, at = start.sparkSession, [*by, "node"]
-    paths, newest, look = [f"{folder}/from=0"], 0, LOOK
-    passed = frontier = cut(start.withColumn("round", F.lit(0)), paths[0])
-    sums = lambda f, rows: rows.groupBy(*at).agg(*(F.sum(f(F.col(c))).alias(c) for c in values))
+    path, newest, look = f"{folder}/from=0", 0, LOOK
+    frontier = cut(start.withColumn("round", F.lit(0)), path)
+    # What has reached a node: sums and absolute sums up to the last look, and the rounds since.
+    sizes, shape = [f"size_{c}" for c in values], frontier.schema
+    looked, since = None, [path]
+
+    def reached() -> DataFrame:
+        rows = spark.read.schema(shape).parquet(*since).select(*at, *values, *(F.abs(c).alias(f"size_{c}") for c in values))
+        rows = rows if looked is None else rows.unionByName(looked)
+        return rows.groupBy(*at).agg(*(F.sum(c).alias(c) for c in (*values, *sizes)))
+
     while True:
         live = frontier.where(_moves(values))
         if newest >= look:
             look = newest + max(LOOK, newest // 4)
-            reached = sums(F.abs, passed).select(*at, *(F.col(c).alias(f"reached_{c}") for c in values))
-            live = live.join(reached, at).where(reduce(Column.__or__, (F.coalesce(F.abs(c) > tolerance * F.col(f"reached_{c}"), F.lit(False)) for c in values)))
+            looked = cut(reached(), f"{folder}/looked={newest}")
+            since = []
+            live = live.join(looked.select(*at, *sizes), at).where(reduce(Column.__or__, (F.coalesce(F.abs(c) > tolerance * F.col(f"size_{c}"), F.lit(False)) for c in values)))
         if live.isEmpty():
-            return sums(lambda c: c, passed)
+            return (reached() if since else looked).select(*at, *values)
         if newest >= max_rounds:
             raise _diverged(frontier, by, values, keys, newest)
         rounds = []
         for newest in range(newest + 1, newest + STEP + 1):
             frontier = _passed_on(frontier, edges, by, values)
             rounds.append(frontier.withColumn("round", F.lit(newest)))
-        paths.append(f"{folder}/from={newest - STEP + 1}")
-        frontier = cut(reduce(DataFrame.unionByName, rounds), paths[-1]).where(F.col("round") == newest)
-        passed = spark.read.schema(passed.schema).parquet(*paths)
+        since.append(f"{folder}/from={newest - STEP + 1}")
+        frontier = cut(reduce(DataFrame.unionByName, rounds), since[-1]).where(F.col("round") == newest)
+
+
+def _contracted(start: DataFrame, edges: DataFrame, values: list[str], keys: list, folder: str, tolerance: float, max_rounds: int) -> DataFrame:
+    """The series of one row a node, on a smaller network with the same solution.
+
+    Where one edge leads into a node, x = b + w x' with the node x' before it: what it passes on comes from x' and from b
+    instead, and the node goes, until too few go at once. Of neighbours that could go one stays for that turn. No turn adds
+    edges. The series solves what is left; then those that went are worked out, the last ones first.
+    """
+    spark, turn, went = start.sparkSession, 0, []
+    rows, live = start.select("node", *values), edges.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    while True:
+        turn += 1
+        here = F.col("src") == F.col("dst")
+        entering = live.groupBy(F.col("dst").alias("node")).agg(F.count_if(~here).alias("n"), F.coalesce(F.sum(F.when(here, F.col("w"))), F.lit(0.0)).alias("loop"), F.max(F.when(~here, F.col("src"))).alias("before"), F.sum(F.when(~here, F.col("w"))).alias("w_in"))
+        nodes = rows.join(entering, "node", "left").withColumn("loop", F.coalesce("loop", F.lit(0.0)))
+        # An edge to itself multiplies all that arrives.
+        nodes = nodes.withColumn("times", F.when(F.abs("loop") <= LOOP, 1 / (1 - F.col("loop"))).otherwise(1.0)).withColumn("could", (F.coalesce("n", F.lit(0)) <= 1) & (F.abs("loop") <= LOOP))
+        nodes = nodes.select("node", "times", "could", "before", (F.col("w_in") * F.col("times")).alias("w_in"), *((F.col(c) * F.col("times")).alias(c) for c in values))
+        nodes = cut(nodes, f"{folder}/nodes={turn}")
+        could = nodes.where("could")
+        # Of two neighbours that could both go, the one with the smaller hash may.
+        ends = could.select("node", "before").join(could.select(F.col("node").alias("before")), "before")
+        waits = ends.select(F.when(F.struct(F.xxhash64("node"), "node") > F.struct(F.xxhash64("before"), "before"), F.col("node")).otherwise(F.col("before")).alias("node")).distinct()
+        goes = cut(could.join(waits, "node", "left_anti").select("node", "before", "w_in", *values), f"{folder}/goes={turn}")
+        n_goes, n = goes.count(), nodes.count()
+        if n_goes <= LEAST * n:
+            break
+        went.append(goes)
+        # Edges into nodes that go are gone with them; those out of them begin one node earlier, and bring their own amount.
+        out = goes.select(F.col("node").alias("src"), "before", "w_in", F.lit(True).alias("gone"), *values)
+        stay = nodes.join(goes.select("node"), "node", "left_anti")
+        kept = live.where(~here | (F.abs("w") > LOOP)).join(stay.select(F.col("node").alias("dst"), "times"), "dst").withColumn("w", F.col("w") * F.col("times")).join(out, "src", "left")
+        kept = kept.select(F.when(F.col("gone"), F.col("before")).otherwise(F.col("src")).alias("src"), "dst", (F.col("w") * F.coalesce("w_in", F.lit(1.0))).alias("w"), "gone", *((F.col(c) * F.col("w")).alias(c) for c in values))
+        kept = cut(kept, f"{folder}/edges={turn}")
+        live = kept.where("src is not null").groupBy("src", "dst").agg(F.sum("w").alias("w"))
+        rows = stay.select("node", *values).unionByName(kept.where("gone").select(F.col("dst").alias("node"), *values)).groupBy("node").agg(*(F.sum(c).alias(c) for c in values))
+    if not went:
+        return _series(start, edges, [], values, keys, f"{folder}/series", tolerance, max_rounds)
+    try:
+        found = [_series(rows, cut(live, f"{folder}/core"), [], values, keys, f"{folder}/series", tolerance, max_rounds)]
+    except Diverged:  # amounts of both signs: the whole series may die down where the smaller one does not
+        return _series(start, edges, [], values, keys, f"{folder}/whole", tolerance, max_rounds)
+    found = [cut(found[0], f"{folder}/found=0")]
+    for i, goes in enumerate(reversed(went), 1):
+        known = reduce(DataFrame.unionByName, found).select(F.col("node").alias("before"), *(F.col(c).alias(f"x_{c}") for c in values))
+        found.append(cut(goes.join(known, "before", "left").select("node", *(_plus(F.col(c), F.col("w_in") * F.col(f"x_{c}")).alias(c) for c in values)), f"{folder}/found={i}"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _in_order(start: DataFrame, edges: DataFrame, values: list[str], keys: list, folder: str, tolerance: float, max_rounds: int) -> DataFrame:
@@ -145,7 +204,7 @@ def _in_order(start: DataFrame, edges: DataFrame, values: list[str], keys: list,
     rest = nodes.join(total.select("node"), "node", "left_anti").join(waiting, "node", "left").select("node", *(_plus(F.col(c), F.col(f"own_{c}")).alias(c) for c in values))
     rest = cut(rest, f"{folder}/cyclic")
     inner = cut(edges.join(rest.select(F.col("node").alias("src")), "src", "left_semi").select("src", "dst", "w"), f"{folder}/cyclic-edges")
-    return total.unionByName(_series(rest, inner, [], values, keys, folder, tolerance, max_rounds))
+    return total.unionByName(_contracted(rest, inner, values, keys, f"{folder}/contracted", tolerance, max_rounds))
 
 
 def propagate(seed: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:

@@ -71,3 +71,22 @@ def test_contributions_are_not_summed_again(spark):
     assert {(r["demand_id"], r["method"], r["code"]): r["score"] for r in out.collect()} == {("d", "m", "x"): 6.0, ("d", "m", "y"): -5.0}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("Aggregate")
+
+
+def test_cycles_are_contracted(spark, monkeypatch, tmp_path):
+    """Nodes with one edge into them are taken out before the series, self-loops divided out; totals stay as they are."""
+    monkeypatch.setattr(solve, "new_path", lambda _, name: f"file://{tmp_path}/{name}")
+    tree = [(k // 2, k, 0.25) for k in range(2, 24)] + [(k, k // 3, -0.2) for k in range(3, 24, 4)] + [(22, 22, 0.3), (5, 22, 0.1), (23, 1, 0.5), (24, 0, 1.0), (0, 24, 0.4)]
+    seeds = [("a", k, float(k + 1)) for k in range(0, 25, 2)] + [("b", 7, -2.0)]
+    assert totals(spark, tree, seeds) == pytest.approx(dense(tree, seeds), rel=1e-9)
+    core = spark.read.parquet(f"file://{tmp_path}/propagate/contracted/core")
+    assert 0 < core.count() < len(tree) / 2
+
+
+def test_a_look_reads_a_round_once(spark, monkeypatch, tmp_path):
+    """What reached the nodes is kept from look to look, so a round is summed once."""
+    monkeypatch.setattr(solve, "new_path", lambda _, name: f"file://{tmp_path}/{name}")
+    circle = [(0, 1, 0.7), (1, 0, 0.7), (0, 2, 0.5), (2, 1, 0.3), (1, 2, 0.1)]
+    seeds = [("a", 0, 1.0), ("b", 2, 3.0)]
+    assert totals(spark, circle, seeds) == pytest.approx(dense(circle, seeds, 3), rel=1e-9)
+    assert len(list(tmp_path.glob("**/looked=*"))) > 1
