@@ -284,6 +284,8 @@ def study(demand: DataFrame, units: DataFrame) -> DataFrame:
         return demand.join(units, "code").groupBy("demand_id", "method").agg(F.sum(F.col("quantity") * F.col("unit_score")).alias("score"))
     values = [f"v{i}" for i in range(len(methods))]
     used = demand.select("demand_id", "code", "quantity").join(widened(units, "method", methods, "code", "unit_score"), "code")
+    # Inputs that meet in a code hardly share a demand, so they move before they are summed, not through a map of all demands.
+    used = used.repartition("demand_id")
     # A demand has a score, null if need be, by each method that any of its inputs has: one bit a method.
     seen = F.bit_or(reduce(Column.__add__, (F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(values))))
     sums = used.groupBy("demand_id").agg(*(F.sum(F.col("quantity") * F.col(c)).alias(c) for c in values), seen.alias("seen"))

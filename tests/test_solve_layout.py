@@ -90,3 +90,13 @@ def test_a_look_reads_a_round_once(spark, monkeypatch, tmp_path):
     seeds = [("a", 0, 1.0), ("b", 2, 3.0)]
     assert totals(spark, circle, seeds) == pytest.approx(dense(circle, seeds, 3), rel=1e-9)
     assert len(list(tmp_path.glob("**/looked=*"))) > 1
+
+
+def test_study_sums_behind_the_exchange(spark, sf):
+    """No sum before the exchange holds every demand, and names of inventories do not move."""
+    from fluxweave.plans.queries import QUERIES
+
+    plan = QUERIES["foreground_scores"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    moved = plan[: plan.index("REPARTITION_BY_COL")]
+    assert moved.count("HashAggregate") == 2 and "Exchange" not in moved.replace("Exchange hashpartitioning(demand_id", "", 1)
+    assert "order " not in plan[plan.index("REPARTITION_BY_COL") :]
