@@ -63,3 +63,9 @@ def test_process_files_are_compressed(spark, sf):
 
     files = spark.read.option("recursiveFileLookup", True).text(stores._process_files(Views(spark, sf))).inputFiles()
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_import_reads_line_items_once(spark, sf):
+    """The import's views are written once; what comes after reads their rows."""
+    files = plans.QUERIES["import_build"](spark, sf).inputFiles()
+    assert files and not any("lineitem.parquet" in f for f in files)
