@@ -36,7 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, broadcast_if_small, id_and_text, join_groups, materialize
+from . import common
+from .common import arrow_limits, at_bit, bit_filter, broadcast_if_small, id_and_text, join_groups, materialize
 from .graph import components
 
 U64 = np.uint64
@@ -195,16 +196,37 @@ def _names(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array([r[i] for r in raw], pa.int64()) for i in (0, 1)]
 
 
-def sets_of(docs: DataFrame, n: int) -> DataFrame:
-    """hi, lo, n and items (sorted 64-bit hashes as bytes) of each text that has shingles."""
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return broadcast_if_small(df, rows, common.FEW)
+
+
+def sets_of(docs: DataFrame, n: int, bits: np.ndarray | None = None) -> DataFrame:
+    """hi, lo, n and items (sorted 64-bit hashes as bytes) of each text that has shingles; with bits, if its doc_id may be among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for b in batches:
-            sets = [s for t in b.column(0).to_pylist() if len(s := shingles(t, n, hashes))]
+            texts = b.column(0)
+            if bits is not None:
+                at = b.column(1).to_numpy()
+                texts = texts.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1))
+            sets = [s for t in texts.to_pylist() if len(s := shingles(t, n, hashes))]
             yield pa.RecordBatch.from_arrays([*_names(sets), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["hi", "lo", "n", "items"])
 
-    return docs.select("text").mapInArrow(run, "hi long, lo long, n long, items binary")
+    read = ["text"] if bits is None else ["text", at_bit(F.col("doc_id"), 8 * len(bits)).alias("bit")]
+    return docs.select(*read).mapInArrow(run, "hi long, lo long, n long, items binary")
+
+
+def sets_of_ids(docs: DataFrame, ids: DataFrame, n_ids: int, n: int) -> DataFrame:
+    """sets_of the rows whose doc_id is the one column of ids, and perhaps of others; each set once.
+
+    Many ids reach the tasks as a bit filter, so neither does the driver hold them nor are texts shuffled.
+    """
+    if n_ids <= common.FEW:
+        found = sets_of(docs.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col(ids.columns[0])), "left_semi"), n)
+    else:
+        found = sets_of(docs, n, bit_filter(ids, n_ids))
+    return found.dropDuplicates(["hi", "lo"])
 
 
 # --- one region in one task ----------------------------------------------------------------------------
@@ -352,7 +374,7 @@ def pivot_distances(large: DataFrame, sizes: DataFrame, sets: DataFrame, rounds:
     pivots = chosen.join(sets, "key").groupBy("region").agg(F.sort_array(F.collect_list(F.struct("key", "items"))).alias("pivots"))
     shares = sizes.select("region", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("members") / MEMBERS, F.col("total") / SHINGLES))).cast("int").alias("shares"))
     dealt = pivots.join(shares, "region").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).select("region", "share", "pivots")
-    rows = large.join(broadcast_if_small(shares, shares.count()), "region").withColumn("share", F.pmod(F.xxhash64("key", F.lit(3)), "shares").cast("int"))
+    rows = large.join(_small(shares, shares.count()), "region").withColumn("share", F.pmod(F.xxhash64("key", F.lit(3)), "shares").cast("int"))
     rows = rows.join(sets.select("key", "items"), "key").join(dealt, ["region", "share"]).select("region", "key", "role", "items", "pivots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,9 +412,9 @@ def split_regions(large: DataFrame, sizes: DataFrame, sets: DataFrame, rounds: i
     inside = far.where("role is not null")
     if not every:
         edge = materialize(inside.where("not linked").groupBy("region", "pivot").agg(F.min("d").alias("first")), "edge")
-        inside = inside.join(broadcast_if_small(edge, edge.count()), ["region", "pivot"]).where(~F.col("linked") | (F.col("d") >= F.col("first") - eps - TOUCH))
+        inside = inside.join(_small(edge, edge.count()), ["region", "pivot"]).where(~F.col("linked") | (F.col("d") >= F.col("first") - eps - TOUCH))
     was = sizes.select("region", F.col("members").alias("was"))
-    rows = inside.join(broadcast_if_small(was, was.count()), "region").select(F.xxhash64("region", "pivot", F.lit(rounds)).alias("region"), "key", "role", "was")
+    rows = inside.join(_small(was, was.count()), "region").select(F.xxhash64("region", "pivot", F.lit(rounds)).alias("region"), "key", "role", "was")
     return links, rows
 
 
@@ -486,11 +508,11 @@ def families(rows: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]
     members = materialize(members.join(several, "region", "left_semi"), "members")
     names = materialize(members.select("hi", "lo").distinct().withColumn("key", F.monotonically_increasing_id()), "names")
     n_names = names.count()
-    numbered = materialize(members.join(broadcast_if_small(names, n_names), ["hi", "lo"]).select("region", "key"), "numbered")
+    numbered = materialize(members.join(_small(names, n_names), ["hi", "lo"]).select("region", "key"), "numbered")
     # Signatures that agree in their smallest set are one block, so copies that share many of them move once.
     low = numbered.groupBy("region").agg(F.min("key").alias("block"))
     blocks = materialize(numbered.join(low, "region").select("block", "key").distinct(), "blocks")
-    marks = rows.where("lo is not null").join(broadcast_if_small(names, n_names), ["hi", "lo"]).select("key", "n_shingles", "level", "below", "own").dropDuplicates(["key"])
+    marks = rows.where("lo is not null").join(_small(names, n_names), ["hi", "lo"]).select("key", "n_shingles", "level", "below", "own").dropDuplicates(["key"])
     return names, materialize(components(likely_edges(blocks, materialize(marks, "marks"), num, den)), "families")
 
 
@@ -529,7 +551,7 @@ def likely_edges(blocks: DataFrame, marks: DataFrame, num: int, den: int) -> Dat
 
 def link_regions(regions: DataFrame, sets: DataFrame, num: int, den: int, every: bool = False) -> DataFrame:
     """Links (a, b) that span components, and counts (a, n) if `every`, of rows (region, key)."""
-    held = sets.select("key", "n")
+    held = sets.select("key", "n").hint("merge")
     rows = materialize(regions.select("region", "key", F.lit(HOME).alias("role"), F.lit(None).cast("long").alias("was")), "regions")
     tasks, found = [], []
     for rounds in range(ROUNDS + 1):
@@ -574,22 +596,22 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 3, num: int = 90, den: int
     groups = materialize(rows.where("lo is not null").groupBy(*name).agg(F.count(F.lit(1)).alias("size_"), F.min("doc_id").alias("low")), "groups")
     names, family = families(rows, num, den)
     n_keys = family.count()
-    names = names.join(broadcast_if_small(family.select(F.col("vertex").alias("key"), F.col("root").alias("family")), n_keys), "key")
-    named = materialize(groups.join(broadcast_if_small(names, n_keys), name), "named")
-    texts = id_and_text(docs).join(broadcast_if_small(named.select(F.col("low").alias("rep_id")).distinct(), n_keys), F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-    sets = sets_of(texts, words).join(broadcast_if_small(named.select(*name, "key", F.col("size_").alias("weight")), n_keys), name)
-    sets = materialize(sets.select("key", "weight", "n", "items").dropDuplicates(["key"]), "sets")
+    names = names.join(_small(family.select(F.col("vertex").alias("key"), F.col("root").alias("family")), n_keys), "key")
+    named = materialize(groups.join(_small(names, n_keys), name), "named")
+    found = sets_of_ids(id_and_text(docs), named.select(F.col("low").alias("rep_id")).distinct(), n_keys, words)
+    sets = found.join(_small(named.select(*name, "key", F.col("size_").alias("weight")), n_keys), name)
+    sets = materialize(sets.select("key", "weight", "n", "items"), "sets")
     found = materialize(link_regions(named.select(F.col("family").alias("region"), "key"), sets, num, den, every), "found")
     roots = materialize(components(found.where("b is not null").select("a", "b")), "roots")
-    rooted = named.join(broadcast_if_small(roots, roots.count()), F.col("key") == F.col("vertex"), "left").select("key", *name, "low", F.coalesce("root", "key").alias("root"))
+    rooted = named.join(_small(roots, roots.count()), F.col("key") == F.col("vertex"), "left").select("key", *name, "low", F.coalesce("root", "key").alias("root"))
     lows = materialize(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
-    facts = rooted.join(broadcast_if_small(lows, lows.count()), "root").select("key", *name, "component_id")
+    facts = rooted.join(_small(lows, lows.count()), "root").select("key", *name, "component_id")
     if every:
         near = materialize(found.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n_near")), "near")
-        facts = facts.join(broadcast_if_small(near, near.count()), "key", "left")
+        facts = facts.join(_small(near, near.count()), "key", "left")
     facts = materialize(facts.drop("key"), "facts")
     counts = [(F.col("size_") - 1 + F.coalesce("n_near", F.lit(0))).alias("n_links")] if every else []
-    whole = groups.join(broadcast_if_small(facts, n_keys), name, "left").select(*name, "size_", F.coalesce("component_id", "low").alias("component_id"), *counts)
+    whole = groups.join(_small(facts, n_keys), name, "left").select(*name, "size_", F.coalesce("component_id", "low").alias("component_id"), *counts)
     joined = join_groups(rows.select("doc_id", "n_shingles", *name), whole, name, "size_", rows.count())
     links = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if every else []
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *links)

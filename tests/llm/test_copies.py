@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fluxweave.llm import exact_dedup, fuse_filter, graph, jaccard
+from fluxweave.llm import common, exact_dedup, fuse_filter, graph, jaccard
 
 from .helpers import EDGE, docs
 
@@ -222,3 +222,22 @@ def test_components(spark):
         root[max(x, y)] = min(x, y)
     expected = {x: find(x) for a, b in edges if a != b for x in (a, b)}
     assert got == expected
+
+
+def test_jaccard_join_broadcasts_nothing_that_grows(spark, monkeypatch):
+    """Beyond the limit of rows no table is broadcast: texts are chosen by bits, and the result is the same."""
+    monkeypatch.setattr(common, "FEW", 0)
+    seen = []
+    monkeypatch.setattr(F, "broadcast", lambda df, f=F.broadcast: seen.append(df.columns) or f(df))
+    rows = families(3) + [(1000 + (i or 0) if i is not None else None, t) for i, t in EDGE]
+    got = jaccard.ngram_jaccard_join(docs(spark, rows), 3, 90, 100).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 90, 100)
+    assert all("is_hot_" in c for c in seen)
+
+
+def test_bit_filter_has_every_key(spark):
+    keys = spark.createDataFrame([(None,), *((i * i,) for i in range(3_000))], "k long")
+    bits = common.bit_filter(keys, 3_001)
+    at = [r[0] for r in keys.select(common.at_bit(F.col("k"), 8 * len(bits))).collect()]
+    on = np.unpackbits(bits)
+    assert on[at].all() and 0 < on.sum() <= 3_001 and common.bit_filter(keys.where("false"), 0).sum() == 0

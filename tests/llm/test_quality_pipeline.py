@@ -127,6 +127,16 @@ def test_copy_stages_by_brute_force(spark, larger):
     assert 0 < near.count() < unique.count()
 
 
+def test_copy_stages_send_the_copies_alone(spark, larger, monkeypatch):
+    """The driver holds the rows that go, not those that stay."""
+    sent = []
+    monkeypatch.setattr(corpus_pipeline, "broadcast_if_small", lambda df, n, *_: sent.append(n) or df)
+    table = docs(spark, [(i, f"text {i} of " + " ".join(f"w{i}x{j}" for j in range(20))) for i in range(40)] + [(50, "again"), (51, "again")])
+    for name in ("exact_dedup", "ngram_jaccard"):
+        assert stage(name)(spark, table, larger).count() == 41
+    assert sent == [1, 1]
+
+
 def test_pii_and_packing_stages_by_row(spark, larger):
     table = docs(spark, corpus())
 
