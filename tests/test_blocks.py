@@ -82,3 +82,22 @@ def test_many_small_components_share_a_call(spark, monkeypatch):
     w = pd.DataFrame([(s // 10 * 10, s, d, x) for s, d, x in edges], columns=["comp", "src", "dst", "w"])
     got = blocks._dense(b, w)  # all of them in one call
     close({(r.key, r.node): r.v for r in got.itertuples()}, dense(600, edges, seeds))
+
+
+def test_small_networks_are_solved_whole(spark, monkeypatch):
+    """Circles and chains that nothing else leads to need no ranks; the rest, and what one system cannot solve, goes on."""
+    looked = []
+    monkeypatch.setattr(blocks, "ranks", lambda *a, f=blocks.ranks: looked.append(a) or f(*a))
+    rng = np.random.default_rng(7)
+    edges = [(3 * c + i, 3 * c + (i + 1) % 3, float(rng.uniform(1.1, 2.0))) for c in range(20) for i in range(2 + c % 2)]
+    seeds = [(k, i, float(rng.normal())) for i in range(0, 60, 2) for k in ("a", "b")] + [("a", 70, 3.0)]
+    close(ordered(spark, edges, seeds), dense(71, edges, seeds) | {("a", 70): 3.0})
+    steep = [(100 + i, 101 + i, 1e9) for i in range(3)]  # solved by its order, not by one system
+    long = [(200 + i, 201 + i, 0.5) for i in range(40)]
+    more = [("a", 100, 1.0), ("b", 240, 1.0), ("b", 200, 2.0)]
+    got = ordered(spark, edges + steep + long, seeds + more)
+    close(got, dense(300, edges + long, seeds + more[1:]) | {("a", 70): 3.0} | {("a", 100 + i): 1e9**i for i in range(4)})
+    assert len(looked) == 2
+    looked.clear()
+    close(ordered(spark, edges, seeds[:-1]), dense(60, edges, seeds[:-1]))
+    assert not looked
